@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from hintforge.llm.common import table
 from hintforge.llm.decontaminate import contaminated
+from hintforge.llm.lm_scoring import score_documents
 from hintforge.llm.packing import pack_documents
 from hintforge.llm.quality_rules import repetition_measures
 from hintforge.llm.token_codes import encode_documents
@@ -38,6 +39,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"), limit=4096)
 
@@ -71,7 +76,7 @@ FROM p LEFT JOIN f USING (payload_digest)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_repetition_rules, op2_url_templates, op3_token_codes, op4_decontamination, op8_token_counts, op9_best_fit_packing, op10_warc)}
+    return {f.__name__: f for f in (op1_repetition_rules, op2_url_templates, op3_token_codes, op4_decontamination, op5_lm_scoring, op8_token_counts, op9_best_fit_packing, op10_warc)}
 
 
 def oracle_sql() -> dict[str, str]:
