@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from hintforge.llm.common import table
 from hintforge.llm.decontaminate import contaminated
+from hintforge.llm.jaccard_join import jaccard_components
 from hintforge.llm.lm_scoring import score_documents
 from hintforge.llm.packing import pack_documents
 from hintforge.llm.quality_rules import repetition_measures
@@ -43,6 +44,10 @@ def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"), n=3, threshold=(90, 100))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"), limit=4096)
 
@@ -76,7 +81,7 @@ FROM p LEFT JOIN f USING (payload_digest)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_repetition_rules, op2_url_templates, op3_token_codes, op4_decontamination, op5_lm_scoring, op8_token_counts, op9_best_fit_packing, op10_warc)}
+    return {f.__name__: f for f in (op1_repetition_rules, op2_url_templates, op3_token_codes, op4_decontamination, op5_lm_scoring, op6_jaccard_join, op8_token_counts, op9_best_fit_packing, op10_warc)}
 
 
 def oracle_sql() -> dict[str, str]:
