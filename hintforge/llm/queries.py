@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hintforge.llm.common import table
 from hintforge.llm.decontaminate import contaminated
@@ -12,6 +13,7 @@ from hintforge.llm.jaccard_join import jaccard_components
 from hintforge.llm.lm_scoring import score_documents
 from hintforge.llm.packing import pack_documents
 from hintforge.llm.quality_rules import repetition_measures
+from hintforge.llm.substring_dedup import repeated_spans
 from hintforge.llm.token_codes import encode_documents
 from hintforge.llm.token_counts import count_tokens
 from hintforge.llm.url_filter import judge_urls
@@ -48,6 +50,12 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), n=3, threshold=(90, 100))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each repeated span: which words of which document, and whether they go."""
+    spans = repeated_spans(table(spark, sf_dir, "documents")).select("doc_id", F.explode("spans").alias("s"))
+    return spans.select("doc_id", F.col("s.first").alias("first_word"), F.col("s.size").alias("n_words"), F.col("s.removed").alias("removed"), F.col("s.keeper").alias("keeper_doc_id"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"), limit=4096)
 
@@ -81,7 +89,7 @@ FROM p LEFT JOIN f USING (payload_digest)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_repetition_rules, op2_url_templates, op3_token_codes, op4_decontamination, op5_lm_scoring, op6_jaccard_join, op8_token_counts, op9_best_fit_packing, op10_warc)}
+    return {f.__name__: f for f in (op1_repetition_rules, op2_url_templates, op3_token_codes, op4_decontamination, op5_lm_scoring, op6_jaccard_join, op7_substring_dedup, op8_token_counts, op9_best_fit_packing, op10_warc)}
 
 
 def oracle_sql() -> dict[str, str]:
