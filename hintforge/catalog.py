@@ -1,11 +1,348 @@
-"""All driver-facing queries of the protein-hint engine."""
+"""All driver-facing queries of the protein-hint engine, and the same in SQL for comparison."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries() -> dict:
-    return {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from hintforge import adapter
+from hintforge.config import QUALITY, Cutoffs
+from hintforge.functions.attributes import gff_attribute
+from hintforge.functions.sequence import clean_protein_line, codons, reverse_complement, translate
+from hintforge.operators import exons, genes, hints, search
+from hintforge.plans import standard
+from hintforge.sources.features import gene_faults, hint_lines
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+SQL: dict[str, str] = {}
+
+H = """h AS (SELECT 'chr' || CAST(l_suppkey % 5 AS varchar) AS seqid, CASE l_linenumber % 4 WHEN 0 THEN 'CDS' WHEN 1 THEN 'Intron' WHEN 2 THEN 'start_codon' ELSE 'stop_codon' END AS type,
+  l_partkey % 200 * 30 + 1 AS s, CAST(CASE l_linenumber % 4 WHEN 0 THEN l_partkey % 200 * 30 + 3 * CAST(l_quantity AS int) WHEN 1 THEN l_partkey % 200 * 30 + 30 * (1 + l_suppkey % 3) ELSE l_partkey % 200 * 30 + 3 END AS bigint) AS e,
+  CASE WHEN l_linestatus = 'F' THEN '+' ELSE '-' END AS strand, CAST(round(l_discount * 100) AS int) / 25.0::double AS al,
+  CASE l_partkey % 10 WHEN 0 THEN 'gc_ag' WHEN 1 THEN 'at_ac' ELSE 'gt_ag' END AS ss, 'p' || CAST(l_suppkey AS varchar) AS prot, 'g' || CAST(l_orderkey % 500 AS varchar) AS gene FROM lineitem)"""
+COMB = f"""{H}, comb AS (SELECT seqid, type, s, e, strand, count(*) AS score, max(al) AS al, max(ss) AS ss FROM h
+  WHERE CASE type WHEN 'Intron' THEN al >= 0.1 WHEN 'CDS' THEN true ELSE al >= 0.01 END GROUP BY seqid, type, s, e, strand)"""
+PAIRS = "pairs AS (SELECT 'g' || CAST(l_orderkey % 500 AS varchar) AS gene, 'p' || CAST(l_suppkey AS varchar) AS prot, CAST(sum(CAST(round(l_extendedprice * 100) AS bigint)) AS bigint) AS sc FROM lineitem GROUP BY 1, 2)"
+HC = "CASE type WHEN 'Intron' THEN (ss IS NULL OR ss = 'gt_ag') AND score >= 4 AND al >= 0.25 WHEN 'CDS' THEN true ELSE score >= 4 AND al >= 0.01 END"
+
+
+def gtf_sql(name: str, moved: int = 0) -> str:
+    shift = f"CASE WHEN l_linenumber = {moved} THEN 3 ELSE 0 END"
+    return f"""{name} AS (SELECT 'chr' || CAST(l_suppkey % 5 AS varchar) AS seqid, l_partkey * 30 + 1 + {shift} AS s, l_partkey * 30 + 3 * CAST(l_quantity AS int) + {shift} AS e, CASE WHEN l_linestatus = 'F' THEN '+' ELSE '-' END AS strand,
+  CAST(l_linenumber % 3 AS varchar) AS phase, 'g' || CAST(l_orderkey AS varchar) AS gene, 't' || CAST(l_orderkey AS varchar) || '_' || CAST(l_suppkey % 2 AS varchar) AS tx, l_linenumber AS ln FROM lineitem)"""
+
+
+BASES = "translate(regexp_replace(translate(text, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ'), '[^A-Z]', '', 'g'), 'BDEFHIJKLMOPQRSUVWXYZ', 'ACGTACGTACGTACGTACGTA')"
+DNA = f"dna AS (SELECT doc_id, {BASES} AS d FROM documents)"
+
+
+def query(sql: str | None = None):
+    """Registers a query under its name, with its SQL."""
+
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def short(df: DataFrame) -> DataFrame:
+    """Column names as the SQL has them: start and end are awkward words there."""
+    return df.withColumnsRenamed({"start": "s", "end": "e", "al_score": "al", "splice_sites": "ss"})
+
+
+def comb(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hints.combine(hints.filter_hints(adapter.raw_hints(spark, sf_dir), QUALITY))
+
+
+def of(df: DataFrame, kind: str) -> DataFrame:
+    return df.where(F.col("type") == kind)
+
+
+@query(f"WITH {COMB} SELECT * FROM comb")
+def combine(spark, sf_dir):
+    return short(comb(spark, sf_dir))
+
+
+@query(f"WITH {COMB} SELECT * FROM comb WHERE {HC}")
+def high_confidence(spark, sf_dir):
+    return short(hints.filter_hints(comb(spark, sf_dir)))
+
+
+@query(f"WITH {COMB} SELECT * FROM comb WHERE CASE type WHEN 'Intron' THEN ss IN ('gt_ag', 'gc_ag') AND score >= 2 AND al >= 0.1 WHEN 'CDS' THEN true WHEN 'stop_codon' THEN score >= 6 AND al >= 0.2 ELSE score >= 5 AND al >= 0.3 END")
+def high_confidence_custom(spark, sf_dir):
+    """The same filter with a user's own thresholds."""
+    return short(hints.filter_hints(comb(spark, sf_dir), Cutoffs(2, 5, 6, 0.1, 0.3, 0.2, gc_ag=True)))
+
+
+SUPPORT = f"""WITH {COMB}, ie AS (SELECT seqid, strand, CASE WHEN strand = '+' THEN e ELSE s END AS p FROM comb WHERE type = 'Intron'),
+st AS (SELECT seqid, strand, CASE WHEN strand = '+' THEN s ELSE e END AS p FROM comb WHERE type = 'start_codon')"""
+
+
+@query(f"{SUPPORT} SELECT * FROM comb WHERE type = 'CDS' AND CASE WHEN strand = '+' THEN s - 1 IN (SELECT p FROM ie) OR s IN (SELECT p FROM st) ELSE e + 1 IN (SELECT p FROM ie) OR e IN (SELECT p FROM st) END")
+def upstream_support(spark, sf_dir):
+    c = comb(spark, sf_dir)
+    return short(hints.supported_cds(of(c, "CDS"), c))
+
+
+@query(f"{SUPPORT} SELECT * FROM comb c WHERE type = 'CDS' AND (EXISTS (SELECT 1 FROM ie WHERE ie.seqid = c.seqid AND ie.strand = c.strand AND ie.p = CASE WHEN c.strand = '+' THEN c.s - 1 ELSE c.e + 1 END) OR EXISTS (SELECT 1 FROM st WHERE st.seqid = c.seqid AND st.strand = c.strand AND st.p = CASE WHEN c.strand = '+' THEN c.s ELSE c.e END))")
+def upstream_support_strict(spark, sf_dir):
+    c = comb(spark, sf_dir)
+    return short(hints.supported_cds(of(c, "CDS"), c, strict=True))
+
+
+OVERLAP = "SELECT t.seqid, t.type, t.s, t.e, t.strand, t.score, t.al, t.ss, CAST(coalesce(sum(c.score), 0) AS bigint) AS cds_overlap FROM {starts} t LEFT JOIN {cds} c ON c.seqid = t.seqid AND c.s < t.s AND c.e > t.e AND c.type = 'CDS' WHERE t.type = 'start_codon' GROUP BY ALL"
+
+
+@query(f"WITH {COMB} {OVERLAP.format(starts='comb', cds='comb')}")
+def cds_overlap(spark, sf_dir):
+    c = comb(spark, sf_dir)
+    return short(hints.count_overlaps(of(c, "start_codon"), of(c, "CDS")))
+
+
+@query(f"WITH {COMB} {OVERLAP.format(starts='comb', cds='comb')}")
+def cds_overlap_binned(spark, sf_dir):
+    c = comb(spark, sf_dir)
+    return short(hints.count_overlaps_binned(of(c, "start_codon"), of(c, "CDS"), 500))
+
+
+LOGREG = "SELECT c.*, CAST(CASE WHEN -4.00529 + 4.73909 * (score / m) + 9.09026 * al >= 0.85 THEN 2 ELSE 0 END AS int) AS class FROM comb c, (SELECT median(score) AS m FROM comb WHERE type <> 'CDS') WHERE type <> 'CDS'"
+
+
+@query(f"WITH {COMB} {LOGREG}")
+def logreg_class(spark, sf_dir):
+    return short(hints.classify(comb(spark, sf_dir).where("type <> 'CDS'")))
+
+
+@query(f"WITH {COMB}, c AS ({LOGREG}) SELECT class, type, count(*) AS n FROM c GROUP BY class, type")
+def class_hist(spark, sf_dir):
+    return hints.classify(comb(spark, sf_dir).where("type <> 'CDS'")).groupBy("class", "type").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {PAIRS} SELECT gene, prot, sc, CAST(r AS int) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY gene ORDER BY sc DESC, prot) AS r FROM pairs) WHERE r <= 25")
+def topk_pairs(spark, sf_dir):
+    return hints.top_k_targets(adapter.ranked_pairs(spark, sf_dir), 25, [F.desc("score"), F.col("prot")]).withColumnRenamed("score", "sc")
+
+
+def ordered_pairs(spark, sf_dir) -> DataFrame:
+    """Pairs with their rank as ordinal."""
+    return hints.top_k_targets(adapter.ranked_pairs(spark, sf_dir), 2**31 - 1, [F.desc("score"), F.col("prot")]).withColumnRenamed("rank", "ordinal")
+
+
+TOP = "top AS (SELECT gene, prot FROM (SELECT *, row_number() OVER (PARTITION BY gene ORDER BY sc DESC, prot) AS r FROM pairs) WHERE r = 1)"
+
+
+@query(f"WITH {H}, {PAIRS}, {TOP} SELECT h.*, top.prot IS NOT NULL AS top FROM h JOIN pairs USING (gene, prot) LEFT JOIN top USING (gene, prot)")
+def flag_top(spark, sf_dir):
+    return short(hints.flag_top(adapter.raw_hints(spark, sf_dir), ordered_pairs(spark, sf_dir)))
+
+
+@query(f"WITH {H}, {PAIRS} SELECT DISTINCT h.gene, h.prot FROM h ANTI JOIN (SELECT * FROM pairs WHERE sc > 5000000) p ON p.gene = h.gene AND p.prot = h.prot")
+def unknown_pairs(spark, sf_dir):
+    """Hints of pairs that a stricter search would not have found."""
+    return hints.unknown_pairs(adapter.raw_hints(spark, sf_dir), adapter.ranked_pairs(spark, sf_dir).where("score > 5000000")).select("gene", "prot").distinct()
+
+
+@query(f"WITH {H} SELECT DISTINCT gene, prot FROM (SELECT *, row_number() OVER (PARTITION BY seqid, type, s, e, strand ORDER BY al DESC, gene, prot) AS r FROM h) WHERE r <= 2")
+def best_k(spark, sf_dir):
+    return hints.best_supports(adapter.raw_hints(spark, sf_dir), 2)
+
+
+CHAINS = """ch AS (SELECT seqid, CASE WHEN type = 'CDS' THEN 'CDSpart' ELSE type END AS type,
+  CASE WHEN type <> 'CDS' THEN s WHEN e - s + 1 < 33 THEN s + (e - s + 1) // 6 * 3 ELSE s + 15 END AS s, CASE WHEN type <> 'CDS' THEN e WHEN e - s + 1 < 33 THEN s + (e - s + 1) // 6 * 3 + 2 ELSE e - 15 END AS e,
+  strand, al, ss, prot, gene FROM h WHERE CASE type WHEN 'Intron' THEN al >= 0.1 WHEN 'CDS' THEN true ELSE al >= 0.01 END)"""
+
+
+@query(f"WITH {H}, {CHAINS} SELECT * FROM ch")
+def chains(spark, sf_dir):
+    return short(hints.chains(adapter.raw_hints(spark, sf_dir)))
+
+
+KIND = "CASE type WHEN 'Intron' THEN 'intron' WHEN 'start_codon' THEN 'start' WHEN 'stop_codon' THEN 'stop' ELSE type END AS type"
+
+
+@query(
+    f"""WITH {COMB}, {CHAINS}, c AS ({LOGREG})
+SELECT seqid, {KIND}, s, e, strand, 'P' AS src, score AS mult, class, al, NULL AS grp FROM c
+UNION ALL SELECT seqid, {KIND}, s, e, strand, 'M', score, NULL, NULL, NULL FROM comb WHERE type <> 'CDS' AND {HC}
+UNION ALL SELECT seqid, {KIND}, s, e, strand, 'C', 1, NULL, NULL, prot || '_' || gene FROM ch"""
+)
+def export_union(spark, sf_dir):
+    c = comb(spark, sf_dir).where("type <> 'CDS'")
+    return short(standard.exported(c, hints.filter_hints(c), hints.chains(adapter.raw_hints(spark, sf_dir))))
+
+
+@query(
+    f"""WITH {COMB}, {CHAINS}
+SELECT seqid || chr(9) || 'protein_hint' || chr(9) || CASE type WHEN 'Intron' THEN 'intron' WHEN 'start_codon' THEN 'start' WHEN 'stop_codon' THEN 'stop' ELSE type END || chr(9) || s || chr(9) || e || chr(9) || score || chr(9) || strand || chr(9) || '.' || chr(9) || 'src=M;mult=' || score || ';pri=4' AS value FROM comb WHERE type <> 'CDS' AND {HC}
+UNION ALL SELECT seqid || chr(9) || 'protein_hint' || chr(9) || CASE type WHEN 'Intron' THEN 'intron' WHEN 'start_codon' THEN 'start' WHEN 'stop_codon' THEN 'stop' ELSE type END || chr(9) || s || chr(9) || e || chr(9) || '1' || chr(9) || strand || chr(9) || '.' || chr(9) || 'grp=' || prot || '_' || gene || ';src=C;pri=4;' FROM ch"""
+)
+def export_text(spark, sf_dir):
+    """The export's lines of sources M and C; those of P hold a double, which engines write in different ways."""
+    c = comb(spark, sf_dir).where("type <> 'CDS'")
+    return standard.export_lines(standard.exported(c, hints.filter_hints(c), hints.chains(adapter.raw_hints(spark, sf_dir))).where("src <> 'P'"))
+
+
+GTF = gtf_sql("gtf")
+LENGTHS = "len AS (SELECT gene, tx, sum(e - s) AS length, min(ln) AS f FROM gtf GROUP BY gene, tx), best AS (SELECT gene, tx, CAST(length AS bigint) AS length FROM (SELECT *, row_number() OVER (PARTITION BY gene ORDER BY length DESC, tx) AS r FROM len WHERE length > 0) WHERE r = 1)"
+
+
+@query(f"WITH {GTF}, {LENGTHS} SELECT * FROM best")
+def longest_isoform(spark, sf_dir):
+    return genes.longest_isoforms(adapter.genes(spark, sf_dir), order=("tx",))
+
+
+@query(f"WITH {GTF}, {LENGTHS.replace('DESC, tx', 'DESC, f')} SELECT seqid, s, e, strand, phase, gene, tx, ln AS ordinal, 'CDS' AS type FROM gtf SEMI JOIN (SELECT * FROM len l WHERE length > 0 AND NOT EXISTS (SELECT 1 FROM len m WHERE m.gene = l.gene AND (m.length > l.length OR m.length = l.length AND m.f < l.f))) b ON b.gene = gtf.gene AND b.tx = gtf.tx")
+def keep_longest(spark, sf_dir):
+    """All rows of the longest isoforms; a gene's two isoforms never have the same first line here, except in repeated rows."""
+    g = adapter.genes(spark, sf_dir)
+    lengths = genes.transcript_lengths(g).where("length > 0")
+    other = lengths.select("gene", F.col("length").alias("l2"), F.col("first").alias("f2"))
+    best = lengths.join(other, "gene", "left").groupBy("gene", "tx").agg(F.bool_or((F.col("l2") > F.col("length")) | ((F.col("l2") == F.col("length")) & (F.col("f2") < F.col("first")))).alias("beaten")).where("NOT beaten")
+    return short(g.join(best, ["gene", "tx"], "left_semi"))
+
+
+SPAN = "span AS (SELECT gene, seqid, min(strand) AS strand, min(s) AS l, max(e) AS r FROM gtf GROUP BY gene, seqid)"
+
+
+@query(f"WITH {GTF}, {SPAN} SELECT gene, seqid, strand, greatest(1, l - 2000) AS l, least(m, r + 2000) AS r FROM span JOIN (SELECT seqid, max(e) AS m FROM gtf GROUP BY seqid) USING (seqid)")
+def gene_extent(spark, sf_dir):
+    g = adapter.genes(spark, sf_dir)
+    lengths = g.groupBy("seqid").agg(F.max("end").alias("length"))
+    return genes.windows(genes.extents(g), lengths).select("gene", "seqid", "strand", F.col("left").alias("l"), F.col("right").alias("r"))
+
+
+@query(f"WITH {GTF}, {SPAN} SELECT gene, seqid, strand, l, r FROM span WHERE r - l + 1 <= 20000")
+def short_genes(spark, sf_dir):
+    g = genes.extents(adapter.genes(spark, sf_dir))
+    everywhere = g.select("seqid").distinct().withColumn("length", F.lit(2**40))
+    return genes.windows(g, everywhere, margin=0, max_gene=20000).select("gene", "seqid", "strand", F.col("left").alias("l"), F.col("right").alias("r"))
+
+
+@query(
+    f"""WITH {H}, w AS (SELECT gene, min(s) AS l, max(e) AS r, min(strand) AS strand, min(seqid) AS seqid FROM h GROUP BY gene)
+SELECT w.seqid, type, CASE WHEN w.strand = '+' THEN s + l - 1 ELSE r - e + 1 END AS s, CASE WHEN w.strand = '+' THEN e + l - 1 ELSE r - s + 1 END AS e, w.strand, al, ss, prot, gene FROM h JOIN w USING (gene)"""
+)
+def region_to_contig(spark, sf_dir):
+    h = adapter.raw_hints(spark, sf_dir)
+    regions = h.groupBy("gene").agg(F.min("start").alias("left"), F.max("end").alias("right"), F.min("strand").alias("strand"), F.min("seqid").alias("seqid"))
+    return short(hints.lift(h, regions))
+
+
+SIGNATURES = ", ".join(f"{n} AS (SELECT gene, string_agg(seqid || '_' || s || '_' || e || '_' || strand || '_' || phase, '-' ORDER BY seqid, s, e, strand, phase) AS sig FROM {t} GROUP BY gene)" for n, t in (("sn", "gn"), ("so", "go")))
+TWO = f"{gtf_sql('gn', 6)}, {gtf_sql('go', 7)}, {SIGNATURES}"
+
+
+@query(f"WITH {TWO} SELECT gene, o.g AS old_gene, sig AS signature FROM sn LEFT JOIN (SELECT sig, max(gene) AS g FROM so GROUP BY sig) o USING (sig)")
+def iter_select(spark, sf_dir):
+    """New genes with the old gene that they equal; by greatest name where several do."""
+    new, old = (genes.signatures(adapter.genes(spark, sf_dir, k)).withColumn("first", F.col("gene")) for k in (6, 7))
+    before = old.groupBy("signature").agg(F.max_by("gene", "first").alias("old_gene"))
+    return new.join(before, "signature", "left").select("gene", "old_gene", "signature")
+
+
+@query(f"WITH {TWO} SELECT seqid, s, e, strand, phase, gene, tx, ln AS ordinal, 'CDS' AS type FROM gn WHERE gene IN (SELECT gene FROM sn WHERE sig NOT IN (SELECT sig FROM so))")
+def unique_seeds(spark, sf_dir):
+    return short(genes.unique_seeds(adapter.genes(spark, sf_dir, 6), adapter.genes(spark, sf_dir, 7)))
+
+
+@query(f"WITH {TWO}, same AS (SELECT so.gene AS old, max(sn.gene) AS gene FROM so JOIN sn USING (sig) GROUP BY so.gene) SELECT go.seqid, s, e, strand, phase, same.gene, tx, ln AS ordinal, 'CDS' AS type FROM go JOIN same ON go.gene = same.old")
+def iter_rename(spark, sf_dir):
+    """Rows of old genes under the names of equal new ones."""
+    return short(genes.reused_hints(adapter.genes(spark, sf_dir, 6), adapter.genes(spark, sf_dir, 7), adapter.genes(spark, sf_dir, 7)))
+
+
+@query(f"WITH {H} SELECT prot, gene, seqid, strand, pe + 1 AS s, s - 1 AS e FROM (SELECT *, lag(e) OVER w AS pe, lag(al) OVER w AS pal FROM h WHERE type = 'CDS' AND e >= s WINDOW w AS (PARTITION BY prot, gene, seqid, strand ORDER BY s, e, al)) WHERE al >= 0.1 AND pal >= 0.1")
+def lag_introns(spark, sf_dir):
+    cds = of(adapter.raw_hints(spark, sf_dir), "CDS")
+    return short(exons.introns(cds, 0.1, ("prot", "gene", "seqid", "strand"), ("start", "end", "al_score"), "al_score"))
+
+
+@query(f"WITH {H} SELECT type, strand, count(*) AS n, min(s) AS first, max(e) AS last, max(al) AS best FROM h GROUP BY type, strand")
+def hint_profile(spark, sf_dir):
+    return adapter.raw_hints(spark, sf_dir).groupBy("type", "strand").agg(F.count("*").alias("n"), F.min("start").alias("first"), F.max("end").alias("last"), F.max("al_score").alias("best"))
+
+
+@query(f"WITH {GTF} SELECT gene, count(DISTINCT strand) AS strands, count(DISTINCT seqid) AS seqids, 0::bigint AS starts, 0::bigint AS stops FROM gtf GROUP BY gene HAVING count(DISTINCT strand) > 1 OR count(DISTINCT seqid) > 1")
+def seed_faults(spark, sf_dir):
+    return gene_faults(adapter.genes(spark, sf_dir))
+
+
+@query(r"SELECT doc_id, array_to_string(list_transform(string_split(text, chr(10)), lambda l: replace(regexp_replace(l, '^([^.]*)[.]', '\1'), '|', '_')), chr(10)) AS cleaned FROM documents")
+def clean_text(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", clean_protein_line(F.col("text")).alias("cleaned"))
+
+
+@query(f"WITH {DNA} SELECT doc_id, length(d) AS n, md5(d) AS digest FROM dna")
+def dna(spark, sf_dir):
+    return adapter.dna(spark, sf_dir).select(F.col("id").alias("doc_id"), F.length("seq").cast("long").alias("n"), F.md5("seq").alias("digest"))
+
+
+@query(f"WITH {DNA} SELECT doc_id, reverse(translate(d, 'ACGT', 'TGCA')) AS rc FROM dna")
+def revcomp(spark, sf_dir):
+    return adapter.dna(spark, sf_dir).select(F.col("id").alias("doc_id"), reverse_complement(F.col("seq")).alias("rc"))
+
+
+CODE = "map {" + ", ".join(f"'{a}{b}{c}': '{acid}'" for (a, b, c), acid in zip(((x, y, z) for x in "TCAG" for y in "TCAG" for z in "TCAG"), "FFLLSSSSYY**CC*WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG")) + "}"
+
+
+@query(f"WITH {DNA}, a AS (SELECT doc_id, array_to_string(list_transform(range(1, length(d) - length(d) % 3, 3), lambda i: coalesce({CODE}[d[i:i + 2]], 'X')), '') AS p FROM dna) SELECT doc_id, regexp_replace(p, '[*]$', '') AS protein FROM a")
+def translate_dna(spark, sf_dir):
+    return adapter.dna(spark, sf_dir).select(F.col("id").alias("doc_id"), translate(F.col("seq")).alias("protein"))
+
+
+@query(f"WITH {DNA}, c AS (SELECT doc_id, list_transform(range(1, length(d) - length(d) % 3, 3), lambda i: d[i:i + 2]) AS c FROM dna) SELECT doc_id, len(c) AS codons, len(list_filter(c, lambda x: x = 'ATG')) AS starts, len(list_filter(c, lambda x: x IN ('TAA', 'TAG', 'TGA'))) AS stops FROM c")
+def orf_counts(spark, sf_dir):
+    c = codons(F.col("seq"))
+    some = adapter.dna(spark, sf_dir).select(F.col("id").alias("doc_id"), c.alias("c"))
+    return some.select("doc_id", F.size("c").cast("long").alias("codons"), F.size(F.filter("c", lambda x: x == "ATG")).cast("long").alias("starts"), F.size(F.filter("c", lambda x: x.isin("TAA", "TAG", "TGA"))).cast("long").alias("stops"))
+
+
+@query(f"WITH {COMB} SELECT seqid || chr(9) || 'protein_hint' || chr(9) || type || chr(9) || s || chr(9) || e || chr(9) || score || chr(9) || strand || chr(9) || '.' || chr(9) || 'splice_sites=' || ss || ';' AS value, ss AS parsed FROM comb")
+def gff_text(spark, sf_dir):
+    """Hints as lines, and an attribute read back from them; without the score, which engines write in different ways."""
+    lines = hint_lines(comb(spark, sf_dir).drop("al_score"))
+    return lines.withColumn("parsed", gff_attribute(F.get(F.split("value", "\t"), F.lit(8)), "splice_sites"))
+
+
+@query(f"WITH {PAIRS} SELECT gene, count(*) AS n_pairs FROM pairs GROUP BY gene")
+def pair_counts(spark, sf_dir):
+    return adapter.ranked_pairs(spark, sf_dir).groupBy("gene").agg(F.count("*").alias("n_pairs"))
+
+
+EVIDENCE = f"""{SUPPORT}, sup AS (SELECT * FROM comb WHERE type = 'CDS' AND CASE WHEN strand = '+' THEN s - 1 IN (SELECT p FROM ie) OR s IN (SELECT p FROM st) ELSE e + 1 IN (SELECT p FROM ie) OR e IN (SELECT p FROM st) END),
+ov AS ({OVERLAP.format(starts='comb', cds='sup')})
+SELECT seqid, type, s, e, strand, score, al, ss, NULL::bigint AS cds_overlap FROM comb WHERE type IN ('Intron', 'stop_codon') AND {HC} UNION ALL SELECT * FROM ov WHERE score >= 4 AND al >= 0.01 AND cds_overlap <= 0"""
+
+
+@query(EVIDENCE)
+def evidence_pipeline(spark, sf_dir):
+    """Raw hints to high-confidence evidence in one plan: cut, combine, support, overlap, filter."""
+    return short(hints.filter_hints(standard.combined_hints(adapter.raw_hints(spark, sf_dir))))
+
+
+WORDS = "SELECT DISTINCT id, d[i:i + 11] AS word FROM (SELECT id, d, unnest(range(1, length(d) - 10)) AS i FROM {t} WHERE length(d) >= 12)"
+
+
+@query(
+    f"""WITH q AS (SELECT item_id AS id, {BASES} AS d FROM benchmark), t AS (SELECT doc_id AS id, {BASES} AS d FROM documents), a AS ({WORDS.format(t='q')}), b AS ({WORDS.format(t='t')}),
+rare AS (SELECT word FROM b GROUP BY word HAVING count(*) <= 400), x AS (SELECT a.id AS gene, b.id AS prot, count(*) AS score FROM a JOIN b USING (word) SEMI JOIN rare USING (word) GROUP BY ALL HAVING count(*) >= 20)
+SELECT CAST(gene AS varchar) AS gene, CAST(prot AS varchar) AS prot, score, CAST(r AS int) AS ordinal FROM (SELECT *, row_number() OVER (PARTITION BY gene ORDER BY score DESC, CAST(prot AS varchar)) AS r FROM x) WHERE r <= 25"""
+)
+def kmer_search(spark, sf_dir):
+    """The engine's own approximate homology search: benchmark items as seeds, documents as targets."""
+    seeds, targets = (adapter.dna(spark, sf_dir, *t).withColumn("id", F.col("id").cast("string")) for t in (("benchmark", "item_id"), ("documents", "doc_id")))
+    return search.kmer_pairs(seeds, targets, k=12, best=25, least=20, common=400)
+
+
+def queries() -> dict[str, Query]:
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
