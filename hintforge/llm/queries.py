@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hintforge.llm import oracles
 from hintforge.llm.common import table
 from hintforge.llm.decontaminate import contaminated
 from hintforge.llm.jaccard_join import jaccard_components
@@ -31,7 +32,7 @@ def op1_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge_urls(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+    return judge_urls(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")).drop("purity")
 
 
 def op3_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,29 +69,9 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_pages(table(spark, sf_dir, "pages"))
 
 
-#: Words and shingles as the operator takes them; DuckDB's RE2 and Java agree on letters and digits.
-OP4_SQL = r"""
-WITH w AS (SELECT 'd' AS k, doc_id AS id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), x -> x <> '') AS w FROM documents
-           UNION ALL
-           SELECT 'b', item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), x -> x <> '') FROM benchmark),
-s AS (SELECT DISTINCT k, id, array_to_string(w[i:i + 4], ' ') AS shingle FROM (SELECT k, id, w, unnest(range(1, len(w) - 3)) AS i FROM w WHERE len(w) >= 5)),
-n AS (SELECT id, count(*) AS n_shingles FROM s WHERE k = 'b' GROUP BY id),
-f AS (SELECT d.id AS doc_id, b.id AS item_id, count(*) AS n_found FROM s d JOIN s b ON d.k = 'd' AND b.k = 'b' AND d.shingle = b.shingle GROUP BY ALL)
-SELECT doc_id, item_id, n_shingles, n_found FROM f JOIN n ON n.id = f.item_id WHERE 10 * n_found >= 8 * n_shingles
-"""
-
-OP10_SQL = """
-WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
-f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
-SELECT p.page_id, p.payload_bytes, p.payload_digest, CASE WHEN f.first <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN f.first <> p.page_id THEN f.first END AS refers_to
-FROM p LEFT JOIN f USING (payload_digest)
-"""
-
-
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_repetition_rules, op2_url_templates, op3_token_codes, op4_decontamination, op5_lm_scoring, op6_jaccard_join, op7_substring_dedup, op8_token_counts, op9_best_fit_packing, op10_warc)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_decontamination": OP4_SQL, "op10_warc": OP10_SQL}
+    return {"op1_repetition_rules": oracles.OP1, "op2_url_templates": oracles.OP2, "op4_decontamination": oracles.OP4, "op6_jaccard_join": oracles.OP6, "op10_warc": oracles.OP10}
