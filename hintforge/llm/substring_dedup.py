@@ -135,6 +135,7 @@ def line_repeats(docs: DataFrame, threshold: tuple[int, int] = (8, 10)) -> DataF
     clusters = stored(clusters.unionByName(clusters.select(F.col("component").alias("node"), "component").distinct()), "clusters").withColumnRenamed("component", "cluster")
     small = clusters.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     held = texts.mapInArrow(sets, "node long, size long, hashes binary").join(F.broadcast(clusters) if small else clusters, "node").select("cluster", "node", "size", "hashes").dropDuplicates(["node"])
+    held = stored(held, "clustered")
     links = connected_components(linked_sets(held, num, den))
     named = found.join(links, "node", "left").withColumn("component", F.coalesce("component", "node"))
     repeated = named.groupBy("component").agg(F.min("doc_id").alias("keeper"), F.max("doc_id").alias("other")).where("keeper < other")
