@@ -13,6 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hintforge.llm.common import stored
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: (verdict, host, path); the host's subdomains are meant too, and the longest rule that fits wins.
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
@@ -77,8 +79,8 @@ def templates(pages: DataFrame, labels: DataFrame, rules: TemplateRules = Templa
         .groupBy("host", "levels")
         .agg(F.count("*").alias("n"), F.count("bad").alias("n_labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("n_bad"))
     )
-    # node: the template so far
-    tree = patterns.withColumn("node", F.lit(""))
+    # node: the template so far; each level is written, as the next reads it several times
+    tree = stored(patterns.withColumn("node", F.lit("")), "patterns")
     for level in range(rules.levels):
         tree = tree.withColumn("segment", F.coalesce(F.get("levels", F.lit(level)), F.lit("")))
         sums = [F.sum(c).alias(c) for c in ("n", "n_labelled", "n_bad")]
@@ -93,6 +95,7 @@ def templates(pages: DataFrame, labels: DataFrame, rules: TemplateRules = Templa
         form = F.when(F.col("segment") == "", "").when(F.col("segment").rlike(r"^\{"), F.col("segment")).otherwise("*")
         named = F.when(F.col("own"), F.col("segment")).otherwise(form)
         tree = tree.join(own, ["host", "node", "segment"], "left").withColumn("node", F.concat("node", F.lit("/"), named)).drop("segment", "own")
+        tree = stored(tree, "patterns")
     everyone = tree.agg((1 - F.try_divide(F.sum("n_bad"), F.sum("n_labelled"))).alias("all_purity"))
     smooth = lambda good, n, prior: (good + rules.weight * prior) / (n + rules.weight)
     hosts = tree.groupBy("host").agg(F.sum("n_labelled").alias("h_n"), F.sum("n_bad").alias("h_bad")).crossJoin(F.broadcast(everyone))  # one row
