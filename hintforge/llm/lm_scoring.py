@@ -30,7 +30,7 @@ from hintforge.llm.common import mix64, segment_ids, stored, text_chunks
 
 FOLDS, HELD_OUT = 5, 1
 #: Quantisation, hashes and bits of a filter entry, pseudo-count of the unigram model.
-LOG_BASE, HASHES, ENTRY_BITS, MU = 1.5, 6, 9, 20.0
+LOG_BASE, HASHES, ENTRY_BITS, MU = 1.5, 6, 9, 400.0
 #: Text of one shard, and bytes of a table that are broadcast at once.
 SHARD_TEXT, BROADCAST_BYTES = 24 << 20, 192 << 20
 END, BEGIN = xxhash.xxh3_64_intdigest(b" end"), xxhash.xxh3_64_intdigest(b" begin")
@@ -179,7 +179,7 @@ def groups(sizes: dict[int, int], bound: int) -> list[list[int]]:
     return out
 
 
-def score_documents(docs: DataFrame, shard_text: int = SHARD_TEXT, broadcast_bytes: int = BROADCAST_BYTES, entry_bits: int = ENTRY_BITS) -> DataFrame:
+def score_documents(docs: DataFrame, shard_text: int = SHARD_TEXT, broadcast_bytes: int = BROADCAST_BYTES, entry_bits: int = ENTRY_BITS, mu: float = MU) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score: one row for each row of docs(doc_id long, text string, ...).
 
     A null or white text has its end as only token; a null doc_id counts as empty text for the split; rows equal in doc_id and text
@@ -203,13 +203,17 @@ def score_documents(docs: DataFrame, shard_text: int = SHARD_TEXT, broadcast_byt
             value = {s: np.frombuffer(r.a, np.uint8) for s, r in found.items()}
         return spark.sparkContext.broadcast(value)
 
-    shared = {(1, i): group(1, g) for i, g in enumerate(words)} | {(2, i): group(2, g) for i, g in enumerate(pairs)}
     # the first shard of each group but the first: a key's group is the number of these at or below its shard
     word_cuts, pair_cuts = (np.array([g[0] for g in gs[1:]], np.int64) for gs in (words, pairs))
     passes = list(product(range(len(words)), range(len(words)), range(len(pairs))))
     out = None
     for a, b, c in passes:
-        scored = rows.mapInArrow(_scorer(shared[1, a], shared[1, b], shared[2, c], (a, b, c), word_cuts, pair_cuts, shards, n, v), "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+        shared = [group(1, words[a]), group(1, words[b]), group(2, pairs[c])]
+        scored = rows.mapInArrow(_scorer(*shared, (a, b, c), word_cuts, pair_cuts, shards, n, v, mu), "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+        if len(passes) > 1:  # a pass is written before the next one's tables are gathered
+            scored = stored(scored, "pass")
+            for table in shared:
+                table.destroy()
         out = scored if out is None else out.unionByName(scored)
     if len(passes) > 1:  # each pass gave a part; rows equal in doc_id and text share a sum and are divided again by their number
         key = ["row", "doc_id", "held_out", "n_tokens"]
@@ -218,7 +222,7 @@ def score_documents(docs: DataFrame, shard_text: int = SHARD_TEXT, broadcast_byt
     return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
 
 
-def _scorer(of_words, of_histories, of_pairs, here, word_cuts, pair_cuts, shards, n, v):
+def _scorer(of_words, of_histories, of_pairs, here, word_cuts, pair_cuts, shards, n, v, mu):
     """A pass over all documents; `row` is a hash of doc_id and text that joins a row's parts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,7 +259,7 @@ def _scorer(of_words, of_histories, of_pairs, here, word_cuts, pair_cuts, shards
                 if len(at):
                     levels[at] = table.levels(pair[at])
             p1 = (c_word + 0.5) / (n + 0.5 * (v + 1))
-            score = np.where(mine, np.log10((LEAST[levels] + MU * p1) / (c_before + MU)), 0.0)
+            score = np.where(mine, np.log10((LEAST[levels] + mu * p1) / (c_before + mu)), 0.0)
             base = mine_word if here[1:] == (0, 0) else np.zeros(len(ids), bool)
             add = lambda x: np.bincount(doc, x, len(texts))
             row = [xxhash.xxh3_64_intdigest(t, seed=7) - 2**63 for t in texts]
