@@ -50,3 +50,12 @@ def dna(spark: SparkSession, sf_dir: str, name: str = "documents", key: str = "d
     docs = spark.read.parquet(f"{sf_dir}/{name}.parquet").select(key, "text")
     letters = F.translate(F.regexp_replace(upper_ascii(F.col("text")), "[^A-Z]", ""), "BDEFHIJKLMOPQRSUVWXYZ", "ACGTACGTACGTACGTACGTA")
     return docs.select(F.col(key).alias("id"), clean_dna(letters).alias("seq"))
+
+
+def sequence_genes(sequences: DataFrame) -> DataFrame:
+    """A gene of two coding segments on each sequence of 12 bases or more, with strand and phases by id."""
+    n = F.length("seq").cast("long")
+    placed = sequences.where(n >= 12).select(F.col("id").cast("string").alias("seqid"), F.concat(F.lit("d"), F.col("id")).alias("gene"), F.when(F.col("id") % 2 == 0, "+").otherwise("-").alias("strand"), n.alias("n"), F.col("id").alias("k"))
+    first = placed.select("seqid", "gene", "strand", F.lit(1).cast("long").alias("start"), F.floor(F.col("n") / 4).alias("end"), (F.col("k") % 3).cast("string").alias("phase"), F.lit(1).cast("long").alias("ordinal"))
+    second = placed.select("seqid", "gene", "strand", F.floor(F.col("n") / 2).alias("start"), (F.col("n") - F.floor(F.col("n") / 4)).alias("end"), (F.floor(F.col("k") / 3) % 3).cast("string").alias("phase"), F.lit(2).cast("long").alias("ordinal"))
+    return second.unionByName(first).withColumn("type", F.lit("CDS")).withColumn("tx", F.col("gene"))

@@ -197,14 +197,10 @@ def longest_isoform(spark, sf_dir):
     return genes.longest_isoforms(adapter.genes(spark, sf_dir), order=("tx",))
 
 
-@query(f"WITH {GTF}, {LENGTHS.replace('DESC, tx', 'DESC, f')} SELECT seqid, s, e, strand, phase, gene, tx, ln AS ordinal, 'CDS' AS type FROM gtf SEMI JOIN (SELECT * FROM len l WHERE length > 0 AND NOT EXISTS (SELECT 1 FROM len m WHERE m.gene = l.gene AND (m.length > l.length OR m.length = l.length AND m.f < l.f))) b ON b.gene = gtf.gene AND b.tx = gtf.tx")
+@query(f"WITH {GTF}, {LENGTHS.replace('DESC, tx', 'DESC, f, tx')} SELECT seqid, s, e, strand, phase, gene, tx, ln AS ordinal, 'CDS' AS type FROM gtf SEMI JOIN best USING (gene, tx)")
 def keep_longest(spark, sf_dir):
-    """All rows of the longest isoforms; a gene's two isoforms never have the same first line here, except in repeated rows."""
-    g = adapter.genes(spark, sf_dir)
-    lengths = genes.transcript_lengths(g).where("length > 0")
-    other = lengths.select("gene", F.col("length").alias("l2"), F.col("first").alias("f2"))
-    best = lengths.join(other, "gene", "left").groupBy("gene", "tx").agg(F.bool_or((F.col("l2") > F.col("length")) | ((F.col("l2") == F.col("length")) & (F.col("f2") < F.col("first")))).alias("beaten")).where("NOT beaten")
-    return short(g.join(best, ["gene", "tx"], "left_semi"))
+    """All rows of the longest isoforms; of equal ones that with the first line, then the first name."""
+    return short(genes.keep_longest(adapter.genes(spark, sf_dir)))
 
 
 SPAN = "span AS (SELECT gene, seqid, min(strand) AS strand, min(s) AS l, max(e) AS r FROM gtf GROUP BY gene, seqid)"
@@ -326,6 +322,39 @@ def evidence_pipeline(spark, sf_dir):
     return short(hints.filter_hints(standard.combined_hints(adapter.raw_hints(spark, sf_dir))))
 
 
+@query(
+    f"""WITH {DNA}, c AS (SELECT doc_id, d[1:length(d) // 4] || d[length(d) // 2:length(d) - length(d) // 4] AS j FROM dna WHERE length(d) >= 12),
+r AS (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN j[doc_id % 3 + 1:] ELSE reverse(translate(j, 'ACGT', 'TGCA'))[doc_id // 3 % 3 + 1:] END AS c FROM c), t AS (SELECT doc_id, c[1:length(c) - length(c) % 3] AS c FROM r),
+a AS (SELECT doc_id, c, array_to_string(list_transform(range(1, length(c), 3), lambda i: coalesce({CODE}[c[i:i + 2]], 'X')), '') AS p FROM t)
+SELECT 'd' || doc_id AS gene, md5(c) AS digest, regexp_replace(p, '[*]$', '') AS protein FROM a"""
+)
+def coding_sequences(spark, sf_dir):
+    """Two segments a gene, spliced, brought into frame on either strand and translated."""
+    genome = adapter.dna(spark, sf_dir)
+    found = genes.coding_sequences(adapter.sequence_genes(genome), genome.withColumn("id", F.col("id").cast("string")))
+    return found.select("gene", F.md5("cds").alias("digest"), "protein")
+
+
+@query(
+    f"""WITH {DNA}, w AS (SELECT doc_id, 1 AS l, least(length(d), length(d) - length(d) // 4 + 50) AS r, d FROM dna WHERE length(d) >= 12), p AS (SELECT doc_id, count(*) AS n_pairs FROM labels GROUP BY doc_id)
+SELECT 'd' || doc_id AS gene, n_pairs, l, r, CASE WHEN doc_id % 2 = 0 THEN '+' ELSE '-' END AS strand, CAST(doc_id AS varchar) AS seqid, md5(CASE WHEN doc_id % 2 = 0 THEN d[l:r] ELSE reverse(translate(d[l:r], 'ACGT', 'TGCA')) END) AS digest FROM w JOIN p USING (doc_id)"""
+)
+def region_sequences(spark, sf_dir):
+    """Windows around genes that have pairs (here: labelled documents), cut out and brought to the gene's strand."""
+    genome = adapter.dna(spark, sf_dir)
+    named = genome.withColumn("id", F.col("id").cast("string"))
+    lengths = named.select(F.col("id").alias("seqid"), F.length("seq").alias("length"))
+    regions = genes.windows(genes.extents(adapter.sequence_genes(genome)), lengths, margin=50)
+    pairs = spark.read.parquet(f"{sf_dir}/labels.parquet").select(F.concat(F.lit("d"), F.col("doc_id")).alias("gene"))
+    found = genes.region_sequences(regions, pairs, named)
+    return found.select("gene", "n_pairs", F.col("left").cast("int").alias("l"), F.col("right").cast("long").alias("r"), "strand", "seqid", F.md5("seq").alias("digest"))
+
+
+@query(f"WITH {PAIRS}, {TOP} SELECT * FROM top")
+def first_pairs(spark, sf_dir):
+    return hints.first_pairs(ordered_pairs(spark, sf_dir))
+
+
 WORDS = "SELECT DISTINCT id, d[i:i + 11] AS word FROM (SELECT id, d, unnest(range(1, length(d) - 10)) AS i FROM {t} WHERE length(d) >= 12)"
 
 

@@ -13,7 +13,7 @@ def transcript_lengths(genes: DataFrame) -> DataFrame:
     return genes.where("type = 'CDS'").groupBy("gene", "tx").agg(F.sum(F.col("end") - F.col("start")).alias("length"), F.min("ordinal").alias("first"))
 
 
-def longest_isoforms(genes: DataFrame, order=("first",)) -> DataFrame:
+def longest_isoforms(genes: DataFrame, order=("first", "tx")) -> DataFrame:
     """gene, tx, length of each gene's longest transcript; ties go by `order`, genes of length 0 drop out."""
     w = Window.partitionBy("gene").orderBy(F.desc("length"), *order)
     return transcript_lengths(genes).where("length > 0").withColumn("rank", F.row_number().over(w)).where("rank = 1").select("gene", "tx", "length")
