@@ -122,7 +122,8 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int =
 
 
 def pack_pieces(pieces: DataFrame, capacity: int = 4096, shard_pieces: int = SHARD_PIECES) -> DataFrame:
-    """pieces with sequence_id and offset. pieces has a long column `length` of 1 to capacity and any others; rows are kept as they are.
+    """pieces with sequence_id and offset. pieces has a long column `length` of 1 to capacity and any others; rows are kept as they are,
+    but for columns named sequence_id or offset, which are replaced.
 
     An empty table gives an empty table. Equal rows are packed one by one. Which piece lands in which sequence depends on how
     Spark dealt the rows, the count of sequences hardly.
@@ -142,7 +143,7 @@ def pack_pieces(pieces: DataFrame, capacity: int = 4096, shard_pieces: int = SHA
         todo = packed.where(~final).select("_item", "length")
         shards, turn = -(-shards // MERGE), turn + 1
     # a bin is known by its first piece, and a piece is placed once
-    placed = work.join(done, "_item")
+    placed = work.drop("offset", "sequence_id").join(done, "_item")
     return placed.withColumn("sequence_id", F.col("_bin")).drop("_item", "_bin")
 
 

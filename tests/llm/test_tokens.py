@@ -94,7 +94,7 @@ def check_packing(rows, lengths, capacity):
 def test_packing_is_whole_and_tight(spark):
     gen = np.random.default_rng(3)
     lengths = [int(x) for x in np.minimum(gen.lognormal(6, 1, 3000), 4096)]
-    pieces = spark.createDataFrame([(i, n, None) for i, n in enumerate(lengths)], "doc_id long, length long, sequence string").repartition(3)
+    pieces = spark.createDataFrame([(i, n, 5) for i, n in enumerate(lengths)], "doc_id long, length long, offset long").repartition(3)
     bins = check_packing(packing.pack_pieces(pieces, 4096, shard_pieces=150).collect(), lengths, 4096)
     assert bins <= 1.01 * -(-sum(lengths) // 4096) + 1
 
