@@ -1,10 +1,10 @@
 """Exact n-gram Jaccard join with signature trees (operator 6).
 
 1. Documents with one set of shingles are one class; a class's name is a 64-bit hash of its set.
-2. Classes that may link are brought together without loss. Two sets of up to h shingles with Jaccard >= t differ in at most
-   k = floor(2 h (1 - t) / (1 + t)) shingles. Cut by hash into k + 2 parts, they agree in two parts or more. Sets are grouped by size;
-   each part's hash is a key, a set near the top of its size range also sends the keys of the next range, and sets with two or more
-   empty parts send these too. Keys are joined as stars; their components are the clusters.
+2. Classes that may link are brought together without loss. Shingles are put in one order for all sets, frequent ones last; two
+   sets of Jaccard >= t share one of their first n - ceil(t n) + 1 shingles. Each of these is a key with the set's range of sizes, and a set
+   near the top of its range also sends the keys of the next. Keys are joined as stars; their components are the clusters. The
+   order only has to be the same everywhere: it comes from a bitmap of fixed size that marks the most frequent shingles.
 3. A cluster's sets meet in signature trees: a node holds its sets' token bitmaps, combined by OR (and by AND), and their range of
    sizes. Two trees are walked together; a pair of nodes is dropped if the greatest overlap that its bitmaps and sizes allow is too
    small. Pairs of leaves not yet joined are verified on the sets. Clusters of more than `block` sets are dealt into blocks by size,
@@ -20,6 +20,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +29,8 @@ from hintforge.llm.links import PACKED, Forest, connected_components, packed, st
 
 #: Text of one shard of keys, sets of one block, words of a bitmap, children of a tree's node, clustered classes to broadcast.
 SHARD_TEXT, BLOCK, BITMAP_WORDS, FANOUT, BROADCAST_ROWS = 16 << 20, 800, 32, 8, 2_000_000
+#: Bits of the bitmap of frequent shingles, and shingles that it marks at most.
+COMMON_BITS, COMMON_SHINGLES = 1 << 24, 1 << 20
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -81,36 +84,53 @@ def size_ranges(limit: int = 1 << 40) -> list[int]:
 RANGES = np.array(size_ranges(), np.int64)
 
 
-def part_keys(hashes: np.ndarray, sizes: np.ndarray, nodes: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-    """(key, node) pairs of sets for the threshold num / den: those that share no key don't link."""
-    own = np.searchsorted(RANGES, sizes, side="right") - 1
+def prefix_keys(hashes: np.ndarray, sizes: np.ndarray, nodes: np.ndarray, num: int, den: int, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(key, node) pairs of sets for the threshold num / den: those that share no key don't link.
+
+    common is a bitmap over hashes, one byte a bit; any bitmap gives a right order, a good one puts frequent shingles last.
+    """
+    doc = segment_ids(sizes)
+    place = mix64(hashes ^ ODD) >> np.uint64(1)
+    place |= common[(hashes % np.uint64(len(common))).astype(np.int64)].astype(np.uint64) << np.uint64(63)
+    order = np.lexsort((place, doc))
     starts = np.cumsum(sizes) - sizes
-    all_keys, all_nodes = [], []
-    for guest in (0, 1):
-        rank = own + guest
-        here = np.flatnonzero((sizes > 0) & ((den * sizes >= num * RANGES[rank]) if guest else True))
-        if not len(here):
-            continue
-        top = RANGES[rank[here] + 1] - 1
-        parts = 2 * top * (den - num) // (den + num) + 2
-        flat = ragged_take(hashes, starts[here], sizes[here])
-        row = segment_ids(sizes[here])
-        slots = np.cumsum(parts) - parts
-        slot = slots[row] + (mix64(flat ^ ODD) % parts[row].astype(np.uint64)).astype(np.int64)
-        order = np.argsort(slot, kind="stable")
-        slot, flat = slot[order], mix64(flat[order] + np.uint64(3))
-        first = np.flatnonzero(np.append(True, slot[1:] != slot[:-1]))
-        used, owner = slot[first], row[order][first]
-        salt = mix64((used - slots[owner]).astype(np.uint64) * ODD + rank[here][owner].astype(np.uint64))
-        all_keys.append(mix64(np.add.reduceat(flat, first) + salt))
-        all_nodes.append(nodes[here][owner])
-        empty = parts - np.bincount(owner, minlength=len(here))
-        for i in np.flatnonzero(empty >= 2):
-            free = np.setdiff1d(np.arange(parts[i]), used[owner == i] - slots[i]).astype(np.uint64)
-            all_keys.append(mix64(mix64(free * ODD + np.uint64(rank[here[i]]))))
-            all_nodes.append(np.full(len(free), nodes[here[i]]))
-    none = np.zeros(0, np.uint64)
-    return np.concatenate([none, *all_keys]), np.concatenate([none.view(np.int64), *all_nodes])
+    prefix = sizes - -(-num * sizes // den) + 1
+    first = order[np.arange(len(order)) - starts[doc] < prefix[doc]]
+    owner = doc[first]
+    own = np.searchsorted(RANGES, sizes, side="right") - 1
+    mine = mix64(hashes[first] * ODD + own[owner].astype(np.uint64))
+    guest = (den * sizes >= num * RANGES[own + 1])[owner]
+    above = mix64(hashes[first][guest] * ODD + (own[owner][guest] + 1).astype(np.uint64))
+    return np.concatenate([mine, above]), np.concatenate([nodes[owner], nodes[owner][guest]])
+
+
+def common_shingles(docs: DataFrame, n: int) -> Broadcast:
+    """A broadcast bitmap of COMMON_BITS of the most frequent shingles, up to COMMON_SHINGLES of them.
+
+    Each task sends the shingles that several different sets of a slice share; sums over all slices give their order.
+    """
+    spark = docs.sparkSession
+
+    def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, texts in text_chunks(batches):
+            flat, sizes = shingle_sets(texts, n)
+            once = np.zeros(len(sizes), bool)
+            once[np.unique(set_names(flat, sizes), return_index=True)[1]] = True
+            found, times = np.unique(flat[once[segment_ids(sizes)]], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(found[times > 1].view(np.int64)), pa.array(times[times > 1].astype(np.int64))], ["shingle", "n"])
+
+    counts = stored(docs.select("doc_id", "text").mapInArrow(repeated, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")), "common")
+    levels = counts.groupBy(F.floor(F.log2("n")).alias("level")).count().collect()  # a row for each power of two
+    least, held = 64, 0
+    for level, k in sorted(((r["level"], r["count"]) for r in levels), reverse=True):
+        held += k
+        if held > COMMON_SHINGLES:
+            break
+        least = level
+    bits = np.zeros(COMMON_BITS, np.uint8)
+    top = counts.where(F.floor(F.log2("n")) >= least).select("shingle").toPandas()["shingle"].to_numpy(np.int64)  # COMMON_SHINGLES at most
+    bits[(top.view(np.uint64) % np.uint64(COMMON_BITS)).astype(np.int64)] = 1
+    return spark.sparkContext.broadcast(np.packbits(bits))
 
 
 class SignatureTree:
@@ -247,16 +267,19 @@ def jaccard_components(docs: DataFrame, n: int = 5, threshold: tuple[int, int] =
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-size // SHARD_TEXT))
 
+    common = common_shingles(docs, n)
+
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.unpackbits(common.value)
         for _, texts in text_chunks(batches):
             flat, sizes = shingle_sets(texts, n)
-            yield packed(*part_keys(flat, sizes, set_names(flat, sizes), num, den), shards)
+            yield packed(*prefix_keys(flat, sizes, set_names(flat, sizes), num, den, bits), shards)
 
     near = star_links(docs.select("doc_id", "text").mapInArrow(keys, PACKED))
     clusters = connected_components(near)
     clusters = stored(clusters.unionByName(clusters.select(F.col("component").alias("node"), "component").distinct()), "clusters").withColumnRenamed("component", "cluster")
-    small = clusters.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    sets = set_rows(docs, n, hashes=True).join(F.broadcast(clusters) if small else clusters, "node").select("cluster", "node", "size", "hashes").dropDuplicates(["node"])
+    small = clusters.count() <= BROADCAST_ROWS
+    sets = stored(set_rows(docs, n, hashes=True).join(F.broadcast(clusters) if small else clusters, "node").select("cluster", "node", "size", "hashes").dropDuplicates(["node"]), "clustered")
     links = connected_components(linked_sets(sets, num, den, block))
     named = rows.join(links, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.where("size > 0").groupBy("component").agg(F.min("doc_id").alias("least"))

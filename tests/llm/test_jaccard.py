@@ -62,11 +62,12 @@ def test_empty(spark):
     assert jj.jaccard_components(docs.limit(0)).count() == 0 and jj.keep_one(docs).count() == 1
 
 
-def test_part_keys_lose_no_link():
+def test_prefix_keys_lose_no_link():
     gen = np.random.default_rng(2)
     for num, den in ((9, 10), (8, 10)):
         for size in [*range(1, 40), 100, 300]:
             for _ in range(6):
+                common = gen.integers(0, 2, 64).astype(np.uint8)
                 a = np.unique(gen.integers(0, 2**63, size).astype(np.uint64))
                 most = 2 * len(a) * (den - num) // (den + num)
                 drop, new = gen.integers(0, most + 1), gen.integers(0, most + 1)
@@ -74,7 +75,7 @@ def test_part_keys_lose_no_link():
                 both = len(np.intersect1d(a, b))
                 if not len(b) or den * both < num * (len(a) + len(b) - both):
                     continue
-                ka, kb = (jj.part_keys(s, np.array([len(s)]), np.array([1]), num, den)[0] for s in (a, b))
+                ka, kb = (jj.prefix_keys(s, np.array([len(s)]), np.array([1]), num, den, common)[0] for s in (a, b))
                 assert len(np.intersect1d(ka, kb)), (size, len(b), both)
 
 
