@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -22,13 +24,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder under spark.checkpoint.dir, which every executor sees.
 
-    Where the session has no such setting (tests, a laptop), a temporary folder becomes the checkpoint folder.
+    Where the session has no such setting (tests, a laptop), a temporary folder becomes the checkpoint folder until the driver ends.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not base:
         base = tempfile.mkdtemp(prefix="hintforge-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", base)
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
