@@ -115,13 +115,14 @@ def line_repeats(docs: DataFrame, threshold: tuple[int, int] = (8, 10)) -> DataF
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, some in text_chunks(batches):
             lines, doc, first, n = long_lines(some)
-            nodes = set_names(*shingle_sets(lines, 5))
-            yield pa.RecordBatch.from_arrays([part.column("doc_id").take(pa.array(doc)), pa.array(text_names(some)[doc]), pa.array(first, pa.int32()), pa.array(n, pa.int32()), pa.array(nodes)], ["doc_id", "copy", "first", "size", "node"])
+            flat, sizes = shingle_sets(lines, 5)
+            bands = pa.array([row.tobytes() for row in band_keys(flat, sizes)], pa.binary())
+            yield pa.RecordBatch.from_arrays([part.column("doc_id").take(pa.array(doc)), pa.array(text_names(some)[doc]), pa.array(first, pa.int32()), pa.array(n, pa.int32()), pa.array(set_names(flat, sizes)), bands], ["doc_id", "copy", "first", "size", "node", "bands"])
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, some in text_chunks(batches):
-            flat, sizes = shingle_sets(long_lines(some)[0], 5)
-            yield packed(band_keys(flat, sizes).ravel(), np.repeat(set_names(flat, sizes), BANDS), shards)
+        for batch in batches:
+            bands = np.frombuffer(b"".join(batch.column("bands").to_pylist()), np.uint64)
+            yield packed(bands, np.repeat(batch.column("node").to_numpy(), BANDS), shards)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, some in text_chunks(batches):
@@ -130,14 +131,14 @@ def line_repeats(docs: DataFrame, threshold: tuple[int, int] = (8, 10)) -> DataF
             ends = np.cumsum(sizes)
             yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(sizes[once]), pa.array([flat[ends[k] - sizes[k] : ends[k]].tobytes() for k in once], pa.binary())], ["node", "size", "hashes"])
 
-    found = stored(texts.mapInArrow(rows, "doc_id long, copy int, first int, size int, node long"), "lines")
-    clusters = connected_components(star_links(texts.mapInArrow(keys, PACKED)))
+    found = stored(texts.mapInArrow(rows, "doc_id long, copy int, first int, size int, node long, bands binary"), "lines")
+    clusters = connected_components(star_links(found.select("node", "bands").mapInArrow(keys, PACKED)))
     clusters = stored(clusters.unionByName(clusters.select(F.col("component").alias("node"), "component").distinct()), "clusters").withColumnRenamed("component", "cluster")
-    small = clusters.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    small = clusters.count() <= BROADCAST_ROWS
     held = texts.mapInArrow(sets, "node long, size long, hashes binary").join(F.broadcast(clusters) if small else clusters, "node").select("cluster", "node", "size", "hashes").dropDuplicates(["node"])
     held = stored(held, "clustered")
     links = connected_components(linked_sets(held, num, den))
-    named = found.join(links, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    named = found.drop("bands").join(links, "node", "left").withColumn("component", F.coalesce("component", "node"))
     repeated = named.groupBy("component").agg(F.min("doc_id").alias("keeper"), F.max("doc_id").alias("other")).where("keeper < other")
     return named.join(repeated.drop("other"), "component").select("doc_id", "copy", "first", "size", "keeper")
 
@@ -151,7 +152,7 @@ def passage_repeats(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([part.column("doc_id").take(pa.array(doc)), pa.array(text_names(some)[doc]), pa.array(place, pa.int32()), pa.array(keys)], ["doc_id", "copy", "first", "key"])
 
     texts = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), "text")
-    found = texts.mapInArrow(windows, "doc_id long, copy int, first int, key long")
+    found = stored(texts.mapInArrow(windows, "doc_id long, copy int, first int, key long"), "windows")
     repeated = found.groupBy("key").agg(F.min("doc_id").alias("keeper"), F.max("doc_id").alias("other")).where("keeper < other").drop("other")
     return found.join(repeated, "key").select("doc_id", "copy", "first", F.lit(PASSAGE).alias("size"), "keeper")
 
