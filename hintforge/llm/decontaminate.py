@@ -11,8 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Sketch or item rows up to which they are broadcast; beyond it the joins shuffle.
-BROADCAST_ROWS = 500_000
+from hintforge.llm.common import stored
+
+#: Sketch or item rows, and suspect documents, up to which they are broadcast; beyond it the joins shuffle.
+BROADCAST_ROWS, BROADCAST_SUSPECTS = 500_000, 4_000_000
 
 
 def words_of(text: Column) -> Column:
@@ -45,13 +47,14 @@ def contaminated(docs: DataFrame, items: DataFrame, n: int = 5, threshold: float
     ranked = parts.withColumn("rank", F.row_number().over(Window.partitionBy("item_id").orderBy("h", "shingle")))
     # 1e-9: the share of a threshold like 0.8 is not exact in binary
     sketch = ranked.join(sizes, ranked["item_id"].eqNullSafe(sizes["item_id"])).where(F.col("rank") <= F.floor((1 - threshold) * upper + 1e-9) + 1).select("h").distinct()
-    small = parts.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    small = parts.count() <= BROADCAST_ROWS
     near = F.broadcast if small else (lambda df: df)
     texts = docs.select("doc_id", "text")
     rows = shingle_rows(texts, "text", n)
     hashed = rows.select("doc_id", *cols, F.xxhash64(shingle).alias("h"))
-    suspects = hashed.join(near(sketch), "h", "left_semi").select("doc_id").distinct().withColumnRenamed("doc_id", "suspect")
-    again = texts.join(suspects, texts["doc_id"].eqNullSafe(suspects["suspect"]), "left_semi")
+    suspects = stored(hashed.join(near(sketch), "h", "left_semi").select("doc_id").distinct().withColumnRenamed("doc_id", "suspect"), "suspects")
+    few = F.broadcast(suspects) if suspects.count() <= BROADCAST_SUSPECTS else suspects
+    again = texts.join(few, texts["doc_id"].eqNullSafe(suspects["suspect"]), "left_semi")
     found = shingle_rows(again, "text", n).select("doc_id", shingle.alias("shingle")).withColumn("h", F.xxhash64("shingle"))
     hits = found.join(near(parts), ["h", "shingle"]).select("doc_id", "item_id", "shingle").distinct().groupBy("doc_id", "item_id").agg(F.count("*").alias("n_found"))
     named = sizes.withColumnRenamed("item_id", "_item")

@@ -41,7 +41,7 @@ def packed(keys: np.ndarray, nodes: np.ndarray, shards: int) -> pa.RecordBatch:
     out: dict[str, list] = {n: [] for n in ARROW.names}
 
     def put(of: np.ndarray, local: bool, x: np.ndarray, y: np.ndarray) -> None:
-        order = np.argsort(of, kind="stable")
+        order = np.lexsort((y, of))  # equal nodes side by side: the shuffle's compression takes them
         cuts = np.searchsorted(of[order], np.arange(shards + 1))
         for s, (i, j) in enumerate(zip(cuts, cuts[1:])):
             if i < j:

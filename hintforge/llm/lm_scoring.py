@@ -34,7 +34,7 @@ LOG_BASE, HASHES, ENTRY_BITS, MU = 1.5, 6, 9, 400.0
 #: Text of one shard, and bytes of a table that are broadcast at once.
 SHARD_TEXT, BROADCAST_BYTES = 24 << 20, 192 << 20
 END, BEGIN = xxhash.xxh3_64_intdigest(b" end"), xxhash.xxh3_64_intdigest(b" begin")
-CHUNK = 6 << 20
+CHUNK = 3 << 20
 SHARD_BITS = 12
 
 

@@ -16,12 +16,12 @@ import numpy as np
 
 from hintforge.llm.common import ragged_take
 
-#: Distinct words that a worker remembers before it starts afresh.
-CACHE_WORDS = 250_000
+#: Distinct words, and their distinct pieces, that a worker remembers before it starts afresh with either.
+CACHE_WORDS, CACHE_PIECES = 250_000, 400_000
 
 
-#: For text in Latin-1, lower-cased: what the tokenizer file's own pattern yields there.
-LATIN_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|[^\s0-9²³¹¼½¾a-zªµºß-öø-ÿ]+")
+#: For text in Latin-1, lower-cased: what the tokenizer file's own pattern yields there, and the line feed that divides words.
+LATIN_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|[^\s0-9²³¹¼½¾a-zªµºß-öø-ÿ]+|\n")
 #: Words with these go to the library whole: other alphabets, added tokens, separators that Python alone calls white space.
 NOT_LATIN = re.compile("[^\x00-\x1b\x20-\xff]|<\\|")
 
@@ -32,6 +32,26 @@ def byte_letters() -> dict[int, int]:
     return {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in plain)}
 
 
+class Ragged:
+    """Lists of ids under consecutive numbers."""
+
+    def __init__(self) -> None:
+        self.flat, self.starts, self.lengths = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def add(self, flat: np.ndarray, lengths: np.ndarray) -> None:
+        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
+        self.flat, self.lengths = np.concatenate([self.flat, flat]), np.concatenate([self.lengths, lengths])
+
+    def add_lists(self, lists: list) -> None:
+        lengths = np.fromiter(map(len, lists), np.int64, len(lists))
+        self.add(np.fromiter(chain.from_iterable(lists), np.uint32, int(lengths.sum())), lengths)
+
+    def take(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the numbers' lists, one after the other, and sums of lengths with a 0 before."""
+        lengths = self.lengths[numbers]
+        return ragged_take(self.flat, self.starts[numbers], lengths), np.concatenate([[0], np.cumsum(lengths)])
+
+
 class WordTokenizer:
     """ids(texts) gives all ids and each text's count; equal to the library's encode(text, add_special_tokens=False)."""
 
@@ -41,48 +61,53 @@ class WordTokenizer:
 
         self.library, self.cache_words = Tokenizer.from_file(path), cache_words
         self.merge, self.letters = self.library.model.tokenize, byte_letters()
-        self._forget()
+        self.known, self.words = {}, Ragged()
+        self._forget_pieces()
 
-    def _forget(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.pieces: dict[str, tuple[int, ...]] = {}
-        self.flat, self.starts, self.lengths = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    def _forget_pieces(self) -> None:
+        self.pieces, self.piece_ids = {"\n": 0}, Ragged()
+        self.piece_ids.add_lists([[]])
 
-    def _word(self, word: bytes) -> list[int]:
-        """One word's ids: the library's own BPE model on each piece, or its full encode off the Latin-1 path."""
-        text = word.decode()
-        if NOT_LATIN.search(text):
-            return self.library.encode(text, add_special_tokens=False).ids
-        out: list[int] = []
-        for piece in LATIN_PIECES.findall(text.lower()):
-            ids = self.pieces.get(piece)
-            if ids is None:
-                ids = self.pieces[piece] = tuple(t.id for t in self.merge(piece.encode().decode("latin-1").translate(self.letters)))
-            out += ids
-        return out
+    def _merged(self, piece: str) -> list[int]:
+        """The library's own BPE model on a piece in byte letters."""
+        spelt = piece if piece.isascii() and piece.isprintable() else piece.encode().decode("latin-1").translate(self.letters)
+        return [t.id for t in self.merge(spelt)]
 
     def _learn(self, words: list[bytes]) -> None:
-        found = [self._word(w) for w in words]
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        starts = len(self.flat) + np.cumsum(lengths) - lengths
-        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum()))])
-        self.starts, self.lengths = np.concatenate([self.starts, starts]), np.concatenate([self.lengths, lengths])
+        """Numbers new words: those in Latin-1 by their pieces, all in one pass; others by the library's full encode."""
+        latin, text, odd = words, b"\n".join(words).decode(), []
+        if NOT_LATIN.search(text):
+            texts = [(w, t) for w, t in zip(words, text.split("\n"))]
+            odd = [(w, t) for w, t in texts if NOT_LATIN.search(t)]
+            kept = [(w, t) for w, t in texts if not NOT_LATIN.search(t)]
+            latin, text = [w for w, _ in kept], "\n".join(t for _, t in kept)
+        order = [*latin, *(w for w, _ in odd)]
+        self.known.update(zip(order, range(len(self.known), len(self.known) + len(order))))
+        if latin:
+            pieces = LATIN_PIECES.findall(text.lower())
+            pieces.append("\n")
+            if new := list(set(pieces).difference(self.pieces)):
+                self.pieces.update(zip(new, range(len(self.pieces), len(self.pieces) + len(new))))
+                self.piece_ids.add_lists([self._merged(p) for p in new])
+            numbers = np.fromiter(map(self.pieces.__getitem__, pieces), np.int64, len(pieces))
+            flat, sums = self.piece_ids.take(numbers)
+            self.words.add(flat, np.diff(sums[np.flatnonzero(numbers == 0)], prepend=0))
+        if odd:
+            self.words.add_lists([self.library.encode(t, add_special_tokens=False).ids for _, t in odd])
 
     def ids(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         if len(self.known) > self.cache_words:
-            self._forget()
+            self.known, self.words = {}, Ragged()
+        if len(self.pieces) > CACHE_PIECES:
+            self._forget_pieces()
         words: list[bytes] = []
         counts = np.zeros(len(texts), np.int64)
         for i, text in enumerate(texts):
             found = text.split()
             counts[i] = len(found)
             words += found
-        new = list(set(words).difference(self.known))
-        if new:
-            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+        if new := list(set(words).difference(self.known)):
             self._learn(new)
-        index = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-        lengths = self.lengths[index]
-        sums = np.concatenate([[0], np.cumsum(lengths)])
+        flat, sums = self.words.take(np.fromiter(map(self.known.__getitem__, words), np.int64, len(words)))
         ends = np.cumsum(counts)
-        return ragged_take(self.flat, self.starts[index], lengths), sums[ends] - sums[ends - counts]
+        return flat, sums[ends] - sums[ends - counts]
