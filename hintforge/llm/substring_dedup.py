@@ -105,6 +105,15 @@ def text_names(texts: list[bytes]) -> np.ndarray:
     return np.array([xxhash.xxh32_intdigest(t) - 2**31 for t in texts], np.int32)
 
 
+def with_keepers(found: DataFrame, group: str) -> DataFrame:
+    """The rows of groups that lie in two documents or more, with keeper, the group's smallest doc_id.
+
+    Keepers are written before the join: both its sides are then plain shuffles, of which AQE splits hot groups over several tasks.
+    """
+    repeated = found.groupBy(group).agg(F.min("doc_id").alias("keeper"), F.max("doc_id").alias("other")).where("keeper < other").drop("other")
+    return found.join(stored(repeated, "keepers"), group)
+
+
 def line_repeats(docs: DataFrame, threshold: tuple[int, int] = (8, 10)) -> DataFrame:
     """doc_id, copy, first, size, keeper: lines of a component with lines of two documents or more; keeper is its smallest doc_id."""
     num, den = threshold
@@ -139,8 +148,7 @@ def line_repeats(docs: DataFrame, threshold: tuple[int, int] = (8, 10)) -> DataF
     held = stored(held, "clustered")
     links = connected_components(linked_sets(held, num, den))
     named = found.drop("bands").join(links, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    repeated = named.groupBy("component").agg(F.min("doc_id").alias("keeper"), F.max("doc_id").alias("other")).where("keeper < other")
-    return named.join(repeated.drop("other"), "component").select("doc_id", "copy", "first", "size", "keeper")
+    return with_keepers(named, "component").select("doc_id", "copy", "first", "size", "keeper")
 
 
 def passage_repeats(docs: DataFrame) -> DataFrame:
@@ -153,8 +161,7 @@ def passage_repeats(docs: DataFrame) -> DataFrame:
 
     texts = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), "text")
     found = stored(texts.mapInArrow(windows, "doc_id long, copy int, first int, key long"), "windows")
-    repeated = found.groupBy("key").agg(F.min("doc_id").alias("keeper"), F.max("doc_id").alias("other")).where("keeper < other").drop("other")
-    return found.join(repeated, "key").select("doc_id", "copy", "first", F.lit(PASSAGE).alias("size"), "keeper")
+    return with_keepers(found, "key").select("doc_id", "copy", "first", F.lit(PASSAGE).alias("size"), "keeper")
 
 
 def repeated_spans(docs: DataFrame, threshold: tuple[int, int] = (8, 10)) -> DataFrame:
