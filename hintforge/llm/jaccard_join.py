@@ -28,10 +28,12 @@ from hintforge.llm.common import mix64, ragged_take, segment_ids, stored, text_c
 from hintforge.llm.links import PACKED, Forest, connected_components, packed, star_links
 
 #: Text of one shard of keys, sets of one block, words of a bitmap, children of a tree's node, clustered classes to broadcast.
-SHARD_TEXT, BLOCK, BITMAP_WORDS, FANOUT, BROADCAST_ROWS = 16 << 20, 800, 32, 8, 2_000_000
+SHARD_TEXT, BLOCK, BITMAP_WORDS, FANOUT, BROADCAST_ROWS = 16 << 20, 800, 32, 8, 1_000_000
 #: Bits of the bitmap of frequent shingles, and shingles that it marks at most.
 COMMON_BITS, COMMON_SHINGLES = 1 << 24, 1 << 20
 ODD = np.uint64(0x9E3779B97F4A7C15)
+#: Stands for a null doc_id where a class's owner is named.
+NOBODY = 2**63 - 1
 
 
 def shingle_sets(texts: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -196,23 +198,27 @@ def tree_order(sets: list[np.ndarray]) -> list[int]:
     return sorted(range(len(sets)), key=lambda k: (int(sets[k][0]), len(sets[k])))
 
 
-def linked_sets(clusters: DataFrame, num: int, den: int, block: int = BLOCK) -> DataFrame:
-    """(a, b) links that span the Jaccard graph of clusters(cluster, node, size, hashes binary)."""
+def linked_sets(sets: DataFrame, classes: DataFrame, num: int, den: int, block: int = BLOCK) -> DataFrame:
+    """(a, b) links that span the Jaccard graph of sets(cluster, node, size, hashes binary).
+
+    classes(cluster, node, size, ...) has the same classes without the sets, each once, so that counting doesn't move sets. Only clusters of
+    more than `block` classes are looked up when sets are dealt; a table of BROADCAST_ROWS classes has few of them.
+    """
     size_class = F.floor(F.log("size") / F.log(F.lit(den / num)) + 1e-9).cast("int")
-    counted = clusters.withColumn("size_class", size_class)
-    totals = counted.groupBy("cluster", "size_class").agg(F.count("*").alias("n"))
-    per_cluster = totals.groupBy("cluster").agg(F.sum("n").alias("all_n"), F.map_from_entries(F.collect_list(F.struct("size_class", F.ceil(F.col("n") / block).cast("int")))).alias("blocks"))
-    dealt = counted.join(per_cluster, "cluster")
+    totals = classes.withColumn("size_class", size_class).groupBy("cluster", "size_class").agg(F.count("*").alias("n"))
+    large = totals.groupBy("cluster").agg(F.sum("n").alias("all_n"), F.map_from_entries(F.collect_list(F.struct("size_class", F.ceil(F.col("n") / block).cast("int")))).alias("blocks"))
+    large = large.where(F.col("all_n") > block).drop("all_n")
+    dealt = sets.withColumn("size_class", size_class).join(F.broadcast(large) if classes.count() <= BROADCAST_ROWS else large, "cluster", "left")
     # block pairs of a row: (class, block, class, block, side)
     blocks_of = lambda c: F.coalesce(F.try_element_at("blocks", c), F.lit(0))
-    own, mine = F.col("size_class"), F.pmod(F.xxhash64("node"), blocks_of(F.col("size_class"))).cast("int")
+    own, mine = F.col("size_class"), F.pmod(F.xxhash64("node"), F.greatest(blocks_of(F.col("size_class")), F.lit(1))).cast("int")
     upto = lambda n: F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
     pair = lambda c, i, d, j, side: F.struct(c.alias("c"), i.alias("i"), d.alias("d"), j.alias("j"), F.lit(side).alias("side"))
     within = F.transform(upto(blocks_of(own)), lambda j: pair(own, F.least(F.col("mine"), j), own, F.greatest(F.col("mine"), j), 0).withField("side", F.when(F.col("mine") <= j, 0).otherwise(1)))
     above = F.transform(upto(blocks_of(own + 1)), lambda j: pair(own, F.col("mine"), own + 1, j, 0))
     below = F.transform(upto(blocks_of(own - 1)), lambda j: pair(own - 1, j, own, F.col("mine"), 1))
     alone = F.array(pair(F.lit(0), F.lit(0), F.lit(0), F.lit(0), 0))
-    rows = dealt.withColumn("mine", mine).withColumn("at", F.explode(F.when(F.col("all_n") <= block, alone).otherwise(F.concat(within, above, below))))
+    rows = dealt.withColumn("mine", mine).withColumn("at", F.explode(F.when(F.col("blocks").isNull(), alone).otherwise(F.concat(within, above, below))))
     rows = rows.select("cluster", "at.c", "at.i", "at.d", "at.j", "at.side", "node", "hashes")
 
     def walk(part: pd.DataFrame) -> pd.DataFrame:
@@ -235,24 +241,32 @@ def linked_sets(clusters: DataFrame, num: int, den: int, block: int = BLOCK) ->
     return rows.groupBy("cluster", "c", "i", "d", "j").applyInPandas(walk, "a long, b long")
 
 
-def set_rows(docs: DataFrame, n: int, hashes: bool) -> DataFrame:
-    """doc_id, size, node for each row of docs; with hashes, the sets too, each class once a slice."""
+def doc_classes(docs: DataFrame, n: int) -> DataFrame:
+    """doc_id, size, node for each row of docs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in text_chunks(batches):
+            flat, sizes = shingle_sets(texts, n)
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sizes), pa.array(set_names(flat, sizes))], ["doc_id", "size", "node"])
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, size long, node long")
+
+
+def owned_sets(docs: DataFrame, n: int) -> DataFrame:
+    """owner, size, node, hashes: each class that is not empty once a slice, with its smallest doc_id there (NOBODY: null)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_chunks(batches):
             flat, sizes = shingle_sets(texts, n)
-            nodes = set_names(flat, sizes)
-            cols = [part.column("doc_id"), pa.array(sizes), pa.array(nodes)]
-            if not hashes:
-                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "size", "node"])
-                continue
-            once = np.unique(nodes, return_index=True)[1]
+            nodes, ids = set_names(flat, sizes), part.column("doc_id").fill_null(NOBODY).to_numpy()
+            order = np.lexsort((ids, nodes))
+            once = order[np.append(True, np.diff(nodes[order]) != 0)]
             once = once[sizes[once] > 0]
             ends = np.cumsum(sizes)
             sets = [flat[ends[k] - sizes[k] : ends[k]].tobytes() for k in once]
-            yield pa.RecordBatch.from_arrays([c.take(pa.array(once)) for c in cols] + [pa.array(sets, pa.binary())], ["doc_id", "size", "node", "hashes"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids[once]), pa.array(sizes[once]), pa.array(nodes[once]), pa.array(sets, pa.binary())], ["owner", "size", "node", "hashes"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, size long, node long" + ", hashes binary" * hashes)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "owner long, size long, node long, hashes binary")
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, threshold: tuple[int, int] = (8, 10), block: int = BLOCK) -> DataFrame:
@@ -263,7 +277,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, threshold: tuple[int, int] =
     stay null and don't count for the smallest. An empty table gives an empty one; other columns are not read.
     """
     num, den = threshold
-    rows = stored(set_rows(docs, n, hashes=False), "sets")
+    rows = stored(doc_classes(docs, n), "sets")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-size // SHARD_TEXT))
 
@@ -278,11 +292,15 @@ def jaccard_components(docs: DataFrame, n: int = 5, threshold: tuple[int, int] =
     near = star_links(docs.select("doc_id", "text").mapInArrow(keys, PACKED))
     clusters = connected_components(near)
     clusters = stored(clusters.unionByName(clusters.select(F.col("component").alias("node"), "component").distinct()), "clusters").withColumnRenamed("component", "cluster")
-    small = clusters.count() <= BROADCAST_ROWS
-    sets = stored(set_rows(docs, n, hashes=True).join(F.broadcast(clusters) if small else clusters, "node").select("cluster", "node", "size", "hashes").dropDuplicates(["node"]), "clustered")
-    links = connected_components(linked_sets(sets, num, den, block))
+    mine = rows.join(clusters, "node").groupBy("node", "cluster").agg(F.coalesce(F.min("doc_id"), F.lit(NOBODY)).alias("owner"), F.max("size").alias("size"))
+    classes = stored(mine, "classes")
+    # one copy of a class's set, its owner's, is moved, and once: to where its cluster's trees are walked
+    owners = classes.select("node", "owner", "cluster")
+    sets = owned_sets(docs, n).join(F.broadcast(owners) if classes.count() <= BROADCAST_ROWS else owners, ["node", "owner"])
+    links = connected_components(linked_sets(sets, classes, num, den, block))
     named = rows.join(links, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = named.where("size > 0").groupBy("component").agg(F.min("doc_id").alias("least"))
+    # written before the join: both its sides are then plain shuffles, of which AQE splits a hot component over several tasks
+    least = stored(named.where("size > 0").groupBy("component").agg(F.min("doc_id").alias("least")), "least")
     out = named.join(least, "component", "left")
     return out.select("doc_id", F.col("size").alias("n_shingles"), F.when(F.col("size") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
 

@@ -146,7 +146,7 @@ def line_repeats(docs: DataFrame, threshold: tuple[int, int] = (8, 10)) -> DataF
     small = clusters.count() <= BROADCAST_ROWS
     held = texts.mapInArrow(sets, "node long, size long, hashes binary").join(F.broadcast(clusters) if small else clusters, "node").select("cluster", "node", "size", "hashes").dropDuplicates(["node"])
     held = stored(held, "clustered")
-    links = connected_components(linked_sets(held, num, den))
+    links = connected_components(linked_sets(held, held, num, den))
     named = found.drop("bands").join(links, "node", "left").withColumn("component", F.coalesce("component", "node"))
     return with_keepers(named, "component").select("doc_id", "copy", "first", "size", "keeper")
 
