@@ -81,7 +81,7 @@ def measure(texts: list[bytes], lengths: tuple[int, ...]) -> dict[str, np.ndarra
     rolling = np.zeros(len(ids), np.uint64)
     for n in range(1, max(3, *lengths) + 1):
         follow = np.zeros(len(ids), np.uint64)
-        follow[: len(ids) - n + 1] = code[n - 1 :]
+        follow[: max(0, len(ids) - n + 1)] = code[n - 1 :]
         rolling = rolling * BASE + follow
         if n == 3 or n in lengths:
             under = covered(rolling ^ salt, left >= n, n)

@@ -42,6 +42,15 @@ def test_repetition_empty_and_repeated(spark):
     assert quality_rules.repetition_measures(docs).count() == 2 and quality_rules.repetition_measures(docs.limit(0)).count() == 0
 
 
+def test_repetition_of_few_words_alone(spark):
+    for n in range(10):
+        docs = spark.createDataFrame([(n, "a " * n)], "doc_id long, text string").coalesce(1)
+        r = quality_rules.repetition_measures(docs).first()
+        assert (r.doc_id, r.n_words, r.n_repeat_words, r.kept) == (n, n, len(brute("a " * n, 3)[1]), False)
+        assert [r[f"dup_{k}gram_chars"] for k in range(5, 11)] == [len(brute("a " * n, k)[1]) for k in range(5, 11)]
+        assert quality_rules.keep_good(docs).count() == 0
+
+
 def test_split_and_rules(spark):
     urls = [
         ("http://A.Example.org/es/x?q=/en", "a.example.org", "/es/x", "example.org/es/", "block"), ("https://example.org/en/12#t", "example.org", "/en/12", "example.org/en/1", "block"),
