@@ -366,7 +366,7 @@ SELECT CAST(gene AS varchar) AS gene, CAST(prot AS varchar) AS prot, score, CAST
 def kmer_search(spark, sf_dir):
     """The engine's own approximate homology search: benchmark items as seeds, documents as targets."""
     seeds, targets = (adapter.dna(spark, sf_dir, *t).withColumn("id", F.col("id").cast("string")) for t in (("benchmark", "item_id"), ("documents", "doc_id")))
-    return search.kmer_pairs(seeds, targets, k=12, best=25, least=20, common=400)
+    return search.kmer_pairs(seeds, targets, k=12, best=25, least=20)
 
 
 def queries() -> dict[str, Query]:

@@ -27,11 +27,15 @@ class Aligner(Protocol):
 ALIGNED = "gene string, prot string, type string, start long, end long, strand string, al_score double, splice_sites string"
 
 
-def kmer_pairs(seeds: DataFrame, proteins: DataFrame, k: int = 5, best: int = 25, least: int = 2, common: int = 10_000) -> DataFrame:
+#: Words of seeds up to which they are broadcast; parts that the postings of one word are dealt into.
+BROADCAST_WORDS, PARTS = 500_000, 8
+
+
+def kmer_pairs(seeds: DataFrame, proteins: DataFrame, k: int = 5, best: int = 25, least: int = 2) -> DataFrame:
     """gene, prot, score, ordinal: each seed's `best` proteins by distinct shared k-mers (at least `least`).
 
-    seeds and proteins have id and seq. K-mers in more than `common` proteins are too common to tell proteins apart and don't count:
-    the score is defined without them.
+    seeds and proteins have id and seq. Every shared k-mer counts, however many proteins have it. Only words of seeds are moved on the
+    proteins' side; a frequent word's proteins are dealt to PARTS keys, and pairs are counted within each task before they are moved.
     """
 
     def words(df: DataFrame, name: str) -> DataFrame:
@@ -39,9 +43,14 @@ def kmer_pairs(seeds: DataFrame, proteins: DataFrame, k: int = 5, best: int = 25
         found = F.regexp_extract_all("seq", F.lit(f"(?s)(?=(.{{{k}}}))"), F.lit(1))
         return df.select(F.col("id").alias(name), F.explode(F.array_distinct(found)).alias("word"))
 
-    of_prot = words(proteins, "prot")
-    rare = of_prot.groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") <= common).select("word")
-    shared = words(seeds, "gene").join(of_prot.join(rare, "word", "left_semi"), "word").groupBy("gene", "prot").agg(F.count("*").alias("score"))
+    of_seed = words(seeds, "gene")
+    wanted = of_seed.select("word").distinct()
+    # counted, so that the broadcast is known to be small
+    few = wanted.count() <= BROADCAST_WORDS
+    of_prot = words(proteins, "prot").join(F.broadcast(wanted) if few else wanted, "word", "left_semi")
+    of_prot = of_prot.withColumn("part", F.pmod(F.xxhash64("prot"), F.lit(PARTS)))
+    of_seed = of_seed.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(PARTS - 1).cast("long"))))
+    shared = of_seed.join(of_prot, ["word", "part"]).groupBy("gene", "prot").agg(F.count("*").alias("score"))
     w = Window.partitionBy("gene").orderBy(F.desc("score"), "prot")
     return shared.where(F.col("score") >= least).withColumn("ordinal", F.row_number().over(w)).where(F.col("ordinal") <= best)
 

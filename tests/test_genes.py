@@ -110,6 +110,15 @@ def test_kmer_search(spark):
     assert [(r.prot, r.score) for r in search.kmer_pairs(seeds_, prots, 4, best=2).orderBy("ordinal").collect()] == [("s", 7), ("p", 4)]
 
 
+def test_kmer_search_counts_frequent_words(spark):
+    seeds_ = spark.createDataFrame([("g", "MKLVPQ"), ("h", "VPQRST")], "id string, seq string")
+    prots = spark.range(10_050).selectExpr("concat('p', lpad(id, 5, '0')) AS id", "'XXMKLVPQXX' AS seq")
+    got = [tuple(r) for r in search.kmer_pairs(seeds_, prots, 4, best=2).orderBy("gene", "ordinal").collect()]
+    assert got == [("g", "p00000", 3, 1), ("g", "p00001", 3, 2)]
+    once = search.kmer_pairs(seeds_, prots, 4, best=10_050, least=1)
+    assert sorted((r.gene, r.n) for r in once.groupBy("gene").agg({"prot": "count"}).toDF("gene", "n").collect()) == [("g", 10_050)]
+
+
 def test_aligner_plug_in(spark):
     pairs = spark.createDataFrame([("g", "p"), ("g", "none")], "gene string, prot string")
     regions = spark.createDataFrame([("g", "ACGT")], "gene string, seq string")
