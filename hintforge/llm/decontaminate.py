@@ -62,6 +62,8 @@ def contaminated(docs: DataFrame, items: DataFrame, n: int = 5, threshold: float
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, n: int = 5, threshold: float = 0.8) -> DataFrame:
-    """The rows of docs whose document holds no item."""
-    found = contaminated(docs, items, n, threshold).select(F.col("doc_id").alias("_found")).distinct()
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["_found"]), "left_anti")
+    """The rows of docs whose document holds no item. A row without doc_id is a document of its own, known by its text."""
+    name = F.struct("doc_id", F.when(F.col("doc_id").isNull(), F.xxhash64("text")).alias("copy"))
+    found = contaminated(docs.select(name.alias("doc_id"), "text"), items, n, threshold).select(F.col("doc_id.doc_id").alias("_found"), F.col("doc_id.copy").alias("_copy")).distinct()
+    copy = F.when(docs["doc_id"].isNull(), F.xxhash64(docs["text"]))
+    return docs.join(found, docs["doc_id"].eqNullSafe(found["_found"]) & copy.eqNullSafe(found["_copy"]), "left_anti")

@@ -242,14 +242,14 @@ def linked_sets(sets: DataFrame, classes: DataFrame, num: int, den: int, block:
 
 
 def doc_classes(docs: DataFrame, n: int) -> DataFrame:
-    """doc_id, size, node for each row of docs."""
+    """doc_id, copy (a hash of the text), size, node for each row of docs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_chunks(batches):
             flat, sizes = shingle_sets(texts, n)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sizes), pa.array(set_names(flat, sizes))], ["doc_id", "size", "node"])
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("copy"), pa.array(sizes), pa.array(set_names(flat, sizes))], ["doc_id", "copy", "size", "node"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, size long, node long")
+    return docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("copy")).mapInArrow(run, "doc_id long, copy long, size long, node long")
 
 
 def owned_sets(docs: DataFrame, n: int) -> DataFrame:
@@ -276,6 +276,15 @@ def jaccard_components(docs: DataFrame, n: int = 5, threshold: tuple[int, int] =
     linked with nothing; its component is its own doc_id. Rows with equal sets are linked; repeated rows each give a row; null doc_ids
     stay null and don't count for the smallest. An empty table gives an empty one; other columns are not read.
     """
+    named = row_components(docs, n, threshold, block)
+    # written before the join: both its sides are then plain shuffles, of which AQE splits a hot component over several tasks
+    least = stored(named.where("size > 0").groupBy("component").agg(F.min("doc_id").alias("least")), "least")
+    out = named.join(least, "component", "left")
+    return out.select("doc_id", F.col("size").alias("n_shingles"), F.when(F.col("size") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def row_components(docs: DataFrame, n: int, threshold: tuple[int, int], block: int = BLOCK) -> DataFrame:
+    """doc_id, copy, size, node, component for each row of docs; component is the name of a class of the component."""
     num, den = threshold
     rows = stored(doc_classes(docs, n), "sets")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -298,14 +307,25 @@ def jaccard_components(docs: DataFrame, n: int = 5, threshold: tuple[int, int] =
     owners = classes.select("node", "owner", "cluster")
     sets = owned_sets(docs, n).join(F.broadcast(owners) if classes.count() <= BROADCAST_ROWS else owners, ["node", "owner"])
     links = connected_components(linked_sets(sets, classes, num, den, block))
-    named = rows.join(links, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    # written before the join: both its sides are then plain shuffles, of which AQE splits a hot component over several tasks
-    least = stored(named.where("size > 0").groupBy("component").agg(F.min("doc_id").alias("least")), "least")
-    out = named.join(least, "component", "left")
-    return out.select("doc_id", F.col("size").alias("n_shingles"), F.when(F.col("size") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
+    return rows.join(links, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
 def keep_one(docs: DataFrame, n: int = 5, threshold: tuple[int, int] = (8, 10)) -> DataFrame:
-    """The rows of docs whose doc_id is the smallest of their component; rows with a null doc_id stay."""
-    gone = jaccard_components(docs, n, threshold).where("component_id < doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    """One row of each component: that with the smallest doc_id (null last), then the smallest hash of the text.
+
+    Each row is judged by its own text, whatever other rows share its doc_id. Rows without a shingle stay.
+    """
+    named = stored(row_components(docs, n, threshold).where("size > 0").select("doc_id", "copy", "component"), "components")
+    first = named.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "copy")).alias("first"))
+    first = stored(first.select("component", F.col("first.doc_id").alias("first_id"), F.col("first.copy").alias("first_copy")), "firsts")
+    stays = F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("copy") == F.col("first_copy"))
+    counted = named.join(first, "component").groupBy(F.col("doc_id").alias("_id"), F.col("copy").alias("_copy"), stays.alias("_stays")).agg(F.count("*").alias("_n"))
+    # rows that go, and those that stay but once of several
+    marks = stored(counted.where("NOT _stays OR _n > 1").select("_id", "_copy", "_stays"), "marks")
+    here = lambda some: docs["doc_id"].eqNullSafe(some["_id"]) & (F.xxhash64(docs["text"]) == some["_copy"])
+    out = docs.join(marks, here(marks), "left_anti")
+    several = marks.where("_stays")
+    if several.isEmpty():
+        return out
+    once = docs.join(several, here(several), "left_semi").withColumn("_copy", F.xxhash64("text")).dropDuplicates(["doc_id", "_copy"]).drop("_copy")
+    return out.unionByName(once)

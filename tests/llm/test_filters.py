@@ -104,6 +104,14 @@ def test_decontamination(spark):
     assert decontaminate.drop_contaminated(d, b).count() == sum(x[0] not in {w[0] for w in want} for x in docs)
 
 
+def test_rows_without_id_are_judged_alone(spark):
+    words = [f"u{i}" for i in range(40)]
+    item, clean = " ".join(words), " ".join(f"v{i}" for i in range(40))
+    docs = [(None, "pre " + item), (None, clean), (None, None), (None, " ".join(words[:22])), (None, " ".join(words[18:])), (1, item), (2, clean)]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert sorted((tuple(r) for r in decontaminate.drop_contaminated(d, b).collect()), key=str) == sorted([*docs[1:5], docs[6]], key=str)
+
+
 def test_warc_round_trip(spark):
     long = "é" * 5000
     html = [(3, "u", "x" * 100), (1, "http://a/\r\nb c", "x" * 100), (2, None, "x" * 99), (4, "u", "x" * 99), (5, "u", None), (6, "u", ""), (9, "u", long), (8, "u", long), (8, "u", long), (7, "u", "a\r\n\r\nWARC/1.1"), (None, "u", "x" * 100), (12, "u", "q" * 300 + "\r\n\r\n")]

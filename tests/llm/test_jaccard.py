@@ -62,6 +62,15 @@ def test_empty(spark):
     assert jj.jaccard_components(docs.limit(0)).count() == 0 and jj.keep_one(docs).count() == 1
 
 
+def test_keep_one_judges_rows(spark):
+    a, b, c = ("x1 x2 x3 x4 x5 x6 x7", "y1 y2 y3 y4 y5 y6 y7", "z1 z2 z3 z4 z5 z6 z7")
+    rows = [(1, a), (2, a), (2, "own text of this second row"), (3, b), (3, b), (None, b), (None, c), (None, c), (None, "alone"), (None, None), (4, ""), (5, "")]
+    docs = spark.createDataFrame([(*r, "k") for r in rows], "doc_id long, text string, kind string").repartition(3)
+    got = [tuple(r) for r in jj.keep_one(docs).collect()]
+    want = [(1, a), (2, "own text of this second row"), (3, b), (None, c), (None, "alone"), (None, None), (4, ""), (5, "")]
+    assert sorted(got, key=str) == sorted([(*r, "k") for r in want], key=str)
+
+
 def test_prefix_keys_lose_no_link():
     gen = np.random.default_rng(2)
     for num, den in ((9, 10), (8, 10)):
