@@ -7,7 +7,8 @@ Two kinds of paragraphs are looked at:
   cluster's pairs are verified by exact Jaccard in signature trees (see jaccard_join), which gives components;
 - passages that lie anywhere inside other text. A window of PASSAGE words opens at each winnowed anchor (a 5-gram whose hash is the
   least of some REACH in a row), so that two texts with PASSAGE + REACH - 1 = 50 words in common open the same window. Windows collide
-  on their whole content, which is Jaccard 1.
+  on their whole content, which is Jaccard 1. Then all windows
+  around those found are joined the same way, so that spans reach the first and last word of what is shared.
 
 Of each component the occurrences in the document with the smallest doc_id stay; those in other documents are removed. Repeats inside one
 document are left to the quality rules.
@@ -60,8 +61,8 @@ def band_keys(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return keys
 
 
-def passages(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Windows at winnowed anchors: text number, first word's place and key of the content."""
+def passages(texts: list[bytes], near: list[np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Windows at winnowed anchors, or at all places less than REACH words from those of near: text number, first word's place and key of the content."""
     words: list[bytes] = []
     counts = np.zeros(len(texts), np.int64)
     for i, text in enumerate(texts):
@@ -73,15 +74,18 @@ def passages(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     number = dict(zip(distinct, range(len(distinct))))
     code = codes[np.fromiter(map(number.__getitem__, words), np.int64, len(words))]
     n = len(code)
-    if n < PASSAGE + REACH - 1:
+    if n < (PASSAGE + REACH - 1 if near is None else PASSAGE):
         none = np.zeros(0, np.int64)
         return none, none, none
     doc = segment_ids(counts)
     place = np.arange(n) - (np.cumsum(counts) - counts)[doc]
+    left = counts[doc] - place
+    if near is not None:
+        at = np.flatnonzero((left >= PASSAGE) & beside(near, counts))
+        return doc[at], place[at], window_keys(code, at)
     anchor = code.copy()
     for k in range(1, ANCHOR):
         anchor[: n - k] = mix64(anchor[: n - k] * ODD + code[k:])
-    left = counts[doc] - place
     # least anchor of each REACH in a row whose last still opens a whole window
     runs = np.flatnonzero(left >= PASSAGE + REACH - 1)
     least = np.zeros(n, np.uint64)
@@ -94,10 +98,26 @@ def passages(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     for k in range(1, REACH):
         best[k:] = np.maximum(best[k:], least[: n - k])
     at = np.flatnonzero((left >= PASSAGE) & (best == anchor))
+    return doc[at], place[at], window_keys(code, at)
+
+
+def window_keys(code: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Keys of the contents of windows at places of code."""
+    n = len(code)
     power = np.concatenate([[np.uint64(1)], np.cumprod(np.full(n, ODD), dtype=np.uint64)])
     back = np.concatenate([[np.uint64(1)], np.cumprod(np.full(n, INVERSE), dtype=np.uint64)])
     sums = np.concatenate([[np.uint64(0)], np.cumsum(code * power[:n], dtype=np.uint64)])
-    return doc[at], place[at], mix64((sums[at + PASSAGE] - sums[at]) * back[at]).view(np.int64)
+    return mix64((sums[at + PASSAGE] - sums[at]) * back[at]).view(np.int64)
+
+
+def beside(near: list[np.ndarray], counts: np.ndarray) -> np.ndarray:
+    """For each word whether it is less than REACH words from a place of its text in near."""
+    starts = np.cumsum(counts) - counts
+    edge = np.zeros(int(counts.sum()) + 1, np.int64)
+    for places, start, n in zip(near, starts, counts):
+        np.add.at(edge, start + np.maximum(places - REACH + 1, 0), 1)
+        np.add.at(edge, start + np.minimum(places + REACH, n), -1)
+    return np.cumsum(edge[:-1]) > 0
 
 
 def text_names(texts: list[bytes]) -> np.ndarray:
@@ -152,7 +172,10 @@ def line_repeats(docs: DataFrame, threshold: tuple[int, int] = (8, 10)) -> DataF
 
 
 def passage_repeats(docs: DataFrame) -> DataFrame:
-    """doc_id, copy, first, size, keeper: windows whose content lies in two documents or more; keeper is the smallest doc_id."""
+    """doc_id, copy, first, size, keeper: windows whose content lies in two documents or more; keeper is the smallest doc_id.
+
+    Every window of a shared passage in which a winnowed one was found is there.
+    """
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, some in text_chunks(batches):
@@ -161,7 +184,21 @@ def passage_repeats(docs: DataFrame) -> DataFrame:
 
     texts = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), "text")
     found = stored(texts.mapInArrow(windows, "doc_id long, copy int, first int, key long"), "windows")
-    return with_keepers(found, "key").select("doc_id", "copy", "first", F.lit(PASSAGE).alias("size"), "keeper")
+    hits = stored(with_keepers(found, "key").select("doc_id", "copy", "first"), "hits")
+    # two copies of a passage open the same windows, so all places around these reach its ends in both
+    by_copy = hits.groupBy("doc_id", "copy").agg(F.collect_set("first").alias("places"))
+    by_doc = by_copy.groupBy("doc_id").agg(F.collect_list(F.struct("copy", "places")).alias("copies"))
+    by_doc = F.broadcast(by_doc) if hits.count() <= BROADCAST_ROWS else by_doc
+
+    def around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, some in text_chunks(batches):
+            names = text_names(some)
+            near = [np.array(next((c["places"] for c in copies if c["copy"] == name), []), np.int64) for name, copies in zip(names.tolist(), part.column("copies").to_pylist())]
+            doc, place, keys = passages(some, near)
+            yield pa.RecordBatch.from_arrays([part.column("doc_id").take(pa.array(doc)), pa.array(names[doc]), pa.array(place, pa.int32()), pa.array(keys)], ["doc_id", "copy", "first", "key"])
+
+    every = stored(texts.join(by_doc, "doc_id").mapInArrow(around, "doc_id long, copy int, first int, key long"), "places")
+    return with_keepers(every, "key").select("doc_id", "copy", "first", F.lit(PASSAGE).alias("size"), "keeper")
 
 
 def repeated_spans(docs: DataFrame, threshold: tuple[int, int] = (8, 10)) -> DataFrame:

@@ -45,6 +45,19 @@ def test_passages_everywhere(spark):
     assert None in out and sd.remove_repeats(df.limit(0)).count() == 0
 
 
+def test_spans_reach_both_ends(spark):
+    docs, planted = [], {}
+    for k, size in enumerate([50, 53, 60, 75, 100, 130, 300]):
+        passage = say(size)
+        for c in range(3):
+            before = say(rng.randint(0, 60))
+            docs.append((10 * k + c, "\n".join(before + passage + say(rng.randint(0, 60)))))  # no long lines
+            planted[10 * k + c] = [(len(before), size, c > 0, 10 * k)]
+    df = spark.createDataFrame([*docs, (docs[1][0], " ".join(say(90))), (None, docs[0][1])], "doc_id long, text string").repartition(3)
+    got = sd.repeated_spans(df).collect()
+    assert {r.doc_id: [tuple(s) for s in r.spans] for r in got} == planted and len(got) == len(planted)
+
+
 def test_near_lines_by_jaccard(spark):
     base = say(150)
     near, far = list(base), list(base)
