@@ -31,15 +31,26 @@ QUALITY = Cutoffs(0, 0, 0, 0.1, 0.01, 0.01, start_overlap=2**31 - 1, all_splice_
 class EngineConfig:
     """What a run needs. Paths that come in pairs are checked here."""
 
+    #: Files: seed genes; ranked pairs of seeds and proteins; raw hints made elsewhere; seeds and raw hints of the run before.
     seeds: str | None = None
     pairs: str | None = None
     alignments: str | None = None
     previous_seeds: str | None = None
     previous_alignments: str | None = None
+    #: Proteins aligned with a seed; bases around a gene that are aligned with; longest gene (0: any); word of the engine's own search;
+    #: letters of a seed's protein at least.
     max_proteins_per_seed: int = 25
     window: int = 2000
+    max_gene: int = 0
+    word: int = 5
+    min_seed_protein: int = 1
+    #: Whether the aligner scores coding segments in al_score, and what they need then.
+    cut_exons: bool = False
     min_exon_score: float = 25
     chain_cut: int = 15
+    #: Compare upstream support by sequence and strand, too.
+    strict_support: bool = False
+    quality: Cutoffs = QUALITY
     cutoffs: Cutoffs = field(default_factory=Cutoffs)
 
     def __post_init__(self) -> None:
@@ -47,7 +58,10 @@ class EngineConfig:
             raise ValueError("previous_seeds and previous_alignments are given together")
         if self.pairs is not None and self.seeds is None:
             raise ValueError("pairs need seeds")
-        if self.chain_cut % 3:
+        if self.alignments is not None and self.previous_seeds is not None:
+            raise ValueError("alignments of this run and of the run before exclude each other")
+        if self.chain_cut % 3 or self.chain_cut < 0:
             raise ValueError("chain_cut must be divisible by 3")
-        if self.max_proteins_per_seed < 1:
-            raise ValueError("max_proteins_per_seed must be positive")
+        for name, least in (("max_proteins_per_seed", 1), ("window", 0), ("max_gene", 0), ("word", 1), ("min_seed_protein", 0)):
+            if getattr(self, name) < least:
+                raise ValueError(f"{name} must be {least} or more")

@@ -38,21 +38,52 @@ def windows(extent: DataFrame, lengths: DataFrame, margin: int = 2000, max_gene:
     return joined.withColumns({"left": F.greatest(F.lit(1), F.col("left") - margin), "right": F.least(F.col("_length"), F.col("right") + margin)}).drop("_length")
 
 
+#: Bases of a chunk of a sequence.
+CHUNK_BASES = 1 << 16
+
+
+def sequence_chunks(genome: DataFrame, size: int = CHUNK_BASES) -> DataFrame:
+    """seqid, chunk, part: sequences in pieces of `size` bases, so that no gene carries a whole chromosome through a join."""
+    last = F.floor((F.length("seq") - 1) / size).cast("int")
+    parts = genome.where(F.length("seq") > 0).select(F.col("id").alias("seqid"), "seq", F.explode(F.sequence(F.lit(0), last)).alias("chunk"))
+    return parts.select("seqid", "chunk", F.substring(F.col("seq"), F.col("chunk") * size + 1, F.lit(size)).alias("part"))
+
+
+def cut_out(spans: DataFrame, genome: DataFrame, key: list[str], size: int = CHUNK_BASES) -> DataFrame:
+    """key and seq of spans(key..., seqid, left, right), which key names: each span meets the chunks that it covers, and their cuts are put together.
+
+    Places outside of the sequence give nothing; a span of which no base is there gives no row.
+    """
+    first, last = (F.floor((F.greatest(F.col(c), F.lit(1)) - 1) / size).cast("int") for c in ("left", "right"))
+    covered = spans.where("right >= left AND right >= 1").select(*key, "seqid", "left", "right", F.explode(F.sequence(first, last)).alias("chunk"))
+    met = covered.join(sequence_chunks(genome, size), ["seqid", "chunk"])
+    from_ = F.greatest(F.col("left") - F.col("chunk") * size, F.lit(1)).cast("int")
+    upto = F.least(F.col("right") - F.col("chunk") * size, F.lit(size)).cast("int")
+    cuts = met.select(*key, F.struct("chunk", F.substring(F.col("part"), from_, upto - from_ + 1).alias("part")).alias("cut"))
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list("cut")), lambda c: c["part"]), "")
+    return cuts.groupBy(*key).agg(joined.alias("seq")).where(F.length("seq") > 0)
+
+
 def region_sequences(regions: DataFrame, pairs: DataFrame, genome: DataFrame) -> DataFrame:
     """gene, n_pairs, left, right, strand, seqid, seq of the genes that have pairs; reverse-strand regions are reversed and complemented."""
     counted = pairs.groupBy("gene").agg(F.count("*").alias("n_pairs"))
-    cut = F.substring(F.col("genome"), F.col("left").cast("int"), (F.col("right") - F.col("left") + 1).cast("int"))
-    rows = regions.join(counted, "gene").join(genome.select(F.col("id").alias("seqid"), F.col("seq").alias("genome")), "seqid")
-    return rows.select("gene", "n_pairs", "left", "right", "strand", "seqid", F.when(F.col("strand") == "-", reverse_complement(cut)).otherwise(cut).alias("seq"))
+    key = ["gene", "n_pairs", "left", "right", "strand", "seqid"]
+    rows = regions.join(counted, "gene").select(*key)
+    # left, right and seqid are part of the key and the span
+    cut = cut_out(rows.select(F.struct(*key).alias("k"), "seqid", "left", "right"), genome, ["k"])
+    return cut.select("k.*", F.when(F.col("k.strand") == "-", reverse_complement(F.col("seq"))).otherwise(F.col("seq")).alias("seq"))
 
 
 def coding_sequences(genes: DataFrame, genome: DataFrame) -> DataFrame:
     """gene, cds, protein: coding segments sorted by place, spliced, in frame, and translated. A phase `.` counts 0."""
     phase = F.coalesce(F.expr("try_cast(phase AS int)"), F.lit(0))
-    parts = genes.where("type = 'CDS'").groupBy("gene", "seqid", "strand").agg(F.array_sort(F.collect_list(F.struct("start", "end", phase.alias("phase")))).alias("cds"))
-    rows = parts.join(genome.select(F.col("id").alias("seqid"), "seq"), "seqid")
-    pieces = F.transform("cds", lambda c: F.substring(F.col("seq"), c["start"].cast("int"), (c["end"] - c["start"] + 1).cast("int")))
-    coding = spliced(pieces, F.col("strand"), F.get("cds", F.lit(0))["phase"], F.element_at("cds", -1)["phase"])
+    cds = genes.where("type = 'CDS'").select("gene", "seqid", "strand", F.struct("start", "end", phase.alias("phase")).alias("place"))
+    parts = cds.groupBy("gene", "seqid", "strand").agg(F.array_sort(F.collect_list("place")).alias("cds"))
+    spans = parts.select("gene", "seqid", "strand", F.posexplode("cds").alias("i", "place"))
+    cut = cut_out(spans.select(F.struct("gene", "seqid", "strand", "i").alias("k"), "seqid", F.col("place.start").alias("left"), F.col("place.end").alias("right")), genome, ["k"])
+    pieces = cut.groupBy("k.gene", "k.seqid", "k.strand").agg(F.transform(F.array_sort(F.collect_list(F.struct("k.i", "seq"))), lambda c: c["seq"]).alias("pieces"))
+    rows = parts.join(pieces, ["gene", "seqid", "strand"])
+    coding = spliced(F.col("pieces"), F.col("strand"), F.get("cds", F.lit(0))["phase"], F.element_at("cds", -1)["phase"])
     return rows.select("gene", coding.alias("cds")).withColumn("protein", translate(F.col("cds")))
 
 

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hintforge.config import QUALITY, Cutoffs, EngineConfig
-from hintforge.operators import genes, hints
+from hintforge.operators import genes, hints, search
+from hintforge.sources import features, sequences
 
 
 @dataclass(frozen=True)
@@ -20,45 +24,115 @@ class Results:
 
 
 def combined_hints(raw: DataFrame, quality: Cutoffs = QUALITY, strict_support: bool = False) -> DataFrame:
-    """Introns, stops and starts combined, starts with cds_overlap of supported coding segments."""
-    introns, stops = (hints.best_of(raw, kind, quality) for kind in ("Intron", "stop_codon"))
-    starts = hints.best_of(raw, "start_codon", quality)
-    cds = hints.supported_cds(hints.combine(raw.where("type = 'CDS'")), introns.unionByName(starts), strict_support)
-    counted = hints.count_overlaps_binned(starts, cds)
-    return introns.unionByName(stops).unionByName(counted, allowMissingColumns=True)
+    """Introns, stops and starts combined, starts with cds_overlap of supported coding segments.
+
+    raw is read once: all types are cut and combined in one pass, which is persisted (memory, then disk) for the four looks at it.
+    """
+    every = hints.combine(hints.filter_hints(raw, quality)).persist(StorageLevel.MEMORY_AND_DISK)
+    of = lambda *kinds: every.where(F.col("type").isin(*kinds))
+    cds = hints.supported_cds(of("CDS"), of("Intron", "start_codon"), strict_support)
+    counted = hints.count_overlaps_binned(of("start_codon"), cds)
+    return of("Intron", "stop_codon").unionByName(counted, allowMissingColumns=True)
 
 
 def exported(combined: DataFrame, evidence: DataFrame, chained: DataFrame) -> DataFrame:
-    """Three sources for a gene finder in one table: P classified hints, M manual-like high-confidence ones, C chains by group."""
+    """Three sources for a gene finder in one table: P classified hints, M manual-like high-confidence ones, C chains by group.
+
+    Each keeps its phase (`.` if the table has none) and its source's name; al_text is the score as it was written, if known.
+    """
     kind = F.when(F.col("type") == "Intron", "intron").when(F.col("type") == "start_codon", "start").when(F.col("type") == "stop_codon", "stop").otherwise(F.col("type"))
-    cols = ["seqid", kind.alias("type"), "start", "end", "strand"]
-    p = hints.classify(combined).select(*cols, F.lit("P").alias("src"), F.col("score").cast("long").alias("mult"), F.col("class").cast("int").alias("class"), "al_score", F.lit(None).cast("string").alias("grp"))
-    m = evidence.select(*cols, F.lit("M").alias("src"), F.col("score").cast("long").alias("mult"), F.lit(None).cast("int").alias("class"), F.lit(None).cast("double").alias("al_score"), F.lit(None).cast("string").alias("grp"))
-    c = chained.select(*cols, F.lit("C").alias("src"), F.lit(1).cast("long").alias("mult"), F.lit(None).cast("int").alias("class"), F.lit(None).cast("double").alias("al_score"), F.concat_ws("_", "prot", "gene").alias("grp"))
-    return p.unionByName(m).unionByName(c)
+
+    def part(df: DataFrame, src: str, **own: Column) -> DataFrame:
+        text = lambda name: F.col(name).cast("string") if name in df.columns else F.lit(None).cast("string")
+        none = {"mult": F.lit(1).cast("long"), "class": F.lit(None).cast("int"), "al_score": F.lit(None).cast("double"), "al_text": F.lit(None).cast("string"), "grp": F.lit(None).cast("string")} | own
+        return df.select("seqid", text("source").alias("source"), kind.alias("type"), "start", "end", "strand", F.coalesce(text("phase"), F.lit(".")).alias("phase"), F.lit(src).alias("src"), *(c.alias(n) for n, c in none.items()))
+
+    mult = F.col("score").cast("long")
+    classified = hints.classify(combined)
+    al_text = F.col("al_text") if "al_text" in combined.columns else F.lit(None).cast("string")
+    p = part(classified, "P", **{"mult": mult, "class": F.col("class").cast("int"), "al_score": F.col("al_score"), "al_text": al_text})
+    c = part(chained, "C", grp=F.concat_ws("_", "prot", "gene"))
+    return p.unionByName(part(evidence, "M", mult=mult)).unionByName(c)
 
 
 def export_lines(export: DataFrame, priority: int = 4, source: str = "protein_hint") -> DataFrame:
-    """The export as lines of nine columns; attributes as the three sources have them."""
+    """The export as lines of nine columns; attributes as the three sources have them. source names rows that have none of their own."""
     pri = F.lit(f"pri={priority}")
+    al = F.coalesce("al_text", F.col("al_score").cast("string"), F.lit(""))
     attrs = (
-        F.when(F.col("src") == "P", F.concat(F.lit("src=P;mult="), "mult", F.lit(";"), pri, F.lit(";al_score="), F.coalesce(F.col("al_score").cast("string"), F.lit("")), F.lit(";")))
+        F.when(F.col("src") == "P", F.concat(F.lit("src=P;mult="), "mult", F.lit(";"), pri, F.lit(";al_score="), al, F.lit(";")))
         .when(F.col("src") == "M", F.concat(F.lit("src=M;mult="), "mult", F.lit(";"), pri))
         .otherwise(F.concat(F.lit("grp="), "grp", F.lit(";src=C;"), pri, F.lit(";")))
     )
     score = F.coalesce(F.col("class"), F.when(F.col("src") == "M", F.col("mult")).otherwise(1)).cast("string")
-    return export.select(F.concat_ws("\t", "seqid", F.lit(source), "type", "start", "end", score, "strand", F.lit("."), attrs).alias("value"))
+    return export.select(F.concat_ws("\t", "seqid", F.coalesce("source", F.lit(source)), "type", "start", "end", score, "strand", "phase", attrs).alias("value"))
 
 
 def standard_run(raw: DataFrame, pairs: DataFrame, config: EngineConfig = EngineConfig()) -> Results:
-    """From lifted raw hints (gene, prot known) and ranked pairs to all results. raw feeds several results: persist it if it is dear."""
+    """From lifted raw hints (gene, prot known) and ranked pairs to all results. raw feeds several results: persist it if it is dear.
+
+    Inputs are checked first (see check_inputs).
+    """
+    check_inputs(pairs, raw)
     flagged = hints.flag_top(raw, pairs)
-    combined = combined_hints(flagged)
+    combined = combined_hints(flagged, config.quality, config.strict_support)
     evidence = hints.filter_hints(combined, config.cutoffs)
-    chained = hints.chains(flagged.where("top"), config.chain_cut)
+    chained = hints.chains(flagged.where("top"), config.chain_cut, config.quality)
     return Results(combined, evidence, chained, exported(combined, evidence, chained))
 
 
+def lifted_hints(seeds: DataFrame, genome: DataFrame, proteins: DataFrame, aligner: Callable[[pd.DataFrame], pd.DataFrame], config: EngineConfig = EngineConfig(), pairs: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(raw hints on the genome, pairs): seeds' longest isoforms are translated and searched for among the proteins, unless pairs are given; the
+    best proteins of each are aligned with the window around the gene, and what the aligner finds there is lifted to the genome.
+
+    seeds as features.read_genes gives them; genome and proteins have id and seq.
+    """
+    kept = genes.keep_longest(seeds)
+    if pairs is None:
+        coding = genes.coding_sequences(kept, genome).where(F.length("protein") >= config.min_seed_protein)
+        pairs = search.kmer_pairs(coding.select(F.col("gene").alias("id"), F.col("protein").alias("seq")), proteins, k=config.word, best=config.max_proteins_per_seed)
+    pairs = hints.top_k_targets(pairs, config.max_proteins_per_seed).drop("rank").persist(StorageLevel.MEMORY_AND_DISK)
+    lengths = genome.select(F.col("id").alias("seqid"), F.length("seq").cast("long").alias("length"))
+    regions = genes.windows(genes.extents(kept), lengths, config.window, config.max_gene)
+    found = search.align(pairs, genes.region_sequences(regions, pairs, genome), proteins, aligner)
+    long_enough = (F.col("type") != "CDS") | F.coalesce(F.col("al_score") >= config.min_exon_score, F.lit(True)) if config.cut_exons else F.lit(True)
+    placed = hints.lift(found.where(long_enough).withColumn("seqid", F.lit(None).cast("string")), regions)
+    return placed.withColumn("score", F.lit(None).cast("int")), pairs
+
+
+def full_run(spark: SparkSession, genome_path: str, proteins_path: str, aligner: Callable[[pd.DataFrame], pd.DataFrame], config: EngineConfig) -> Results:
+    """From files to results by config: seeds or seeds with pairs, or alignments made elsewhere; with a previous run's files, genes that did not
+    change take over its hints and only the others are aligned."""
+    genome, proteins = sequences.read_genome(spark, genome_path), sequences.read_fasta(spark, proteins_path)
+    if config.seeds is None:
+        raise ValueError("a run needs seeds")
+    seeds = features.checked(features.read_genes(spark, config.seeds, strict=True))
+    pairs = sequences.read_pairs(spark, config.pairs) if config.pairs else None
+    if config.alignments:
+        if pairs is None:
+            raise ValueError("alignments need the pairs they come from")
+        return standard_run(features.read_hints(spark, config.alignments), pairs, config)
+    if not config.previous_seeds:
+        raw, pairs = lifted_hints(seeds, genome, proteins, aligner, config, pairs)
+        return standard_run(raw.persist(StorageLevel.MEMORY_AND_DISK), pairs, config)
+    old = features.read_genes(spark, config.previous_seeds, strict=True)
+    old_hints = features.read_hints(spark, config.previous_alignments)
+    known: list[DataFrame] = []
+
+    def fresh(unique: DataFrame) -> DataFrame:
+        raw, found = lifted_hints(unique, genome, proteins, aligner, config, pairs)
+        known.append(found)
+        return raw
+
+    _, raw = next_iteration(seeds, old, old_hints, fresh)
+    # reused hints bring their pairs along, in the order in which their proteins were flagged before
+    reused = genes.reused_hints(genes.keep_longest(seeds), genes.keep_longest(old), old_hints)
+    first = reused.groupBy("gene", "prot").agg(F.min(F.when(F.col("top"), 0).otherwise(1)).alias("place"), F.min("ordinal").alias("first"))
+    before = first.withColumn("ordinal", F.row_number().over(Window.partitionBy("gene").orderBy("place", "first"))).select("gene", "prot", "ordinal")
+    every = known[0].select("gene", "prot", "ordinal").unionByName(before)
+    return standard_run(raw.persist(StorageLevel.MEMORY_AND_DISK), every, config)
+
+
 def next_iteration(new_seeds: DataFrame, old_seeds: DataFrame, old_hints: DataFrame, fresh_hints) -> tuple[DataFrame, DataFrame]:
     """(seeds that need work, raw hints of all new seeds): hints of unchanged genes are reused under their new names.
 
@@ -70,9 +144,11 @@ def next_iteration(new_seeds: DataFrame, old_seeds: DataFrame, old_hints: DataFr
 
 
 def check_inputs(pairs: DataFrame, raw: DataFrame) -> None:
-    """Raises if there are no pairs, no hints, or hints of unknown pairs. Runs small jobs."""
+    """Raises if there are no pairs, no hints, hints of unknown pairs, or none of a gene's first protein. Runs small jobs."""
     for what, df in (("pairs", pairs), ("hints", raw)):
         if df.isEmpty():
             raise ValueError(f"no {what}")
     if bad := hints.unknown_pairs(raw, pairs).select("gene", "prot").limit(3).collect():
         raise ValueError(f"hints of unknown pairs: {[tuple(r) for r in bad]}")
+    if raw.join(hints.first_pairs(pairs), ["gene", "prot"], "left_semi").isEmpty():
+        raise ValueError("no hint of a gene's first protein")

@@ -39,9 +39,13 @@ def read_hints(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_genes(spark: SparkSession, path: str) -> DataFrame:
-    """Seed genes: ordinal, seqid, type, start, end, strand, phase, gene, tx."""
-    rows = _valid(_rows(spark, path)).where("valid")
+def read_genes(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
+    """Seed genes: ordinal, seqid, type, start, end, strand, phase, gene, tx. Lines that aren't features are left out, or, if strict, an error when
+    the rows are read."""
+    rows = _valid(_rows(spark, path))
+    if strict:
+        rows = rows.withColumn("seqid", F.when(F.col("valid"), F.col("seqid")).otherwise(F.raise_error(F.concat(F.lit("not a feature: "), F.col("line"))).cast("string")))
+    rows = rows if strict else rows.where("valid")
     return rows.select("ordinal", "seqid", "type", F.col("start").cast("long"), F.col("end").cast("long"), "strand", "phase", gtf_attribute(F.col("attrs"), "gene_id").alias("gene"), gtf_attribute(F.col("attrs"), "transcript_id").alias("tx"))
 
 

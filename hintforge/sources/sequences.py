@@ -10,9 +10,15 @@ from hintforge.functions.sequence import clean_dna, clean_protein_line, is_dna,
 
 def read_fasta(spark: SparkSession, path: str, ids: DataFrame | None = None) -> DataFrame:
     """id (first word of the header) and upper-case sequence; with ids(id), only those. Text before the first header is an error."""
-    records = spark.read.option("lineSep", "\n>").text(path).where(~F.col("value").rlike(r"^\s*$"))
-    # Spark hands on the first record with its mark, the others without
-    head, body = F.regexp_extract("value", r"^>?\s*(\S*)", 1), F.regexp_replace("value", r"^[^\n]*\n?", "")
+    where = F.col("_metadata")
+    records = spark.read.option("lineSep", "\n>").text(path).select("value", (where["file_block_start"] == 0).alias("first_block"), F.monotonically_increasing_id().alias("n"), where["file_path"].alias("file"))
+    # Spark hands on a file's first record with its mark, the others without
+    begin = records.where("first_block").groupBy("file").agg(F.min("n").alias("n")).withColumn("first", F.lit(True))
+    records = records.join(F.broadcast(begin), ["file", "n"], "left").where(~F.col("value").rlike(r"^\s*$"))
+    marked = F.coalesce(F.col("first"), F.lit(False)) & ~F.col("value").rlike(r"^\s*>")
+    text = F.when(marked, F.raise_error(F.concat(F.lit("text before the first header of "), F.col("file"))).cast("string")).otherwise(F.regexp_replace("value", r"^\s*>", ""))
+    records = records.select(text.alias("value"))
+    head, body = F.regexp_extract("value", r"^[^\S\n]*(\S*)", 1), F.regexp_replace("value", r"^[^\n]*\n?", "")
     found = records.select(head.alias("id"), F.regexp_replace(upper_ascii(body), "[^A-Z*]", "").alias("seq"), body.alias("raw"))
     return found.join(ids.select("id").distinct(), "id", "left_semi") if ids is not None else found
 
