@@ -12,8 +12,8 @@ def _lineitem(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(*columns)
 
 
-def raw_hints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hints on 5 sequences of 200 places, both strands, four types."""
+def raw_hints(spark: SparkSession, sf_dir: str, phase: bool = False) -> DataFrame:
+    """Hints on 5 sequences of 200 places, both strands, four types; with a phase if asked."""
     rows = _lineitem(spark, sf_dir, "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount", "l_linestatus")
     return rows.selectExpr(
         "'chr' || l_suppkey % 5 AS seqid",
@@ -25,9 +25,38 @@ def raw_hints(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CASE l_partkey % 10 WHEN 0 THEN 'gc_ag' WHEN 1 THEN 'at_ac' ELSE 'gt_ag' END AS splice_sites",
         "'p' || l_suppkey AS prot",
         "'g' || l_orderkey % 500 AS gene",
+        *["CASE l_linenumber % 4 WHEN 0 THEN CAST(l_suppkey % 3 AS string) WHEN 1 THEN '.' ELSE '0' END AS phase"] * phase,
     )
 
 
+#: Cells of a feature's line up to its attributes, from a lineitem.
+CELLS = """concat_ws('\t', 'chr' || l_suppkey % 5, 'x', CASE l_linenumber % 4 WHEN 0 THEN 'CDS' WHEN 1 THEN 'Intron' WHEN 2 THEN 'start_codon' ELSE 'stop_codon' END, l_partkey * 30 + 1, l_partkey * 30 + 90,
+  CASE WHEN CAST(l_quantity AS int) % 2 = 0 THEN CAST(CAST(l_quantity AS int) AS string) ELSE '.' END, CASE WHEN l_linestatus = 'F' THEN '+' ELSE '-' END, l_suppkey % 3)"""
+
+
+def hint_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ordinal and line: hints as text; every seventh line of an order is a comment, or has no number where its start should be."""
+    rows = _lineitem(spark, sf_dir, "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_linestatus")
+    attrs = "'\tprot=p' || l_suppkey || '; seed_gene_id=g' || l_orderkey % 500 || '; al_score=' || CAST(CAST(l_quantity AS int) / 64.0D AS string) || ';' || CASE WHEN CAST(l_quantity AS int) % 5 = 0 THEN ' topProt=TRUE;' ELSE '' END"
+    line = f"CASE WHEN l_linenumber <> 7 THEN {CELLS} || {attrs} WHEN l_orderkey % 2 = 0 THEN concat_ws('\t', 'chr', 'x', 'CDS', 'one', 2, '.', '+', 0, 'a') ELSE '# ' || l_orderkey END"
+    return rows.selectExpr("l_orderkey * 8 + l_linenumber AS ordinal", f"{line} AS line")
+
+
+def gene_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ordinal and line: genes as text with quoted attributes, and some comments."""
+    rows = _lineitem(spark, sf_dir, "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_linestatus")
+    attrs = """'\tgene_id "g' || l_orderkey % 500 || '"; transcript_id "g' || l_orderkey % 500 || '_p' || l_suppkey || '";'"""
+    return rows.selectExpr("l_orderkey * 8 + l_linenumber AS ordinal", f"CASE WHEN l_linenumber <> 7 THEN {CELLS} || {attrs} ELSE '# ' || l_orderkey END AS line")
+
+
+def two_exons(sequences: DataFrame) -> DataFrame:
+    """An alignment of two exons on each sequence, with places and scores by id."""
+    k = F.col("id")
+    named = [F.concat(F.lit("p"), k).alias("prot"), F.concat(F.lit("d"), k).alias("gene"), (k % 40).cast("double").alias("exon_score")]
+    one = lambda n, *c: sequences.select(*named, F.lit(n).alias("ordinal"), *(x.cast("long").alias(name) for x, name in zip(c, ("start", "end", "prot_start", "prot_end"))))
+    return one(1, 1 + k % 11, F.lit(12), F.lit(1), F.lit(5)).unionByName(one(2, F.lit(15), 20 + k % 9, 6 + k % 3, 10 + k % 7))
+
+
 def ranked_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """gene, prot, score: what a homology search might have found, in whole cents."""
     rows = _lineitem(spark, sf_dir, "l_orderkey", "l_suppkey", "l_extendedprice")

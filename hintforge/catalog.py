@@ -4,16 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hintforge import adapter
 from hintforge.config import QUALITY, Cutoffs
 from hintforge.functions.attributes import gff_attribute
-from hintforge.functions.sequence import clean_protein_line, codons, reverse_complement, translate
+from hintforge.functions.sequence import clean_dna, clean_protein_line, codons, reverse_complement, translate
 from hintforge.operators import exons, genes, hints, search
 from hintforge.plans import standard
-from hintforge.sources.features import gene_faults, hint_lines
+from hintforge.sources.features import gene_faults, hint_lines, parsed_genes, parsed_hints
+from hintforge.sources.features import malformed_lines as features_malformed
+from hintforge.sources.sequences import fasta_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -60,6 +62,11 @@ def comb(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hints.combine(hints.filter_hints(adapter.raw_hints(spark, sf_dir), QUALITY))
 
 
+# hints with a phase: `.` of introns, 0 of codons, 0 to 2 of coding segments; of combined ones the greatest
+PHASE = "CASE l_linenumber % 4 WHEN 0 THEN CAST(l_suppkey % 3 AS varchar) WHEN 1 THEN '.' ELSE '0' END AS phase"
+PHASED = f"{H.replace(' FROM lineitem)', f', {PHASE} FROM lineitem)')}, comb AS (SELECT seqid, type, s, e, strand, count(*) AS score, max(al) AS al, max(phase) AS phase, max(ss) AS ss FROM h WHERE CASE type WHEN 'Intron' THEN al >= 0.1 WHEN 'CDS' THEN true ELSE al >= 0.01 END GROUP BY seqid, type, s, e, strand)"
+
+
 def of(df: DataFrame, kind: str) -> DataFrame:
     return df.where(F.col("type") == kind)
 
@@ -155,10 +162,10 @@ def best_k(spark, sf_dir):
 
 CHAINS = """ch AS (SELECT seqid, CASE WHEN type = 'CDS' THEN 'CDSpart' ELSE type END AS type,
   CASE WHEN type <> 'CDS' THEN s WHEN e - s + 1 < 33 THEN s + (e - s + 1) // 6 * 3 ELSE s + 15 END AS s, CASE WHEN type <> 'CDS' THEN e WHEN e - s + 1 < 33 THEN s + (e - s + 1) // 6 * 3 + 2 ELSE e - 15 END AS e,
-  strand, al, ss, prot, gene FROM h WHERE CASE type WHEN 'Intron' THEN al >= 0.1 WHEN 'CDS' THEN true ELSE al >= 0.01 END)"""
+  strand, al, ss, prot, gene{more} FROM h WHERE CASE type WHEN 'Intron' THEN al >= 0.1 WHEN 'CDS' THEN true ELSE al >= 0.01 END)"""
 
 
-@query(f"WITH {H}, {CHAINS} SELECT * FROM ch")
+@query(f"WITH {H}, {CHAINS.format(more='')} SELECT * FROM ch")
 def chains(spark, sf_dir):
     return short(hints.chains(adapter.raw_hints(spark, sf_dir)))
 
@@ -166,26 +173,29 @@ def chains(spark, sf_dir):
 KIND = "CASE type WHEN 'Intron' THEN 'intron' WHEN 'start_codon' THEN 'start' WHEN 'stop_codon' THEN 'stop' ELSE type END AS type"
 
 
-@query(
-    f"""WITH {COMB}, {CHAINS}, c AS ({LOGREG})
-SELECT seqid, {KIND}, s, e, strand, 'P' AS src, score AS mult, class, al, NULL AS grp FROM c
-UNION ALL SELECT seqid, {KIND}, s, e, strand, 'M', score, NULL, NULL, NULL FROM comb WHERE type <> 'CDS' AND {HC}
-UNION ALL SELECT seqid, {KIND}, s, e, strand, 'C', 1, NULL, NULL, prot || '_' || gene FROM ch"""
-)
+EXPORT = f"""{PHASED}, {CHAINS.format(more=', phase')}, c AS ({LOGREG}), x AS (
+SELECT seqid, {KIND}, s, e, strand, phase, 'P' AS src, score AS mult, class, al, NULL AS grp FROM c
+UNION ALL SELECT seqid, {KIND}, s, e, strand, phase, 'M', score, NULL, NULL, NULL FROM comb WHERE type <> 'CDS' AND {HC}
+UNION ALL SELECT seqid, {KIND}, s, e, strand, phase, 'C', 1, NULL, NULL, prot || '_' || gene FROM ch)"""
+
+
+def export(spark, sf_dir) -> DataFrame:
+    raw = adapter.raw_hints(spark, sf_dir, phase=True)
+    c = hints.combine(hints.filter_hints(raw, QUALITY)).where("type <> 'CDS'")
+    return standard.exported(c, hints.filter_hints(c), hints.chains(raw))
+
+
+@query(f"WITH {EXPORT} SELECT * FROM x")
 def export_union(spark, sf_dir):
-    c = comb(spark, sf_dir).where("type <> 'CDS'")
-    return short(standard.exported(c, hints.filter_hints(c), hints.chains(adapter.raw_hints(spark, sf_dir))))
+    """All sources with their phases; the text of the score and the source's name are left out, as these tables have none."""
+    return short(export(spark, sf_dir).drop("al_text", "source"))
 
 
-@query(
-    f"""WITH {COMB}, {CHAINS}
-SELECT seqid || chr(9) || 'protein_hint' || chr(9) || CASE type WHEN 'Intron' THEN 'intron' WHEN 'start_codon' THEN 'start' WHEN 'stop_codon' THEN 'stop' ELSE type END || chr(9) || s || chr(9) || e || chr(9) || score || chr(9) || strand || chr(9) || '.' || chr(9) || 'src=M;mult=' || score || ';pri=4' AS value FROM comb WHERE type <> 'CDS' AND {HC}
-UNION ALL SELECT seqid || chr(9) || 'protein_hint' || chr(9) || CASE type WHEN 'Intron' THEN 'intron' WHEN 'start_codon' THEN 'start' WHEN 'stop_codon' THEN 'stop' ELSE type END || chr(9) || s || chr(9) || e || chr(9) || '1' || chr(9) || strand || chr(9) || '.' || chr(9) || 'grp=' || prot || '_' || gene || ';src=C;pri=4;' FROM ch"""
-)
+@query(f"""WITH {EXPORT} SELECT seqid || chr(9) || 'protein_hint' || chr(9) || type || chr(9) || s || chr(9) || e || chr(9) || CASE src WHEN 'P' THEN class WHEN 'M' THEN mult ELSE 1 END || chr(9) || strand || chr(9) || phase || chr(9) ||
+  CASE src WHEN 'P' THEN 'src=P;mult=' || mult || ';pri=4;al_score=' || CAST(round(al * 100) AS int) || ';' WHEN 'M' THEN 'src=M;mult=' || mult || ';pri=4' ELSE 'grp=' || grp || ';src=C;pri=4;' END AS value FROM x""")
 def export_text(spark, sf_dir):
-    """The export's lines of sources M and C; those of P hold a double, which engines write in different ways."""
-    c = comb(spark, sf_dir).where("type <> 'CDS'")
-    return standard.export_lines(standard.exported(c, hints.filter_hints(c), hints.chains(adapter.raw_hints(spark, sf_dir))).where("src <> 'P'"))
+    """The export's lines; the score's text is in hundredths, as engines write doubles in different ways."""
+    return standard.export_lines(export(spark, sf_dir).withColumn("al_text", F.round(F.col("al_score") * 100).cast("int").cast("string")))
 
 
 GTF = gtf_sql("gtf")
@@ -230,16 +240,18 @@ def region_to_contig(spark, sf_dir):
     return short(hints.lift(h, regions))
 
 
-SIGNATURES = ", ".join(f"{n} AS (SELECT gene, string_agg(seqid || '_' || s || '_' || e || '_' || strand || '_' || phase, '-' ORDER BY seqid, s, e, strand, phase) AS sig FROM {t} GROUP BY gene)" for n, t in (("sn", "gn"), ("so", "go")))
+SIGNATURES = ", ".join(f"{n} AS (SELECT gene, string_agg(seqid || '_' || s || '_' || e || '_' || strand || '_' || phase, '-' ORDER BY seqid, s, e, strand, phase) AS sig, min(ln) AS f FROM {t} GROUP BY gene)" for n, t in (("sn", "gn"), ("so", "go")))
+LAST = "arg_max(gene, (f, gene))"
+#: Of old genes with one signature the last one's rows are reused, under the last equal new gene's name.
+SAME = f"same AS (SELECT o.old, n.gene FROM (SELECT sig, {LAST} AS old FROM so GROUP BY sig) o JOIN (SELECT sig, {LAST} AS gene FROM sn GROUP BY sig) n USING (sig))"
 TWO = f"{gtf_sql('gn', 6)}, {gtf_sql('go', 7)}, {SIGNATURES}"
 
 
-@query(f"WITH {TWO} SELECT gene, o.g AS old_gene, sig AS signature FROM sn LEFT JOIN (SELECT sig, max(gene) AS g FROM so GROUP BY sig) o USING (sig)")
+@query(f"WITH {TWO} SELECT gene, o.g AS old_gene, sig AS signature FROM sn LEFT JOIN (SELECT sig, {LAST} AS g FROM so GROUP BY sig) o USING (sig)")
 def iter_select(spark, sf_dir):
-    """New genes with the old gene that they equal; by greatest name where several do."""
-    new, old = (genes.signatures(adapter.genes(spark, sf_dir, k)).withColumn("first", F.col("gene")) for k in (6, 7))
-    before = old.groupBy("signature").agg(F.max_by("gene", "first").alias("old_gene"))
-    return new.join(before, "signature", "left").select("gene", "old_gene", "signature")
+    """New genes with the old gene that they equal; the last one where several do."""
+    new, old = (adapter.genes(spark, sf_dir, k) for k in (6, 7))
+    return genes.changed_genes(new, old).select("gene", "old_gene", "signature")
 
 
 @query(f"WITH {TWO} SELECT seqid, s, e, strand, phase, gene, tx, ln AS ordinal, 'CDS' AS type FROM gn WHERE gene IN (SELECT gene FROM sn WHERE sig NOT IN (SELECT sig FROM so))")
@@ -247,7 +259,7 @@ def unique_seeds(spark, sf_dir):
     return short(genes.unique_seeds(adapter.genes(spark, sf_dir, 6), adapter.genes(spark, sf_dir, 7)))
 
 
-@query(f"WITH {TWO}, same AS (SELECT so.gene AS old, max(sn.gene) AS gene FROM so JOIN sn USING (sig) GROUP BY so.gene) SELECT go.seqid, s, e, strand, phase, same.gene, tx, ln AS ordinal, 'CDS' AS type FROM go JOIN same ON go.gene = same.old")
+@query(f"WITH {TWO}, {SAME} SELECT go.seqid, s, e, strand, phase, same.gene, tx, ln AS ordinal, 'CDS' AS type FROM go JOIN same ON go.gene = same.old")
 def iter_rename(spark, sf_dir):
     """Rows of old genes under the names of equal new ones."""
     return short(genes.reused_hints(adapter.genes(spark, sf_dir, 6), adapter.genes(spark, sf_dir, 7), adapter.genes(spark, sf_dir, 7)))
@@ -360,7 +372,7 @@ WORDS = "SELECT DISTINCT id, d[i:i + 11] AS word FROM (SELECT id, d, unnest(rang
 
 @query(
     f"""WITH q AS (SELECT item_id AS id, {BASES} AS d FROM benchmark), t AS (SELECT doc_id AS id, {BASES} AS d FROM documents), a AS ({WORDS.format(t='q')}), b AS ({WORDS.format(t='t')}),
-rare AS (SELECT word FROM b GROUP BY word HAVING count(*) <= 400), x AS (SELECT a.id AS gene, b.id AS prot, count(*) AS score FROM a JOIN b USING (word) SEMI JOIN rare USING (word) GROUP BY ALL HAVING count(*) >= 20)
+x AS (SELECT a.id AS gene, b.id AS prot, count(*) AS score FROM a JOIN b USING (word) GROUP BY ALL HAVING count(*) >= 20)
 SELECT CAST(gene AS varchar) AS gene, CAST(prot AS varchar) AS prot, score, CAST(r AS int) AS ordinal FROM (SELECT *, row_number() OVER (PARTITION BY gene ORDER BY score DESC, CAST(prot AS varchar)) AS r FROM x) WHERE r <= 25"""
 )
 def kmer_search(spark, sf_dir):
@@ -369,6 +381,90 @@ def kmer_search(spark, sf_dir):
     return search.kmer_pairs(seeds, targets, k=12, best=25, least=20)
 
 
+TEXT = """CAST(l_orderkey AS bigint) * 8 + l_linenumber AS ordinal, 'chr' || CAST(l_suppkey % 5 AS varchar) AS seqid, CASE l_linenumber % 4 WHEN 0 THEN 'CDS' WHEN 1 THEN 'Intron' WHEN 2 THEN 'start_codon' ELSE 'stop_codon' END AS type, l_partkey * 30 + 1 AS s, l_partkey * 30 + 90 AS e,
+  CASE WHEN l_linestatus = 'F' THEN '+' ELSE '-' END AS strand, CAST(l_suppkey % 3 AS varchar) AS phase, 'p' || CAST(l_suppkey AS varchar) AS prot, 'g' || CAST(l_orderkey % 500 AS varchar) AS gene, CAST(l_quantity AS int) AS n"""
+
+
+@query(f"WITH t AS (SELECT {TEXT}, l_quantity FROM lineitem WHERE l_linenumber <> 7) SELECT ordinal, seqid, type, s, e, CASE WHEN n % 2 = 0 THEN n END AS score, strand, phase, prot, gene, n / 64.0::double AS al, n % 5 = 0 AS top FROM t")
+def gff_scan(spark, sf_dir):
+    """Lines of nine columns, some malformed or comments, read as typed hints."""
+    found = parsed_hints(adapter.hint_text(spark, sf_dir))
+    return short(found.select("ordinal", "seqid", "type", "start", "end", "score", "strand", "phase", "prot", "gene", "al_score", "top"))
+
+
+@query("SELECT CAST(l_orderkey AS bigint) * 8 + l_linenumber AS ordinal FROM lineitem WHERE l_linenumber = 7 AND l_orderkey % 2 = 0")
+def malformed_lines(spark, sf_dir):
+    """Lines that are neither features nor comments."""
+    return features_malformed(adapter.hint_text(spark, sf_dir)).select("ordinal")
+
+
+@query(f"WITH t AS (SELECT {TEXT} FROM lineitem WHERE l_linenumber <> 7) SELECT ordinal, seqid, type, s, e, strand, phase, gene, gene || '_' || prot AS tx FROM t")
+def gtf_scan(spark, sf_dir):
+    """Seed genes from lines with quoted attributes."""
+    return short(parsed_genes(adapter.gene_text(spark, sf_dir), strict=True))
+
+
+@query(f"""WITH {DNA}, m AS (SELECT doc_id, translate(regexp_replace(translate(translate(text, 'atcg', 'NNNN'), 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ'), '[^A-Z]', '', 'g'), 'RYKMSWBDHV', 'NNNNNNNNNN') AS m FROM documents) SELECT doc_id, md5(m) AS digest, length(m) AS n FROM m""")
+def soft_mask(spark, sf_dir):
+    """Lower-case bases count as N, letters for several bases too."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return docs.select("doc_id", clean_dna(F.col("text"), mask_lower=True).alias("m")).select("doc_id", F.md5("m").alias("digest"), F.length("m").cast("long").alias("n"))
+
+
+@query(f"WITH {DNA} SELECT '>' || doc_id || chr(10) || d || chr(10) AS value FROM dna WHERE length(d) > 600")
+def fasta_text(spark, sf_dir):
+    """Sequences of more than 600 letters as records."""
+    return fasta_lines(adapter.dna(spark, sf_dir).withColumn("id", F.col("id").cast("string")), least=600)
+
+
+@query(
+    f"""WITH {DNA}, x AS (SELECT doc_id, d, length(d) AS n, doc_id % 40 AS sc, doc_id % 3 AS ps, doc_id % 7 AS pe FROM dna WHERE length(d) >= 30),
+e AS (SELECT doc_id, d, 1 AS ps, 1 + doc_id % 11 AS s, 12 AS e, sc, 5 AS pe, 1 AS o FROM x UNION ALL SELECT doc_id, d, 6 + ps, 15, 20 + doc_id % 9, sc, 10 + pe, 2 FROM x)
+SELECT 'p' || doc_id AS prot, 'd' || doc_id AS gene, 'start_codon' AS type, s, s + 2 AS e FROM e WHERE o = 1 AND sc > 25 AND d[s:s + 2] = 'ATG'
+UNION ALL SELECT 'p' || doc_id, 'd' || doc_id, 'stop_codon', e + 1, e + 3 FROM e WHERE o = 2 AND sc > 25 AND 18 - pe < 5 AND d[e + 1:e + 3] IN ('TAA', 'TAG', 'TGA')"""
+)
+def terminal_codons(spark, sf_dir):
+    """Start and stop codons at the ends of alignments of two exons."""
+    some = adapter.dna(spark, sf_dir).where(F.length("seq") >= 30)
+    return short(exons.terminal_codons(adapter.two_exons(some), some.select(F.concat(F.lit("d"), "id").alias("gene"), "seq"), some.select(F.concat(F.lit("p"), "id").alias("prot"), F.lit(18).alias("length"))))
+
+
+@query(f"WITH {PAIRS}, o AS (SELECT gene, prot, row_number() OVER (ORDER BY sc DESC, gene, prot) AS ordinal FROM pairs), r AS (SELECT *, lag(gene) OVER (ORDER BY ordinal) AS before FROM o) SELECT gene, prot, CAST(ordinal AS bigint) AS ordinal FROM r WHERE before IS DISTINCT FROM gene")
+def run_starts(spark, sf_dir):
+    """The first pair of each run of one gene in a list whose genes don't lie together."""
+    listed = adapter.ranked_pairs(spark, sf_dir).withColumn("ordinal", F.row_number().over(Window.orderBy(F.desc("score"), "gene", "prot")).cast("long")).drop("score")
+    return hints.run_starts(listed)
+
+
+@query(
+    f"""WITH {gtf_sql('gn', 6)}, {gtf_sql('go', 7)}, {", ".join(f"l{k} AS (SELECT gene, tx FROM (SELECT gene, tx, row_number() OVER (PARTITION BY gene ORDER BY sum(e - s) DESC, min(ln), tx) AS r FROM {k} GROUP BY gene, tx HAVING sum(e - s) > 0) WHERE r = 1), k{k} AS (SELECT * FROM {k} SEMI JOIN l{k} USING (gene, tx))" for k in ("gn", "go"))},
+{SIGNATURES.replace('FROM gn', 'FROM kgn').replace('FROM go', 'FROM kgo')}, {SAME}
+SELECT seqid, s, e, strand, gene, 'fresh' AS origin FROM kgn WHERE gene IN (SELECT gene FROM sn WHERE sig NOT IN (SELECT sig FROM so)) UNION ALL SELECT seqid, s, e, strand, same.gene, 'reused' FROM go JOIN same ON go.gene = same.old"""
+)
+def iter_union(spark, sf_dir):
+    """Hints of changed genes made anew, those of unchanged ones taken over under their new names. Here a gene's segments are its hints."""
+    new, old = adapter.genes(spark, sf_dir, 6), adapter.genes(spark, sf_dir, 7)
+    fresh = lambda seeds: seeds.withColumn("origin", F.lit("fresh"))
+    _, both = standard.next_iteration(new, old, old.withColumn("origin", F.lit("reused")), fresh)
+    return short(both.select("seqid", "start", "end", "strand", "gene", "origin"))
+
+
+@query(
+    f"""WITH {H}, {PAIRS}, {TOP}, f AS (SELECT h.* FROM h SEMI JOIN pairs USING (gene, prot)), t AS (SELECT f.* FROM f SEMI JOIN top USING (gene, prot)),
+{COMB.split('FROM lineitem), ')[1].replace('FROM h', 'FROM f')}, {CHAINS.format(more='').replace('FROM h', 'FROM t')},
+{SUPPORT.split('GROUP BY seqid, type, s, e, strand), ')[1]}, sup AS (SELECT * FROM comb WHERE type = 'CDS' AND CASE WHEN strand = '+' THEN s - 1 IN (SELECT p FROM ie) OR s IN (SELECT p FROM st) ELSE e + 1 IN (SELECT p FROM ie) OR e IN (SELECT p FROM st) END),
+ov AS ({OVERLAP.format(starts='comb', cds='sup')}), al AS (SELECT seqid, type, s, e, strand, score, al, ss, 0 AS cds_overlap FROM comb WHERE type IN ('Intron', 'stop_codon') UNION ALL SELECT * FROM ov),
+c AS (SELECT a.*, CAST(CASE WHEN -4.00529 + 4.73909 * (score / m) + 9.09026 * al >= 0.85 THEN 2 ELSE 0 END AS int) AS class FROM al a, (SELECT median(score) AS m FROM al))
+SELECT seqid, {KIND}, s, e, strand, 'P' AS src, score AS mult, class, NULL AS grp FROM c
+UNION ALL SELECT seqid, {KIND}, s, e, strand, 'M', score, NULL, NULL FROM al WHERE {HC} AND cds_overlap <= 0
+UNION ALL SELECT seqid, {KIND}, s, e, strand, 'C', 1, NULL, prot || '_' || gene FROM ch"""
+)
+def standard_export(spark, sf_dir):
+    """The whole run from raw hints and pairs to the export: top flags, combining, support, overlap, classes, filter, chains."""
+    out = standard.standard_run(adapter.raw_hints(spark, sf_dir), ordered_pairs(spark, sf_dir))
+    return short(out.export.select("seqid", "type", "start", "end", "strand", "src", "mult", "class", "grp"))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

@@ -95,8 +95,8 @@ def signatures(genes: DataFrame) -> DataFrame:
 
 
 def changed_genes(new: DataFrame, old: DataFrame) -> DataFrame:
-    """gene and old_gene of the new genes; old_gene is null where no old gene has the signature, and the last such one where several have."""
-    before = signatures(old).groupBy("signature").agg(F.max_by("gene", "first").alias("old_gene"))
+    """gene and old_gene of the new genes; old_gene is null where no old gene has the signature, and the last such one (then the last name) where several have."""
+    before = signatures(old).groupBy("signature").agg(F.max_by("gene", F.struct("first", "gene")).alias("old_gene"))
     return signatures(new).join(before, "signature", "left").select("gene", "old_gene", "signature", "first")
 
 
@@ -107,6 +107,6 @@ def unique_seeds(new: DataFrame, old: DataFrame) -> DataFrame:
 
 def reused_hints(new: DataFrame, old: DataFrame, hints: DataFrame) -> DataFrame:
     """Hints of old genes that a new gene equals, under the new name; of several new names the last stands."""
-    names = changed_genes(new, old).where("old_gene IS NOT NULL").groupBy("old_gene").agg(F.max_by("gene", "first").alias("_gene"))
+    names = changed_genes(new, old).where("old_gene IS NOT NULL").groupBy("old_gene").agg(F.max_by("gene", F.struct("first", "gene")).alias("_gene"))
     joined = hints.join(names, hints["gene"] == names["old_gene"])
     return joined.select(*(F.col("_gene").alias("gene") if c == "gene" else hints[c] for c in hints.columns))

@@ -10,9 +10,14 @@ from hintforge.functions.attributes import gff_attribute, gtf_attribute, rendere
 COLUMNS = "seqid string, source string, type string, start string, end string, score string, strand string, phase string, attrs string"
 
 
-def _rows(spark: SparkSession, path: str) -> DataFrame:
-    """Tab-separated rows with their place in the file; blank lines and comments go."""
-    text = spark.read.text(path).select(F.monotonically_increasing_id().alias("ordinal"), F.regexp_replace("value", r"\r$", "").alias("line"))
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """ordinal (the place in the files) and line."""
+    return spark.read.text(path).select(F.monotonically_increasing_id().alias("ordinal"), F.col("value").alias("line"))
+
+
+def _rows(lines: DataFrame) -> DataFrame:
+    """Tab-separated cells of lines(ordinal, line); blank lines and comments go."""
+    text = lines.select("ordinal", F.regexp_replace("line", r"\r$", "").alias("line"))
     text = text.where(~F.col("line").rlike(r"^\s*(#|$)")).withColumn("cells", F.split("line", "\t"))
     names = [c.split()[0] for c in COLUMNS.split(", ")]
     return text.select("ordinal", "line", F.size("cells").alias("n_cells"), *(F.get("cells", F.lit(i)).alias(n) for i, n in enumerate(names)))
@@ -25,12 +30,21 @@ def _valid(rows: DataFrame) -> DataFrame:
 
 def malformed(spark: SparkSession, path: str) -> DataFrame:
     """Lines that aren't features."""
-    return _valid(_rows(spark, path)).where("NOT valid").select("ordinal", "line")
+    return malformed_lines(numbered_lines(spark, path))
+
+
+def malformed_lines(lines: DataFrame) -> DataFrame:
+    return _valid(_rows(lines)).where("NOT valid").select("ordinal", "line")
 
 
 def read_hints(spark: SparkSession, path: str) -> DataFrame:
     """Well-formed features with their attributes as columns; `ordinal` is the place in the file, al_text the score as written."""
-    rows = _valid(_rows(spark, path)).where("valid")
+    return parsed_hints(numbered_lines(spark, path))
+
+
+def parsed_hints(lines: DataFrame) -> DataFrame:
+    """read_hints of lines(ordinal, line)."""
+    rows = _valid(_rows(lines)).where("valid")
     get = lambda name: gff_attribute(F.col("attrs"), name)
     return rows.select(
         "ordinal", "seqid", "source", "type", F.col("start").cast("long"), F.col("end").cast("long"), F.expr("try_cast(score AS int)").alias("score"), "strand", "phase",
@@ -42,7 +56,12 @@ def read_hints(spark: SparkSession, path: str) -> DataFrame:
 def read_genes(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
     """Seed genes: ordinal, seqid, type, start, end, strand, phase, gene, tx. Lines that aren't features are left out, or, if strict, an error when
     the rows are read."""
-    rows = _valid(_rows(spark, path))
+    return parsed_genes(numbered_lines(spark, path), strict)
+
+
+def parsed_genes(lines: DataFrame, strict: bool = False) -> DataFrame:
+    """read_genes of lines(ordinal, line)."""
+    rows = _valid(_rows(lines))
     if strict:
         rows = rows.withColumn("seqid", F.when(F.col("valid"), F.col("seqid")).otherwise(F.raise_error(F.concat(F.lit("not a feature: "), F.col("line"))).cast("string")))
     rows = rows if strict else rows.where("valid")
