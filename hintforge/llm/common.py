@@ -12,7 +12,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+#: Rows of a table that may be broadcast: names and numbers, some tens of bytes each.
+BROADCAST_ROWS = 1_000_000
 #: Bytes of text that a Python task holds as word objects at one time.
 CHUNK_BYTES = 4 << 20
 
@@ -24,11 +27,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder under spark.checkpoint.dir, which every executor sees.
 
-    Where the session has no such setting (tests, a laptop), a temporary folder becomes the checkpoint folder until the driver ends.
+    A local session without such a setting (tests, a laptop) gets a temporary folder until the driver ends; a cluster's must name one.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not base:
         base = tempfile.mkdtemp(prefix="hintforge-")
         atexit.register(shutil.rmtree, base, ignore_errors=True)
@@ -44,6 +49,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def maybe_broadcast(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """df, marked for broadcast if it has (or holds, if told) BROADCAST_ROWS rows at most. df is a written table, as it may be counted."""
+    return F.broadcast(df) if (df.count() if rows is None else rows) <= BROADCAST_ROWS else df
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """name, with underscores before it until no column of df is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def text_chunks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """The batches in slices of about limit bytes of text, with each row's text as UTF-8 (null: empty).
 
@@ -70,6 +88,13 @@ def segment_ids(counts: np.ndarray) -> np.ndarray:
     return np.repeat(np.arange(len(counts)), counts)
 
 
+def sorted_within(owner: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """The order by owner (from 0), then by value."""
+    order = np.argsort(values)
+    small = owner.astype(np.uint16) if not len(owner) or owner.max() < 1 << 16 else owner  # numpy sorts 16-bit numbers in linear time
+    return order[np.argsort(small[order], kind="stable")]
+
+
 def ragged_take(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The pieces flat[starts[i] : starts[i] + lengths[i]], one after the other."""
     if not len(starts):

@@ -1,15 +1,18 @@
 """Exact n-gram Jaccard join with signature trees (operator 6).
 
 1. Documents with one set of shingles are one class; a class's name is a 64-bit hash of its set.
-2. Classes that may link are brought together without loss. Shingles are put in one order for all sets, frequent ones last; two
-   sets of Jaccard >= t share one of their first n - ceil(t n) + 1 shingles. Each of these is a key with the set's range of sizes, and a set
-   near the top of its range also sends the keys of the next. Keys are joined as stars; their components are the clusters. The
-   order only has to be the same everywhere: it comes from a bitmap of fixed size that marks the most frequent shingles.
-3. A cluster's sets meet in signature trees: a node holds its sets' token bitmaps, combined by OR (and by AND), and their range of
-   sizes. Two trees are walked together; a pair of nodes is dropped if the greatest overlap that its bitmaps and sizes allow is too
-   small. Pairs of leaves not yet joined are verified on the sets. Clusters of more than `block` sets are dealt into blocks by size,
-   and block pairs whose sizes can link are walked apart.
-4. Links make components; each document gets its component's smallest doc_id.
+2. Classes that may link meet in groups without loss. Shingles are put in one order for all sets, rare ones first; two sets of Jaccard >= t
+   share one of their first n - ceil(t n) + 1 shingles. Each of these is a key with the set's range of sizes, and a set near the top of its
+   range also sends the keys of the next. The sets of one key are a group. The order only has to be the same everywhere: it comes from a
+   table of fixed size that holds levels of how often shingles were seen.
+3. A group's sets meet in signature trees: a node holds its sets' token bitmaps, combined by OR (and by AND), and their range of sizes. Two
+   trees are walked together; a pair of nodes is dropped if the greatest overlap that its bitmaps and sizes allow is too small. Only sizes
+   and bitmaps are moved here. Sets that a surviving pair of leaves joins, over all groups, are a cluster.
+4. A cluster's whole sets are brought together once, walked in the same way, and surviving pairs not yet joined are verified on the sets.
+5. Links make components; each document gets its component's smallest doc_id.
+
+Groups and clusters beyond a block are dealt into chunks that also hold a few pivots. What isn't joined to the largest component
+then meets all chunks of sizes that can link (see span_groups), so nothing is lost and near copies of one text cost one move each.
 """
 
 from __future__ import annotations
@@ -17,20 +20,20 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hintforge.llm.common import mix64, ragged_take, segment_ids, stored, text_chunks
-from hintforge.llm.links import PACKED, Forest, connected_components, packed, star_links
+from hintforge.llm.common import maybe_broadcast, mix64, ragged_take, segment_ids, sorted_within, stored, text_chunks
+from hintforge.llm.links import PACKED, SHARD_TEXT, connected_components, key_groups, packed
+from hintforge.llm.signature_trees import BLOCK, own_bitmaps, span_groups
 
-#: Text of one shard of keys, sets of one block, words of a bitmap, children of a tree's node, clustered classes to broadcast.
-SHARD_TEXT, BLOCK, BITMAP_WORDS, FANOUT, BROADCAST_ROWS = 16 << 20, 800, 32, 8, 1_000_000
-#: Bits of the bitmap of frequent shingles, and shingles that it marks at most.
-COMMON_BITS, COMMON_SHINGLES = 1 << 24, 1 << 20
+#: Bytes of text that are worked on at once.
+SLICE = 2 << 20
+#: Cells of the table of levels, shingles that a task holds while it looks for repeated ones, level (log2) from which a key is frequent.
+CELLS, CELL_CHUNK, HELD_SHINGLES, FREQUENT = 1 << 24, 1 << 14, 4 << 20, 10
 ODD = np.uint64(0x9E3779B97F4A7C15)
 #: Stands for a null doc_id where a class's owner is named.
 NOBODY = 2**63 - 1
@@ -47,10 +50,7 @@ def shingle_sets(texts: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray]:
         found = text.lower().split()
         counts[i] = len(found)
         words += found
-    distinct = dict.fromkeys(words)
-    keys = np.fromiter(map(xxhash.xxh3_64_intdigest, distinct), np.uint64, len(distinct))
-    number = dict(zip(distinct, range(len(distinct))))
-    code = keys[np.fromiter(map(number.__getitem__, words), np.int64, len(words))]
+    code = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     doc = segment_ids(counts)
     starts = np.cumsum(counts) - counts
     rolling = code
@@ -62,7 +62,7 @@ def shingle_sets(texts: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray]:
     short = np.flatnonzero((counts > 0) & (counts < n))
     few = np.array([xxhash.xxh3_64_intdigest(b" ".join(words[starts[i] : starts[i] + counts[i]]), seed=1 + int(counts[i])) for i in short], np.uint64)
     owner, hashes = np.concatenate([doc[whole], short]), np.concatenate([rolling[whole], few])
-    order = np.lexsort((hashes, owner))
+    order = sorted_within(owner, hashes)
     owner, hashes = owner[order], hashes[order]
     new = np.append(True, (owner[1:] != owner[:-1]) | (hashes[1:] != hashes[:-1])) if len(owner) else np.zeros(0, bool)
     return hashes[new], np.bincount(owner[new], minlength=len(texts)).astype(np.int64)
@@ -75,198 +75,133 @@ def set_names(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.where(sizes > 0, mix64(sums[ends] - sums[ends - sizes] + sizes.astype(np.uint64)) | np.uint64(1), np.uint64(0)).view(np.int64)
 
 
-def size_ranges(limit: int = 1 << 40) -> list[int]:
-    """The least size of each range; a range ends a quarter above its least size."""
+def size_ranges(num: int, den: int, limit: int = 1 << 40) -> np.ndarray:
+    """The least size of each range; a range ends a quarter, or den / num, above its least size: sets that link lie in one range or two neighbours."""
     out = [1]
     while out[-1] < limit:
-        out.append(max(out[-1] + 1, out[-1] * 5 // 4))
-    return out
+        out.append(max(out[-1] + 1, out[-1] * 5 // 4, -(-out[-1] * den // num)))
+    return np.array(out, np.int64)
 
 
-RANGES = np.array(size_ranges(), np.int64)
+def prefix_keys(hashes: np.ndarray, sizes: np.ndarray, nodes: np.ndarray, num: int, den: int, levels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(key, node) pairs of sets for the threshold num / den: those that share no key don't link."""
+    keys, owner, _ = leveled_keys(hashes, sizes, num, den, levels)
+    return keys, nodes[owner]
 
 
-def prefix_keys(hashes: np.ndarray, sizes: np.ndarray, nodes: np.ndarray, num: int, den: int, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(key, node) pairs of sets for the threshold num / den: those that share no key don't link.
+def leveled_keys(hashes: np.ndarray, sizes: np.ndarray, num: int, den: int, levels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys, numbers of their sets, and levels of their shingles, ordered by set.
 
-    common is a bitmap over hashes, one byte a bit; any bitmap gives a right order, a good one puts frequent shingles last.
+    levels are looked up by hash; any table gives a right order, a good one puts frequent shingles last.
     """
     doc = segment_ids(sizes)
-    place = mix64(hashes ^ ODD) >> np.uint64(1)
-    place |= common[(hashes % np.uint64(len(common))).astype(np.int64)].astype(np.uint64) << np.uint64(63)
-    order = np.lexsort((place, doc))
+    level = levels[(hashes % np.uint64(len(levels))).astype(np.int64)]
+    place = (mix64(hashes ^ ODD) >> np.uint64(6)) | (level.astype(np.uint64) << np.uint64(58))
+    order = sorted_within(doc, place)
     starts = np.cumsum(sizes) - sizes
     prefix = sizes - -(-num * sizes // den) + 1
     first = order[np.arange(len(order)) - starts[doc] < prefix[doc]]
-    owner = doc[first]
-    own = np.searchsorted(RANGES, sizes, side="right") - 1
+    owner, of, ranges = doc[first], level[first], size_ranges(num, den)
+    own = np.searchsorted(ranges, sizes, side="right") - 1
     mine = mix64(hashes[first] * ODD + own[owner].astype(np.uint64))
-    guest = (den * sizes >= num * RANGES[own + 1])[owner]
+    guest = (den * sizes >= num * ranges[own + 1])[owner]
     above = mix64(hashes[first][guest] * ODD + (own[owner][guest] + 1).astype(np.uint64))
-    return np.concatenate([mine, above]), np.concatenate([nodes[owner], nodes[owner][guest]])
+    keys, sets, of = np.concatenate([mine, above]), np.concatenate([owner, owner[guest]]), np.concatenate([of, of[guest]])
+    by_set = np.argsort(sets, kind="stable")
+    return keys[by_set], sets[by_set], of[by_set]
 
 
-def common_shingles(docs: DataFrame, n: int) -> Broadcast:
-    """A broadcast bitmap of COMMON_BITS of the most frequent shingles, up to COMMON_SHINGLES of them.
+def distinct_sets(nodes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The first place of each node whose set isn't empty, in order."""
+    first = np.sort(np.unique(nodes, return_index=True)[1])
+    return first[sizes[first] > 0]
 
-    Each task sends the shingles that several different sets of a slice share; sums over all slices give their order.
-    """
-    spark = docs.sparkSession
 
-    def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, texts in text_chunks(batches):
-            flat, sizes = shingle_sets(texts, n)
-            once = np.zeros(len(sizes), bool)
-            once[np.unique(set_names(flat, sizes), return_index=True)[1]] = True
-            found, times = np.unique(flat[once[segment_ids(sizes)]], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(found[times > 1].view(np.int64)), pa.array(times[times > 1].astype(np.int64))], ["shingle", "n"])
-
-    counts = stored(docs.select("doc_id", "text").mapInArrow(repeated, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")), "common")
-    levels = counts.groupBy(F.floor(F.log2("n")).alias("level")).count().collect()  # a row for each power of two
-    least, held = 64, 0
-    for level, k in sorted(((r["level"], r["count"]) for r in levels), reverse=True):
-        held += k
-        if held > COMMON_SHINGLES:
-            break
-        least = level
-    bits = np.zeros(COMMON_BITS, np.uint8)
-    top = counts.where(F.floor(F.log2("n")) >= least).select("shingle").toPandas()["shingle"].to_numpy(np.int64)  # COMMON_SHINGLES at most
-    bits[(top.view(np.uint64) % np.uint64(COMMON_BITS)).astype(np.int64)] = 1
-    return spark.sparkContext.broadcast(np.packbits(bits))
-
-
-class SignatureTree:
-    """Levels from leaves (one set each) to the root, with OR and AND bitmaps and least and greatest sizes."""
-
-    def __init__(self, sets: list[np.ndarray]):
-        self.sets = sets
-        bits = np.zeros((len(sets), BITMAP_WORDS), np.uint64)
-        for i, s in enumerate(sets):
-            at = s % np.uint64(BITMAP_WORDS * 64)
-            np.bitwise_or.at(bits[i], (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
-        sizes = np.array([len(s) for s in sets], np.int64)
-        self.levels = [(bits, bits, sizes, sizes)]
-        while len(self.levels[-1][0]) > 1:
-            cut = np.arange(0, len(self.levels[-1][0]), FANOUT)
-            o, a, low, high = self.levels[-1]
-            self.levels.append((np.bitwise_or.reduceat(o, cut), np.bitwise_and.reduceat(a, cut), np.minimum.reduceat(low, cut), np.maximum.reduceat(high, cut)))
-
-
-def may_link(x: tuple, y: tuple, i: np.ndarray, j: np.ndarray, num: int, den: int) -> np.ndarray:
-    """Whether the greatest possible overlap of nodes i and j of two levels reaches num / den of the least possible union."""
-    keep = np.zeros(len(i), bool)
-    for at in range(0, len(i), 1 << 15):
-        p, q = i[at : at + (1 << 15)], j[at : at + (1 << 15)]
-        left = x[3][p] - np.bitwise_count(x[1][p] & ~y[0][q]).sum(1, dtype=np.int64)
-        right = y[3][q] - np.bitwise_count(y[1][q] & ~x[0][p]).sum(1, dtype=np.int64)
-        keep[at : at + (1 << 15)] = (den + num) * np.minimum(left, right) >= num * (x[2][p] + y[2][q])
-    return keep
-
-
-def tree_links(a: SignatureTree, b: SignatureTree | None, num: int, den: int, forest: Forest, shift: int = 0) -> Iterator[tuple[int, int]]:
-    """Links between sets of two trees (or within one), enough to span what is linked; b's sets are numbered from shift on."""
-    same, b = b is None, b or a
-    depth = max(len(a.levels), len(b.levels)) - 1
-    i = j = np.zeros(1, np.int64)
-    for level in range(depth, -1, -1):
-        x, y = a.levels[min(level, len(a.levels) - 1)], b.levels[min(level, len(b.levels) - 1)]
-        keep = may_link(x, y, i, j, num, den)
-        i, j = i[keep], j[keep]
-        if level:
-            down = lambda t, k: (k[:, None] * FANOUT + np.arange(FANOUT)) if level < len(t.levels) else k[:, None]
-            ci, cj = down(a, i), down(b, j)
-            i, j = np.broadcast_arrays(ci[:, :, None], cj[:, None, :])
-            i, j = i.ravel(), j.ravel()
-            sizes = [len(t.levels[min(level - 1, len(t.levels) - 1)][0]) for t in (a, b)]
-            inside = (i < sizes[0]) & (j < sizes[1])
-            if same:
-                inside &= i <= j
-            i, j = i[inside], j[inside]
-    for p, q in zip(i.tolist(), j.tolist()):
-        if (same and p == q) or forest.root(p) == forest.root(q + shift):
-            continue
-        s, t = a.sets[p], b.sets[q]
-        at = np.minimum(np.searchsorted(t, s), len(t) - 1)
-        both = int((t[at] == s).sum())
-        if den * both >= num * (len(s) + len(t) - both):
-            forest.join(p, q + shift)
-            yield p, q + shift
-
-
-def tree_order(sets: list[np.ndarray]) -> list[int]:
-    """Likely partners side by side: by least hash, then size."""
-    return sorted(range(len(sets)), key=lambda k: (int(sets[k][0]), len(sets[k])))
-
-
-def linked_sets(sets: DataFrame, classes: DataFrame, num: int, den: int, block: int = BLOCK) -> DataFrame:
-    """(a, b) links that span the Jaccard graph of sets(cluster, node, size, hashes binary).
-
-    classes(cluster, node, size, ...) has the same classes without the sets, each once, so that counting doesn't move sets. Only clusters of
-    more than `block` classes are looked up when sets are dealt; a table of BROADCAST_ROWS classes has few of them.
-    """
-    size_class = F.floor(F.log("size") / F.log(F.lit(den / num)) + 1e-9).cast("int")
-    totals = classes.withColumn("size_class", size_class).groupBy("cluster", "size_class").agg(F.count("*").alias("n"))
-    large = totals.groupBy("cluster").agg(F.sum("n").alias("all_n"), F.map_from_entries(F.collect_list(F.struct("size_class", F.ceil(F.col("n") / block).cast("int")))).alias("blocks"))
-    large = large.where(F.col("all_n") > block).drop("all_n")
-    dealt = sets.withColumn("size_class", size_class).join(F.broadcast(large) if classes.count() <= BROADCAST_ROWS else large, "cluster", "left")
-    # block pairs of a row: (class, block, class, block, side)
-    blocks_of = lambda c: F.coalesce(F.try_element_at("blocks", c), F.lit(0))
-    own, mine = F.col("size_class"), F.pmod(F.xxhash64("node"), F.greatest(blocks_of(F.col("size_class")), F.lit(1))).cast("int")
-    upto = lambda n: F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
-    pair = lambda c, i, d, j, side: F.struct(c.alias("c"), i.alias("i"), d.alias("d"), j.alias("j"), F.lit(side).alias("side"))
-    within = F.transform(upto(blocks_of(own)), lambda j: pair(own, F.least(F.col("mine"), j), own, F.greatest(F.col("mine"), j), 0).withField("side", F.when(F.col("mine") <= j, 0).otherwise(1)))
-    above = F.transform(upto(blocks_of(own + 1)), lambda j: pair(own, F.col("mine"), own + 1, j, 0))
-    below = F.transform(upto(blocks_of(own - 1)), lambda j: pair(own - 1, j, own, F.col("mine"), 1))
-    alone = F.array(pair(F.lit(0), F.lit(0), F.lit(0), F.lit(0), 0))
-    rows = dealt.withColumn("mine", mine).withColumn("at", F.explode(F.when(F.col("blocks").isNull(), alone).otherwise(F.concat(within, above, below))))
-    rows = rows.select("cluster", "at.c", "at.i", "at.d", "at.j", "at.side", "node", "hashes")
-
-    def walk(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.drop_duplicates("node")
-        sides = []
-        for side in (0, 1):
-            some = part[part["side"] == side]
-            sets = [np.frombuffer(h, np.uint64) for h in some["hashes"]]
-            order = tree_order(sets)
-            sides.append((some["node"].to_numpy()[order], [sets[k] for k in order]))
-        (names, left), (others, right) = sides
-        forest, names = Forest(len(left) + len(right)), np.concatenate([names, others])
-        if right and left:
-            found = list(tree_links(SignatureTree(left), SignatureTree(right), num, den, forest, len(left)))
-        else:
-            found = list(tree_links(SignatureTree(left or right), None, num, den, forest))
-        at = np.array(found, np.int64).reshape(-1, 2)
-        return pd.DataFrame({"a": names[at[:, 0]], "b": names[at[:, 1]]})
-
-    return rows.groupBy("cluster", "c", "i", "d", "j").applyInPandas(walk, "a long, b long")
-
-
-def doc_classes(docs: DataFrame, n: int) -> DataFrame:
-    """doc_id, copy (a hash of the text), size, node for each row of docs."""
+def taken(flat: np.ndarray, sizes: np.ndarray, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sets numbered `some`."""
+    return ragged_take(flat, (np.cumsum(sizes) - sizes)[some], sizes[some]), sizes[some]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in text_chunks(batches):
-            flat, sizes = shingle_sets(texts, n)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("copy"), pa.array(sizes), pa.array(set_names(flat, sizes))], ["doc_id", "copy", "size", "node"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("copy")).mapInArrow(run, "doc_id long, copy long, size long, node long")
+#: What one pass over the texts finds: rows of documents, and shingles that several different sets of a task's buffer hold.
+SETS = "doc_id long, copy long, size long, node long, low long, bits binary, shingle long, times long"
+SETS_ARROW = pa.schema([("doc_id", pa.int64()), ("copy", pa.int64()), ("size", pa.int64()), ("node", pa.int64()), ("low", pa.int64()), ("bits", pa.binary()), ("shingle", pa.int64()), ("times", pa.int64())])
 
 
-def owned_sets(docs: DataFrame, n: int) -> DataFrame:
-    """owner, size, node, hashes: each class that is not empty once a slice, with its smallest doc_id there (NOBODY: null)."""
+def named_sets(docs: DataFrame, n: int) -> DataFrame:
+    """A row for each row of docs (copy: a hash of the text, node: its set's name, low: its least hash), whose bits are null but for the first of a
+    node in a task's buffer; and rows of repeated shingles alone. Written."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in text_chunks(batches):
+        held: list[np.ndarray] = []
+        seen: set[int] = set()
+
+        def repeated() -> pa.RecordBatch:
+            flat = np.concatenate(held)
+            flat.sort()
+            first = np.flatnonzero(np.append(True, flat[1:] != flat[:-1])[: len(flat)])
+            times = np.diff(first, append=len(flat))
+            often = times > 1
+            none = pa.nulls(int(often.sum()))
+            cols = [none.cast(f.type) for f in list(SETS_ARROW)[:6]]
+            return pa.RecordBatch.from_arrays([*cols, pa.array(flat[first[often]].view(np.int64)), pa.array(times[often].astype(np.int64))], schema=SETS_ARROW)
+
+        for part, texts in text_chunks(batches, limit=SLICE):
             flat, sizes = shingle_sets(texts, n)
-            nodes, ids = set_names(flat, sizes), part.column("doc_id").fill_null(NOBODY).to_numpy()
-            order = np.lexsort((ids, nodes))
-            once = order[np.append(True, np.diff(nodes[order]) != 0)]
-            once = once[sizes[once] > 0]
+            names = set_names(flat, sizes)
+            once = distinct_sets(names, sizes)
+            once = once[np.array([k not in seen for k in names[once].tolist()], bool)]
+            seen.update(names[once].tolist())
+            some, some_sizes = taken(flat, sizes, once)
+            bits: list = [None] * len(texts)
+            for k, row in zip(once.tolist(), own_bitmaps(some, some_sizes)):
+                bits[k] = row
+            low = np.zeros(len(texts), np.int64)
+            full = sizes > 0
+            low[full] = flat[(np.cumsum(sizes) - sizes)[full]].view(np.int64)
+            none = pa.nulls(len(texts), pa.int64())
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("copy"), pa.array(sizes), pa.array(names), pa.array(low), pa.array(bits, pa.binary()), none, none], schema=SETS_ARROW)
+            held.append(some)
+            if sum(map(len, held)) > HELD_SHINGLES:
+                yield repeated()
+                held.clear(), seen.clear()
+        if held:
+            yield repeated()
+
+    texts = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("copy"))
+    return stored(texts.mapInArrow(run, SETS), "sets")
+
+
+def shingle_levels(sets: DataFrame) -> Broadcast:
+    """A broadcast table of CELLS levels, by hash: floor(log2) of how often the most frequent shingle of the cell was seen in buffers that
+    had it twice, and one more; 0 for none. The driver gets CELLS bytes, whatever the corpus."""
+    counts = sets.where("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("times").alias("n"))
+    # as the unsigned hash's remainder; CELLS is a power of two
+    cell = F.col("shingle").bitwiseAND(F.lit(CELLS - 1)).cast("int")
+    level = F.least(F.floor(F.log2("n")) + 1, F.lit(63)).cast("byte")
+    cells = counts.select(cell.alias("cell"), level.alias("level")).groupBy("cell").agg(F.max("level").alias("level"))
+    chunk = F.floor(F.col("cell") / CELL_CHUNK).cast("int").alias("chunk")
+    listed = cells.groupBy(chunk).agg(F.collect_list("cell").alias("cells"), F.collect_list("level").alias("levels"))  # CELL_CHUNK at most
+    table = np.zeros(CELLS, np.uint8)
+    for r in listed.toLocalIterator():
+        table[np.array(r["cells"], np.int64)] = np.array(r["levels"], np.uint8)
+    return sets.sparkSession.sparkContext.broadcast(table)
+
+
+def whole_sets(docs: DataFrame, owners: DataFrame, n: int) -> DataFrame:
+    """group, node, size, low, data: the sets of owners(node, owner, copy, group), taken from the texts of the rows that own them."""
+    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NOBODY)).alias("owner"), "text", F.xxhash64("text").alias("copy"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, some in text_chunks(batches, limit=SLICE):
+            flat, sizes = shingle_sets(some, n)
+            once = distinct_sets(part.column("node").to_numpy(), sizes)
             ends = np.cumsum(sizes)
-            sets = [flat[ends[k] - sizes[k] : ends[k]].tobytes() for k in once]
-            yield pa.RecordBatch.from_arrays([pa.array(ids[once]), pa.array(sizes[once]), pa.array(nodes[once]), pa.array(sets, pa.binary())], ["owner", "size", "node", "hashes"])
+            sets = [flat[ends[k] - sizes[k] : ends[k]] for k in once]
+            at = pa.array(once)
+            low = np.array([s[0] for s in sets], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([part.column("group").take(at), part.column("node").take(at), pa.array(sizes[once]), pa.array(low), pa.array([s.tobytes() for s in sets], pa.binary())], ["group", "node", "size", "low", "data"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "owner long, size long, node long, hashes binary")
+    return texts.join(maybe_broadcast(owners), ["owner", "copy"]).mapInArrow(run, "group long, node long, size long, low long, data binary").dropDuplicates(["node"])
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, threshold: tuple[int, int] = (8, 10), block: int = BLOCK) -> DataFrame:
@@ -277,37 +212,47 @@ def jaccard_components(docs: DataFrame, n: int = 5, threshold: tuple[int, int] =
     stay null and don't count for the smallest. An empty table gives an empty one; other columns are not read.
     """
     named = row_components(docs, n, threshold, block)
+    full, empty = named.where("size > 0"), named.where("size = 0")
     # written before the join: both its sides are then plain shuffles, of which AQE splits a hot component over several tasks
-    least = stored(named.where("size > 0").groupBy("component").agg(F.min("doc_id").alias("least")), "least")
-    out = named.join(least, "component", "left")
-    return out.select("doc_id", F.col("size").alias("n_shingles"), F.when(F.col("size") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
+    least = stored(full.groupBy("component").agg(F.min("doc_id").alias("least")), "least")
+    out = full.join(maybe_broadcast(least), "component").select("doc_id", F.col("size").alias("n_shingles"), F.col("least").alias("component_id"))
+    return out.unionByName(empty.select("doc_id", F.col("size").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
 
 def row_components(docs: DataFrame, n: int, threshold: tuple[int, int], block: int = BLOCK) -> DataFrame:
     """doc_id, copy, size, node, component for each row of docs; component is the name of a class of the component."""
     num, den = threshold
-    rows = stored(doc_classes(docs, n), "sets")
+    sets = named_sets(docs, n)
+    rows = sets.where("shingle IS NULL")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-size // SHARD_TEXT))
-
-    common = common_shingles(docs, n)
+    levels = shingle_levels(sets)
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(common.value)
-        for _, texts in text_chunks(batches):
+        for _, texts in text_chunks(batches, limit=SLICE):
             flat, sizes = shingle_sets(texts, n)
-            yield packed(*prefix_keys(flat, sizes, set_names(flat, sizes), num, den, bits), shards)
-
-    near = star_links(docs.select("doc_id", "text").mapInArrow(keys, PACKED))
-    clusters = connected_components(near)
-    clusters = stored(clusters.unionByName(clusters.select(F.col("component").alias("node"), "component").distinct()), "clusters").withColumnRenamed("component", "cluster")
-    mine = rows.join(clusters, "node").groupBy("node", "cluster").agg(F.coalesce(F.min("doc_id"), F.lit(NOBODY)).alias("owner"), F.max("size").alias("size"))
-    classes = stored(mine, "classes")
-    # one copy of a class's set, its owner's, is moved, and once: to where its cluster's trees are walked
-    owners = classes.select("node", "owner", "cluster")
-    sets = owned_sets(docs, n).join(F.broadcast(owners) if classes.count() <= BROADCAST_ROWS else owners, ["node", "owner"])
-    links = connected_components(linked_sets(sets, classes, num, den, block))
-    return rows.join(links, "node", "left").withColumn("component", F.coalesce("component", "node"))
+            names = set_names(flat, sizes)
+            once = distinct_sets(names, sizes)
+            key, owner, level = leveled_keys(*taken(flat, sizes, once), num, den, levels.value)
+            yield packed(key, names[once][owner], level >= FREQUENT, shards)
+
+    groups = key_groups(docs.select("text").mapInArrow(keys, PACKED))
+    near = stored(groups.select("node").distinct(), "near")
+    owner = F.struct(F.coalesce("doc_id", F.lit(NOBODY)).alias("owner"), "copy")
+    known = rows.where("size > 0").join(maybe_broadcast(near), "node").groupBy("node").agg(F.max("size").alias("size"), F.max("low").alias("low"), F.max("bits").alias("data"), F.min(owner).alias("first"))
+    known = stored(known.select("node", "size", "low", "data", "first.owner", "first.copy"), "known")
+    candidates = span_groups(groups.join(known.drop("owner", "copy"), "node"), False, num, den, block)
+    clusters = stored(with_roots(connected_components(candidates)).withColumnRenamed("component", "group"), "clusters")
+    owners = stored(known.select("node", "owner", "copy").join(clusters, "node"), "owners")
+    links = connected_components(span_groups(whole_sets(docs, owners, n), True, num, den, block))
+    plain = rows.select("doc_id", "copy", "size", "node")
+    named = plain.where("size > 0").join(maybe_broadcast(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    return named.unionByName(plain.where("size = 0").withColumn("component", F.col("node")))
+
+
+def with_roots(components: DataFrame) -> DataFrame:
+    """(node, component) with a row for each component's own node too."""
+    return components.unionByName(components.select(F.col("component").alias("node"), "component").distinct())
 
 
 def keep_one(docs: DataFrame, n: int = 5, threshold: tuple[int, int] = (8, 10)) -> DataFrame:
@@ -319,10 +264,11 @@ def keep_one(docs: DataFrame, n: int = 5, threshold: tuple[int, int] = (8, 10))
     first = named.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "copy")).alias("first"))
     first = stored(first.select("component", F.col("first.doc_id").alias("first_id"), F.col("first.copy").alias("first_copy")), "firsts")
     stays = F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("copy") == F.col("first_copy"))
-    counted = named.join(first, "component").groupBy(F.col("doc_id").alias("_id"), F.col("copy").alias("_copy"), stays.alias("_stays")).agg(F.count("*").alias("_n"))
+    counted = named.join(maybe_broadcast(first), "component").groupBy(F.col("doc_id").alias("_id"), F.col("copy").alias("_copy"), stays.alias("_stays")).agg(F.count("*").alias("_n"))
     # rows that go, and those that stay but once of several
     marks = stored(counted.where("NOT _stays OR _n > 1").select("_id", "_copy", "_stays"), "marks")
     here = lambda some: docs["doc_id"].eqNullSafe(some["_id"]) & (F.xxhash64(docs["text"]) == some["_copy"])
+    marks = maybe_broadcast(marks)
     out = docs.join(marks, here(marks), "left_anti")
     several = marks.where("_stays")
     if several.isEmpty():

@@ -10,64 +10,69 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hintforge.llm.common import stored
+from hintforge.llm.common import mix64, ragged_take, stored
 
-#: Columns of packed (key, node) arrays; local: the pairs are links already.
-PACKED = "shard int, local boolean, keys binary, nodes binary"
-ARROW = pa.schema([("shard", pa.int32()), ("local", pa.bool_()), ("keys", pa.binary()), ("nodes", pa.binary())])
+#: Columns of packed (key, node) arrays: 32-bit keys of a shard, or whole keys that are frequent.
+PACKED = "shard int, frequent boolean, keys binary, nodes binary"
+ARROW = pa.schema([("shard", pa.int32()), ("frequent", pa.bool_()), ("keys", pa.binary()), ("nodes", pa.binary())])
+#: Text of one shard of keys.
+SHARD_TEXT = 16 << 20
 
 
-def stars(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys with their least node, and links (least node, other node) of each key's group."""
-    order = np.lexsort((nodes, keys))
-    keys, nodes = keys[order], nodes[order]
-    new = np.append(True, keys[1:] != keys[:-1]) if len(keys) else np.zeros(0, bool)
-    first = np.flatnonzero(new)
-    least = nodes[first][np.cumsum(new) - 1] if len(keys) else nodes
-    other = nodes != least
-    return keys[first], nodes[first], *distinct_pairs(least[other], nodes[other])
-
-
-def distinct_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.lexsort((b, a))
-    a, b = a[order], b[order]
-    keep = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])) if len(a) else np.zeros(0, bool)
-    return a[keep], b[keep]
-
-
-def packed(keys: np.ndarray, nodes: np.ndarray, shards: int) -> pa.RecordBatch:
-    """A task's (key, node) pairs for the shuffle: one node for each key, and the task's own links beside them."""
-    keys, nodes, a, b = stars(keys.astype(np.uint64), nodes.astype(np.int64))
+def packed(keys: np.ndarray, nodes: np.ndarray, frequent: np.ndarray, shards: int) -> pa.RecordBatch:
+    """A task's distinct (key, node) pairs for the shuffle. A shard holds all pairs of its keys; frequent keys are kept out of the shards."""
     out: dict[str, list] = {n: [] for n in ARROW.names}
-
-    def put(of: np.ndarray, local: bool, x: np.ndarray, y: np.ndarray) -> None:
-        order = np.lexsort((y, of))  # equal nodes side by side: the shuffle's compression takes them
-        cuts = np.searchsorted(of[order], np.arange(shards + 1))
-        for s, (i, j) in enumerate(zip(cuts, cuts[1:])):
-            if i < j:
-                out["shard"].append(s), out["local"].append(local), out["keys"].append(x[order[i:j]].tobytes()), out["nodes"].append(y[order[i:j]].tobytes())
-
-    put((keys % np.uint64(shards)).astype(np.int64), False, keys, nodes)
-    put((b % shards).astype(np.int64), True, a.view(np.uint64), b)
+    often = np.flatnonzero(frequent)
+    if len(often):
+        out["shard"].append(int(keys[often[0]] % np.uint64(shards))), out["frequent"].append(True)
+        out["keys"].append(keys[often].tobytes()), out["nodes"].append(nodes[often].tobytes())
+    keys, nodes = keys[~frequent], nodes[~frequent]
+    shard = ((keys >> np.uint64(32)) % np.uint64(shards)).astype(np.int64)
+    order = np.argsort(shard, kind="stable")  # equal nodes stay side by side: the shuffle's compression takes them
+    cuts = np.searchsorted(shard[order], np.arange(shards + 1))
+    small = keys.astype(np.uint32)
+    for s in np.flatnonzero(np.diff(cuts)).tolist():
+        at = order[cuts[s] : cuts[s + 1]]
+        out["shard"].append(s), out["frequent"].append(False), out["keys"].append(small[at].tobytes()), out["nodes"].append(nodes[at].tobytes())
     return pa.RecordBatch.from_pydict(out, schema=ARROW)
 
 
-def star_links(packs: DataFrame) -> DataFrame:
-    """(a, b) with a < b: every two nodes that share a key are joined by a path of such links. Distinct.
-
-    A key has as many entries in its shard as tasks sent it, not as many as it has nodes.
+def shared_keys(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(group, node) of keys with two nodes or more; a group's name is a hash of its nodes, so keys of equal nodes are one group."""
+    order = np.lexsort((nodes, keys))
+    keys, nodes = keys[order], nodes[order]
+    same_key = keys[1:] == keys[:-1]
+    once = np.append(True, ~(same_key & (nodes[1:] == nodes[:-1])))[: len(keys)]
+    keys, nodes = keys[once], nodes[once]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    n = np.diff(first, append=len(keys))
+    if not len(first):
+        return nodes, nodes
+    names = np.add.reduceat(mix64(nodes.view(np.uint64) + np.uint64(3)), first)
+    _, kept = np.unique(names, return_index=True)
+    kept = kept[n[kept] > 1]
+    return np.repeat(names[kept], n[kept]).view(np.int64), ragged_take(nodes, first[kept], n[kept])
+
+
+def key_groups(packs: DataFrame) -> DataFrame:
+    """(group, node), distinct and written: the nodes of each key that has two or more.
+
+    A frequent key's pairs stay rows, so that no task holds all of them; any other key is met in its shard.
     """
 
-    def link(part: pd.DataFrame) -> pd.DataFrame:
-        read = lambda rows, kind: [np.frombuffer(x, kind) for x in rows]
-        mine = part[~part["local"]]
-        none = [np.zeros(0, np.int64)]
-        _, _, a, b = stars(np.concatenate([*none, *read(mine["keys"], np.uint64)]).astype(np.uint64), np.concatenate([*none, *read(mine["nodes"], np.int64)]))
-        rest = part[part["local"]]
-        a, b = distinct_pairs(np.concatenate([a, *read(rest["keys"], np.int64)]), np.concatenate([b, *read(rest["nodes"], np.int64)]))
-        return pd.DataFrame({"a": a, "b": b})
+    def meet(part: pd.DataFrame) -> pd.DataFrame:
+        often = part["frequent"].to_numpy(bool)
+        read = lambda rows, kind: np.frombuffer(b"".join(rows), kind)
+        group, node = shared_keys(read(part["keys"][~often], np.uint32), read(part["nodes"][~often], np.int64))
+        key, member = read(part["keys"][often], np.int64), read(part["nodes"][often], np.int64)
+        return pd.DataFrame({"frequent": np.repeat([False, True], [len(group), len(key)]), "group": np.concatenate([group, key]), "node": np.concatenate([node, member])})
 
-    return packs.groupBy("shard").applyInPandas(link, "a long, b long").distinct()
+    # frequent pairs are spread by the row they came in, not by their keys
+    spread = packs.withColumn("shard", F.when(F.col("frequent"), F.pmod(F.xxhash64("nodes"), F.lit(1 << 20)).cast("int")).otherwise(F.col("shard")))
+    made = stored(spread.groupBy("frequent", "shard").applyInPandas(meet, "frequent boolean, group long, node long").distinct(), "keys")
+    often = made.where("frequent").select("group", "node")
+    several = often.groupBy("group").agg(F.count("*").alias("n")).where("n > 1").select("group")
+    return made.where("NOT frequent").select("group", "node").unionByName(often.join(stored(several, "frequent"), "group"))
 
 
 class Forest:
@@ -98,14 +103,20 @@ def thinned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.filter(pa.array(keep, pa.bool_()))
 
 
-def connected_components(links: DataFrame) -> DataFrame:
-    """(node, component) for the nodes of links(a long, b long): component is the least node reachable.
+#: Links up to which one task joins them: a bounded number, so it isn't a task that grows with the corpus.
+TASK_LINKS = 250_000
+
 
-    Large-star and small-star steps alternate until the links don't change; each round's links are written to the shared
-    folder. Nodes without links, and a link from a node to itself, give no row.
+def connected_components(links: DataFrame, task_links: int = TASK_LINKS) -> DataFrame:
+    """(node, component), written, for the nodes of links(a long, b long): component is the least node reachable.
+
+    Beyond task_links links, large-star and small-star steps alternate until the links don't change; each round's links are written to the shared
+    folder. Nodes without links, a component's own node and a link from a node to itself give no row.
     """
     start = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     now, before = stored(start.mapInArrow(thinned, "a long, b long").distinct(), "links"), None
+    if now.count() <= task_links:
+        return stored(now.coalesce(1).mapInArrow(joined, "node long, component long"), "components")
     while True:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
@@ -117,3 +128,16 @@ def connected_components(links: DataFrame) -> DataFrame:
         if state == before:
             return now.select(F.col("a").alias("node"), F.col("b").alias("component"))
         before = state
+
+
+def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The components of all links of a task."""
+    held = [np.stack([b.column(n).to_numpy() for n in ("a", "b")]) for b in batches]
+    a, b = np.concatenate([np.zeros((2, 0), np.int64), *held], axis=1)
+    names, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    forest = Forest(len(names))
+    for x, y in zip(at[: len(a)].tolist(), at[len(a) :].tolist()):
+        forest.join(x, y)
+    roots = np.array([forest.root(k) for k in range(len(names))], np.int64)
+    rest = roots != np.arange(len(names))
+    yield pa.RecordBatch.from_arrays([pa.array(names[rest]), pa.array(names[roots[rest]])], ["node", "component"])

@@ -91,10 +91,60 @@ def test_prefix_keys_lose_no_link():
 def test_connected_components(spark):
     gen = random.Random(1)
     pairs = [(gen.randint(0, 400), gen.randint(0, 400)) for _ in range(230)] + [(1000 + i, 1001 + i) for i in range(60)] + [(-5, 5), (3, 3)]
-    got = dict(tuple(r) for r in links.connected_components(spark.createDataFrame(pairs, "a long, b long")).collect())
+    table = spark.createDataFrame(pairs, "a long, b long")
+    got = dict(tuple(r) for r in links.connected_components(table).collect())
+    assert got == dict(tuple(r) for r in links.connected_components(table, task_links=0).collect())
     names = sorted({x for p in pairs for x in p})
     at, forest = {x: i for i, x in enumerate(names)}, links.Forest(len(names))
     for a, b in pairs:
         forest.join(at[a], at[b])
     want = {x: names[forest.root(at[x])] for x in names if forest.root(at[x]) != at[x]}
     assert got == want
+
+
+def test_groups_beyond_a_block_lose_no_link(spark):
+    """Walks dealt into chunks, with and without sets, against all pairs; sets of very different sizes have bitmaps of different widths."""
+    from hintforge.llm import signature_trees as st
+
+    gen, rows, sets = np.random.default_rng(9), [], {}
+    for g in range(3):
+        for base in [gen.integers(0, 2**63, n).astype(np.uint64) for n in (30, 60, 6000)]:
+            for _ in range(14):
+                keep = base[gen.random(len(base)) > gen.choice([0.01, 0.06, 0.15])]
+                s = np.unique(np.concatenate([keep, gen.integers(0, 2**63, 2).astype(np.uint64)]))
+                node = len(sets)
+                sets[node] = s
+                rows.append((g, node, len(s), int(s[0].view(np.int64)), s))
+    forest = links.Forest(len(sets))
+    for g in range(3):
+        mine = [r[1] for r in rows if r[0] == g]
+        for p in mine:
+            for q in mine:
+                both = len(np.intersect1d(sets[p], sets[q]))
+                if p < q and 10 * both >= 8 * (len(sets[p]) + len(sets[q]) - both):
+                    forest.join(p, q)
+    want = [forest.root(k) for k in range(len(sets))]
+    schema = "group long, node long, size long, low long, data binary"
+    whole = spark.createDataFrame([(*r[:4], bytearray(r[4].tobytes())) for r in rows], schema)
+    bits = spark.createDataFrame([(*r[:4], bytearray(st.own_bitmaps(r[4], np.array([len(r[4])]))[0])) for r in rows], schema)
+    for block in (800, 6):
+        for exact, table in ((True, whole), (False, bits)):
+            found = links.Forest(len(sets))
+            for r in st.span_groups(table, exact, 8, 10, block).collect():
+                found.join(r.a, r.b)
+            got = [found.root(k) for k in range(len(sets))]
+            if exact:
+                assert got == want
+            else:  # what may link holds what does, and little else
+                assert all(got[k] == got[want[k]] for k in range(len(sets))) and len(set(got)) > 0.5 * len(set(want))
+
+
+def test_unrelated_sets_do_not_chain(spark):
+    """Passages that many texts share: no candidate cluster holds unrelated texts, however many chains of shared shingles there are."""
+    gen = random.Random(12)
+    shared = [" ".join(f"s{gen.randint(0, 10**6)}" for _ in range(12)) for _ in range(40)]
+    rows = [(i, " ".join(f"u{gen.randint(0, 10**7)}" for _ in range(60)) + " " + shared[i % 40] + " " + shared[(i * 7 + 1) % 40]) for i in range(3000)]
+    rows += [(5000 + i, rows[i][1] + " end") for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.component_id for r in jj.jaccard_components(docs, 5, (8, 10)).collect()}
+    assert all(got[i] == i for i in range(3000)) and all(got[5000 + i] == i for i in range(100))
