@@ -1,17 +1,19 @@
-"""Substring dedup: repeated passages found as paragraphs, verified and clustered (operator 7).
+"""Substring dedup: repeated passages found as paragraphs by MinHash banding, verified and clustered (operator 7).
 
-Two kinds of paragraphs are looked at:
+Two kinds of paragraphs cover all texts; both are sets of 5-word shingles, both are banded, and both are verified by exact Jaccard:
 
-- lines of at least MIN_LINE words. They get MinHash signatures of their 5-word shingles, in BANDS bands of BAND_ROWS rows (a pair
-  of Jaccard 0.8 meets in some band with probability 0.992, one of 0.5 with 0.32). Colliding lines make clusters, and every
-  cluster's pairs are verified by exact Jaccard in signature trees (see jaccard_join), which gives components;
-- passages that lie anywhere inside other text. A window of PASSAGE words opens at each winnowed anchor (a 5-gram whose hash is the
-  least of some REACH in a row), so that two texts with PASSAGE + REACH - 1 = 50 words in common open the same window. Windows collide
-  on their whole content, which is Jaccard 1. Then all windows
-  around those found are joined the same way, so that spans reach the first and last word of what is shared.
+- lines of at least MIN_LINE words, in BANDS bands of BAND_ROWS rows (a pair of Jaccard 0.8 meets in some band with probability 0.992, one
+  of 0.5 with 0.32);
+- blocks of PASSAGE words, whatever lines they lie in. A block opens at each winnowed anchor (a 5-gram whose hash is the least of some REACH
+  in a row), so that two texts with PASSAGE + REACH - 1 = 50 words in common have a block in common. As blocks overlap, a band is the anchor
+  and the least hash of the other shingles; BLOCK_BANDS of them find a pair of Jaccard 0.8 with one anchor with probability 0.96.
 
-Of each component the occurrences in the document with the smallest doc_id stay; those in other documents are removed. Repeats inside one
-document are left to the quality rules.
+Equal sets are one node. Nodes of one band meet in signature trees (see jaccard_join), and links of Jaccard 0.8 or more make components.
+Blocks at the ends of what repeats are then moved word by word: all windows less than REACH words from such a block, in every document that has
+it, are joined by content, so that spans reach the first and last word of what is shared.
+
+Of each component the occurrences in the document with the smallest doc_id stay; those in other documents are removed. What adds up to less than SPAN
+words is left alone. Repeats inside one document are left to the quality rules.
 """
 
 from __future__ import annotations
@@ -21,16 +23,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hintforge.llm.common import mix64, segment_ids, stored, text_chunks
-from hintforge.llm.jaccard_join import BROADCAST_ROWS, ODD, SHARD_TEXT, linked_sets, set_names, shingle_sets
-from hintforge.llm.links import PACKED, connected_components, packed, star_links
+from hintforge.llm.common import free_name, maybe_broadcast, mix64, segment_ids, stored, text_chunks
+from hintforge.llm.jaccard_join import ODD, SLICE, set_names, shingle_sets, with_roots
+from hintforge.llm.links import ARROW, PACKED, SHARD_TEXT, connected_components, key_groups, packed
+from hintforge.llm.signature_trees import span_groups
 
 MIN_LINE, BANDS, BAND_ROWS = 50, 12, 5
-PASSAGE, REACH, ANCHOR = 36, 15, 5
+PASSAGE, REACH, ANCHOR, BLOCK_BANDS = 28, 23, 5, 2
+#: Words of the least span that counts.
+SPAN = 50
 INVERSE = np.uint64(pow(int(ODD), -1, 2**64))
 
 
@@ -61,32 +67,35 @@ def band_keys(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return keys
 
 
-def passages(texts: list[bytes], near: list[np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Windows at winnowed anchors, or at all places less than REACH words from those of near: text number, first word's place and key of the content."""
+def word_codes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of each word, one text after the other, and the texts' numbers of words."""
     words: list[bytes] = []
     counts = np.zeros(len(texts), np.int64)
     for i, text in enumerate(texts):
         found = text.lower().split()
         counts[i] = len(found)
         words += found
-    distinct = dict.fromkeys(words)
-    codes = np.fromiter(map(xxhash.xxh3_64_intdigest, distinct), np.uint64, len(distinct))
-    number = dict(zip(distinct, range(len(distinct))))
-    code = codes[np.fromiter(map(number.__getitem__, words), np.int64, len(words))]
-    n = len(code)
-    if n < (PASSAGE + REACH - 1 if near is None else PASSAGE):
-        none = np.zeros(0, np.int64)
-        return none, none, none
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)), counts
+
+
+def places_of(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each word its text's number, its place there and the words from it to the text's end."""
     doc = segment_ids(counts)
-    place = np.arange(n) - (np.cumsum(counts) - counts)[doc]
-    left = counts[doc] - place
-    if near is not None:
-        at = np.flatnonzero((left >= PASSAGE) & beside(near, counts))
-        return doc[at], place[at], window_keys(code, at)
+    place = np.arange(len(doc)) - (np.cumsum(counts) - counts)[doc]
+    return doc, place, counts[doc] - place
+
+
+def blocks(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Blocks at winnowed anchors: text number, first word's place, and a row of the hashes of their shingles in order, the anchor first."""
+    code, counts = word_codes(texts)
+    n, width = len(code), PASSAGE - ANCHOR + 1
+    if n < PASSAGE + REACH - 1:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, width), np.uint64)
+    doc, place, left = places_of(counts)
     anchor = code.copy()
     for k in range(1, ANCHOR):
         anchor[: n - k] = mix64(anchor[: n - k] * ODD + code[k:])
-    # least anchor of each REACH in a row whose last still opens a whole window
+    # least anchor of each REACH in a row whose last still opens a whole block
     runs = np.flatnonzero(left >= PASSAGE + REACH - 1)
     least = np.zeros(n, np.uint64)
     low = anchor[runs]
@@ -98,6 +107,34 @@ def passages(texts: list[bytes], near: list[np.ndarray] | None = None) -> tuple[
     for k in range(1, REACH):
         best[k:] = np.maximum(best[k:], least[: n - k])
     at = np.flatnonzero((left >= PASSAGE) & (best == anchor))
+    return doc[at], place[at], anchor[at[:, None] + np.arange(width)]
+
+
+def block_sets(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rows' distinct hashes in order, one row after the other, and their numbers."""
+    rows = np.sort(shingles, axis=1)
+    new = np.ones(rows.shape, bool)
+    new[:, 1:] = rows[:, 1:] != rows[:, :-1]
+    return rows[new], new.sum(1)
+
+
+def block_keys(shingles: np.ndarray) -> np.ndarray:
+    """A row of BLOCK_BANDS keys for each block."""
+    keys = np.zeros((len(shingles), BLOCK_BANDS), np.uint64)
+    for band in range(BLOCK_BANDS):
+        salt = np.uint64((band + 77) * 0x2545F4914F6CDD1D % 2**64)
+        least = ((shingles[:, 1:] ^ salt) * (ODD ^ (salt << np.uint64(1)))).min(1) if len(shingles) else keys[:, band]
+        keys[:, band] = mix64(mix64(shingles[:, 0] + np.uint64(band)) + least)
+    return keys
+
+
+def windows(texts: list[bytes], near: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All windows of PASSAGE words less than REACH words from the places of near: text number, first word's place and key of the content."""
+    code, counts = word_codes(texts)
+    if len(code) < PASSAGE:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    doc, place, left = places_of(counts)
+    at = np.flatnonzero((left >= PASSAGE) & beside(near, counts))
     return doc[at], place[at], window_keys(code, at)
 
 
@@ -131,73 +168,111 @@ def with_keepers(found: DataFrame, group: str) -> DataFrame:
     Keepers are written before the join: both its sides are then plain shuffles, of which AQE splits hot groups over several tasks.
     """
     repeated = found.groupBy(group).agg(F.min("doc_id").alias("keeper"), F.max("doc_id").alias("other")).where("keeper < other").drop("other")
-    return found.join(stored(repeated, "keepers"), group)
+    return found.join(maybe_broadcast(stored(repeated, "keepers")), group)
 
 
-def line_repeats(docs: DataFrame, threshold: tuple[int, int] = (8, 10)) -> DataFrame:
-    """doc_id, copy, first, size, keeper: lines of a component with lines of two documents or more; keeper is its smallest doc_id."""
-    num, den = threshold
+#: What one pass over the texts finds: rows of paragraphs, and rows of packed band keys alone.
+FOUND = "doc_id long, copy int, first int, size int, node long, block boolean, " + PACKED
+FOUND_ARROW = pa.schema([("doc_id", pa.int64()), ("copy", pa.int32()), ("first", pa.int32()), ("size", pa.int32()), ("node", pa.int64()), ("block", pa.bool_()), *ARROW])
+
+
+def paragraphs(docs: DataFrame) -> DataFrame:
+    """The rows of FOUND: every line of MIN_LINE words or more and every block, and the band keys of their nodes. Written."""
     texts = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), "text")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-size // SHARD_TEXT))
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, some in text_chunks(batches):
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, some in text_chunks(batches, limit=SLICE):
+            names = text_names(some)
             lines, doc, first, n = long_lines(some)
             flat, sizes = shingle_sets(lines, 5)
-            bands = pa.array([row.tobytes() for row in band_keys(flat, sizes)], pa.binary())
-            yield pa.RecordBatch.from_arrays([part.column("doc_id").take(pa.array(doc)), pa.array(text_names(some)[doc]), pa.array(first, pa.int32()), pa.array(n, pa.int32()), pa.array(set_names(flat, sizes)), bands], ["doc_id", "copy", "first", "size", "node", "bands"])
+            nodes, bands = set_names(flat, sizes), band_keys(flat, sizes)
+            block_doc, block_first, shingles = blocks(some)
+            block_nodes = set_names(*block_sets(shingles))
+            of, count = np.concatenate([doc, block_doc]), len(doc) + len(block_doc)
+            cols = [part.column("doc_id").take(pa.array(of)), pa.array(names[of]), pa.array(np.concatenate([first, block_first]), pa.int32()), pa.array(np.concatenate([n, np.full(len(block_doc), PASSAGE)]), pa.int32())]
+            cols += [pa.array(np.concatenate([nodes, block_nodes])), pa.array(np.arange(count) >= len(doc))]
+            yield pa.RecordBatch.from_arrays([*cols, *(pa.nulls(count, f.type) for f in ARROW)], schema=FOUND_ARROW)
+            once, block_once = (np.unique(x, return_index=True)[1] for x in (nodes, block_nodes))
+            keys = np.concatenate([bands[once].ravel(), block_keys(shingles[block_once]).ravel()])
+            of_keys = np.concatenate([np.repeat(nodes[once], BANDS), np.repeat(block_nodes[block_once], BLOCK_BANDS)])
+            packs = packed(keys, of_keys, np.zeros(len(keys), bool), shards)
+            yield pa.RecordBatch.from_arrays([*(pa.nulls(packs.num_rows, f.type) for f in list(FOUND_ARROW)[:6]), *packs.columns], schema=FOUND_ARROW)
 
-    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            bands = np.frombuffer(b"".join(batch.column("bands").to_pylist()), np.uint64)
-            yield packed(bands, np.repeat(batch.column("node").to_numpy(), BANDS), shards)
+    return stored(texts.mapInArrow(find, FOUND), "paragraphs")
+
+
+def with_lists(texts: DataFrame, by_doc: DataFrame, rows: int) -> DataFrame:
+    """The texts that by_doc(doc_id, ...) has rows for, and its columns; rows: what its lists hold together."""
+    return texts.join(maybe_broadcast(by_doc, rows), "doc_id")
+
+
+def paragraph_sets(texts: DataFrame, rows: DataFrame, near: DataFrame) -> DataFrame:
+    """node, size, low, data of the nodes of near, from the texts of the documents that own them."""
+    first = rows.join(maybe_broadcast(near), "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    owned = stored(first.groupBy("doc_id").agg(F.collect_list("node").alias("nodes")), "owned")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, some in text_chunks(batches):
+        for part, some in text_chunks(batches, limit=SLICE):
+            lists = part.column("nodes")
+            wanted = lists.flatten().to_numpy()
             flat, sizes = shingle_sets(long_lines(some)[0], 5)
+            more, more_sizes = block_sets(blocks(some)[2])
+            flat, sizes = np.concatenate([flat, more]), np.concatenate([sizes, more_sizes])
             nodes, once = np.unique(set_names(flat, sizes), return_index=True)
+            keep = np.isin(nodes, wanted)
+            nodes, once = nodes[keep], once[keep]
             ends = np.cumsum(sizes)
-            yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(sizes[once]), pa.array([flat[ends[k] - sizes[k] : ends[k]].tobytes() for k in once], pa.binary())], ["node", "size", "hashes"])
+            held = [flat[ends[k] - sizes[k] : ends[k]] for k in once]
+            low = np.array([h[0] for h in held], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(sizes[once]), pa.array(low), pa.array([h.tobytes() for h in held], pa.binary())], ["node", "size", "low", "data"])
 
-    found = stored(texts.mapInArrow(rows, "doc_id long, copy int, first int, size int, node long, bands binary"), "lines")
-    clusters = connected_components(star_links(found.select("node", "bands").mapInArrow(keys, PACKED)))
-    clusters = stored(clusters.unionByName(clusters.select(F.col("component").alias("node"), "component").distinct()), "clusters").withColumnRenamed("component", "cluster")
-    small = clusters.count() <= BROADCAST_ROWS
-    held = texts.mapInArrow(sets, "node long, size long, hashes binary").join(F.broadcast(clusters) if small else clusters, "node").select("cluster", "node", "size", "hashes").dropDuplicates(["node"])
-    held = stored(held, "clustered")
-    links = connected_components(linked_sets(held, held, num, den))
-    named = found.drop("bands").join(links, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    return with_keepers(named, "component").select("doc_id", "copy", "first", "size", "keeper")
+    return with_lists(texts, owned, near.count()).mapInArrow(sets, "node long, size long, low long, data binary").dropDuplicates(["node"])
 
 
-def passage_repeats(docs: DataFrame) -> DataFrame:
-    """doc_id, copy, first, size, keeper: windows whose content lies in two documents or more; keeper is the smallest doc_id.
+def paragraph_repeats(docs: DataFrame, threshold: tuple[int, int] = (8, 10)) -> DataFrame:
+    """doc_id, copy, first, size, component, block, keeper: lines and blocks of a component that lies in two documents or more; keeper is the smallest doc_id."""
+    found = paragraphs(docs)
+    rows = found.where("node IS NOT NULL").select("doc_id", "copy", "first", "size", "node", "block")
+    groups = key_groups(found.where("node IS NULL").select("shard", "frequent", "keys", "nodes"))
+    near = stored(groups.select("node").distinct(), "near")
+    texts = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), "text")
+    sets = stored(paragraph_sets(texts, rows, near), "near-sets")
+    links = stored(with_roots(connected_components(span_groups(groups.join(sets, "node"), True, *threshold))), "components")
+    # linked blocks have their anchor's words in common and may differ in as many last words as the threshold allows shingles
+    num, den = threshold
+    differ = (PASSAGE - ANCHOR + 1) * (den - num) // (den + num)
+    size = F.when(F.col("block") & F.col("component").isNotNull(), F.col("size") - differ).otherwise(F.col("size"))
+    named = rows.join(maybe_broadcast(links), "node", "left").withColumn("size", size).withColumn("component", F.coalesce("component", "node")).drop("node")
+    return with_keepers(named, "component")
 
-    Every window of a shared passage in which a winnowed one was found is there.
-    """
 
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, some in text_chunks(batches):
-            doc, place, keys = passages(some)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id").take(pa.array(doc)), pa.array(text_names(some)[doc]), pa.array(place, pa.int32()), pa.array(keys)], ["doc_id", "copy", "first", "key"])
+def line_repeats(docs: DataFrame, threshold: tuple[int, int] = (8, 10)) -> DataFrame:
+    """doc_id, copy, first, size, keeper of the lines among paragraph_repeats."""
+    return paragraph_repeats(docs, threshold).where("NOT block").select("doc_id", "copy", "first", "size", "keeper")
+
 
+def edge_repeats(docs: DataFrame, hits: DataFrame) -> DataFrame:
+    """doc_id, copy, first, size, keeper: windows, around blocks where some document's run of repeated blocks ends, whose content lies in two
+    documents or more; keeper is the smallest doc_id."""
     texts = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), "text")
-    found = stored(texts.mapInArrow(windows, "doc_id long, copy int, first int, key long"), "windows")
-    hits = stored(with_keepers(found, "key").select("doc_id", "copy", "first"), "hits")
-    # two copies of a passage open the same windows, so all places around these reach its ends in both
-    by_copy = hits.groupBy("doc_id", "copy").agg(F.collect_set("first").alias("places"))
-    by_doc = by_copy.groupBy("doc_id").agg(F.collect_list(F.struct("copy", "places")).alias("copies"))
-    by_doc = F.broadcast(by_doc) if hits.count() <= BROADCAST_ROWS else by_doc
+    parts = hits.where("block")
+    along = Window.partitionBy("doc_id", "copy").orderBy("first")
+    far = lambda x: F.coalesce(x > PASSAGE, F.lit(True))
+    ends = parts.withColumn("end", far(F.col("first") - F.lag("first").over(along)) | far(F.lead("first").over(along) - F.col("first"))).where("end")
+    ends = stored(ends.select("component").distinct(), "ends")
+    held = stored(parts.join(maybe_broadcast(ends), "component").select("doc_id", "copy", "first").distinct(), "edges")
+    by_doc = held.groupBy("doc_id", "copy").agg(F.collect_list("first").alias("places")).groupBy("doc_id").agg(F.collect_list(F.struct("copy", "places")).alias("copies"))
 
     def around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, some in text_chunks(batches):
+        for part, some in text_chunks(batches, limit=SLICE):
             names = text_names(some)
             near = [np.array(next((c["places"] for c in copies if c["copy"] == name), []), np.int64) for name, copies in zip(names.tolist(), part.column("copies").to_pylist())]
-            doc, place, keys = passages(some, near)
+            doc, place, keys = windows(some, near)
             yield pa.RecordBatch.from_arrays([part.column("doc_id").take(pa.array(doc)), pa.array(names[doc]), pa.array(place, pa.int32()), pa.array(keys)], ["doc_id", "copy", "first", "key"])
 
-    every = stored(texts.join(by_doc, "doc_id").mapInArrow(around, "doc_id long, copy int, first int, key long"), "places")
+    every = stored(with_lists(texts, by_doc, held.count()).mapInArrow(around, "doc_id long, copy int, first int, key long"), "places")
     return with_keepers(every, "key").select("doc_id", "copy", "first", F.lit(PASSAGE).alias("size"), "keeper")
 
 
@@ -206,10 +281,11 @@ def repeated_spans(docs: DataFrame, threshold: tuple[int, int] = (8, 10)) -> Dat
 
     Places and sizes count words `[^\\x20\\x09-\\x0D]+`, A-Z compared without case. A removed span repeats what a document with a smaller
     doc_id has (keeper: the smallest such doc_id in the run); a span that isn't removed is what stays. Words covered by both a kept and a
-    removed occurrence are removed. docs(doc_id long, text string, ...): rows without doc_id or text have no span and are no keeper;
+    removed occurrence are removed; runs of less than SPAN words don't count. docs(doc_id long, text string, ...): rows without doc_id or text have no span and are no keeper;
     rows that share a doc_id are one document, told apart by `copy`, a hash of the text; other columns are not read.
     """
-    hits = line_repeats(docs, threshold).unionByName(passage_repeats(docs))
+    found = stored(paragraph_repeats(docs, threshold), "hits")
+    hits = found.select("doc_id", "copy", "first", "size", "keeper").unionByName(edge_repeats(docs, found))
     by_doc = hits.groupBy("doc_id", "copy").agg(F.array_sort(F.collect_set(F.struct("first", "size", "keeper"))).alias("hits"))
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,11 +300,13 @@ def repeated_spans(docs: DataFrame, threshold: tuple[int, int] = (8, 10)) -> Dat
             starts = np.cumsum(counts) - counts
             for i, (a, n) in enumerate(zip(starts, counts)):
                 part = slice(a, a + n)
-                removed = merged(first[part][gone[part]], size[part][gone[part]], keeper[part][gone[part]])
-                kept = uncovered(merged(first[part][~gone[part]], size[part][~gone[part]], keeper[part][~gone[part]]), removed)
+                removed = [x for x in merged(first[part][gone[part]], size[part][gone[part]], keeper[part][gone[part]]) if x[1] >= SPAN]
+                kept = [x for x in merged(first[part][~gone[part]], size[part][~gone[part]], keeper[part][~gone[part]]) if x[1] >= SPAN]
+                kept = uncovered(kept, removed)
                 spans.append(sorted([{"first": f, "size": s, "removed": True, "keeper": k} for f, s, k in removed] + [{"first": f, "size": s, "removed": False, "keeper": k} for f, s, k in kept], key=lambda s: s["first"]))
             kind = pa.list_(pa.struct([("first", pa.int32()), ("size", pa.int32()), ("removed", pa.bool_()), ("keeper", pa.int64())]))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("copy"), pa.array(spans, kind)], ["doc_id", "copy", "spans"])
+            made = pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("copy"), pa.array(spans, kind)], ["doc_id", "copy", "spans"])
+            yield made.filter(pa.array([len(x) > 0 for x in spans], pa.bool_()))
 
     return by_doc.mapInArrow(merge, "doc_id long, copy int, spans array<struct<first:int,size:int,removed:boolean,keeper:long>>")
 
@@ -276,8 +354,9 @@ def remove_repeats(docs: DataFrame, threshold: tuple[int, int] = (8, 10)) -> Dat
 
     Rows without doc_id or text stay as they are.
     """
+    lists = free_name(docs, "_copies")
     spans = repeated_spans(docs, threshold).select("doc_id", F.col("copy").alias("_copy"), F.filter("spans", lambda s: s["removed"]).alias("_spans")).where(F.size("_spans") > 0)
-    spans = spans.groupBy("doc_id").agg(F.collect_list(F.struct("_copy", "_spans")).alias("_copies"))
+    spans = spans.groupBy("doc_id").agg(F.collect_list(F.struct("_copy", "_spans")).alias(lists))
     names, columns, schema = docs.columns, docs.columns.index("text"), docs.schema
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -293,12 +372,13 @@ def remove_repeats(docs: DataFrame, threshold: tuple[int, int] = (8, 10)) -> Dat
                 keep.append(not mine or bool(text.split()))
             cols = {n: batch.column(i) for i, n in enumerate(names)}
             kind = cols["text"].type
-            cols["text"] = pa.array([None if t is None else t.decode() for t in new], kind)
+            # texts keep bytes that aren't UTF-8 as they are
+            cols["text"] = pc.cast(pa.array(new, pa.binary()), options=pc.CastOptions.unsafe(kind))
             if "n_chars" in cols:
                 cut_away = [t is not None and len(c) > 0 if (c := f.as_py()) else False for t, f in zip(new, copies)]
-                counted = [len(t.decode()) if a else o for t, a, o in zip(new, cut_away, cols["n_chars"].to_pylist())]
+                counted = [len(t.decode("utf-8", "replace")) if a else o for t, a, o in zip(new, cut_away, cols["n_chars"].to_pylist())]
                 cols["n_chars"] = pa.array(counted, cols["n_chars"].type)
             yield pa.RecordBatch.from_arrays(list(cols.values()), list(cols)).filter(pa.array(keep, pa.bool_()))
 
-    joined = docs.join(spans, "doc_id", "left").select(*names, "_copies")
+    joined = docs.join(spans, "doc_id", "left").select(*names, lists)
     return joined.mapInArrow(cut, schema)
