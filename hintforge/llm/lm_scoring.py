@@ -3,13 +3,16 @@
 Training documents are those whose crc32(doc_id as text) mod 5 is not 1. Counting: each task sums its n-grams and sends them,
 packed in numpy arrays, to shards by hash, so a hot word costs a shard one entry a chunk; the number of shards follows the text.
 A shard's bigram counts are quantised, level(c) = 1 + floor(log c / log LOG_BASE), and (bigram, 1) ... (bigram, level) go into the shard's Bloom
-filter; a probe asks for level 1, 2, ... until one is missing, which keeps errors low and one-sided. Unigram counts stay exact.
+filter; a probe asks for level 1, 2, ... until one is missing, which keeps errors low and one-sided. Unigram counts stay exact, as the base score
+needs them so.
 
 Score of a word w after v: p(w | v) = (q(vw) + MU p1(w)) / (c(v) + MU), where q is the least count of the level found, p1 the smoothed
 unigram share of the base score and c(v) an exact count; sums over w do not exceed one but for false positives.
 
-Both tables are broadcast in groups of shards of at most `broadcast_bytes`; a token is scored in the pass that holds its word, its
-history and its bigram, and a document's score is the sum over passes. One pass serves until a table outgrows the bound.
+Unigrams fall into word classes by the word's hash, and bigrams by their second word's, then by their own. A pass broadcasts the unigrams of
+a run of classes and some of these classes' filters, together at most `broadcast_bytes` (or one class's unigrams with one filter, if these alone are more), and
+adds log(q + MU p1) of the tokens that it holds, and, once a run, -log(c(v) + MU) of the tokens whose history it holds. A document's score is
+the sum over passes; their number grows with the tables, and one serves until these outgrow the bound.
 """
 
 from __future__ import annotations
@@ -17,7 +20,6 @@ from __future__ import annotations
 import math
 import zlib
 from collections.abc import Iterator
-from itertools import product
 
 import numpy as np
 import pandas as pd
@@ -31,11 +33,10 @@ from hintforge.llm.common import mix64, segment_ids, stored, text_chunks
 FOLDS, HELD_OUT = 5, 1
 #: Quantisation, hashes and bits of a filter entry, pseudo-count of the unigram model.
 LOG_BASE, HASHES, ENTRY_BITS, MU = 1.5, 6, 9, 400.0
-#: Text of one shard, and bytes of a table that are broadcast at once.
-SHARD_TEXT, BROADCAST_BYTES = 24 << 20, 192 << 20
+#: Text of one shard, bytes that are broadcast at once, classes of words at most.
+SHARD_TEXT, BROADCAST_BYTES, CLASSES = 12 << 20, 96 << 20, 64
 END, BEGIN = xxhash.xxh3_64_intdigest(b" end"), xxhash.xxh3_64_intdigest(b" begin")
-CHUNK = 3 << 20
-SHARD_BITS = 12
+CHUNK = 2 << 20
 
 
 def held_out(doc_id: int | None) -> bool:
@@ -125,12 +126,13 @@ def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys[first], np.add.reduceat(counts, first) if len(first) else counts[:0]
 
 
-def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
-    return ((keys >> np.uint64(64 - SHARD_BITS)) * np.uint64(shards) >> np.uint64(SHARD_BITS)).astype(np.int64)
+def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
+    """The part of each key, of `parts` equal ranges of the keys."""
+    return ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
 
 
-def count_ngrams(docs: DataFrame, shards: int) -> DataFrame:
-    """kind (1 unigrams, 2 bigrams), shard, keys, counts: exact sums over the training documents, 64-bit keys as binary arrays."""
+def count_ngrams(docs: DataFrame, classes: int, parts: int) -> DataFrame:
+    """kind (1 unigrams, 2 bigrams), class, part, keys, counts: sums over slices of the training documents, 64-bit keys as binary arrays."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_chunks(batches, limit=CHUNK):
@@ -139,43 +141,65 @@ def count_ngrams(docs: DataFrame, shards: int) -> DataFrame:
                 continue
             keys, ids, counts = coded(train)
             tokens = keys[ids]
-            pairs, times = np.unique(bigram(histories(tokens, counts), tokens), return_counts=True)
-            out: dict[str, list] = {"kind": [], "shard": [], "keys": [], "counts": []}
-            for kind, k, c in ((1, *summed(keys, np.bincount(ids, minlength=len(keys)))), (2, pairs, times)):
-                cuts = np.searchsorted(shard_of(k, shards), np.arange(shards + 1))
-                for s, (a, b) in enumerate(zip(cuts, cuts[1:])):
-                    if a < b:
-                        out["kind"].append(kind), out["shard"].append(s), out["keys"].append(k[a:b].tobytes()), out["counts"].append(c[a:b].astype(np.uint32).tobytes())
-            yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("kind", pa.int32()), ("shard", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())]))
-
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(count, "kind int, shard int, keys binary, counts binary")
+            pairs = bigram(histories(tokens, counts), tokens)
+            order = np.argsort(pairs)
+            first = np.flatnonzero(np.append(True, pairs[order][1:] != pairs[order][:-1]))
+            times, second = np.diff(first, append=len(order)), tokens[order[first]]
+            pairs = pairs[order[first]]
+            words = np.bincount(ids, minlength=len(keys))
+            seen = words > 0
+            out: dict[str, list] = {"kind": [], "class": [], "part": [], "keys": [], "counts": []}
+            for kind, k, c, where in ((1, keys[seen], words[seen], part_of(keys[seen], classes) * parts), (2, pairs, times, part_of(second, classes) * parts + part_of(pairs, parts))):
+                to = np.argsort(where, kind="stable")
+                cuts = np.searchsorted(where[to], np.arange(classes * parts + 1))
+                for s in np.flatnonzero(np.diff(cuts)).tolist():
+                    at = to[cuts[s] : cuts[s + 1]]
+                    out["kind"].append(kind), out["class"].append(s // parts), out["part"].append(s % parts)
+                    out["keys"].append(k[at].tobytes()), out["counts"].append(c[at].astype(np.uint32).tobytes())
+            yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("kind", pa.int32()), ("class", pa.int32()), ("part", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())]))
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(count, "kind int, class int, part int, keys binary, counts binary")
 
 
 def tables(counts: DataFrame, entry_bits: int = ENTRY_BITS) -> DataFrame:
-    """kind, shard, n_types, n_tokens, keys and counts (unigrams) or the filter's bits (bigrams)."""
+    """kind, class, part, n_types, n_tokens, keys and counts (unigrams) or the filter's bits (bigrams)."""
 
     def build(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        keys, n = summed(np.concatenate([np.frombuffer(k, np.uint64) for k in part["keys"]]), np.concatenate([np.frombuffer(c, np.uint32).astype(np.int64) for c in part["counts"]]))
-        row = {"kind": key[0], "shard": key[1], "n_types": len(keys), "n_tokens": int(n.sum()), "a": b"", "b": b""}
+        keys, n = summed(np.frombuffer(b"".join(part["keys"]), np.uint64), np.frombuffer(b"".join(part["counts"]), np.uint32).astype(np.int64))
+        row = {"kind": key[0], "class": key[1], "part": key[2], "n_types": len(keys), "n_tokens": int(n.sum()), "a": b"", "b": b""}
         if key[0] == 1:
             row |= {"a": keys.tobytes(), "b": n.tobytes()}
         else:
             row |= {"a": LogFrequencyFilter.of(keys, n, entry_bits).bits.tobytes()}
         return pd.DataFrame([row])
 
-    return counts.groupBy("kind", "shard").applyInPandas(build, "kind int, shard int, n_types long, n_tokens long, a binary, b binary")
+    return counts.groupBy("kind", "class", "part").applyInPandas(build, "kind int, class int, part int, n_types long, n_tokens long, a binary, b binary")
 
 
-def groups(sizes: dict[int, int], bound: int) -> list[list[int]]:
-    """Shards in order, in groups of at most `bound` bytes; a shard alone may hold more only if SHARD_TEXT was set too high."""
-    out: list[list[int]] = [[]]
-    held = 0
-    for s in sorted(sizes):
-        if out[-1] and held + sizes[s] > bound:
-            out.append([])
+def passes(words: dict[int, int], pairs: dict[tuple[int, int], int], classes: int, bound: int) -> list[tuple[tuple[int, int], list[tuple[int, int]]]]:
+    """(run of classes, filters) of each pass: bytes of words by class, of filters by class and part. Every class is in one run, every filter in one
+    pass; a run's first pass is the one that counts words."""
+    runs, held = [[0, 0]], 0
+    for c in range(classes):
+        size = words.get(c, 0)
+        if held and held + size > bound // 2:
+            runs.append([c, c])
             held = 0
-        out[-1].append(s)
-        held += sizes[s]
+        runs[-1][1] = c + 1
+        held += size
+    out = []
+    for first, stop in runs:
+        base = sum(words.get(c, 0) for c in range(first, stop))
+        some: list[tuple[int, int]] = []
+        used, began = base, len(out)
+        for at in sorted(p for p in pairs if first <= p[0] < stop):
+            if some and used + pairs[at] > bound:
+                out.append(((first, stop), some))
+                some, used = [], base
+            some.append(at)
+            used += pairs[at]
+        if some or len(out) == began:
+            out.append(((first, stop), some))
     return out
 
 
@@ -187,85 +211,89 @@ def score_documents(docs: DataFrame, shard_text: int = SHARD_TEXT, broadcast_byt
     """
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = min(1 << SHARD_BITS, max(1, -(-size // shard_text)))
-    made = stored(tables(count_ngrams(docs, shards), entry_bits), "lm")
-    parts = made.select("kind", "shard", "n_types", "n_tokens", (F.octet_length("a") + F.octet_length("b")).alias("size")).collect()  # a row for each shard
-    n, v = (sum(r[c] for r in parts if r.kind == 1) for c in ("n_tokens", "n_types"))
-    words, pairs = (groups({r.shard: r.size for r in parts if r.kind == kind}, broadcast_bytes) for kind in (1, 2))
+    shards = max(1, -(-size // shard_text))
+    classes = min(CLASSES, max(1, math.isqrt(shards)))
+    parts = -(-shards // classes)
+    made = stored(tables(count_ngrams(docs, classes, parts), entry_bits), "lm")
+    sizes = made.select("kind", "class", "part", "n_types", "n_tokens", (F.octet_length("a") + F.octet_length("b")).alias("size")).collect()  # a row for each shard
+    n, v = (sum(r[c] for r in sizes if r.kind == 1) for c in ("n_tokens", "n_types"))
+    plan = passes({r["class"]: r.size for r in sizes if r.kind == 1}, {(r["class"], r.part): r.size for r in sizes if r.kind == 2}, classes, broadcast_bytes)
     rows = docs.select(F.col("doc_id").cast("long"), "text")
 
-    def group(kind: int, some: list[int]):
-        found = {r.shard: r for r in made.where(F.col("kind") == kind).where(F.col("shard").isin(some)).select("shard", "a", "b").collect()} if some else {}
-        if kind == 1:
-            held = [found[s] for s in sorted(found)]
-            value = (np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(r.a, np.uint64) for r in held)]), np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(r.b, np.int64) for r in held)]))
-        else:
-            value = {s: np.frombuffer(r.a, np.uint8) for s, r in found.items()}
-        return spark.sparkContext.broadcast(value)
-
-    # the first shard of each group but the first: a key's group is the number of these at or below its shard
-    word_cuts, pair_cuts = (np.array([g[0] for g in gs[1:]], np.int64) for gs in (words, pairs))
-    passes = list(product(range(len(words)), range(len(words)), range(len(pairs))))
-    out = None
-    for a, b, c in passes:
-        shared = [group(1, words[a]), group(1, words[b]), group(2, pairs[c])]
-        scored = rows.mapInArrow(_scorer(*shared, (a, b, c), word_cuts, pair_cuts, shards, n, v, mu), "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
-        if len(passes) > 1:  # a pass is written before the next one's tables are gathered
+    def unigrams(first: int, stop: int):
+        found = made.where((F.col("kind") == 1) & F.col("class").between(first, stop - 1)).orderBy("class").select("a", "b").toLocalIterator()
+        keys, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for r in found:  # classes are ranges of keys, so this is in order of keys
+            keys.append(np.frombuffer(r.a, np.uint64)), counts.append(np.frombuffer(r.b, np.int64))
+        return np.concatenate(keys), np.concatenate(counts)
+
+    def filters(some: list[tuple[int, int]]) -> dict[int, np.ndarray]:
+        ids = [c * parts + p for c, p in some]
+        number = F.col("class").cast("long") * parts + F.col("part")
+        found = made.where((F.col("kind") == 2) & number.between(ids[0], ids[-1])) if ids else made.limit(0)
+        return {r.id: np.frombuffer(r.a, np.uint8) for r in found.select(number.alias("id"), "a").toLocalIterator()}
+
+    every = np.array([r["class"] * parts + r.part for r in sizes if r.kind == 2], np.int64)
+    out, before = None, None
+    for run, some in plan:
+        shared = spark.sparkContext.broadcast((*unigrams(*run), filters(some)))
+        scored = rows.mapInArrow(_scorer(shared, run, run != before, every, classes, parts, n, v, mu), "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+        before = run
+        if len(plan) > 1:  # a pass is written before the next one's tables are gathered
             scored = stored(scored, "pass")
-            for table in shared:
-                table.destroy()
+            shared.destroy()
         out = scored if out is None else out.unionByName(scored)
-    if len(passes) > 1:  # each pass gave a part; rows equal in doc_id and text share a sum and are divided again by their number
+    if len(plan) > 1:  # each pass gave a part; rows equal in doc_id and text share a sum and are divided again by their number
         key = ["row", "doc_id", "held_out", "n_tokens"]
-        out = out.groupBy(*key).agg((F.count("*") / len(passes)).cast("int").alias("k"), *(F.sum(x).alias(x) for x in ("n_known", "base_score", "score")))
+        out = out.groupBy(*key).agg((F.count("*") / len(plan)).cast("int").alias("k"), *(F.sum(x).alias(x) for x in ("n_known", "base_score", "score")))
         out = out.select(*key, F.explode(F.sequence(F.lit(1), F.col("k"))), (F.col("n_known") / F.col("k")).cast("long").alias("n_known"), *((F.col(x) / F.col("k")).alias(x) for x in ("base_score", "score")))
     return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
 
 
-def _scorer(of_words, of_histories, of_pairs, here, word_cuts, pair_cuts, shards, n, v, mu):
-    """A pass over all documents; `row` is a hash of doc_id and text that joins a row's parts."""
+def _scorer(shared, run: tuple[int, int], counts_words: bool, every: np.ndarray, classes: int, parts: int, n: int, v: int, mu: float):
+    """A pass over all documents; `row` is a hash of doc_id and text that joins a row's parts, `every` the numbers of all filters."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, filters = [of_words.value, of_histories.value], {s: LogFrequencyFilter(b) for s, b in of_pairs.value.items()}
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, times, bits = shared.value
+        filters = {k: LogFrequencyFilter(b) for k, b in bits.items()}
 
-        def exact(table: tuple, keys: np.ndarray) -> np.ndarray:
-            if not len(table[0]):
+        def exact(keys: np.ndarray) -> np.ndarray:
+            if not len(known):
                 return np.zeros(len(keys), np.int64)
-            at = np.minimum(np.searchsorted(table[0], keys), len(table[0]) - 1)
-            return np.where(table[0][at] == keys, table[1][at], 0)
+            at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+            return np.where(known[at] == keys, times[at], 0)
 
         for part, texts in text_chunks(batches, limit=CHUNK):
             names = part.column("doc_id").to_pylist()
             keys, ids, counts = coded(texts)
             doc = segment_ids(counts)
-            word_group = np.searchsorted(word_cuts, shard_of(keys, shards), side="right")
-            c_word, c_history = exact(known[0], keys)[ids], exact(known[1], keys)
+            of = part_of(keys, classes)
+            here = (of >= run[0]) & (of < run[1])
+            count = np.where(here, exact(keys), 0)
+            p1 = (count + 0.5) / (n + 0.5 * (v + 1))
             tokens = keys[ids]
-            before = histories(tokens, counts)
-            pair = bigram(before, tokens)
-            starts = np.cumsum(counts) - counts
-            # a text begins as often as training texts end
-            begin = exact(known[1], np.array([END], np.uint64))[0]
-            c_before = np.concatenate([[0], c_history[ids][:-1]])
-            c_before[starts] = begin
-            group_before = np.concatenate([[0], word_group[ids][:-1]])
-            group_before[starts] = word_group[0]
-            shard = shard_of(pair, shards)
-            mine_word = word_group[ids] == here[0]
-            mine = mine_word & (group_before == here[1]) & (np.searchsorted(pair_cuts, shard, side="right") == here[2])
-            levels = np.zeros(len(ids), np.int64)
-            for s, table in filters.items():
-                at = np.flatnonzero(mine & (shard == s))
-                if len(at):
-                    levels[at] = table.levels(pair[at])
-            p1 = (c_word + 0.5) / (n + 0.5 * (v + 1))
-            score = np.where(mine, np.log10((LEAST[levels] + mu * p1) / (c_before + mu)), 0.0)
-            base = mine_word if here[1:] == (0, 0) else np.zeros(len(ids), bool)
+            pair = bigram(histories(tokens, counts), tokens)
+            shard = of[ids] * parts + part_of(pair, parts)
+            levels, mine = np.zeros(len(ids), np.int64), np.zeros(len(ids), bool)
+            for k in np.unique(shard[here[ids]]).tolist():
+                if k in filters:
+                    at = np.flatnonzero(shard == k)
+                    levels[at], mine[at] = filters[k].levels(pair[at]), True
+            if counts_words:  # a bigram whose shard has no filter was never seen
+                mine |= here[ids] & ~np.isin(shard, every)
+            total = np.where(mine, np.log10(LEAST[levels] + mu * p1[ids]), 0.0)
+            base, held = np.zeros(len(ids)), np.zeros(len(ids), bool)
+            if counts_words:
+                # a text begins as often as training texts end
+                before = np.concatenate([[0], ids[:-1]])
+                before[np.cumsum(counts) - counts] = 0
+                total -= np.where(here[before], np.log10(count[before] + mu), 0.0)
+                base, held = np.where(here[ids], np.log10(p1[ids]), 0.0), count[ids] > 0
             add = lambda x: np.bincount(doc, x, len(texts))
             row = [xxhash.xxh3_64_intdigest(t, seed=7) - 2**63 for t in texts]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(row, pa.int64()), pa.array(names, pa.int64()), pa.array([held_out(d) for d in names]), pa.array(counts, pa.int64()), pa.array(add(base & (c_word > 0)).astype(np.int64)), pa.array(add(np.where(base, np.log10(p1), 0.0))), pa.array(add(score))],
+                [pa.array(row, pa.int64()), pa.array(names, pa.int64()), pa.array([held_out(d) for d in names]), pa.array(counts, pa.int64()), pa.array(add(held).astype(np.int64)), pa.array(add(base)), pa.array(add(total))],
                 ["row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"],
             )
 
-    return run
+    return score
