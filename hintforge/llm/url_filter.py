@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hintforge.llm.common import stored
@@ -22,7 +22,7 @@ RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "exa
 
 @dataclass(frozen=True)
 class TemplateRules:
-    #: Levels of the tree; what lies deeper is one tail.
+    #: Levels of the tree at least; see depth.
     levels: int = 3
     #: Pages that a literal branch needs, and the z score from which its labels differ from its siblings'.
     support: int = 20
@@ -65,23 +65,32 @@ def kind(segment: Column) -> Column:
     return F.concat(made, dot)
 
 
-def templates(pages: DataFrame, labels: DataFrame, rules: TemplateRules = TemplateRules()) -> DataFrame:
+def depth(pages: DataFrame, rules: TemplateRules) -> int:
+    """Levels that the tree needs: as deep as some host has `support` pages, for beyond it no branch can stand by itself. What lies deeper is one tail."""
+    sized = pages.groupBy("host", F.size(segments(F.col("path"))).alias("segments")).agg(F.count("*").alias("n"))
+    deeper = Window.partitionBy("host").orderBy(F.desc("segments"))
+    reached = sized.withColumn("so_far", F.sum("n").over(deeper)).where(F.col("so_far") >= rules.support)
+    return max(rules.levels, reached.agg(F.max("segments")).first()[0] or 0)
+
+
+def templates(pages: DataFrame, labels: DataFrame, rules: TemplateRules = TemplateRules(), levels: int | None = None) -> DataFrame:
     """host, levels array<string> (the path's first segments by kind), template, purity and n_labelled for each pattern of pages.
 
     pages(page_id, host, path); labels(doc_id, quality, toxic): a page is good if quality is 1 and it isn't toxic; several labels of
     one page count as bad if any is bad; rows without either label, or a doc_id, don't count.
     """
+    levels = levels or depth(pages, rules)
     bad = F.coalesce(F.col("quality") == 0, F.lit(False)) | F.coalesce(F.col("toxic") == 1, F.lit(False))
     marks = labels.where("doc_id IS NOT NULL AND (quality IS NOT NULL OR toxic IS NOT NULL)").groupBy(F.col("doc_id").cast("long").alias("page_id")).agg(F.max(bad.cast("int")).alias("bad"))
     patterns = (
-        pages.select("page_id", "host", pattern(F.col("path"), rules.levels).alias("levels"))
+        pages.select("page_id", "host", pattern(F.col("path"), levels).alias("levels"))
         .join(marks, "page_id", "left")
         .groupBy("host", "levels")
         .agg(F.count("*").alias("n"), F.count("bad").alias("n_labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("n_bad"))
     )
     # node: the template so far; each level is written, as the next reads it several times
     tree = stored(patterns.withColumn("node", F.lit("")), "patterns")
-    for level in range(rules.levels):
+    for level in range(levels):
         tree = tree.withColumn("segment", F.coalesce(F.get("levels", F.lit(level)), F.lit("")))
         sums = [F.sum(c).alias(c) for c in ("n", "n_labelled", "n_bad")]
         children = tree.groupBy("host", "node", "segment").agg(*sums)
@@ -105,11 +114,14 @@ def templates(pages: DataFrame, labels: DataFrame, rules: TemplateRules = Templa
     return tree.select("host", "levels", "node").join(nodes, ["host", "node"]).select("host", "levels", F.col("node").alias("template"), "purity", F.col("t_n").alias("n_labelled"))
 
 
+def segments(path: Column) -> Column:
+    return F.split(F.regexp_replace(path, "^/", ""), "/")
+
+
 def pattern(path: Column, levels: int) -> Column:
     """The path's first segments by kind, one entry a level; the last level also stands for what is deeper."""
-    segments = F.split(F.regexp_replace(path, "^/", ""), "/")
-    parts = [kind(F.coalesce(F.get(segments, F.lit(k)), F.lit(""))) for k in range(levels)]
-    deeper = F.when(F.size(segments) > levels, F.concat(parts[-1], F.lit("/**"))).otherwise(parts[-1])
+    parts = [kind(F.coalesce(F.get(segments(path), F.lit(k)), F.lit(""))) for k in range(levels)]
+    deeper = F.when(F.size(segments(path)) > levels, F.concat(parts[-1], F.lit("/**"))).otherwise(parts[-1])
     return F.array(*parts[:-1], deeper)
 
 
@@ -122,7 +134,8 @@ def judge_urls(pages: DataFrame, labels: DataFrame, rules=RULES, tree: TemplateR
     host, path = split_url(F.col("url"))
     split = pages.select(F.col("page_id").cast("long"), host.alias("host"), path.alias("path"))
     name, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    found = templates(split, labels, tree)
-    rows = split.withColumn("rule", name).withColumn("rule_verdict", verdict).withColumn("levels", pattern(F.col("path"), tree.levels))
+    levels = depth(split, tree)
+    found = templates(split, labels, tree, levels)
+    rows = split.withColumn("rule", name).withColumn("rule_verdict", verdict).withColumn("levels", pattern(F.col("path"), levels))
     learnt = F.when(F.col("purity") < tree.purity, "block").otherwise("allow")
     return rows.join(found, ["host", "levels"], "left").select("page_id", "host", "path", "rule", F.coalesce("rule_verdict", learnt).alias("verdict"), "template", "purity")
