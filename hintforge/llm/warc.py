@@ -3,14 +3,16 @@
 An archive is a folder of Parquet files with rows (record_id, chunk, data, payload_bytes_so_far, digest_so_far, last): the
 data of a record's chunks, in order, are its bytes in a WARC 1.1 file. A payload over CHUNK_BYTES spreads over as many rows, each
 with the SHA-256 of the payload up to its end, so neither writer nor reader holds more than a chunk beside the input's value, and
-each prefix of a payload can be checked alone.
+each prefix of a payload can be checked alone. `export_warc` writes an archive's records as .warc files.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+import uuid
 from collections.abc import Iterator
+from datetime import UTC, datetime
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -37,26 +39,29 @@ def revisits(pages: DataFrame, min_bytes: int = 100) -> DataFrame:
     return slim.select("page_id", "payload_digest").distinct().join(firsts, "payload_digest").where(~F.col("page_id").eqNullSafe(F.col("refers_to")))
 
 
-def write_archive(pages: DataFrame, path: str, min_bytes: int = 100, chunk_bytes: int = CHUNK_BYTES) -> None:
-    """One record for each row of pages(page_id long, url string, html string, ...).
+def write_archive(pages: DataFrame, path: str, min_bytes: int = 100, chunk_bytes: int = CHUNK_BYTES, date: str | None = None) -> None:
+    """One record for each row of pages(page_id long, url string, html string, ...); date: all records' WARC-Date, else the time of writing.
 
     A null html is an empty payload; a null url gives no target; a null page_id is written as such. Rows equal in page_id and
-    payload get the same record type, each its own record. An empty table gives an empty archive. Other columns are not read.
+    payload get the same record type, each its own record and record id. An empty table gives an empty archive. Other columns are not read.
     """
+    date = date or datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
     payload = F.coalesce("html", F.lit("")).cast("binary")
     rows = pages.select(F.col("page_id").cast("long"), "url", payload.alias("payload"), F.sha2(payload, 256).alias("payload_digest"))
     again = revisits(pages, min_bytes).withColumn("again", F.lit(True))
     marked = rows.alias("r").join(again.alias("a"), F.col("r.page_id").eqNullSafe(F.col("a.page_id")) & (F.col("r.payload_digest") == F.col("a.payload_digest")), "left")
-    marked = marked.select("r.page_id", "r.url", "r.payload", "r.payload_digest", "a.refers_to", F.col("a.again").isNotNull().alias("again"))
+    # the number tells repeated rows apart
+    marked = marked.select("r.page_id", "r.url", "r.payload", "r.payload_digest", "a.refers_to", F.col("a.again").isNotNull().alias("again"), F.monotonically_increasing_id().alias("number"))
+    names = uuid.uuid4()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[dict] = []
         held = 0
         for batch in batches:
-            for page_id, url, data, digest, refers_to, again in zip(*(c.to_pylist() if k != 2 else c for k, c in enumerate(batch.columns))):
+            for page_id, url, data, digest, refers_to, again, number in zip(*(c.to_pylist() if k != 2 else c for k, c in enumerate(batch.columns))):
                 view = memoryview(data.as_buffer())
-                record = f"urn:sha256:{digest[:32]}:{'' if page_id is None else page_id}"
-                head = record_head(record, page_id, url, len(view), digest, refers_to, again)
+                record = f"urn:uuid:{uuid.uuid5(names, str(number))}"
+                head = record_head(record, date, page_id, url, len(view), digest, refers_to, again)
                 size, so_far, at, chunk = (0 if again else len(view)), hashlib.sha256(), 0, 0
                 while True:
                     piece = view[at : min(at + chunk_bytes, size)]
@@ -76,21 +81,46 @@ def write_archive(pages: DataFrame, path: str, min_bytes: int = 100, chunk_bytes
     marked.mapInArrow(write, SCHEMA).write.option("compression", "zstd").parquet(path)
 
 
-def record_head(record: str, page_id: int | None, url: str | None, size: int, digest: str, refers_to: int | None, again: bool) -> bytes:
-    """WARC header and HTTP header; their lengths are counted in Content-Length as the standard asks."""
+def record_head(record: str, date: str, page_id: int | None, url: str | None, size: int, digest: str, refers_to: int | None, again: bool) -> bytes:
+    """WARC header and HTTP header; their lengths are counted in Content-Length as the standard asks. Page-ID fields are extensions of our own."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
-    named = lambda i: f"<urn:hintforge:page:{'' if i is None else i}>"
-    lines = ["WARC/1.1", f"WARC-Type: {'revisit' if again else 'response'}", f"WARC-Record-ID: {named(page_id)}", f"WARC-Block-ID: <{record}>"]
+    lines = ["WARC/1.1", f"WARC-Type: {'revisit' if again else 'response'}", f"WARC-Record-ID: <{record}>", f"WARC-Date: {date}", f"Page-ID: {'' if page_id is None else page_id}"]
     if url is not None:
         lines.append("WARC-Target-URI: " + re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url))
     lines += ["Content-Type: application/http; msgtype=response", f"WARC-Payload-Digest: sha256:{digest}"]
     if again:
-        lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: {named(refers_to)}"]
+        lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"Refers-To-Page-ID: {'' if refers_to is None else refers_to}"]
     lines.append(f"Content-Length: {len(http) + (0 if again else size)}")
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + http
 
 
-HEAD = re.compile(rb"WARC/1\.1\r\nWARC-Type: (\w+)\r\nWARC-Record-ID: <urn:hintforge:page:(-?\d*)>\r\n(.*?)\r\n\r\n(HTTP/.*?\r\n\r\n)", re.S)
+def export_warc(spark, path: str, folder: str) -> int:
+    """Writes the archive's records, byte for byte, into .warc files of a new folder on a file system that all executors mount (or the driver's,
+    when local), one file for each of Spark's partitions, chunk by chunk. Returns the number of files; a task that runs again replaces its own."""
+    import os
+
+    os.makedirs(folder, exist_ok=False)
+    rows = spark.read.schema(SCHEMA).parquet(path).select("record_id", "chunk", "data").repartition("record_id").sortWithinPartitions("record_id", "chunk")
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        name, file = f"part-{TaskContext.get().partitionId():05d}", None
+        for batch in batches:
+            for data in batch.column("data"):
+                if file is None:
+                    unfinished = f"{folder}/.{name}-{uuid.uuid4().hex}"
+                    file = open(unfinished, "wb")  # noqa: SIM115
+                file.write(data.as_buffer())
+        if file is not None:
+            file.close()
+            os.replace(unfinished, f"{folder}/{name}.warc")
+            yield pa.RecordBatch.from_pydict({"name": [name]})
+
+    return rows.mapInArrow(write, "name string").count()
+
+
+HEAD = re.compile(rb"WARC/1\.1\r\n(.*?)\r\n\r\n(HTTP/.*?\r\n\r\n)", re.S)
 
 
 def read_archive(spark, path: str) -> DataFrame:
@@ -101,13 +131,12 @@ def read_archive(spark, path: str) -> DataFrame:
     """
     rows = spark.read.schema(SCHEMA).parquet(path)
     whole = rows.where("chunk = 0 AND last")
-    # repeated rows share a record_id: their equal chunks follow one another and only one copy of each is streamed, with its count
     parts = rows.where("NOT (chunk = 0 AND last)").repartition("record_id").sortWithinPartitions("record_id", "chunk")
     names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     arrow = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())])
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_record, at, digest, head, copies = None, -1, None, {}, 0
+        open_record, at, digest, head = None, -1, None, {}
         for batch in batches:
             out: list[dict] = []
             for record, chunk, data, so_far, last in zip(*(batch.column(n).to_pylist() for n in ("record_id", "chunk")), batch.column("data"), *(batch.column(n).to_pylist() for n in ("digest_so_far", "last"))):
@@ -117,18 +146,15 @@ def read_archive(spark, path: str) -> DataFrame:
                     digest = hashlib.sha256(view[rest : len(view) - 4])
                     out.append(finish(head, digest.hexdigest()))
                     continue
-                if (record, chunk) == (open_record, at):  # a repeated row's copy of the chunk just seen
-                    copies += 1
-                else:
-                    rest = 0
-                    if chunk == 0:
-                        (head, rest), digest, copies = parse_head(bytes(view)), hashlib.sha256(), 0
-                    elif (record, chunk) != (open_record, at + 1):
-                        raise ValueError(f"chunk {chunk} of {record} does not follow chunk {at} of {open_record}")
-                    digest.update(view[rest : len(view) - (4 if last else 0)])
-                    open_record, at, copies = record, chunk, 1
-                    if digest.hexdigest() != so_far:
-                        raise ValueError(f"chunk {chunk} of {record} is damaged")
+                rest = 0
+                if chunk == 0:
+                    (head, rest), digest = parse_head(bytes(view)), hashlib.sha256()
+                elif (record, chunk) != (open_record, at + 1):
+                    raise ValueError(f"chunk {chunk} of {record} does not follow chunk {at} of {open_record}")
+                digest.update(view[rest : len(view) - (4 if last else 0)])
+                open_record, at = record, chunk
+                if digest.hexdigest() != so_far:
+                    raise ValueError(f"chunk {chunk} of {record} is damaged")
                 if last:
                     out.append(finish(head, digest.hexdigest()))
             yield pa.RecordBatch.from_pylist(out, schema=arrow)
@@ -143,10 +169,11 @@ def parse_head(data: bytes) -> tuple[dict, int]:
     m = HEAD.match(data)
     if not m:
         raise ValueError("not a WARC record")
-    fields = dict(line.split(b": ", 1) for line in m[3].split(b"\r\n") if b": " in line)
-    size = int(re.search(rb"Content-Length: (\d+)", m[4])[1])
-    refers = re.search(rb"page:(-?\d*)>", fields.get(b"WARC-Refers-To", b""))
-    return {"page_id": int(m[2]) if m[2] else None, "payload_bytes": size, "payload_digest": fields[b"WARC-Payload-Digest"].split(b":")[1].decode(), "record_type": m[1].decode(), "refers_to": int(refers[1]) if refers and refers[1] else None}, m.end()
+    fields = dict(line.split(b": ", 1) for line in m[1].split(b"\r\n"))
+    size = int(re.search(rb"Content-Length: (\d+)", m[2])[1])
+    number = lambda name: int(fields[name]) if fields.get(name) else None
+    kind, digest = fields[b"WARC-Type"].decode(), fields[b"WARC-Payload-Digest"].split(b":")[1].decode()
+    return {"page_id": number(b"Page-ID"), "payload_bytes": size, "payload_digest": digest, "record_type": kind, "refers_to": number(b"Refers-To-Page-ID")}, m.end()
 
 
 def finish(head: dict, digest: str) -> dict:
