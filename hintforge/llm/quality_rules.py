@@ -62,10 +62,10 @@ def measure(texts: list[bytes], lengths: tuple[int, ...]) -> dict[str, np.ndarra
         distinct = set(full)
         lines[i], line_dups[i] = len(full), len(full) - len(distinct)
         if line_dups[i]:
-            size = lambda some: sum(len(w.decode()) for x in some for w in x.split())
+            size = lambda some: sum(len(w.decode("utf-8", "replace")) for x in some for w in x.split())
             line_dup_chars[i] = size(full) - size(distinct)
     distinct_words = dict.fromkeys(words)
-    chars = np.fromiter((len(w.decode()) for w in distinct_words), np.int64, len(distinct_words))
+    chars = np.fromiter((len(w.decode("utf-8", "replace")) for w in distinct_words), np.int64, len(distinct_words))
     number = dict(zip(distinct_words, range(len(distinct_words))))
     ids = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
     doc, ends = segment_ids(counts), np.cumsum(counts)
@@ -96,7 +96,7 @@ def repetition_measures(docs: DataFrame, rules: RepetitionRules = RepetitionRule
     """doc_id with all counts, base_failed and kept, one row for each row of docs(doc_id long, text string, ...).
 
     A null or white text has no words: all counts are 0 and it fails the base rule. Repeated rows each give a row, null doc_ids
-    stay null, other columns are not read, and an empty table gives an empty one.
+    stay null, other columns are not read, and an empty table gives an empty one. Bytes that aren't UTF-8 count as U+FFFD.
     """
     lengths = tuple(sorted(rules.ngram_chars))
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "line_dup_chars", *(f"dup_{n}gram_chars" for n in lengths)]

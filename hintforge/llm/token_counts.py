@@ -137,7 +137,7 @@ class TokenCounter:
         sizes = np.zeros(len(texts), np.int64)
         for i, text in enumerate(texts):
             if text:
-                found = pre_tokens(text.decode())
+                found = pre_tokens(text.decode("utf-8", "replace"))
                 sizes[i] = len(found)
                 words += found
         new = list(set(words).difference(self.known))

@@ -3,7 +3,8 @@
 The word_bpe tokenizer never lets a token span ASCII white space: its normaliser works inside a run of letters, its
 pre-tokeniser drops white space, and no added token holds any. A text's ids are therefore its white-space-separated
 words' ids in order, and each distinct word needs the library once per worker. For a word in Latin-1 the library's BPE
-model is called on each piece directly, as normalising such text is lower-casing; any other word takes its full encode.
+model is called on each piece directly, as normalising such text is lower-casing; any other word takes its full encode. Bytes that
+aren't UTF-8 are read as U+FFFD.
 """
 
 from __future__ import annotations
@@ -75,7 +76,7 @@ class WordTokenizer:
 
     def _learn(self, words: list[bytes]) -> None:
         """Numbers new words: those in Latin-1 by their pieces, all in one pass; others by the library's full encode."""
-        latin, text, odd = words, b"\n".join(words).decode(), []
+        latin, text, odd = words, b"\n".join(words).decode("utf-8", "replace"), []
         if NOT_LATIN.search(text):
             texts = [(w, t) for w, t in zip(words, text.split("\n"))]
             odd = [(w, t) for w, t in texts if NOT_LATIN.search(t)]
