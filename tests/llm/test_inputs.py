@@ -229,3 +229,14 @@ def test_passages_come_through_bands(spark):
     assert {r.doc_id for r in found} >= set(range(30))
     spans = {r.doc_id: [(s.size, s.removed) for s in r.spans] for r in substring_dedup.repeated_spans(df).collect()}
     assert spans == {i: [(51, i > 0)] for i in range(30)}  # 45 words of it don't count
+
+
+# --- decontamination
+
+def test_short_items_are_found_whole(spark):
+    items = spark.createDataFrame([(1, "Alpha"), (2, "beta, gamma"), (3, "one two three four"), (4, "!"), (5, "a b c d e f"), (6, "x y"), (6, "k l m n o")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "the alpha."), (2, "beta x gamma"), (3, "Beta GAMMA one two three"), (4, "zero one two three four"), (5, "a b c d e f"), (6, "x y"), (7, "x y k l m n o"), (8, None), (9, "")], "doc_id long, text string")
+    got = {tuple(r) for r in decontaminate.contaminated(docs, items, short_items=True).collect()}
+    assert got == {(1, 1, 1, 1), (3, 2, 1, 1), (4, 3, 1, 1), (5, 5, 2, 2), (7, 6, 2, 2)}
+    assert {r.doc_id for r in decontaminate.contaminated(docs, items).collect()} == {5, 7}
+    assert {r.doc_id for r in decontaminate.drop_contaminated(docs, items, short_items=True).collect()} == {2, 6, 8, 9}
