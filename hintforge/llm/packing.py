@@ -26,7 +26,7 @@ from hintforge.llm.tokenizing import WordTokenizer
 
 #: Pieces of a shard (on average), islands of each shard, population of an island, crossovers at least, generations at most (of few pieces
 #: as many as place SMALL_WORK pieces) before and after migration.
-SHARD_PIECES, ISLANDS, POPULATION, CROSSOVERS, GENERATIONS, SMALL_WORK = 4000, 2, 4, 2, 12, 4000
+SHARD_PIECES, ISLANDS, POPULATION, CROSSOVERS, GENERATIONS, SMALL_WORK = 4000, 2, 4, 2, 6, 4000
 #: Shards whose worst bins meet in the next round, as one in so many of a shard's pieces moves on.
 MERGE = 16
 

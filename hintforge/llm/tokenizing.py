@@ -3,7 +3,7 @@
 The word_bpe tokenizer never lets a token span ASCII white space: its normaliser works inside a run of letters, its
 pre-tokeniser drops white space, and no added token holds any. A text's ids are therefore its white-space-separated
 words' ids in order, and each distinct word needs the library once per worker. For a word in Latin-1 the library's BPE
-model is called on each piece directly, as normalising such text is lower-casing; any other word takes its full encode. Bytes that
+model is called on the pieces directly, as normalising such text is lower-casing; any other word takes its full encode. Bytes that
 aren't UTF-8 are read as U+FFFD.
 """
 
@@ -58,10 +58,11 @@ class WordTokenizer:
 
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.library, self.cache_words = Tokenizer.from_file(path), cache_words
-        self.merge, self.letters = self.library.model.tokenize, byte_letters()
+        self.merger, self.letters = Tokenizer(self.library.model), byte_letters()
+        self.merger.pre_tokenizer = pre_tokenizers.Split("\n", "removed")
         self.known, self.words = {}, Ragged()
         self._forget_pieces()
 
@@ -69,10 +70,11 @@ class WordTokenizer:
         self.pieces, self.piece_ids = {"\n": 0}, Ragged()
         self.piece_ids.add_lists([[]])
 
-    def _merged(self, piece: str) -> list[int]:
-        """The library's own BPE model on a piece in byte letters."""
-        spelt = piece if piece.isascii() and piece.isprintable() else piece.encode().decode("latin-1").translate(self.letters)
-        return [t.id for t in self.merge(spelt)]
+    def _merged(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids that the library's own BPE model gives for pieces in byte letters, and their numbers, in one call."""
+        spelt = [p if p.isascii() and p.isprintable() else p.encode().decode("latin-1").translate(self.letters) for p in pieces]
+        made = self.merger.encode("\n".join(spelt), add_special_tokens=False)
+        return np.array(made.ids, np.uint32), np.bincount(np.array(made.word_ids, np.int64), minlength=len(pieces))
 
     def _learn(self, words: list[bytes]) -> None:
         """Numbers new words: those in Latin-1 by their pieces, all in one pass; others by the library's full encode."""
@@ -89,7 +91,7 @@ class WordTokenizer:
             pieces.append("\n")
             if new := list(set(pieces).difference(self.pieces)):
                 self.pieces.update(zip(new, range(len(self.pieces), len(self.pieces) + len(new))))
-                self.piece_ids.add_lists([self._merged(p) for p in new])
+                self.piece_ids.add(*self._merged(new))
             numbers = np.fromiter(map(self.pieces.__getitem__, pieces), np.int64, len(pieces))
             flat, sums = self.piece_ids.take(numbers)
             self.words.add(flat, np.diff(sums[np.flatnonzero(numbers == 0)], prepend=0))
