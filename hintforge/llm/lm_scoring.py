@@ -34,7 +34,7 @@ FOLDS, HELD_OUT = 5, 1
 #: Quantisation, hashes and bits of a filter entry, pseudo-count of the unigram model.
 LOG_BASE, HASHES, ENTRY_BITS, MU = 1.5, 6, 9, 400.0
 #: Text of one shard, bytes that are broadcast at once, classes of words at most.
-SHARD_TEXT, BROADCAST_BYTES, CLASSES = 12 << 20, 96 << 20, 64
+SHARD_TEXT, BROADCAST_BYTES, CLASSES = 12 << 20, 160 << 20, 64
 END, BEGIN = xxhash.xxh3_64_intdigest(b" end"), xxhash.xxh3_64_intdigest(b" begin")
 CHUNK = 2 << 20
 
@@ -92,6 +92,24 @@ class LogFrequencyFilter:
         return out
 
 
+class WordCounts:
+    """Exact counts of sorted 64-bit keys, nine bytes a key: counts of MANY and more are held apart, in order."""
+
+    MANY = 255
+
+    def __init__(self, keys: np.ndarray, few: np.ndarray, many: np.ndarray):
+        self.keys, self.few, self.many, self.places = keys, few, many, np.flatnonzero(few == self.MANY)
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.zeros(len(keys), np.int64)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        found = np.where(self.keys[at] == keys, self.few[at], 0).astype(np.int64)
+        big = np.flatnonzero(found == self.MANY)
+        found[big] = self.many[np.searchsorted(self.places, at[big])]
+        return found
+
+
 def bigram(v: np.ndarray, w: np.ndarray) -> np.ndarray:
     return mix64(v * np.uint64(0x9E3779B97F4A7C15) + w)
 
@@ -162,18 +180,18 @@ def count_ngrams(docs: DataFrame, classes: int, parts: int) -> DataFrame:
 
 
 def tables(counts: DataFrame, entry_bits: int = ENTRY_BITS) -> DataFrame:
-    """kind, class, part, n_types, n_tokens, keys and counts (unigrams) or the filter's bits (bigrams)."""
+    """kind, class, part, n_types, n_tokens, and in a to c keys and counts (unigrams, see WordCounts) or the filter's bits (bigrams)."""
 
     def build(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         keys, n = summed(np.frombuffer(b"".join(part["keys"]), np.uint64), np.frombuffer(b"".join(part["counts"]), np.uint32).astype(np.int64))
-        row = {"kind": key[0], "class": key[1], "part": key[2], "n_types": len(keys), "n_tokens": int(n.sum()), "a": b"", "b": b""}
+        row = {"kind": key[0], "class": key[1], "part": key[2], "n_types": len(keys), "n_tokens": int(n.sum()), "a": b"", "b": b"", "c": b""}
         if key[0] == 1:
-            row |= {"a": keys.tobytes(), "b": n.tobytes()}
+            row |= {"a": keys.tobytes(), "b": np.minimum(n, WordCounts.MANY).astype(np.uint8).tobytes(), "c": n[n >= WordCounts.MANY].tobytes()}
         else:
             row |= {"a": LogFrequencyFilter.of(keys, n, entry_bits).bits.tobytes()}
         return pd.DataFrame([row])
 
-    return counts.groupBy("kind", "class", "part").applyInPandas(build, "kind int, class int, part int, n_types long, n_tokens long, a binary, b binary")
+    return counts.groupBy("kind", "class", "part").applyInPandas(build, "kind int, class int, part int, n_types long, n_tokens long, a binary, b binary, c binary")
 
 
 def passes(words: dict[int, int], pairs: dict[tuple[int, int], int], classes: int, bound: int) -> list[tuple[tuple[int, int], list[tuple[int, int]]]]:
@@ -215,17 +233,17 @@ def score_documents(docs: DataFrame, shard_text: int = SHARD_TEXT, broadcast_byt
     classes = min(CLASSES, max(1, math.isqrt(shards)))
     parts = -(-shards // classes)
     made = stored(tables(count_ngrams(docs, classes, parts), entry_bits), "lm")
-    sizes = made.select("kind", "class", "part", "n_types", "n_tokens", (F.octet_length("a") + F.octet_length("b")).alias("size")).collect()  # a row for each shard
+    sizes = made.select("kind", "class", "part", "n_types", "n_tokens", (F.octet_length("a") + F.octet_length("b") + F.octet_length("c")).alias("size")).collect()  # a row for each shard
     n, v = (sum(r[c] for r in sizes if r.kind == 1) for c in ("n_tokens", "n_types"))
     plan = passes({r["class"]: r.size for r in sizes if r.kind == 1}, {(r["class"], r.part): r.size for r in sizes if r.kind == 2}, classes, broadcast_bytes)
     rows = docs.select(F.col("doc_id").cast("long"), "text")
 
-    def unigrams(first: int, stop: int):
-        found = made.where((F.col("kind") == 1) & F.col("class").between(first, stop - 1)).orderBy("class").select("a", "b").toLocalIterator()
-        keys, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    def unigrams(first: int, stop: int) -> WordCounts:
+        found = made.where((F.col("kind") == 1) & F.col("class").between(first, stop - 1)).orderBy("class").select("a", "b", "c").toLocalIterator()
+        held = [(np.zeros(0, np.uint64), np.zeros(0, np.uint8), np.zeros(0, np.int64))]
         for r in found:  # classes are ranges of keys, so this is in order of keys
-            keys.append(np.frombuffer(r.a, np.uint64)), counts.append(np.frombuffer(r.b, np.int64))
-        return np.concatenate(keys), np.concatenate(counts)
+            held.append((np.frombuffer(r.a, np.uint64), np.frombuffer(r.b, np.uint8), np.frombuffer(r.c, np.int64)))
+        return WordCounts(*(np.concatenate(x) for x in zip(*held)))
 
     def filters(some: list[tuple[int, int]]) -> dict[int, np.ndarray]:
         ids = [c * parts + p for c, p in some]
@@ -236,7 +254,7 @@ def score_documents(docs: DataFrame, shard_text: int = SHARD_TEXT, broadcast_byt
     every = np.array([r["class"] * parts + r.part for r in sizes if r.kind == 2], np.int64)
     out, before = None, None
     for run, some in plan:
-        shared = spark.sparkContext.broadcast((*unigrams(*run), filters(some)))
+        shared = spark.sparkContext.broadcast((unigrams(*run), filters(some)))
         scored = rows.mapInArrow(_scorer(shared, run, run != before, every, classes, parts, n, v, mu), "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
         before = run
         if len(plan) > 1:  # a pass is written before the next one's tables are gathered
@@ -254,22 +272,16 @@ def _scorer(shared, run: tuple[int, int], counts_words: bool, every: np.ndarray,
     """A pass over all documents; `row` is a hash of doc_id and text that joins a row's parts, `every` the numbers of all filters."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, times, bits = shared.value
+        known, bits = shared.value
         filters = {k: LogFrequencyFilter(b) for k, b in bits.items()}
 
-        def exact(keys: np.ndarray) -> np.ndarray:
-            if not len(known):
-                return np.zeros(len(keys), np.int64)
-            at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-            return np.where(known[at] == keys, times[at], 0)
-
         for part, texts in text_chunks(batches, limit=CHUNK):
             names = part.column("doc_id").to_pylist()
             keys, ids, counts = coded(texts)
             doc = segment_ids(counts)
             of = part_of(keys, classes)
             here = (of >= run[0]) & (of < run[1])
-            count = np.where(here, exact(keys), 0)
+            count = np.where(here, known.of(keys), 0)
             p1 = (count + 0.5) / (n + 0.5 * (v + 1))
             tokens = keys[ids]
             pair = bigram(histories(tokens, counts), tokens)

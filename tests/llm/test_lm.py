@@ -59,3 +59,24 @@ def test_filter_has_no_false_negatives_and_few_errors():
     assert (table.levels(keys) >= lm.level(counts)).all()
     assert (table.levels(keys) == lm.level(counts)).mean() > 0.95
     assert (table.levels(keys + np.uint64(1)) > 0).mean() < 0.05
+
+
+def test_word_counts_are_exact():
+    gen = np.random.default_rng(3)
+    keys = np.unique(gen.integers(0, 2**63, 5000).astype(np.uint64))
+    counts = np.concatenate([gen.integers(1, 300, len(keys) - 3), [255, 254, 10**12]])
+    table = lm.WordCounts(keys, np.minimum(counts, 255).astype(np.uint8), counts[counts >= 255])
+    assert (table.of(keys) == counts).all() and not table.of(keys + np.uint64(1)).any()
+    assert not lm.WordCounts(*(np.zeros(0, k) for k in (np.uint64, np.uint8, np.int64))).of(keys).any()
+
+
+def test_every_class_and_filter_is_in_one_pass():
+    words, pairs = {c: 30 + c for c in range(9)}, {(c, p): 25 + 7 * p for c in range(9) for p in range(3) if c != 4}
+    for bound in (1, 60, 150, 400, 10_000):
+        plan = lm.passes(words, pairs, 10, bound)
+        assert sorted(p for _, some in plan for p in some) == sorted(pairs)
+        runs = list(dict.fromkeys(run for run, _ in plan))
+        assert [c for a, b in runs for c in range(a, b)] == list(range(10))
+        for (a, b), some in plan:
+            held = sum(words.get(c, 0) for c in range(a, b))
+            assert held + sum(pairs[p] for p in some) <= max(bound, held + max((pairs[p] for p in some), default=0)) and (b - a == 1 or held <= bound // 2 or held <= max(words.values()))
