@@ -36,7 +36,7 @@ LOG_BASE, HASHES, ENTRY_BITS, MU = 1.5, 6, 9, 400.0
 #: Text of one shard, bytes that are broadcast at once, classes of words at most.
 SHARD_TEXT, BROADCAST_BYTES, CLASSES = 12 << 20, 160 << 20, 64
 END, BEGIN = xxhash.xxh3_64_intdigest(b" end"), xxhash.xxh3_64_intdigest(b" begin")
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 
 
 def held_out(doc_id: int | None) -> bool:

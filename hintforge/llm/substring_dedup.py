@@ -9,8 +9,8 @@ Two kinds of paragraphs cover all texts; both are sets of 5-word shingles, both
   and the least hash of the other shingles; BLOCK_BANDS of them find a pair of Jaccard 0.8 with one anchor with probability 0.96.
 
 Equal sets are one node. Nodes of one band meet in signature trees (see jaccard_join), and links of Jaccard 0.8 or more make components.
-Blocks at the ends of what repeats are then moved word by word: all windows less than REACH words from such a block, in every document that has
-it, are joined by content, so that spans reach the first and last word of what is shared.
+Blocks at the ends of what repeats are then moved word by word: all windows less than REACH words before a run's first block, or behind its last, in
+every document that has that block, are joined by content, so that spans reach the first and last word of what is shared.
 
 Of each component the occurrences in the document with the smallest doc_id stay; those in other documents are removed. What adds up to less than SPAN
 words is left alone. Repeats inside one document are left to the quality rules.
@@ -128,8 +128,8 @@ def block_keys(shingles: np.ndarray) -> np.ndarray:
     return keys
 
 
-def windows(texts: list[bytes], near: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All windows of PASSAGE words less than REACH words from the places of near: text number, first word's place and key of the content."""
+def windows(texts: list[bytes], near: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Windows of PASSAGE words by the places of near, those to look before and those to look behind: text number, first word's place and key of the content."""
     code, counts = word_codes(texts)
     if len(code) < PASSAGE:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -147,13 +147,14 @@ def window_keys(code: np.ndarray, at: np.ndarray) -> np.ndarray:
     return mix64((sums[at + PASSAGE] - sums[at]) * back[at]).view(np.int64)
 
 
-def beside(near: list[np.ndarray], counts: np.ndarray) -> np.ndarray:
-    """For each word whether it is less than REACH words from a place of its text in near."""
+def beside(near: list[tuple[np.ndarray, np.ndarray]], counts: np.ndarray) -> np.ndarray:
+    """For each word whether it is less than REACH words before one of the first places of its text, or behind one of the second (or few before)."""
     starts = np.cumsum(counts) - counts
     edge = np.zeros(int(counts.sum()) + 1, np.int64)
-    for places, start, n in zip(near, starts, counts):
-        np.add.at(edge, start + np.maximum(places - REACH + 1, 0), 1)
-        np.add.at(edge, start + np.minimum(places + REACH, n), -1)
+    for (before, behind), start, n in zip(near, starts, counts):
+        for low, high in ((before - REACH + 1, before + 1), (behind - ANCHOR, behind + REACH)):
+            np.add.at(edge, start + np.clip(low, 0, n), 1)
+            np.add.at(edge, start + np.clip(high, 0, n), -1)
     return np.cumsum(edge[:-1]) > 0
 
 
@@ -168,7 +169,8 @@ def with_keepers(found: DataFrame, group: str) -> DataFrame:
     Keepers are written before the join: both its sides are then plain shuffles, of which AQE splits hot groups over several tasks.
     """
     repeated = found.groupBy(group).agg(F.min("doc_id").alias("keeper"), F.max("doc_id").alias("other")).where("keeper < other").drop("other")
-    return found.join(maybe_broadcast(stored(repeated, "keepers")), group)
+    # merged, not broadcast: groups grow with the corpus
+    return found.join(stored(repeated, "keepers").hint("merge"), group)
 
 
 #: What one pass over the texts finds: rows of paragraphs, and rows of packed band keys alone.
@@ -260,15 +262,20 @@ def edge_repeats(docs: DataFrame, hits: DataFrame) -> DataFrame:
     parts = hits.where("block")
     along = Window.partitionBy("doc_id", "copy").orderBy("first")
     far = lambda x: F.coalesce(x > PASSAGE, F.lit(True))
-    ends = parts.withColumn("end", far(F.col("first") - F.lag("first").over(along)) | far(F.lead("first").over(along) - F.col("first"))).where("end")
-    ends = stored(ends.select("component").distinct(), "ends")
-    held = stored(parts.join(maybe_broadcast(ends), "component").select("doc_id", "copy", "first").distinct(), "edges")
-    by_doc = held.groupBy("doc_id", "copy").agg(F.collect_list("first").alias("places")).groupBy("doc_id").agg(F.collect_list(F.struct("copy", "places")).alias("copies"))
+    opens, closes = far(F.col("first") - F.lag("first").over(along)), far(F.lead("first").over(along) - F.col("first"))
+    found = parts.select("component", opens.alias("opens"), closes.alias("closes"))
+    sides = F.explode(F.array(F.when(F.col("opens"), True), F.when(F.col("closes"), False))).alias("before")
+    ends = stored(found.select("component", sides).where("before IS NOT NULL").distinct(), "ends")
+    held = stored(parts.join(maybe_broadcast(ends), "component").select("doc_id", "copy", "first", "before").distinct(), "edges")
+    places = [F.collect_list(F.when(side, F.col("first"))).alias(name) for side, name in ((F.col("before"), "before"), (~F.col("before"), "behind"))]
+    by_doc = held.groupBy("doc_id", "copy").agg(*places).groupBy("doc_id").agg(F.collect_list(F.struct("copy", "before", "behind")).alias("copies"))
 
     def around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, some in text_chunks(batches, limit=SLICE):
-            names = text_names(some)
-            near = [np.array(next((c["places"] for c in copies if c["copy"] == name), []), np.int64) for name, copies in zip(names.tolist(), part.column("copies").to_pylist())]
+            names, near = text_names(some), []
+            for name, copies in zip(names.tolist(), part.column("copies").to_pylist()):
+                mine = next((c for c in copies if c["copy"] == name), {"before": [], "behind": []})
+                near.append(tuple(np.array(mine[side], np.int64) for side in ("before", "behind")))
             doc, place, keys = windows(some, near)
             yield pa.RecordBatch.from_arrays([part.column("doc_id").take(pa.array(doc)), pa.array(names[doc]), pa.array(place, pa.int32()), pa.array(keys)], ["doc_id", "copy", "first", "key"])
 
@@ -356,11 +363,12 @@ def remove_repeats(docs: DataFrame, threshold: tuple[int, int] = (8, 10)) -> Dat
     """
     lists = free_name(docs, "_copies")
     spans = repeated_spans(docs, threshold).select("doc_id", F.col("copy").alias("_copy"), F.filter("spans", lambda s: s["removed"]).alias("_spans")).where(F.size("_spans") > 0)
-    spans = spans.groupBy("doc_id").agg(F.collect_list(F.struct("_copy", "_spans")).alias(lists))
+    spans = stored(spans.groupBy("doc_id").agg(F.collect_list(F.struct("_copy", "_spans")).alias(lists)), "spans")
+    spans = maybe_broadcast(spans, spans.agg(F.sum(F.aggregate(lists, F.lit(0), lambda n, c: n + F.size(c["_spans"])))).first()[0] or 0)
     names, columns, schema = docs.columns, docs.columns.index("text"), docs.schema
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch, _ in text_chunks(batches, limit=SLICE):
             copies = batch.column(batch.num_columns - 1)
             new, keep = [], []
             for text, found in zip(batch.column(columns).cast(pa.binary()), copies):
