@@ -65,9 +65,10 @@ def free_name(df: DataFrame, name: str) -> str:
 def text_chunks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """The batches in slices of about limit bytes of text, with each row's text as UTF-8 (null: empty).
 
-    A single longer text makes a slice of its own.
+    A single longer text makes a slice of its own. What Arrow holds of earlier batches goes back to the system before the next is taken.
     """
     for batch in batches:
+        pa.default_memory_pool().release_unused()
         if not batch.num_rows:
             continue
         col = batch.column(batch.schema.get_field_index(column))

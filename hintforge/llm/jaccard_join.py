@@ -33,7 +33,7 @@ from hintforge.llm.signature_trees import BLOCK, own_bitmaps, span_groups
 #: Bytes of text that are worked on at once.
 SLICE = 1 << 20
 #: Cells of the table of levels, shingles that a task holds while it looks for repeated ones, level (log2) from which a key is frequent.
-CELLS, CELL_CHUNK, HELD_SHINGLES, FREQUENT = 1 << 24, 1 << 14, 4 << 20, 10
+CELLS, CELL_CHUNK, HELD_SHINGLES, FREQUENT = 1 << 24, 1 << 14, 2 << 20, 10
 ODD = np.uint64(0x9E3779B97F4A7C15)
 #: Stands for a null doc_id where a class's owner is named.
 NOBODY = 2**63 - 1
@@ -137,13 +137,13 @@ def named_sets(docs: DataFrame, n: int) -> DataFrame:
 
         def repeated() -> pa.RecordBatch:
             flat = np.concatenate(held)
+            held.clear(), seen.clear()
             flat.sort()
-            first = np.flatnonzero(np.append(True, flat[1:] != flat[:-1])[: len(flat)])
-            times = np.diff(first, append=len(flat))
-            often = times > 1
-            none = pa.nulls(int(often.sum()))
+            again = flat[1:][flat[1:] == flat[:-1]]  # a shingle once less than it is there
+            found, times = np.unique(again, return_counts=True)
+            none = pa.nulls(len(found))
             cols = [none.cast(f.type) for f in list(SETS_ARROW)[:6]]
-            return pa.RecordBatch.from_arrays([*cols, pa.array(flat[first[often]].view(np.int64)), pa.array(times[often].astype(np.int64))], schema=SETS_ARROW)
+            return pa.RecordBatch.from_arrays([*cols, pa.array(found.view(np.int64)), pa.array(times + 1)], schema=SETS_ARROW)
 
         for part, texts in text_chunks(batches, limit=SLICE):
             flat, sizes = shingle_sets(texts, n)
@@ -163,7 +163,6 @@ def named_sets(docs: DataFrame, n: int) -> DataFrame:
             held.append(some)
             if sum(map(len, held)) > HELD_SHINGLES:
                 yield repeated()
-                held.clear(), seen.clear()
         if held:
             yield repeated()
 
