@@ -42,10 +42,20 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+#: Rows of an Arrow batch at most while a table is written: texts of some kilobytes, held by Spark and by Python at once.
+ARROW_ROWS = 2000
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """df written to the shared folder and read again: later plans start from files and survive lost executors."""
-    path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    path, conf, key = shared_dir(df.sparkSession, name), df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = conf.get(key)
+    if not 0 < int(before) <= ARROW_ROWS:
+        conf.set(key, str(ARROW_ROWS))
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(key, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
