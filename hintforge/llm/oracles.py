@@ -83,3 +83,38 @@ SELECT p.page_id, p.payload_bytes, p.payload_digest, CASE WHEN f.first <> p.page
        CASE WHEN f.first <> p.page_id THEN f.first END AS refers_to
 FROM p LEFT JOIN f USING (payload_digest)
 """
+
+OP11 = rf"""
+WITH d AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all({ASCII_LOWER.format("coalesce(text, '')")}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w, row_number() OVER () AS doc FROM documents),
+o AS (SELECT lang, source, doc, unnest(w) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS lang_n FROM o GROUP BY lang, term HAVING count(DISTINCT doc) >= 10),
+c AS (SELECT lang, source, term, count(*) AS n, any_value(lang_n) AS lang_n FROM o JOIN k USING (lang, term) GROUP BY ALL),
+v AS (SELECT lang, count(*) AS v, sum(lang_n)::hugeint AS lang_total FROM k GROUP BY lang),
+g AS (SELECT lang, source, coalesce((SELECT sum(n) FROM c WHERE c.lang = x.lang AND c.source = x.source), 0)::hugeint AS total, coalesce(v, 0) AS v, lang_total FROM (SELECT DISTINCT lang, source FROM d) x LEFT JOIN v USING (lang)),
+s AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + 1000000000::hugeint * (coalesce(c.n, 0) + 2) // (total + 2 * v) AS p, 1 + 1000000000::hugeint * (k.lang_n + 2) // (lang_total + 2 * v) AS q FROM g JOIN k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+x AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f, 0)::bigint AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+        LEFT JOIN (SELECT s.lang, s.source, t.source AS item, sum((s.p - t.p) * (s.p - t.p) // (s.p + t.p)) AS f FROM s JOIN s t ON s.lang = t.lang AND s.term = t.term GROUP BY ALL) y ON y.lang = a.lang AND y.source = a.source AND y.item = b.source
+      UNION ALL SELECT lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::bigint FROM s WHERE n > 0 AND p > q),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank FROM x)
+SELECT lang, source, part, item, value, rank::int AS rank FROM r WHERE part = 'pair' OR rank <= 10
+"""
+
+
+def _op13() -> str:
+    rounds = []
+    for k in range(6):
+        rounds.append(f"""a{k} AS MATERIALIZED (SELECT r, arg_min(k, d * 40 + k) AS k, min(d) AS d FROM (SELECT v.r, c.k, list_sum(list_transform(list_zip(v.c, c.c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::bigint AS d FROM v, c{k} c) GROUP BY r)""")
+        if k < 5:
+            rounds.append(f"""m{k} AS (SELECT k, list((s - ((s % n) + n) % n) // n ORDER BY d) AS c FROM (SELECT k, e.d, sum(x)::bigint AS s, count(*) AS n FROM a{k} JOIN e USING (r) GROUP BY k, e.d) GROUP BY k),
+c{k + 1} AS MATERIALIZED (SELECT c.k, coalesce(m.c, c.c) AS c FROM c{k} c LEFT JOIN m{k} m USING (k))""")
+    return f"""
+WITH v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) AS c FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+e AS MATERIALIZED (SELECT r, unnest(range(64)) AS d, unnest(c) AS x FROM v),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h NULLS LAST) - 1 AS k, c FROM (SELECT c, sha256('2:' || vec_id) AS h FROM v ORDER BY h NULLS LAST LIMIT 40)),
+{", ".join(rounds)}
+SELECT vec_id, a.k::int AS cluster, a.d AS distance, (sum(a.d) OVER (PARTITION BY a.k))::bigint AS cluster_inertia, (sum(a.d) OVER ())::bigint AS inertia, sha256(array_to_string(c5.c, ',')) AS centroid_sha256
+FROM v JOIN a5 a USING (r) JOIN c5 ON c5.k = a.k
+"""
+
+
+OP13 = _op13()

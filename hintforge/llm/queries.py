@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hintforge.llm import oracles
+from hintforge.llm.centroid_clusters import cluster_vectors
 from hintforge.llm.common import table
 from hintforge.llm.decontaminate import contaminated
+from hintforge.llm.divergence import source_divergence
 from hintforge.llm.jaccard_join import jaccard_components
 from hintforge.llm.lm_scoring import score_documents
 from hintforge.llm.packing import pack_documents
 from hintforge.llm.quality_rules import repetition_measures
+from hintforge.llm.secret_scan import secret_spans
 from hintforge.llm.substring_dedup import repeated_spans
 from hintforge.llm.token_codes import encode_documents
 from hintforge.llm.token_counts import count_tokens
@@ -69,9 +72,21 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_pages(table(spark, sf_dir, "pages"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_spans(table(spark, sf_dir, "documents"))
+
+
+def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_repetition_rules, op2_url_templates, op3_token_codes, op4_decontamination, op5_lm_scoring, op6_jaccard_join, op7_substring_dedup, op8_token_counts, op9_best_fit_packing, op10_warc)}
+    return {f.__name__: f for f in (op1_repetition_rules, op2_url_templates, op3_token_codes, op4_decontamination, op5_lm_scoring, op6_jaccard_join, op7_substring_dedup, op8_token_counts, op9_best_fit_packing, op10_warc, op11_source_divergence, op12_secret_scan, op13_centroid_clusters)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_repetition_rules": oracles.OP1, "op2_url_templates": oracles.OP2, "op4_decontamination": oracles.OP4, "op6_jaccard_join": oracles.OP6, "op10_warc": oracles.OP10}
+    return {"op1_repetition_rules": oracles.OP1, "op2_url_templates": oracles.OP2, "op4_decontamination": oracles.OP4, "op6_jaccard_join": oracles.OP6, "op10_warc": oracles.OP10, "op11_source_divergence": oracles.OP11, "op13_centroid_clusters": oracles.OP13}
