@@ -22,11 +22,14 @@ def parser() -> argparse.ArgumentParser:
     run = commands.add_parser("run", help="from seeds, genome and proteins to hints, evidence, chains and the export")
     run.add_argument("genome"), run.add_argument("proteins"), run.add_argument("output")
     run.add_argument("--aligner", default=None, help="module:function that aligns a batch; not needed with --alignments")
-    for name in ("seeds", "pairs", "alignments", "previous_seeds", "previous_alignments"):
-        run.add_argument(f"--{name.replace('_', '-')}", default=None)
-    for name in ("max_proteins_per_seed", "window", "max_gene", "word", "chain_cut"):
-        run.add_argument(f"--{name.replace('_', '-')}", type=int, default=getattr(EngineConfig, name))
-    run.add_argument("--strict-support", action="store_true")
+    for f in fields(EngineConfig):  # but the thresholds, which have options of their own
+        flag = f"--{f.name.replace('_', '-')}"
+        if isinstance(f.default, bool):
+            run.add_argument(flag, action="store_true")
+        elif f.default is None:
+            run.add_argument(flag, default=None)
+        elif isinstance(f.default, (int, float)):
+            run.add_argument(flag, type=float if f.name in ("e_value", "min_exon_score") else int, default=f.default)
     for command in (one, run):
         for f in fields(Cutoffs):
             flag = f"--{f.name.replace('_', '-')}"

@@ -81,6 +81,19 @@ def dna(spark: SparkSession, sf_dir: str, name: str = "documents", key: str = "d
     return docs.select(F.col(key).alias("id"), clean_dna(letters).alias("seq"))
 
 
+def proteins(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """id and seq: a table's text letters as amino acids."""
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet").select(key, "text")
+    return rows.select(F.col(key).cast("string").alias("id"), F.regexp_replace(upper_ascii(F.col("text")), "[^A-Z]", "").alias("seq"))
+
+
+def aligned_lengths(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(gene, length) of regions and (prot, length) of proteins, both skewed: a tenth of the genes is ten times as long."""
+    rows = _lineitem(spark, sf_dir, "l_orderkey", "l_suppkey", "l_quantity")
+    regions = rows.selectExpr("'g' || l_orderkey % 500 AS gene", "CAST(l_quantity AS bigint) * CASE WHEN l_orderkey % 500 < 50 THEN 200 ELSE 20 END AS n").groupBy("gene").agg(F.sum("n").alias("length"))
+    return regions, rows.selectExpr("'p' || l_suppkey AS prot", "CAST(l_quantity AS bigint) AS n").groupBy("prot").agg(F.sum("n").alias("length"))
+
+
 def sequence_genes(sequences: DataFrame) -> DataFrame:
     """A gene of two coding segments on each sequence of 12 bases or more, with strand and phases by id."""
     n = F.length("seq").cast("long")

@@ -118,6 +118,13 @@ def cds_overlap_binned(spark, sf_dir):
     return short(hints.count_overlaps_binned(of(c, "start_codon"), of(c, "CDS"), 500))
 
 
+@query(f"WITH {COMB} {OVERLAP.format(starts='comb', cds='comb')}")
+def cds_overlap_summed(spark, sf_dir):
+    """The same without any pair of a start and a segment."""
+    c = comb(spark, sf_dir)
+    return short(hints.count_overlaps_summed(of(c, "start_codon"), of(c, "CDS"), 500))
+
+
 LOGREG = "SELECT c.*, CAST(CASE WHEN -4.00529 + 4.73909 * (score / m) + 9.09026 * al >= 0.85 THEN 2 ELSE 0 END AS int) AS class FROM comb c, (SELECT median(score) AS m FROM comb WHERE type <> 'CDS') WHERE type <> 'CDS'"
 
 
@@ -381,6 +388,41 @@ def kmer_search(spark, sf_dir):
     return search.kmer_pairs(seeds, targets, k=12, best=25, least=20)
 
 
+LETTERS = "regexp_replace(translate(text, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ'), '[^A-Z]', '', 'g')"
+PLACES = "SELECT id, d[i:i + 11] AS word, i FROM (SELECT id, d, unnest(range(1, length(d) - 10)) AS i FROM {t} WHERE length(d) >= 12)"
+GROUPED = "translate({x}, '" + "".join(search.ALIKE) + "', '" + "".join(str(i) * len(g) for i, g in enumerate(search.ALIKE)) + "')"
+HOMOLOGY_SCORING = search.Scoring()
+
+
+@query(
+    f"""WITH q AS (SELECT CAST(item_id AS varchar) AS id, {LETTERS} AS d FROM benchmark), t AS (SELECT CAST(doc_id AS varchar) AS id, {LETTERS} AS d FROM documents), a AS ({PLACES.format(t='q')}), b AS ({PLACES.format(t='t')}),
+n AS (SELECT sum(length(d)) AS letters FROM t),
+g AS (SELECT DISTINCT a.id AS gene, b.id AS prot, CAST(b.i - a.i AS int) AS diagonal FROM a JOIN b USING (word)),
+l AS (SELECT gene, prot, diagonal, q.d AS x, t.d AS y, unnest(range(greatest(1, 1 - diagonal), least(length(q.d), length(t.d) - diagonal) + 1)) AS i FROM g JOIN q ON q.id = gene JOIN t ON t.id = prot),
+p AS (SELECT gene, prot, diagonal, i, length(x) AS m, CASE WHEN {GROUPED.format(x='x[i]')} NOT BETWEEN '0' AND '9' OR {GROUPED.format(x='y[i + diagonal]')} NOT BETWEEN '0' AND '9' THEN -3 WHEN x[i] = y[i + diagonal] THEN 5 WHEN {GROUPED.format(x='x[i]')} = {GROUPED.format(x='y[i + diagonal]')} THEN 1 ELSE -3 END AS v FROM l),
+c AS (SELECT *, sum(v) OVER (PARTITION BY gene, prot, diagonal ORDER BY i) AS c FROM p),
+w AS (SELECT *, c - min(c - v) OVER (PARTITION BY gene, prot, diagonal ORDER BY i) AS run FROM c),
+k AS (SELECT gene, prot, diagonal, i, m, run, row_number() OVER (PARTITION BY gene, prot ORDER BY run DESC, diagonal, i) AS r FROM w),
+e AS (SELECT gene, prot, CAST(run AS bigint) AS score, diagonal, CAST(i AS int) AS seed_end FROM k, n WHERE r = 1 AND {HOMOLOGY_SCORING.factor}::double * m * letters * exp({-HOMOLOGY_SCORING.scale!r}::double * run) <= 0.001)
+SELECT gene, prot, score, diagonal, seed_end, CAST(r AS int) AS ordinal FROM (SELECT *, row_number() OVER (PARTITION BY gene ORDER BY score DESC, prot) AS r FROM e) WHERE r <= 25"""
+)
+def homology_search(spark, sf_dir):
+    """Seed and extend: benchmark items as seeds, documents as proteins, runs of an e-value of 0.001 or less."""
+    found = search.scored_pairs(adapter.proteins(spark, sf_dir, "benchmark", "item_id"), adapter.proteins(spark, sf_dir, "documents", "doc_id"), k=12, best=25, scoring=HOMOLOGY_SCORING)
+    return found.select("gene", "prot", "score", "diagonal", "seed_end", "ordinal")
+
+
+@query(
+    f"""WITH {PAIRS}, re AS (SELECT 'g' || CAST(l_orderkey % 500 AS varchar) AS gene, sum(CAST(l_quantity AS bigint) * CASE WHEN l_orderkey % 500 < 50 THEN 200 ELSE 20 END)::bigint AS n FROM lineitem GROUP BY 1),
+pr AS (SELECT 'p' || CAST(l_suppkey AS varchar) AS prot, sum(CAST(l_quantity AS bigint))::bigint AS n FROM lineitem GROUP BY 1),
+c AS (SELECT gene, prot, re.n * pr.n AS cost, CASE WHEN re.n > 30000 OR pr.n > 15000 THEN 'long' ELSE 'usual' END AS mode, md5(gene)[1:3] AS b FROM pairs JOIN re USING (gene) JOIN pr USING (prot))
+SELECT gene, prot, cost, mode, CAST(least(99, (sum(cost) OVER (ORDER BY b, gene, prot) - cost)::hugeint * 100 // sum(cost) OVER ()) AS int) AS task FROM c"""
+)
+def alignment_batches(spark, sf_dir):
+    """All pairs in a hundred tasks of equal cost, with the aligner's mode."""
+    return search.dealt_by_cost(adapter.ranked_pairs(spark, sf_dir), *adapter.aligned_lengths(spark, sf_dir), tasks=100)
+
+
 TEXT = """CAST(l_orderkey AS bigint) * 8 + l_linenumber AS ordinal, 'chr' || CAST(l_suppkey % 5 AS varchar) AS seqid, CASE l_linenumber % 4 WHEN 0 THEN 'CDS' WHEN 1 THEN 'Intron' WHEN 2 THEN 'start_codon' ELSE 'stop_codon' END AS type, l_partkey * 30 + 1 AS s, l_partkey * 30 + 90 AS e,
   CASE WHEN l_linestatus = 'F' THEN '+' ELSE '-' END AS strand, CAST(l_suppkey % 3 AS varchar) AS phase, 'p' || CAST(l_suppkey AS varchar) AS prot, 'g' || CAST(l_orderkey % 500 AS varchar) AS gene, CAST(l_quantity AS int) AS n"""
 
@@ -429,11 +471,14 @@ def terminal_codons(spark, sf_dir):
     return short(exons.terminal_codons(adapter.two_exons(some), some.select(F.concat(F.lit("d"), "id").alias("gene"), "seq"), some.select(F.concat(F.lit("p"), "id").alias("prot"), F.lit(18).alias("length"))))
 
 
-@query(f"WITH {PAIRS}, o AS (SELECT gene, prot, row_number() OVER (ORDER BY sc DESC, gene, prot) AS ordinal FROM pairs), r AS (SELECT *, lag(gene) OVER (ORDER BY ordinal) AS before FROM o) SELECT gene, prot, CAST(ordinal AS bigint) AS ordinal FROM r WHERE before IS DISTINCT FROM gene")
+# distinct ordinals by falling score
+LISTED = "-(score * 500 + CAST(substring(gene, 2) AS bigint)) * 1000000 + CAST(substring(prot, 2) AS bigint)"
+
+
+@query(f"WITH {PAIRS}, o AS (SELECT gene, prot, CAST({LISTED.replace('score', 'sc')} AS bigint) AS ordinal FROM pairs), r AS (SELECT *, lag(gene) OVER (ORDER BY ordinal) AS before FROM o) SELECT gene, prot, ordinal FROM r WHERE before IS DISTINCT FROM gene")
 def run_starts(spark, sf_dir):
     """The first pair of each run of one gene in a list whose genes don't lie together."""
-    listed = adapter.ranked_pairs(spark, sf_dir).withColumn("ordinal", F.row_number().over(Window.orderBy(F.desc("score"), "gene", "prot")).cast("long")).drop("score")
-    return hints.run_starts(listed)
+    return hints.run_starts(adapter.ranked_pairs(spark, sf_dir).withColumn("ordinal", F.expr(LISTED)).drop("score"))
 
 
 @query(

@@ -37,13 +37,19 @@ class EngineConfig:
     alignments: str | None = None
     previous_seeds: str | None = None
     previous_alignments: str | None = None
-    #: Proteins aligned with a seed; bases around a gene that are aligned with; longest gene (0: any); word of the engine's own search;
-    #: letters of a seed's protein at least.
+    #: Proteins aligned with a seed; bases around a gene that are aligned with; longest gene (0: any); word of the engine's own search and the
+    #: largest e-value of its pairs; a file of scores of letter pairs (none: by groups of amino acids); letters of a seed's protein at least.
     max_proteins_per_seed: int = 25
     window: int = 2000
     max_gene: int = 0
     word: int = 5
+    e_value: float = 0.001
+    matrix: str | None = None
     min_seed_protein: int = 1
+    #: Regions and proteins of more letters are aligned in the `long` mode; tasks that the aligner's work is dealt into (0: as many as a shuffle has).
+    long_gene: int = 30_000
+    long_protein: int = 15_000
+    align_tasks: int = 0
     #: Whether the aligner scores coding segments in al_score, and what they need then.
     cut_exons: bool = False
     min_exon_score: float = 25
@@ -62,6 +68,6 @@ class EngineConfig:
             raise ValueError("alignments of this run and of the run before exclude each other")
         if self.chain_cut % 3 or self.chain_cut < 0:
             raise ValueError("chain_cut must be divisible by 3")
-        for name, least in (("max_proteins_per_seed", 1), ("window", 0), ("max_gene", 0), ("word", 1), ("min_seed_protein", 0)):
+        for name, least in (("max_proteins_per_seed", 1), ("window", 0), ("max_gene", 0), ("word", 1), ("min_seed_protein", 0), ("e_value", 0), ("long_gene", 0), ("long_protein", 0), ("align_tasks", 0)):
             if getattr(self, name) < least:
                 raise ValueError(f"{name} must be {least} or more")

@@ -57,6 +57,35 @@ def count_overlaps_binned(starts: DataFrame, cds: DataFrame, width: int = 10_000
     return _with_overlap(starts, near)
 
 
+def count_overlaps_summed(starts: DataFrame, cds: DataFrame, width: int = 10_000) -> DataFrame:
+    """As count_overlaps, from prefix sums: no start ever meets a segment, so the work follows the rows however deep segments lie on a start.
+
+    The segments around a codon are those that begin before it, less those that end by its end, but for those that lie within it, which
+    begin no earlier. Coverage is summed by place, then by bins of `width` places with running sums over the bins of a sequence. Segments no longer than a codon
+    meet the few codons that could hold them by place.
+    """
+    c = cds.select("seqid", "start", "end", coverage(F.col("score")).cast("long").alias("n"))
+    row = lambda df, side, at, n, asked: df.select("seqid", F.lit(side).alias("side"), at.alias("at"), n.cast("long").alias("n"), F.lit(asked).alias("asked"))
+    begin, end = F.col("start"), F.col("end")
+    events = row(c, "begin", begin, F.col("n"), False).unionByName(row(c, "end", end, F.col("n"), False))
+    wanted = row(starts, "begin", begin, F.lit(0), True).unionByName(row(starts, "end", end + 1, F.lit(0), True))  # sums of what lies before a place
+    places = events.unionByName(wanted).groupBy("seqid", "side", F.floor(F.col("at") / width).alias("bin"), "at").agg(F.sum("n").alias("n"), F.max("asked").alias("asked"))
+    earlier = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    inside = places.withColumn("own", earlier(Window.partitionBy("seqid", "side", "bin").orderBy("at"))).where("asked")
+    bins = places.groupBy("seqid", "side", "bin").agg(F.sum("n").alias("n")).select("seqid", "side", "bin", earlier(Window.partitionBy("seqid", "side").orderBy("bin")).alias("base"))
+    sums = inside.join(bins, ["seqid", "side", "bin"]).select("seqid", "side", "at", (F.col("own") + F.col("base")).alias("n"))
+    side = lambda name, at, n: sums.where(F.col("side") == name).select("seqid", F.col("at").alias(at), F.col("n").alias(n))
+    codon = starts.select("seqid", "start", "end").distinct()
+    longest = codon.groupBy("seqid").agg(F.max(end - begin + 1).alias("longest"))
+    short = c.join(longest, "seqid").where(end - begin < F.col("longest"))
+    could = short.select("seqid", F.explode(F.sequence(end - F.col("longest") + 1, begin)).alias("start"), end.alias("_end"), "n")
+    within = could.join(codon, ["seqid", "start"]).where("_end <= end").groupBy("seqid", "start", "end").agg(F.sum("n").alias("_within"))
+    counted = codon.withColumn("_after", end + 1).join(side("begin", "start", "_begun"), ["seqid", "start"], "left").join(side("end", "_after", "_ended"), ["seqid", "_after"], "left").join(within, ["seqid", "start", "end"], "left")
+    zero = lambda name: F.coalesce(name, F.lit(0))
+    found = counted.select("seqid", "start", "end", (zero("_begun") - zero("_ended") + zero("_within")).alias("cds_overlap"))
+    return starts.drop("cds_overlap").join(found, ["seqid", "start", "end"], "left").withColumn("cds_overlap", zero("cds_overlap")).select(*(x for x in starts.columns if x != "cds_overlap"), "cds_overlap")
+
+
 def _with_overlap(starts: DataFrame, near: DataFrame) -> DataFrame:
     sums = near.groupBy(*KEY).agg(F.sum("c_score").alias("cds_overlap"))
     base = starts.drop("cds_overlap")
@@ -87,13 +116,22 @@ def first_pairs(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("gene").agg(F.min_by("prot", "ordinal").alias("prot"))
 
 
-def run_starts(pairs: DataFrame) -> DataFrame:
+def run_starts(pairs: DataFrame, parts: int | None = None) -> DataFrame:
     """The first pair of each run of one gene in file order: equal to first_pairs if each gene's pairs lie together.
 
-    Needs the whole order, so it is for lists of pairs of one file.
+    Ordinals, which are distinct, are dealt into `parts` ranges by their quantiles. A range finds its runs by itself, and its first row is compared with the last
+    gene of the range before: the driver sees one row for each range.
     """
-    before = F.lag("gene").over(Window.orderBy("ordinal"))
-    return pairs.withColumn("_before", before).where("NOT (_before <=> gene)").drop("_before")
+    n = parts or int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bounds = sorted(set(pairs.approxQuantile("ordinal", [i / n for i in range(1, n)], 0.2 / n))) if n > 1 else []
+    part = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b <= F.col("ordinal"))) if bounds else F.lit(0)
+    ranged = pairs.withColumn("_part", part)
+    last = sorted((r["_part"], r["gene"]) for r in ranged.groupBy("_part").agg(F.max_by("gene", "ordinal").alias("gene")).collect()) if bounds else []
+    edges = pairs.sparkSession.createDataFrame([(b, True, a_gene) for (_, a_gene), (b, _) in zip(last, last[1:])], "_part int, _edge boolean, _gene string")
+    w = Window.partitionBy("_part").orderBy("ordinal")
+    rows = ranged.withColumns({"_row": F.row_number().over(w), "_before": F.lag("gene").over(w)}).join(F.broadcast(edges), "_part", "left")
+    first = F.when(F.col("_row") > 1, ~F.col("_before").eqNullSafe(F.col("gene"))).when(F.col("_edge"), ~F.col("_gene").eqNullSafe(F.col("gene"))).otherwise(F.col("gene").isNotNull())
+    return rows.where(first).select(*pairs.columns)
 
 
 def flag_top(hints: DataFrame, pairs: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from hintforge.config import QUALITY, Cutoffs, EngineConfig
 from hintforge.operators import genes, hints, search
 from hintforge.sources import features, sequences
+from hintforge.storage import written
 
 
 @dataclass(frozen=True)
@@ -31,7 +32,7 @@ def combined_hints(raw: DataFrame, quality: Cutoffs = QUALITY, strict_support: b
     every = hints.combine(hints.filter_hints(raw, quality)).persist(StorageLevel.MEMORY_AND_DISK)
     of = lambda *kinds: every.where(F.col("type").isin(*kinds))
     cds = hints.supported_cds(of("CDS"), of("Intron", "start_codon"), strict_support)
-    counted = hints.count_overlaps_binned(of("start_codon"), cds)
+    counted = hints.count_overlaps_summed(of("start_codon"), cds)
     return of("Intron", "stop_codon").unionByName(counted, allowMissingColumns=True)
 
 
@@ -87,14 +88,19 @@ def lifted_hints(seeds: DataFrame, genome: DataFrame, proteins: DataFrame, align
 
     seeds as features.read_genes gives them; genome and proteins have id and seq.
     """
-    kept = genes.keep_longest(seeds)
+    kept = written(genes.keep_longest(seeds))
     if pairs is None:
-        coding = genes.coding_sequences(kept, genome).where(F.length("protein") >= config.min_seed_protein)
-        pairs = search.kmer_pairs(coding.select(F.col("gene").alias("id"), F.col("protein").alias("seq")), proteins, k=config.word, best=config.max_proteins_per_seed)
-    pairs = hints.top_k_targets(pairs, config.max_proteins_per_seed).drop("rank").persist(StorageLevel.MEMORY_AND_DISK)
+        coding = written(genes.coding_sequences(kept, genome).where(F.length("protein") >= config.min_seed_protein))
+        scoring = search.Scoring.from_file(genome.sparkSession, config.matrix) if config.matrix else search.Scoring()
+        pairs = search.scored_pairs(coding.select(F.col("gene").alias("id"), F.col("protein").alias("seq")), proteins, config.word, config.max_proteins_per_seed, config.e_value, scoring)
+    else:  # those of genes that are worked on: ordinals of others may be of another list
+        pairs = pairs.join(kept.select("gene").distinct(), "gene", "left_semi")
+    pairs = written(hints.top_k_targets(pairs, config.max_proteins_per_seed).drop("rank"))
     lengths = genome.select(F.col("id").alias("seqid"), F.length("seq").cast("long").alias("length"))
-    regions = genes.windows(genes.extents(kept), lengths, config.window, config.max_gene)
-    found = search.align(pairs, genes.region_sequences(regions, pairs, genome), proteins, aligner)
+    regions = written(genes.windows(genes.extents(kept), lengths, config.window, config.max_gene))
+    cut = written(genes.region_sequences(regions, pairs, genome))
+    # written: a lost executor doesn't run the aligner again
+    found = written(search.align(pairs, cut, proteins, aligner, tasks=config.align_tasks or None, long_gene=config.long_gene, long_protein=config.long_protein))
     long_enough = (F.col("type") != "CDS") | F.coalesce(F.col("al_score") >= config.min_exon_score, F.lit(True)) if config.cut_exons else F.lit(True)
     placed = hints.lift(found.where(long_enough).withColumn("seqid", F.lit(None).cast("string")), regions)
     return placed.withColumn("score", F.lit(None).cast("int")), pairs
@@ -114,7 +120,7 @@ def full_run(spark: SparkSession, genome_path: str, proteins_path: str, aligner:
         return standard_run(features.read_hints(spark, config.alignments), pairs, config)
     if not config.previous_seeds:
         raw, pairs = lifted_hints(seeds, genome, proteins, aligner, config, pairs)
-        return standard_run(raw.persist(StorageLevel.MEMORY_AND_DISK), pairs, config)
+        return standard_run(raw, pairs, config)
     old = features.read_genes(spark, config.previous_seeds, strict=True)
     old_hints = features.read_hints(spark, config.previous_alignments)
     known: list[DataFrame] = []
@@ -130,7 +136,7 @@ def full_run(spark: SparkSession, genome_path: str, proteins_path: str, aligner:
     first = reused.groupBy("gene", "prot").agg(F.min(F.when(F.col("top"), 0).otherwise(1)).alias("place"), F.min("ordinal").alias("first"))
     before = first.withColumn("ordinal", F.row_number().over(Window.partitionBy("gene").orderBy("place", "first"))).select("gene", "prot", "ordinal")
     every = known[0].select("gene", "prot", "ordinal").unionByName(before)
-    return standard_run(raw.persist(StorageLevel.MEMORY_AND_DISK), every, config)
+    return standard_run(raw, every, config)
 
 
 def next_iteration(new_seeds: DataFrame, old_seeds: DataFrame, old_hints: DataFrame, fresh_hints) -> tuple[DataFrame, DataFrame]:
