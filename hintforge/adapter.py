@@ -87,6 +87,17 @@ def proteins(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame
     return rows.select(F.col(key).cast("string").alias("id"), F.regexp_replace(upper_ascii(F.col("text")), "[^A-Z]", "").alias("seq"))
 
 
+def fasta_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """file, block, n, value: lines of documents as lines of FASTA files, a file a language; a document with an even number begins a record."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang", "text")
+    first = docs.groupBy("lang").agg(F.min("doc_id").alias("first"))
+    lines = docs.join(first, "lang").select("doc_id", "lang", ((F.col("doc_id") % 2 == 0) | (F.col("doc_id") == F.col("first"))).alias("begins"), F.posexplode(F.split("text", "\n", -1)).alias("p", "x"))
+    bases = F.translate("x", "EFIJLOPQUXZefijlopquxz", "ACGTACGTACGacgtacgtacg")
+    body = lines.select("lang", "doc_id", (F.col("p") + 1).alias("p"), bases.alias("value"))
+    heads = lines.where("begins AND p = 0").select("lang", "doc_id", F.lit(0).alias("p"), F.concat(F.lit(">r"), "doc_id", F.lit(" note")).alias("value"))
+    return body.unionByName(heads).select(F.col("lang").alias("file"), F.floor(F.col("doc_id") / 100).alias("block"), (F.col("doc_id") * 1_000_000 + F.col("p")).alias("n"), "value")
+
+
 def aligned_lengths(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(gene, length) of regions and (prot, length) of proteins, both skewed: a tenth of the genes is ten times as long."""
     rows = _lineitem(spark, sf_dir, "l_orderkey", "l_suppkey", "l_quantity")

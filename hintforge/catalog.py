@@ -13,9 +13,11 @@ from hintforge.functions.attributes import gff_attribute
 from hintforge.functions.sequence import clean_dna, clean_protein_line, codons, reverse_complement, translate
 from hintforge.operators import exons, genes, hints, search
 from hintforge.plans import standard
-from hintforge.sources.features import gene_faults, hint_lines, parsed_genes, parsed_hints
+from hintforge.sources import sequences
+from hintforge.sources.features import gene_faults, hint_lines, parsed_genes, parsed_hints, read_hints, write_hints
 from hintforge.sources.features import malformed_lines as features_malformed
 from hintforge.sources.sequences import fasta_lines
+from hintforge.streaming import combined
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -76,6 +78,22 @@ def combine(spark, sf_dir):
     return short(comb(spark, sf_dir))
 
 
+# genes whose number is divisible by 3 change to hints 30 places on, then those divisible by 7 go
+LATER = H.replace("h AS (SELECT", "h0 AS (SELECT l_orderkey % 500 AS k,", 1) + ", h AS (SELECT seqid, type, s + CASE WHEN k % 3 = 0 THEN 30 ELSE 0 END AS s, e + CASE WHEN k % 3 = 0 THEN 30 ELSE 0 END AS e, strand, al, ss FROM h0 WHERE k % 7 <> 0)"
+
+
+@query(f"WITH {LATER} SELECT seqid, type, s, e, strand, count(*) AS score, max(al) AS al, max(ss) AS ss FROM h GROUP BY seqid, type, s, e, strand")
+def combined_updates(spark, sf_dir):
+    """Combined hints after three batches: all genes, some genes changed, some gone."""
+    raw = adapter.raw_hints(spark, sf_dir).select("gene", *hints.KEY, "al_score", "splice_sites")
+    number = F.substring("gene", 2, 9).cast("long")
+    path = combined.state_path(spark, "combined")
+    combined.apply_batch(raw, path, 0)
+    combined.apply_batch(raw.where(number % 3 == 0).withColumns({c: F.col(c) + 30 for c in ("start", "end")}), path, 1)
+    combined.apply_batch(raw.limit(0), path, 2, raw.where(number % 7 == 0).select("gene"))
+    return short(combined.combined_state(spark, path, "seqid string, type string, start long, end long, strand string, score long, al_score double, splice_sites string"))
+
+
 @query(f"WITH {COMB} SELECT * FROM comb WHERE {HC}")
 def high_confidence(spark, sf_dir):
     return short(hints.filter_hints(comb(spark, sf_dir)))
@@ -369,6 +387,22 @@ def region_sequences(spark, sf_dir):
     return found.select("gene", "n_pairs", F.col("left").cast("int").alias("l"), F.col("right").cast("long").alias("r"), "strand", "seqid", F.md5("seq").alias("digest"))
 
 
+# every line of documents' texts as a line of FASTA files, a file a language, a block a hundred documents; a document of an even number begins a record
+FASTA_ROWS = "SELECT lang AS file, doc_id // 100 AS block, doc_id, p, CASE WHEN p = 0 THEN '>r' || doc_id || ' note' ELSE translate(x, 'EFIJLOPQUXZefijlopquxz', 'ACGTACGTACGacgtacgtacg') END AS value FROM (SELECT doc_id, lang, unnest(range(len(t))) AS p, unnest(t) AS x FROM (SELECT doc_id, lang, list_concat(CASE WHEN doc_id % 2 = 0 OR doc_id = min(doc_id) OVER (PARTITION BY lang) THEN ['>'] ELSE [NULL] END, string_split(text, chr(10))) AS t FROM documents)) WHERE x IS NOT NULL"
+
+
+@query(
+    f"""WITH l AS ({FASTA_ROWS}), s AS (SELECT *, max(CASE WHEN p = 0 THEN doc_id END) OVER (PARTITION BY file ORDER BY doc_id, p) AS record FROM l),
+r AS (SELECT file, record, string_agg(translate(regexp_replace(translate(value, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ'), '[^A-Z]', '', 'g'), 'RYKMSWBDHV', 'NNNNNNNNNN'), '' ORDER BY doc_id, p) AS seq FROM s WHERE p > 0 GROUP BY file, record),
+c AS (SELECT 'r' || record AS seqid, seq, unnest(range((length(seq) + 999) // 1000)) AS chunk FROM r WHERE length(seq) > 0)
+SELECT seqid, CAST(chunk AS int) AS chunk, md5(seq[chunk * 1000 + 1:chunk * 1000 + 1000]) AS digest FROM c"""
+)
+def sequence_pieces(spark, sf_dir):
+    """Sequences cut into pieces of 1,000 bases straight from the lines of files, over the borders of blocks."""
+    parts = sequences.sequence_pieces(adapter.fasta_rows(spark, sf_dir), size=1000)
+    return parts.select("seqid", "chunk", F.md5(F.col("part").cast("binary")).alias("digest"))
+
+
 @query(f"WITH {PAIRS}, {TOP} SELECT * FROM top")
 def first_pairs(spark, sf_dir):
     return hints.first_pairs(ordered_pairs(spark, sf_dir))
@@ -510,6 +544,44 @@ def standard_export(spark, sf_dir):
     return short(out.export.select("seqid", "type", "start", "end", "strand", "src", "mult", "class", "grp"))
 
 
+def as_text(lines: DataFrame, name: str) -> str:
+    """The folder of a text file of lines(value), in the folder that driver and executors share."""
+    path = combined.state_path(lines.sparkSession, name)
+    lines.write.text(path)
+    return path
+
+
+@query(f"WITH {PAIRS} SELECT gene, prot FROM pairs WHERE sc % 3 > 0")
+def pair_list(spark, sf_dir):
+    """Pairs read from text of several forms, with comments and empty lines between them."""
+    p = adapter.ranked_pairs(spark, sf_dir)
+    line = F.when(F.col("score") % 3 == 0, F.when(F.col("score") % 2 == 0, F.concat(F.lit("# "), "gene")).otherwise("  ")).when(F.col("score") % 2 == 0, F.concat_ws("\t", "gene", "prot", "score")).otherwise(F.concat(F.lit(" "), "gene", F.lit("  "), "prot"))
+    return sequences.read_pairs(spark, as_text(p.select(line.alias("value")), "pairs")).select("gene", "prot")
+
+
+@query(f"WITH {DNA} SELECT doc_id::varchar AS id, md5(d) AS digest FROM dna WHERE length(d) > 0 AND doc_id IN (SELECT l_suppkey FROM lineitem)")
+def fasta_by_ids(spark, sf_dir):
+    """Sequences of a FASTA file whose ids another table names."""
+    path = as_text(fasta_lines(adapter.dna(spark, sf_dir).withColumn("id", F.col("id").cast("string"))), "fasta")
+    ids = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(F.col("l_suppkey").cast("string").alias("id"))
+    return sequences.read_fasta(spark, path, ids).select("id", F.md5("seq").alias("digest"))
+
+
+@query(f"WITH {COMB} SELECT seqid, type, s, e, strand, score, ss, row_number() OVER (ORDER BY seqid, s, e, type, strand) AS place FROM comb")
+def sorted_file(spark, sf_dir):
+    """Combined hints written in order of their places and read again: the file's order is that order."""
+    path = combined.state_path(spark, "sorted")
+    rows = comb(spark, sf_dir).withColumns({"prot": F.lit(None).cast("string"), "gene": F.lit(None).cast("string")})
+    write_hints(rows, path)
+    read = read_hints(spark, path)
+    # places follow from how many rows come before: by sequence, then within it in the file's order
+    before = read.groupBy("seqid").agg(F.count("*").alias("n"))
+    base = before.alias("a").join(before.alias("b"), F.expr("b.seqid < a.seqid"), "left").groupBy("a.seqid").agg(F.coalesce(F.sum("b.n"), F.lit(0)).alias("base"))
+    w = Window.partitionBy("seqid").orderBy("ordinal")
+    placed = read.join(base, "seqid").withColumn("place", F.row_number().over(w) + F.col("base"))
+    return short(placed.select("seqid", "type", "start", "end", "strand", F.col("score").cast("long"), "splice_sites", "place"))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

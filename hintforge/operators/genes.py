@@ -43,7 +43,12 @@ CHUNK_BASES = 1 << 16
 
 
 def sequence_chunks(genome: DataFrame, size: int = CHUNK_BASES) -> DataFrame:
-    """seqid, chunk, part: sequences in pieces of `size` bases, so that no gene carries a whole chromosome through a join."""
+    """seqid, chunk, part: sequences in pieces of `size` bases, so that no gene carries a whole chromosome through a join.
+
+    A genome that comes in pieces (see sources.sequences.read_pieces) of that size is taken as it is.
+    """
+    if "chunk" in genome.columns:
+        return genome
     last = F.floor((F.length("seq") - 1) / size).cast("int")
     parts = genome.where(F.length("seq") > 0).select(F.col("id").alias("seqid"), "seq", F.explode(F.sequence(F.lit(0), last)).alias("chunk"))
     return parts.select("seqid", "chunk", F.substring(F.col("seq"), F.col("chunk") * size + 1, F.lit(size)).alias("part"))
@@ -95,8 +100,11 @@ def signatures(genes: DataFrame) -> DataFrame:
 
 
 def changed_genes(new: DataFrame, old: DataFrame) -> DataFrame:
-    """gene and old_gene of the new genes; old_gene is null where no old gene has the signature, and the last such one (then the last name) where several have."""
-    before = signatures(old).groupBy("signature").agg(F.max_by("gene", F.struct("first", "gene")).alias("old_gene"))
+    """gene and old_gene of the new genes; old_gene is null where no old gene has the signature, and the last such one (then the last name) where several have.
+
+    old are rows of genes, or their signatures as they were kept (see sources.statistics).
+    """
+    before = (old if "signature" in old.columns else signatures(old)).groupBy("signature").agg(F.max_by("gene", F.struct("first", "gene")).alias("old_gene"))
     return signatures(new).join(before, "signature", "left").select("gene", "old_gene", "signature", "first")
 
 

@@ -21,10 +21,11 @@ def filter_hints(hints: DataFrame, cutoffs: Cutoffs = Cutoffs()) -> DataFrame:
     return scored.where(confident(cutoffs, **{c: _has(hints, n) for c, n in {"splice_sites": "splice_sites", "top": "top", "full": "full", "overlap": "cds_overlap"}.items()})).select(*hints.columns)
 
 
-def combine(hints: DataFrame) -> DataFrame:
+def combine(hints: DataFrame, *more: str) -> DataFrame:
     """One row for each (seqid, type, start, end, strand): summed coverage, best alignment score, last splice sites, any top flag.
 
     Where hints has `ordinal`, "last" and "first text of the best score" follow it; else the greatest value stands. A null score counts 1.
+    `more` columns keep rows apart that differ in them.
     """
     last = (lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), F.col("ordinal")))) if _has(hints, "ordinal") else F.max
     out = [F.sum(coverage(F.col("score"))).alias("score") if _has(hints, "score") else F.count("*").alias("score"), F.max("al_score").alias("al_score")]
@@ -34,7 +35,7 @@ def combine(hints: DataFrame) -> DataFrame:
         out.append(F.max_by("al_text", F.when(F.col("al_score").isNotNull(), first)).alias("al_text"))
     if _has(hints, "top"):
         out.append(F.coalesce(F.bool_or("top"), F.lit(False)).alias("top"))
-    return hints.groupBy(*KEY).agg(*out)
+    return hints.groupBy(*KEY, *more).agg(*out)
 
 
 def best_of(hints: DataFrame, kind: str, cutoffs: Cutoffs = QUALITY) -> DataFrame:

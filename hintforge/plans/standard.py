@@ -86,7 +86,7 @@ def lifted_hints(seeds: DataFrame, genome: DataFrame, proteins: DataFrame, align
     """(raw hints on the genome, pairs): seeds' longest isoforms are translated and searched for among the proteins, unless pairs are given; the
     best proteins of each are aligned with the window around the gene, and what the aligner finds there is lifted to the genome.
 
-    seeds as features.read_genes gives them; genome and proteins have id and seq.
+    seeds as features.read_genes gives them; proteins have id and seq, genome too, or it comes in pieces.
     """
     kept = written(genes.keep_longest(seeds))
     if pairs is None:
@@ -96,7 +96,7 @@ def lifted_hints(seeds: DataFrame, genome: DataFrame, proteins: DataFrame, align
     else:  # those of genes that are worked on: ordinals of others may be of another list
         pairs = pairs.join(kept.select("gene").distinct(), "gene", "left_semi")
     pairs = written(hints.top_k_targets(pairs, config.max_proteins_per_seed).drop("rank"))
-    lengths = genome.select(F.col("id").alias("seqid"), F.length("seq").cast("long").alias("length"))
+    lengths = sequences.piece_lengths(genome) if "chunk" in genome.columns else genome.select(F.col("id").alias("seqid"), F.length("seq").cast("long").alias("length"))
     regions = written(genes.windows(genes.extents(kept), lengths, config.window, config.max_gene))
     cut = written(genes.region_sequences(regions, pairs, genome))
     # written: a lost executor doesn't run the aligner again
@@ -109,7 +109,7 @@ def lifted_hints(seeds: DataFrame, genome: DataFrame, proteins: DataFrame, align
 def full_run(spark: SparkSession, genome_path: str, proteins_path: str, aligner: Callable[[pd.DataFrame], pd.DataFrame], config: EngineConfig) -> Results:
     """From files to results by config: seeds or seeds with pairs, or alignments made elsewhere; with a previous run's files, genes that did not
     change take over its hints and only the others are aligned."""
-    genome, proteins = sequences.read_genome(spark, genome_path), sequences.read_fasta(spark, proteins_path)
+    proteins = sequences.read_fasta(spark, proteins_path)
     if config.seeds is None:
         raise ValueError("a run needs seeds")
     seeds = features.checked(features.read_genes(spark, config.seeds, strict=True))
@@ -118,6 +118,7 @@ def full_run(spark: SparkSession, genome_path: str, proteins_path: str, aligner:
         if pairs is None:
             raise ValueError("alignments need the pairs they come from")
         return standard_run(features.read_hints(spark, config.alignments), pairs, config)
+    genome = written(sequences.read_pieces(spark, genome_path))
     if not config.previous_seeds:
         raw, pairs = lifted_hints(seeds, genome, proteins, aligner, config, pairs)
         return standard_run(raw, pairs, config)
@@ -142,9 +143,10 @@ def full_run(spark: SparkSession, genome_path: str, proteins_path: str, aligner:
 def next_iteration(new_seeds: DataFrame, old_seeds: DataFrame, old_hints: DataFrame, fresh_hints) -> tuple[DataFrame, DataFrame]:
     """(seeds that need work, raw hints of all new seeds): hints of unchanged genes are reused under their new names.
 
-    fresh_hints is called with the seeds that no old gene equals, and returns their raw hints.
+    fresh_hints is called with the seeds that no old gene equals, and returns their raw hints. old_seeds may be the signatures that the run before
+    has kept, and old_hints its table of hints: then neither is shuffled (see sources.statistics).
     """
-    new, old = genes.keep_longest(new_seeds), genes.keep_longest(old_seeds)
+    new, old = genes.keep_longest(new_seeds), old_seeds if "signature" in old_seeds.columns else genes.keep_longest(old_seeds)
     unique = genes.unique_seeds(new, old)
     return unique, fresh_hints(unique).unionByName(genes.reused_hints(new, old, old_hints), allowMissingColumns=True)
 

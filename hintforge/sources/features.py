@@ -93,4 +93,4 @@ def hint_lines(hints: DataFrame, source: str = "protein_hint") -> DataFrame:
 
 
 def write_hints(hints: DataFrame, path: str, source: str = "protein_hint") -> None:
-    hint_lines(hints.orderBy("seqid", "start", "end"), source).write.text(path)
+    hint_lines(hints.orderBy("seqid", "start", "end", "type", "strand"), source).write.text(path)
