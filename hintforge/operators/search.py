@@ -19,13 +19,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from hintforge.storage import written
+
 
 class HomologySearch(Protocol):
     def __call__(self, seeds: DataFrame, proteins: DataFrame) -> DataFrame: ...
 
 
 class Aligner(Protocol):
-    """Called once a batch with gene, prot, region and protein sequences; returns hints in region coordinates."""
+    """Called with a row a pair: gene, prot, region and protein sequences, mode; returns hints in region coordinates."""
 
     def __call__(self, batch: pd.DataFrame) -> pd.DataFrame: ...
 
@@ -54,7 +56,8 @@ def shared_words(seeds: DataFrame, proteins: DataFrame, k: int, postings: int =
     wanted = of_seed.select("word").distinct()
     # counted, so that the broadcast is known to be small
     few = wanted.count() <= BROADCAST_WORDS
-    of_prot = _words(proteins, "prot", k).join(F.broadcast(wanted) if few else wanted, "word", "left_semi")
+    # written: taking words from sequences is most of the work, and what is left of them is read twice
+    of_prot = written(_words(proteins, "prot", k).join(F.broadcast(wanted) if few else wanted, "word", "left_semi"))
     hot = of_prot.groupBy("word").agg(F.ceil(F.count("*") / postings).alias("parts")).where("parts > 1")
     parts = F.coalesce("parts", F.lit(1))
     dealt = of_prot.join(hot, "word", "left").withColumn("part", F.pmod(F.xxhash64("prot"), parts)).drop("parts")
