@@ -88,14 +88,15 @@ def proteins(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame
 
 
 def fasta_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """file, block, n, value: lines of documents as lines of FASTA files, a file a language; a document with an even number begins a record."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang", "text")
-    first = docs.groupBy("lang").agg(F.min("doc_id").alias("first"))
-    lines = docs.join(first, "lang").select("doc_id", "lang", ((F.col("doc_id") % 2 == 0) | (F.col("doc_id") == F.col("first"))).alias("begins"), F.posexplode(F.split("text", "\n", -1)).alias("p", "x"))
-    bases = F.translate("x", "EFIJLOPQUXZefijlopquxz", "ACGTACGTACGacgtacgtacg")
-    body = lines.select("lang", "doc_id", (F.col("p") + 1).alias("p"), bases.alias("value"))
-    heads = lines.where("begins AND p = 0").select("lang", "doc_id", F.lit(0).alias("p"), F.concat(F.lit(">r"), "doc_id", F.lit(" note")).alias("value"))
-    return body.unionByName(heads).select(F.col("lang").alias("file"), F.floor(F.col("doc_id") / 100).alias("block"), (F.col("doc_id") * 1_000_000 + F.col("p")).alias("n"), "value")
+    """file, block, n, value: lines of documents as lines of FASTA files: a file has the documents of a thousand numbers after a header of its own, a
+    block those of a hundred, and a document of an even number begins another record."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", F.floor(F.col("doc_id") / 1000).alias("file"))
+    lines = docs.select("doc_id", "file", F.posexplode(F.split("text", "\n", -1)).alias("p", "x"))
+    body = lines.select("file", "doc_id", (F.col("p") + 1).alias("p"), F.translate("x", "EFIJLOPQUXZefijlopquxz>", "ACGTACGTACGacgtacgtacg").alias("value"))
+    heads = lines.where("doc_id % 2 = 0 AND p = 0").select("file", "doc_id", F.lit(0).alias("p"), F.concat(F.lit(">r"), "doc_id", F.lit(" note")).alias("value"))
+    first = docs.where("text IS NOT NULL").select("file").distinct().select("file", (F.col("file") * 1000).alias("doc_id"), F.lit(-1).alias("p"), F.concat(F.lit(">f"), "file").alias("value"))
+    n = F.col("doc_id") * 1_000_000 + F.col("p")
+    return body.unionByName(heads).unionByName(first).select(F.col("file").cast("string").alias("file"), F.floor(F.col("doc_id") / 100).alias("block"), n.alias("n"), "value")
 
 
 def aligned_lengths(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

@@ -387,14 +387,16 @@ def region_sequences(spark, sf_dir):
     return found.select("gene", "n_pairs", F.col("left").cast("int").alias("l"), F.col("right").cast("long").alias("r"), "strand", "seqid", F.md5("seq").alias("digest"))
 
 
-# every line of documents' texts as a line of FASTA files, a file a language, a block a hundred documents; a document of an even number begins a record
-FASTA_ROWS = "SELECT lang AS file, doc_id // 100 AS block, doc_id, p, CASE WHEN p = 0 THEN '>r' || doc_id || ' note' ELSE translate(x, 'EFIJLOPQUXZefijlopquxz', 'ACGTACGTACGacgtacgtacg') END AS value FROM (SELECT doc_id, lang, unnest(range(len(t))) AS p, unnest(t) AS x FROM (SELECT doc_id, lang, list_concat(CASE WHEN doc_id % 2 = 0 OR doc_id = min(doc_id) OVER (PARTITION BY lang) THEN ['>'] ELSE [NULL] END, string_split(text, chr(10))) AS t FROM documents)) WHERE x IS NOT NULL"
+# every line of documents' texts as a line of FASTA files, see adapter.fasta_rows
+FASTA_ROWS = """SELECT doc_id // 1000 AS file, doc_id, p, CASE WHEN p = 0 THEN '>' ELSE translate(x, 'EFIJLOPQUXZefijlopquxz>', 'ACGTACGTACGacgtacgtacg') END AS value FROM
+  (SELECT doc_id, unnest(range(len(t))) AS p, unnest(t) AS x FROM (SELECT doc_id, list_concat(CASE WHEN doc_id % 2 = 0 THEN ['>'] ELSE [NULL] END, string_split(text, chr(10))) AS t FROM documents)) WHERE x IS NOT NULL
+  UNION ALL SELECT DISTINCT doc_id // 1000, doc_id // 1000 * 1000, -1, '>' FROM documents WHERE text IS NOT NULL"""
 
 
 @query(
-    f"""WITH l AS ({FASTA_ROWS}), s AS (SELECT *, max(CASE WHEN p = 0 THEN doc_id END) OVER (PARTITION BY file ORDER BY doc_id, p) AS record FROM l),
-r AS (SELECT file, record, string_agg(translate(regexp_replace(translate(value, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ'), '[^A-Z]', '', 'g'), 'RYKMSWBDHV', 'NNNNNNNNNN'), '' ORDER BY doc_id, p) AS seq FROM s WHERE p > 0 GROUP BY file, record),
-c AS (SELECT 'r' || record AS seqid, seq, unnest(range((length(seq) + 999) // 1000)) AS chunk FROM r WHERE length(seq) > 0)
+    f"""WITH l AS ({FASTA_ROWS}), s AS (SELECT *, max(CASE WHEN p <= 0 THEN doc_id * 2 + p + 1 END) OVER (PARTITION BY file ORDER BY doc_id, p) AS record FROM l),
+r AS (SELECT CASE WHEN record % 2 = 1 THEN 'r' || record // 2 ELSE 'f' || file END AS id, string_agg(translate(regexp_replace(translate(value, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ'), '[^A-Z]', '', 'g'), 'RYKMSWBDHV', 'NNNNNNNNNN'), '' ORDER BY doc_id, p) AS seq FROM s WHERE p > 0 GROUP BY file, record),
+c AS (SELECT id AS seqid, seq, unnest(range((length(seq) + 999) // 1000)) AS chunk FROM r WHERE length(seq) > 0)
 SELECT seqid, CAST(chunk AS int) AS chunk, md5(seq[chunk * 1000 + 1:chunk * 1000 + 1000]) AS digest FROM c"""
 )
 def sequence_pieces(spark, sf_dir):

@@ -75,15 +75,17 @@ def placed_lines(lines: DataFrame, letters) -> DataFrame:
     ever put together to be cut again, and no task holds more than a block. Text before a file's first header is an error.
     """
     head = F.col("value").startswith(">")
-    base = lines.withColumn("value", F.regexp_replace("value", r"\r$", "")).select("file", "block", "n", F.when(head, F.regexp_extract("value", r"^>\s*(\S*)", 1)).alias("id"), F.when(~head, letters(F.col("value"))).alias("part"))
+    part = F.when(~head, letters(F.regexp_replace("value", r"\r$", "")))
+    base = lines.select("file", "block", "n", F.when(head, F.regexp_extract("value", r"^>\s*(\S*)", 1)).alias("id"), part.alias("part")).withColumn("size", F.coalesce(F.length("part"), F.lit(0)))
     w = Window.partitionBy("file", "block").orderBy("n")
     sofar = w.rowsBetween(Window.unboundedPreceding, -1)
     # the header above a line, as far as it is in the block, and the letters since the block began
-    seen = base.withColumns({"_record": F.last(F.when(F.col("id").isNotNull(), F.struct("n", "id")), True).over(w), "_sum": F.coalesce(F.sum(F.length("part")).over(sofar), F.lit(0))})
+    seen = base.withColumns({"_record": F.last(F.when(F.col("id").isNotNull(), F.struct("n", "id")), True).over(w), "_sum": F.coalesce(F.sum("size").over(sofar), F.lit(0))})
     run = Window.partitionBy("file", "block", "_record")
     seen = seen.withColumn("_since", F.col("_sum") - F.min("_sum").over(run))
-    by_block = base.groupBy("file", "block").agg(F.max(F.when(F.col("id").isNotNull(), F.struct("n", "id"))).alias("last"), F.sum(F.coalesce(F.length("part"), F.lit(0))).alias("all"))
-    after = seen.where(F.col("_record").isNotNull()).groupBy("file", "block", "_record").agg(F.sum(F.coalesce(F.length("part"), F.lit(0))).alias("tail"))
+    # only sizes are moved for what blocks hand on
+    by_block = base.groupBy("file", "block").agg(F.max(F.when(F.col("id").isNotNull(), F.struct("n", "id"))).alias("last"), F.sum("size").alias("all"))
+    after = seen.where(F.col("_record").isNotNull()).groupBy("file", "block", "_record").agg(F.sum("size").alias("tail"))
     tails = by_block.join(after.withColumnRenamed("_record", "last"), ["file", "block", "last"], "left").select("file", "block", "last", F.coalesce("tail", "all").alias("tail"))
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     # letters from the last header's block on: sums up to here less the sums up to there
