@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import contextvars
 import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -56,7 +58,47 @@ def stored(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         conf.set(key, before)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    scope = SCOPE.get()
+    if scope is not None:
+        scope.made.append((path, out))
+    return out
+
+
+class Scope:
+    """Tables written since the scope was opened, and those of them that stay."""
+
+    def __init__(self) -> None:
+        self.made: list[tuple[str, DataFrame]] = []
+        self.kept: list[DataFrame] = []
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        self.kept.append(df)
+        return df
+
+
+SCOPE: contextvars.ContextVar[Scope | None] = contextvars.ContextVar("scope", default=None)
+
+
+@contextmanager
+def passing() -> Iterator[Scope]:
+    """Deletes what `stored` writes inside at its end, but for what the scope is told to keep, which the scope around then holds.
+
+    Whatever leaves the block must be a kept table or be computed by then.
+    """
+    outer, scope = SCOPE.get(), Scope()
+    token = SCOPE.set(scope)
+    try:
+        yield scope
+    finally:
+        SCOPE.reset(token)
+        for path, df in scope.made:
+            if not any(df is k for k in scope.kept):
+                context = df.sparkSession.sparkContext
+                place = context._jvm.org.apache.hadoop.fs.Path(path)
+                place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+            elif outer is not None:
+                outer.made.append((path, df))
 
 
 def maybe_broadcast(df: DataFrame, rows: int | None = None) -> DataFrame:

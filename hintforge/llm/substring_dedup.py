@@ -1,19 +1,23 @@
 """Substring dedup: repeated passages found as paragraphs by MinHash banding, verified and clustered (operator 7).
 
-Two kinds of paragraphs cover all texts; both are sets of 5-word shingles, both are banded, and both are verified by exact Jaccard:
+Two kinds of units cover all texts; both are sets of 5-word shingles, both are banded, and both are verified by exact Jaccard:
 
-- lines of at least MIN_LINE words, in BANDS bands of BAND_ROWS rows (a pair of Jaccard 0.8 meets in some band with probability 0.992, one
-  of 0.5 with 0.32);
+- paragraphs of at least MIN_LINE words, in BANDS bands of BAND_ROWS rows (a pair of Jaccard 0.8 meets in some band with probability 0.992, one
+  of 0.5 with 0.32): long lines, and runs of short lines up to an empty or a long one. What is wrapped over short lines may stand among others, so
+  a run is also read in overlapping parts: each from a border to the first border MIN_LINE words on, in PART_BANDS bands. Borders are line starts; where
+  lines are shorter than STEP words, those whose hash is the least nearby.
 - blocks of PASSAGE words, whatever lines they lie in. A block opens at each winnowed anchor (a 5-gram whose hash is the least of some REACH
   in a row), so that two texts with PASSAGE + REACH - 1 = 50 words in common have a block in common. As blocks overlap, a band is the anchor
   and the least hash of the other shingles; BLOCK_BANDS of them find a pair of Jaccard 0.8 with one anchor with probability 0.96.
 
 Equal sets are one node. Nodes of one band meet in signature trees (see jaccard_join), and links of Jaccard 0.8 or more make components.
 Blocks at the ends of what repeats are then moved word by word: all windows less than REACH words before a run's first block, or behind its last, in
-every document that has that block, are joined by content, so that spans reach the first and last word of what is shared.
+every document that has that block, are joined by content, so that spans reach the first and last word of what is shared. Linked paragraphs of short
+lines, and parts, shrink to the words from their first to their last shared shingle.
 
-Of each component the occurrences in the document with the smallest doc_id stay; those in other documents are removed. What adds up to less than SPAN
-words is left alone. Repeats inside one document are left to the quality rules.
+Of each component the occurrences in the document with the smallest doc_id stay; those in other documents are removed. Spans of one keeper that lie
+GAP words or less apart are one, if what they share is then still 0.8 of what they hold. What adds up to less than SPAN words is left alone. Repeats
+inside one document are left to the quality rules.
 """
 
 from __future__ import annotations
@@ -28,38 +32,119 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hintforge.llm.common import free_name, maybe_broadcast, mix64, segment_ids, stored, text_chunks
-from hintforge.llm.jaccard_join import ODD, SLICE, set_names, shingle_sets, with_roots
+from hintforge.llm.common import free_name, maybe_broadcast, mix64, passing, ragged_take, segment_ids, sorted_within, stored, text_chunks
+from hintforge.llm.jaccard_join import ODD, SLICE, set_names, with_roots
 from hintforge.llm.links import ARROW, PACKED, SHARD_TEXT, connected_components, key_groups, packed
 from hintforge.llm.signature_trees import span_groups
 
-MIN_LINE, BANDS, BAND_ROWS = 50, 12, 5
+MIN_LINE, BANDS, BAND_ROWS, PART_BANDS, STEP = 50, 12, 5, 8, 8
 PASSAGE, REACH, ANCHOR, BLOCK_BANDS = 28, 23, 5, 2
 #: Words of the least span that counts.
 SPAN = 50
+#: Words between two spans of one keeper that may be one edited passage.
+GAP = 5
 INVERSE = np.uint64(pow(int(ODD), -1, 2**64))
 
 
-def long_lines(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
-    """Lines of MIN_LINE words or more, with text number, first word's place in the text and number of words."""
-    lines, doc, first, size = [], [], [], []
-    for i, text in enumerate(texts):
-        at = 0
-        for line in text.split(b"\n"):
-            n = len(line.split())
-            if n >= MIN_LINE:
-                lines.append(line), doc.append(i), first.append(at), size.append(n)
-            at += n
-    return lines, np.array(doc, np.int64), np.array(first, np.int64), np.array(size, np.int64)
-
+def paragraph_places(sizes: np.ndarray, doc: np.ndarray, rolled: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First word, number of words and whether it is a part, for each paragraph and part of a run of short lines.
 
-def band_keys(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """A row of BANDS keys for each set; sets are not empty."""
+    sizes, doc: words and text of each line, in order; rolled: hashes of the ANCHOR words from each word on. Successive parts differ in STEP words or
+    more at both ends and share less than MIN_LINE, so their Jaccard is below 0.75 and no chain of overlapping parts becomes a component. Parts that
+    make up 0.8 of their run are left to the run.
+    """
+    ends = np.cumsum(sizes)
+    begin = ends - sizes
+    long = np.flatnonzero(sizes >= MIN_LINE)
+    short = np.flatnonzero((sizes > 0) & (sizes < MIN_LINE))
+    new = np.append(True, (np.diff(short) > 1) | (doc[short[1:]] != doc[short[:-1]]))[: len(short)]
+    start, total = begin[short[new]], np.zeros(0, np.int64)
+    run = np.cumsum(new) - 1
+    if len(short):
+        total = ends[short[np.append(new[1:], True)]] - start
+    inside = total[run] >= MIN_LINE if len(run) else np.zeros(0, bool)
+    whole = np.flatnonzero(total >= MIN_LINE)
+    # borders: line starts and each run's end; both ends of a run always stay
+    at = np.concatenate([begin[short[inside]], start[whole] + total[whole]])
+    of = np.concatenate([run[inside], whole])
+    order = np.lexsort((at, of))
+    at, of = at[order], of[order]
+    edge = np.append(True, of[1:] != of[:-1])[: len(of)] | np.append(of[1:] != of[:-1], True)[: len(of)]
+    rank = np.where(edge, np.uint64(0), rolled[np.minimum(at, max(0, len(rolled) - 1))] if len(rolled) else np.zeros(len(at), np.uint64))
+    beaten = np.zeros(len(at), bool)
+    for k in range(1, min(STEP, len(at))):
+        near = (of[k:] == of[:-k]) & (at[k:] - at[:-k] < STEP)
+        first = rank[:-k] <= rank[k:]
+        beaten[k:] |= near & first
+        beaten[:-k] |= near & ~first
+    at, of = at[~beaten], of[~beaten]
+    to = np.searchsorted(at, at + MIN_LINE)
+    held = np.flatnonzero(to < len(at))
+    held = held[of[to[held]] == of[held]]
+    held = held[np.append(to[held[1:]] != to[held[:-1]], True)[: len(held)]]  # of parts with one end the shortest
+    n = at[to[held]] - at[held]
+    part = (n - ANCHOR + 1) * 5 < (total[of[held]] - ANCHOR + 1) * 4
+    first = np.concatenate([begin[long], start[whole], at[held][part]])
+    return first, np.concatenate([sizes[long], total[whole], n[part]]), np.arange(len(first)) >= len(long) + len(whole)
+
+
+class Words:
+    """The words of some texts: their hashes one text after the other, those of ANCHOR words in a row, and what lies where."""
+
+    def __init__(self, texts: list[bytes]):
+        words: list[bytes] = []
+        self.counts = np.zeros(len(texts), np.int64)
+        lines, line_doc = [], []
+        for i, text in enumerate(texts):
+            before = len(words)
+            for line in text.lower().split(b"\n"):
+                found = line.split()
+                words += found
+                lines.append(len(found)), line_doc.append(i)
+            self.counts[i] = len(words) - before
+        self.code = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+        self.lines, self.line_doc = np.array(lines, np.int64), np.array(line_doc, np.int64)
+        self.rolled, n = self.code.copy(), len(self.code)
+        for k in range(1, min(ANCHOR, n)):
+            self.rolled[: n - k] = mix64(self.rolled[: n - k] * ODD + self.code[k:])
+        self.doc, self.place, self.left = places_of(self.counts)
+
+    def paragraphs(self) -> tuple[np.ndarray, ...]:
+        """Text number, first word's place, words, whether it is of short lines, whether it is a part, number of shingles and, one after the other, the sorted shingles of each paragraph."""
+        first, n, part = paragraph_places(self.lines, self.line_doc, self.rolled)
+        flat, owner = ragged_take(self.rolled, first, n - ANCHOR + 1), segment_ids(n - ANCHOR + 1)
+        flat = flat[sorted_within(owner, flat)]
+        new = np.append(True, (owner[1:] != owner[:-1]) | (flat[1:] != flat[:-1]))[: len(flat)]
+        soft = np.arange(len(first)) >= (self.lines >= MIN_LINE).sum()
+        return self.doc[first], self.place[first], n, soft, part, np.bincount(owner[new], minlength=len(first)), flat[new]
+
+    def blocks(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Blocks at winnowed anchors: text number, first word's place, and a row of the hashes of their shingles in order, the anchor first."""
+        anchor, n, width = self.rolled, len(self.code), PASSAGE - ANCHOR + 1
+        if n < PASSAGE + REACH - 1:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, width), np.uint64)
+        # least anchor of each REACH in a row whose last still opens a whole block
+        runs = np.flatnonzero(self.left >= PASSAGE + REACH - 1)
+        least = np.zeros(n, np.uint64)
+        low = anchor[runs]
+        for k in range(1, REACH):
+            low = np.minimum(low, anchor[runs + k])
+        least[runs] = low
+        # the greatest of these minima that a place takes part in; a place is an anchor if it is one of the minima
+        best = least.copy()
+        for k in range(1, REACH):
+            best[k:] = np.maximum(best[k:], least[: n - k])
+        at = np.flatnonzero((self.left >= PASSAGE) & (best == anchor))
+        return self.doc[at], self.place[at], anchor[at[:, None] + np.arange(width)]
+
+
+def band_keys(hashes: np.ndarray, sizes: np.ndarray, bands: int = BANDS) -> np.ndarray:
+    """A row of keys, one a band, for each set; sets are not empty."""
     starts = np.cumsum(sizes) - sizes
-    keys = np.zeros((len(sizes), BANDS), np.uint64)
+    keys = np.zeros((len(sizes), bands), np.uint64)
     if not len(sizes):
         return keys
-    for band in range(BANDS):
+    for band in range(bands):
         for row in range(BAND_ROWS):
             salt = np.uint64((band * BAND_ROWS + row + 1) * 0x2545F4914F6CDD1D % 2**64)
             least = np.minimum.reduceat((hashes ^ salt) * (ODD ^ (salt << np.uint64(1))), starts)
@@ -67,6 +152,13 @@ def band_keys(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return keys
 
 
+def some_bands(flat: np.ndarray, sizes: np.ndarray, nodes: np.ndarray, some: np.ndarray, bands: int) -> tuple[np.ndarray, np.ndarray]:
+    """Band keys and their nodes of some of the sets, each node once."""
+    once = some[np.unique(nodes[some], return_index=True)[1]]
+    starts = np.cumsum(sizes) - sizes
+    return band_keys(ragged_take(flat, starts[once], sizes[once]), sizes[once], bands).ravel(), np.repeat(nodes[once], bands)
+
+
 def word_codes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """A hash of each word, one text after the other, and the texts' numbers of words."""
     words: list[bytes] = []
@@ -85,31 +177,6 @@ def places_of(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return doc, place, counts[doc] - place
 
 
-def blocks(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Blocks at winnowed anchors: text number, first word's place, and a row of the hashes of their shingles in order, the anchor first."""
-    code, counts = word_codes(texts)
-    n, width = len(code), PASSAGE - ANCHOR + 1
-    if n < PASSAGE + REACH - 1:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, width), np.uint64)
-    doc, place, left = places_of(counts)
-    anchor = code.copy()
-    for k in range(1, ANCHOR):
-        anchor[: n - k] = mix64(anchor[: n - k] * ODD + code[k:])
-    # least anchor of each REACH in a row whose last still opens a whole block
-    runs = np.flatnonzero(left >= PASSAGE + REACH - 1)
-    least = np.zeros(n, np.uint64)
-    low = anchor[runs]
-    for k in range(1, REACH):
-        low = np.minimum(low, anchor[runs + k])
-    least[runs] = low
-    # the greatest of these minima that a place takes part in; a place is an anchor if it is one of the minima
-    best = least.copy()
-    for k in range(1, REACH):
-        best[k:] = np.maximum(best[k:], least[: n - k])
-    at = np.flatnonzero((left >= PASSAGE) & (best == anchor))
-    return doc[at], place[at], anchor[at[:, None] + np.arange(width)]
-
-
 def block_sets(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The rows' distinct hashes in order, one row after the other, and their numbers."""
     rows = np.sort(shingles, axis=1)
@@ -174,33 +241,34 @@ def with_keepers(found: DataFrame, group: str) -> DataFrame:
 
 
 #: What one pass over the texts finds: rows of paragraphs, and rows of packed band keys alone.
-FOUND = "doc_id long, copy int, first int, size int, node long, block boolean, " + PACKED
-FOUND_ARROW = pa.schema([("doc_id", pa.int64()), ("copy", pa.int32()), ("first", pa.int32()), ("size", pa.int32()), ("node", pa.int64()), ("block", pa.bool_()), *ARROW])
+FOUND = "doc_id long, copy int, first int, size int, node long, block boolean, soft boolean, " + PACKED
+FOUND_ARROW = pa.schema([("doc_id", pa.int64()), ("copy", pa.int32()), ("first", pa.int32()), ("size", pa.int32()), ("node", pa.int64()), ("block", pa.bool_()), ("soft", pa.bool_()), *ARROW])
 
 
 def paragraphs(docs: DataFrame) -> DataFrame:
-    """The rows of FOUND: every line of MIN_LINE words or more and every block, and the band keys of their nodes. Written."""
+    """The rows of FOUND: every paragraph, part of a run of short lines and block, and the band keys of their nodes. Written."""
     texts = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), "text")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-size // SHARD_TEXT))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, some in text_chunks(batches, limit=SLICE):
-            names = text_names(some)
-            lines, doc, first, n = long_lines(some)
-            flat, sizes = shingle_sets(lines, 5)
-            nodes, bands = set_names(flat, sizes), band_keys(flat, sizes)
-            block_doc, block_first, shingles = blocks(some)
+            names, words = text_names(some), Words(some)
+            doc, first, n, soft, part_of_run, sizes, flat = words.paragraphs()
+            nodes = set_names(flat, sizes)
+            block_doc, block_first, shingles = words.blocks()
             block_nodes = set_names(*block_sets(shingles))
             of, count = np.concatenate([doc, block_doc]), len(doc) + len(block_doc)
             cols = [part.column("doc_id").take(pa.array(of)), pa.array(names[of]), pa.array(np.concatenate([first, block_first]), pa.int32()), pa.array(np.concatenate([n, np.full(len(block_doc), PASSAGE)]), pa.int32())]
-            cols += [pa.array(np.concatenate([nodes, block_nodes])), pa.array(np.arange(count) >= len(doc))]
+            cols += [pa.array(np.concatenate([nodes, block_nodes])), pa.array(np.arange(count) >= len(doc)), pa.array(np.append(soft, np.zeros(len(block_doc), bool)))]
             yield pa.RecordBatch.from_arrays([*cols, *(pa.nulls(count, f.type) for f in ARROW)], schema=FOUND_ARROW)
-            once, block_once = (np.unique(x, return_index=True)[1] for x in (nodes, block_nodes))
-            keys = np.concatenate([bands[once].ravel(), block_keys(shingles[block_once]).ravel()])
-            of_keys = np.concatenate([np.repeat(nodes[once], BANDS), np.repeat(block_nodes[block_once], BLOCK_BANDS)])
+            lines = some_bands(flat, sizes, nodes, np.flatnonzero(~part_of_run), BANDS)
+            parts = some_bands(flat, sizes, nodes, np.flatnonzero(part_of_run), PART_BANDS)
+            block_once = np.unique(block_nodes, return_index=True)[1]
+            keys = np.concatenate([lines[0], parts[0], block_keys(shingles[block_once]).ravel()])
+            of_keys = np.concatenate([lines[1], parts[1], np.repeat(block_nodes[block_once], BLOCK_BANDS)])
             packs = packed(keys, of_keys, np.zeros(len(keys), bool), shards)
-            yield pa.RecordBatch.from_arrays([*(pa.nulls(packs.num_rows, f.type) for f in list(FOUND_ARROW)[:6]), *packs.columns], schema=FOUND_ARROW)
+            yield pa.RecordBatch.from_arrays([*(pa.nulls(packs.num_rows, f.type) for f in list(FOUND_ARROW)[:7]), *packs.columns], schema=FOUND_ARROW)
 
     return stored(texts.mapInArrow(find, FOUND), "paragraphs")
 
@@ -219,8 +287,9 @@ def paragraph_sets(texts: DataFrame, rows: DataFrame, near: DataFrame) -> DataFr
         for part, some in text_chunks(batches, limit=SLICE):
             lists = part.column("nodes")
             wanted = lists.flatten().to_numpy()
-            flat, sizes = shingle_sets(long_lines(some)[0], 5)
-            more, more_sizes = block_sets(blocks(some)[2])
+            words = Words(some)
+            *_, sizes, flat = words.paragraphs()
+            more, more_sizes = block_sets(words.blocks()[2])
             flat, sizes = np.concatenate([flat, more]), np.concatenate([sizes, more_sizes])
             nodes, once = np.unique(set_names(flat, sizes), return_index=True)
             keep = np.isin(nodes, wanted)
@@ -234,27 +303,68 @@ def paragraph_sets(texts: DataFrame, rows: DataFrame, near: DataFrame) -> DataFr
 
 
 def paragraph_repeats(docs: DataFrame, threshold: tuple[int, int] = (8, 10)) -> DataFrame:
-    """doc_id, copy, first, size, component, block, keeper: lines and blocks of a component that lies in two documents or more; keeper is the smallest doc_id."""
-    found = paragraphs(docs)
-    rows = found.where("node IS NOT NULL").select("doc_id", "copy", "first", "size", "node", "block")
-    groups = key_groups(found.where("node IS NULL").select("shard", "frequent", "keys", "nodes"))
-    near = stored(groups.select("node").distinct(), "near")
-    texts = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), "text")
-    sets = stored(paragraph_sets(texts, rows, near), "near-sets")
-    links = stored(with_roots(connected_components(span_groups(groups.join(sets, "node"), True, *threshold))), "components")
-    # linked blocks have their anchor's words in common and may differ in as many last words as the threshold allows shingles
-    num, den = threshold
-    differ = (PASSAGE - ANCHOR + 1) * (den - num) // (den + num)
-    size = F.when(F.col("block") & F.col("component").isNotNull(), F.col("size") - differ).otherwise(F.col("size"))
-    named = rows.join(maybe_broadcast(links), "node", "left").withColumn("size", size).withColumn("component", F.coalesce("component", "node")).drop("node")
-    return with_keepers(named, "component")
+    """doc_id, copy, first, size, component, block, soft, keeper: paragraphs, parts and blocks of a component that lies in two documents or more; keeper is
+    the smallest doc_id, soft tells what is made of short lines and linked to other texts than its own. Written."""
+    with passing() as tables:
+        found = paragraphs(docs)
+        rows = found.where("node IS NOT NULL").select("doc_id", "copy", "first", "size", "node", "block", "soft")
+        with passing() as inner:
+            groups = key_groups(found.where("node IS NULL").select("shard", "frequent", "keys", "nodes"))
+            near = stored(groups.select("node").distinct(), "near")
+            texts = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), "text")
+            sets = stored(paragraph_sets(texts, rows, near), "near-sets")
+            links = inner.keep(stored(with_roots(connected_components(span_groups(groups.join(sets, "node"), True, *threshold))), "components"))
+        # linked blocks have their anchor's words in common and may differ in as many last words as the threshold allows shingles
+        num, den = threshold
+        differ = (PASSAGE - ANCHOR + 1) * (den - num) // (den + num)
+        size = F.when(F.col("block") & F.col("component").isNotNull(), F.col("size") - differ).otherwise(F.col("size"))
+        named = rows.join(maybe_broadcast(links), "node", "left").withColumn("size", size).withColumn("soft", F.col("soft") & F.col("component").isNotNull()).withColumn("component", F.coalesce("component", "node")).drop("node")
+        return tables.keep(stored(with_keepers(named, "component"), "hits"))
 
 
 def line_repeats(docs: DataFrame, threshold: tuple[int, int] = (8, 10)) -> DataFrame:
-    """doc_id, copy, first, size, keeper of the lines among paragraph_repeats."""
+    """doc_id, copy, first, size, keeper of the paragraphs and parts among paragraph_repeats."""
     return paragraph_repeats(docs, threshold).where("NOT block").select("doc_id", "copy", "first", "size", "keeper")
 
 
+def soft_repeats(docs: DataFrame, hits: DataFrame) -> DataFrame:
+    """doc_id, copy, first, size, keeper of the soft hits, from the first to the last shingle that another document of the component has.
+
+    What is alike may stand among other lines, and parts needn't end where it does. As a link leaves less than a fifth of a set unshared, a shared
+    shingle lies in the first fifth and in the last; only these are compared.
+    """
+    texts = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), "text")
+    keys = ["doc_id", "copy", "first", "component"]
+    soft = hits.where("soft").select(*keys, "size", "keeper")
+    lists = stored(soft.groupBy("doc_id").agg(F.collect_list(F.struct("copy", "first", "size", "component")).alias("units")), "soft")
+
+    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, some in text_chunks(batches, limit=SLICE):
+            names, words = text_names(some), Words(some)
+            units = part.column("units")
+            row = segment_ids(pc.list_value_length(units).to_numpy())
+            copy, first, size, component = (units.flatten().field(k).to_numpy(zero_copy_only=False) for k in range(4))
+            mine = names[row] == copy
+            row, copy, first, size, component = (x[mine] for x in (row, copy, first.astype(np.int64), size.astype(np.int64), component))
+            n = size - ANCHOR + 1
+            some_of = n // 5 + 1
+            unit = segment_ids(some_of)
+            step = np.arange(len(unit)) - (np.cumsum(some_of) - some_of)[unit]
+            at = np.concatenate([first[unit] + step, (first + n - some_of)[unit] + step])
+            tail, unit = np.arange(len(at)) >= len(unit), np.concatenate([unit, unit])
+            key = words.rolled[(np.cumsum(words.counts) - words.counts)[row[unit]] + at].view(np.int64)
+            cols = [part.column("doc_id").take(pa.array(row[unit])), *(pa.array(x[unit], t) for x, t in ((copy, pa.int32()), (first, pa.int32()), (component, pa.int64())))]
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(at, pa.int32()), pa.array(tail), pa.array(key)], [*keys, "at", "tail", "key"])
+
+    held = lists.agg(F.sum(F.size("units"))).first()[0] or 0
+    every = stored(with_lists(texts, lists, held).mapInArrow(ends, "doc_id long, copy int, first int, component long, at int, tail boolean, key long"), "ends")
+    shared = every.groupBy("component", "key").agg(F.min("doc_id").alias("one"), F.max("doc_id").alias("other")).where("one < other")
+    met = every.join(stored(shared.select("component", "key"), "shared").hint("merge"), ["component", "key"])
+    reach = met.groupBy(*keys).agg(F.min(F.when(~F.col("tail"), F.col("at"))).alias("begin"), F.max(F.when(F.col("tail"), F.col("at") + ANCHOR)).alias("end"))
+    begin, end = F.coalesce("begin", "first"), F.coalesce("end", F.col("first") + F.col("size"))
+    return soft.join(reach, keys, "left").select("doc_id", "copy", begin.alias("first"), (end - begin).cast("int").alias("size"), "keeper")
+
+
 def edge_repeats(docs: DataFrame, hits: DataFrame) -> DataFrame:
     """doc_id, copy, first, size, keeper: windows, around blocks where some document's run of repeated blocks ends, whose content lies in two
     documents or more; keeper is the smallest doc_id."""
@@ -291,8 +401,8 @@ def repeated_spans(docs: DataFrame, threshold: tuple[int, int] = (8, 10)) -> Dat
     removed occurrence are removed; runs of less than SPAN words don't count. docs(doc_id long, text string, ...): rows without doc_id or text have no span and are no keeper;
     rows that share a doc_id are one document, told apart by `copy`, a hash of the text; other columns are not read.
     """
-    found = stored(paragraph_repeats(docs, threshold), "hits")
-    hits = found.select("doc_id", "copy", "first", "size", "keeper").unionByName(edge_repeats(docs, found))
+    found = paragraph_repeats(docs, threshold)
+    hits = found.where("NOT soft").select("doc_id", "copy", "first", "size", "keeper").unionByName(edge_repeats(docs, found)).unionByName(soft_repeats(docs, found))
     by_doc = hits.groupBy("doc_id", "copy").agg(F.array_sort(F.collect_set(F.struct("first", "size", "keeper"))).alias("hits"))
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -307,8 +417,7 @@ def repeated_spans(docs: DataFrame, threshold: tuple[int, int] = (8, 10)) -> Dat
             starts = np.cumsum(counts) - counts
             for i, (a, n) in enumerate(zip(starts, counts)):
                 part = slice(a, a + n)
-                removed = [x for x in merged(first[part][gone[part]], size[part][gone[part]], keeper[part][gone[part]]) if x[1] >= SPAN]
-                kept = [x for x in merged(first[part][~gone[part]], size[part][~gone[part]], keeper[part][~gone[part]]) if x[1] >= SPAN]
+                removed, kept = ([x for x in bridged(merged(first[part][side], size[part][side], keeper[part][side])) if x[1] >= SPAN] for side in (gone[part], ~gone[part]))
                 kept = uncovered(kept, removed)
                 spans.append(sorted([{"first": f, "size": s, "removed": True, "keeper": k} for f, s, k in removed] + [{"first": f, "size": s, "removed": False, "keeper": k} for f, s, k in kept], key=lambda s: s["first"]))
             kind = pa.list_(pa.struct([("first", pa.int32()), ("size", pa.int32()), ("removed", pa.bool_()), ("keeper", pa.int64())]))
@@ -328,6 +437,25 @@ def merged(first: np.ndarray, size: np.ndarray, keeper: np.ndarray) -> list[tupl
     return list(zip(first[cut].tolist(), (stop - first[cut]).tolist(), np.minimum.reduceat(keeper, cut).tolist()))
 
 
+def bridged(spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Spans in order, those of one keeper joined over gaps of GAP words or less.
+
+    A gap is taken to be edited words, as many on either side: what is joined has Jaccard 0.8 or more of shingles if all else is alike.
+    """
+    out: list[tuple[int, int, int]] = []
+    alike = apart = 0
+    for first, size, keeper in spans:
+        gap = first - sum(out[-1][:2]) if out else GAP + 1
+        more, between = size - ANCHOR + 1, 2 * (gap + ANCHOR - 1)
+        if gap <= GAP and keeper == out[-1][2] and 5 * (alike + more) >= 4 * (alike + more + apart + between):
+            out[-1] = (out[-1][0], first + size - out[-1][0], keeper)
+            alike, apart = alike + more, apart + between
+        else:
+            out.append((first, size, keeper))
+            alike, apart = more, 0
+    return out
+
+
 def uncovered(spans: list[tuple[int, int, int]], over: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """What of spans lies outside of over; both in order."""
     out, k = [], 0

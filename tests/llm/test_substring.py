@@ -86,3 +86,66 @@ def test_bands_have_high_recall():
 
 def test_drop_spans():
     assert sd.drop_spans(b"a b  c\nd e", [(1, 2)]) == b"a d e" and sd.drop_spans(b" a b", [(0, 2)]) == b" " and sd.drop_spans(b"a b", []) == b"a b"
+
+
+def wrapped(words, n):
+    return "\n".join(" ".join(words[i : i + n]) for i in range(0, len(words), n))
+
+
+def edited(words, edits):
+    out = list(words)
+    for k in range(1, edits + 1):
+        out[len(out) * k // (edits + 1)] = f"edit{rng.random()}"
+    return out
+
+
+def jaccard(a, b):
+    a, b = ({tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (a, b))
+    return len(a & b) / len(a | b)
+
+
+def test_edited_paragraphs_over_short_lines(spark):
+    docs, cases, clean = [], [], []
+    for size, edits in [(80, 1), (94, 2), (120, 2), (160, 3), (200, 4)]:
+        for form in ("alone", "among lines", "between empty lines"):
+            for width in (7, 12, 30):
+                for _ in range(2):
+                    one = [w.lower() for w in say(size)]
+                    two = edited(one, edits)
+                    assert jaccard(one, two) >= 0.8
+                    for w in (one, two):
+                        gap = {"alone": None, "among lines": "\n", "between empty lines": "\n\n"}[form]
+                        text = wrapped(w, width)
+                        docs.append((len(docs), text if gap is None else wrapped(say(60 + rng.randint(0, 40)), 12) + gap + text + gap + wrapped(say(70), 12)))
+                    cases.append((len(docs) - 1, size, form))
+    for _ in range(60):
+        clean.append(len(docs))
+        docs.append((len(docs), "\n".join(wrapped(say(rng.randint(20, 300)), rng.choice([1, 3, 9, 20])) for _ in range(2))))
+    got = {r.doc_id: r.spans for r in sd.repeated_spans(spark.createDataFrame(docs, "doc_id long, text string").repartition(6)).collect()}
+    gone = {d: sum(s.size for s in spans if s.removed) for d, spans in got.items()}
+    found = [size * 3 / 4 <= gone.get(d, 0) <= size for d, size, _ in cases]
+    assert sum(found) >= 0.95 * len(cases) and not set(clean) & set(got)
+    assert all(not gone[d - 1] for d, _, _ in cases if d - 1 in gone)
+
+
+def test_parts_never_chain():
+    import numpy as np
+
+    gen = np.random.default_rng(8)
+    for _ in range(200):
+        sizes = gen.integers(0, gen.choice([3, 10, 30, 60]), gen.integers(1, 60))
+        doc = np.sort(gen.integers(0, 3, len(sizes)))
+        first, n, part = sd.paragraph_places(sizes, doc, gen.integers(0, 2**63, int(sizes.sum())).astype(np.uint64))
+        line_of = np.repeat(np.arange(len(sizes)), sizes)
+        assert (n >= sd.MIN_LINE).all() and (first + n <= sizes.sum()).all()
+        for f, m in zip(first, n):
+            assert doc[line_of[f]] == doc[line_of[f + m - 1]] and (sizes[line_of[f] : line_of[f + m - 1] + 1] > 0).all()
+        parts = [set(range(f, f + m - 4)) for f, m in zip(first[part], n[part])]
+        assert all(len(a & b) < 0.75 * len(a | b) for i, a in enumerate(parts) for b in parts[:i])
+    assert sum(map(len, sd.paragraph_places(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)))) == 0
+
+
+def test_bridges_need_jaccard():
+    assert sd.bridged([(0, 40, 1), (41, 40, 1)]) == [(0, 81, 1)] and sd.bridged([]) == []
+    for apart in ([(0, 40, 1), (41, 40, 2)], [(0, 40, 1), (46, 40, 1)], [(0, 28, 1), (33, 28, 1)]):
+        assert sd.bridged(apart) == apart
