@@ -5,6 +5,9 @@ the model has a space mark after another letter, so text falls apart exactly bef
 pre-tokens are independent. A batch's distinct pre-tokens lie in one ragged numpy array of symbols; each round finds every
 sequence's lowest-rank pair and merges it in all sequences at once; what survives is counted. Symbols that are no piece count
 their UTF-8 bytes, as byte fallback does.
+
+A round looks at all symbols left, so a long pre-token (text without spaces) would ask for many rounds over all of it. It is first cut wherever no piece
+that occurs in it lies across: no symbol ever forms there, so both sides merge as if alone.
 """
 
 from __future__ import annotations
@@ -16,12 +19,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hintforge.llm.common import text_chunks
+from hintforge.llm.common import mix64, text_chunks
 
 #: Pre-tokens whose counts a worker remembers before it starts afresh.
 CACHE_WORDS = 400_000
 NO_PAIR = np.int64(1 << 62)
 SPACE = "▁"
+#: Letters of a pre-token from which it is cut.
+LONG = 48
 
 
 class MergeTable:
@@ -37,6 +42,7 @@ class MergeTable:
             raise ValueError("a piece has a space mark inside: texts can't be cut before spaces")
         self.letters = {p: i for i, p in enumerate(pieces)}
         self.n = len(self.letters)
+        self.grams = self._grams(pieces)
         # one rank for equal scores: ties go to the leftmost pair
         ranks = {s: r for r, s in enumerate(sorted(set(pieces.values()), reverse=True))}
         keys, made, rank = [], [], []
@@ -57,6 +63,35 @@ class MergeTable:
         self.safe[left[self.rank <= own[left]]] = False
         self.safe[right[self.rank <= own[right]]] = False
 
+    def _grams(self, pieces: dict[str, float]) -> list[np.ndarray]:
+        """For each length from 2 the sorted hashes of the pieces that have it."""
+        by_length: dict[int, list[str]] = {}
+        for p in pieces:
+            by_length.setdefault(len(p), []).append(p)
+        out = []
+        for n in range(2, max(by_length, default=1) + 1):
+            some = by_length.get(n, [])
+            codes = np.frombuffer("".join(some).encode("utf-32-le"), np.uint32).reshape(len(some), n).astype(np.uint64)
+            out.append(np.sort(_rolled(codes.T)))
+        return out
+
+    def cut(self, word: str) -> list[str]:
+        """The word in parts between which no piece lies that occurs in it. A false match of hashes only cuts less."""
+        codes = np.frombuffer(word.encode("utf-32-le"), np.uint32).astype(np.uint64)
+        # begun less ended pieces over the border before each letter
+        across = np.zeros(len(codes) + 1, np.int64)
+        key = mix64(codes)
+        for n, grams in enumerate(self.grams, 2):
+            if n > len(codes):
+                break
+            key = _grown(key[:-1], codes[n - 1 :])
+            if len(grams):
+                hit = np.flatnonzero(grams[np.minimum(np.searchsorted(grams, key), len(grams) - 1)] == key)
+                across[hit + 1] += 1
+                across[hit + n] -= 1
+        at = [0, *(np.flatnonzero(np.cumsum(across)[1:-1] == 0) + 1).tolist(), len(word)]
+        return [word[a:b] for a, b in zip(at, at[1:])]
+
     def pairs(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and product of each pair; NO_PAIR where they don't merge."""
         key = np.where((a < 0) | (b < 0), -1, a * self.n + b)
@@ -65,6 +100,18 @@ class MergeTable:
         return np.where(hit, self.rank[at], NO_PAIR), self.made[at]
 
 
+def _grown(key: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    return mix64(key * np.uint64(0x9E3779B97F4A7C15) + codes)
+
+
+def _rolled(columns: np.ndarray) -> np.ndarray:
+    """Hashes of strings whose letters stand in columns."""
+    key = mix64(columns[0])
+    for codes in columns[1:]:
+        key = _grown(key, codes)
+    return key
+
+
 def count_symbols(symbols: np.ndarray, weights: np.ndarray, lengths: np.ndarray, table: MergeTable) -> np.ndarray:
     """Tokens of each sequence. symbols: piece numbers, -1 for letters that are no piece; weights: tokens that a letter left alone makes."""
     count = np.zeros(len(lengths), np.int64)
@@ -137,7 +184,7 @@ class TokenCounter:
         sizes = np.zeros(len(texts), np.int64)
         for i, text in enumerate(texts):
             if text:
-                found = pre_tokens(text.decode("utf-8", "replace"))
+                found = [part for w in pre_tokens(text.decode("utf-8", "replace")) for part in (self.table.cut(w) if len(w) >= LONG else (w,))]
                 sizes[i] = len(found)
                 words += found
         new = list(set(words).difference(self.known))

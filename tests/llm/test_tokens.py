@@ -122,3 +122,47 @@ def test_crossover_keeps_every_document_once():
     for child in (b, packing.crossover(lengths, a, b, 100, gen), packing.evolve(lengths, [a, b], 100, 1)):
         assert sorted(i for k in child for i in k) == list(range(200))
         assert all(lengths[k].sum() <= 100 for k in child)
+
+
+def test_long_texts_without_spaces():
+    import random
+    import time
+
+    import public_tokenizers
+    import sentencepiece
+
+    from hintforge.llm.token_counts import TokenCounter
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    library, gen = sentencepiece.SentencePieceProcessor(model_file=path), random.Random(3)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    kana = "".join(map(chr, range(0x3041, 0x30FF)))
+    base = letters + letters.upper() + "0123456789+/"
+    for alphabet in (letters, letters + kana, base, "a", "\U0001f600é\x00▁", "acgt"):
+        taken = {}
+        for n in (2_000, 20_000, 200_000):
+            if alphabet in ("acgt", "\U0001f600é\x00▁") and n > 20_000:
+                continue
+            text = "".join(gen.choice(alphabet) for _ in range(n))
+            counter, began = TokenCounter(path), time.perf_counter()
+            got = counter.counts([text.encode(), b"", b"x " + text.encode()])
+            taken[n] = time.perf_counter() - began
+            assert got.tolist() == [len(library.encode(t)) for t in (text, "", "x " + text)]
+        if 200_000 in taken:
+            assert taken[200_000] < max(6.0, 25 * taken[20_000])
+
+
+def test_cuts_keep_what_no_piece_crosses():
+    import public_tokenizers
+
+    from hintforge.llm.token_counts import MergeTable
+
+    table = MergeTable(public_tokenizers.path("piece_bpe_32k.model"))
+    for word in ("▁theqzthe", "▁international", "▁", "éééxq", "zqzqzq"):
+        parts = table.cut(word)
+        at, cuts = 0, set()
+        for p in parts:
+            at += len(p)
+            cuts.add(at)
+        crossed = {k for i in range(len(word)) for j in range(i + 2, len(word) + 1) if word[i:j] in table.letters for k in range(i + 1, j)}
+        assert "".join(parts) == word and cuts == set(range(1, len(word) + 1)) - crossed
