@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextvars
+import ctypes
 import shutil
 import tempfile
 import uuid
@@ -20,6 +21,8 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 1_000_000
 #: Bytes of text that a Python task holds as word objects at one time.
 CHUNK_BYTES = 4 << 20
+#: The same where some dozens of bytes are held for each byte of text.
+SLICE = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -114,13 +117,20 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def give_back() -> None:
+    """Hands what Arrow and numpy have freed back to the system: a worker outlives its tasks, and several wait in each executor."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc's
+        trim(0)
+
+
 def text_chunks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """The batches in slices of about limit bytes of text, with each row's text as UTF-8 (null: empty).
 
-    A single longer text makes a slice of its own. What Arrow holds of earlier batches goes back to the system before the next is taken.
+    A single longer text makes a slice of its own. Freed memory goes back to the system before each batch and after each slice.
     """
     for batch in batches:
-        pa.default_memory_pool().release_unused()
+        give_back()
         if not batch.num_rows:
             continue
         col = batch.column(batch.schema.get_field_index(column))
@@ -130,6 +140,7 @@ def text_chunks(batches: Iterator[pa.RecordBatch], column: str = "text", limit:
             part = batch.slice(a, b - a)
             texts = part.column(part.schema.get_field_index(column)).cast(pa.binary()).to_pylist()
             yield part, [t or b"" for t in texts]
+            give_back()
 
 
 def _lengths(col: pa.Array) -> np.ndarray:

@@ -26,12 +26,10 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hintforge.llm.common import maybe_broadcast, mix64, ragged_take, segment_ids, sorted_within, stored, text_chunks
+from hintforge.llm.common import SLICE, maybe_broadcast, mix64, ragged_take, segment_ids, sorted_within, stored, text_chunks
 from hintforge.llm.links import PACKED, SHARD_TEXT, connected_components, key_groups, packed
 from hintforge.llm.signature_trees import BLOCK, own_bitmaps, span_groups
 
-#: Bytes of text that are worked on at once.
-SLICE = 1 << 20
 #: Cells of the table of levels, shingles that a task holds while it looks for repeated ones, level (log2) from which a key is frequent.
 CELLS, CELL_CHUNK, HELD_SHINGLES, FREQUENT = 1 << 24, 1 << 14, 2 << 20, 10
 ODD = np.uint64(0x9E3779B97F4A7C15)

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hintforge.llm.common import mix64, ragged_take, stored
+from hintforge.llm.common import give_back, mix64, ragged_take, stored
 
 #: Columns of packed (key, node) arrays: 32-bit keys of a shard, or whole keys that are frequent.
 PACKED = "shard int, frequent boolean, keys binary, nodes binary"
@@ -65,6 +65,7 @@ def key_groups(packs: DataFrame) -> DataFrame:
         read = lambda rows, kind: np.frombuffer(b"".join(rows), kind)
         group, node = shared_keys(read(part["keys"][~often], np.uint32), read(part["nodes"][~often], np.int64))
         key, member = read(part["keys"][often], np.int64), read(part["nodes"][often], np.int64)
+        give_back()
         return pd.DataFrame({"frequent": np.repeat([False, True], [len(group), len(key)]), "group": np.concatenate([group, key]), "node": np.concatenate([node, member])})
 
     # frequent pairs are spread by the row they came in, not by their keys

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hintforge.llm.common import free_name, segment_ids, stored, text_chunks
+from hintforge.llm.common import SLICE, free_name, segment_ids, stored, text_chunks
 from hintforge.llm.tokenizing import WordTokenizer
 
 #: Pieces of a shard (on average), islands of each shard, population of an island, crossovers at least, generations at most (of few pieces
@@ -127,7 +127,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int =
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, copy = WordTokenizer(tokenizer), 0
-        for part, texts in text_chunks(batches):
+        for part, texts in text_chunks(batches, limit=SLICE):
             ids, counts = words.ids(texts)
             ids = np.insert(ids, np.cumsum(counts), end_id).astype("<u4")
             counts = counts + 1

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hintforge.llm.common import mix64, segment_ids, text_chunks
+from hintforge.llm.common import SLICE, mix64, segment_ids, text_chunks
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
 SYMBOLS = b"#*$%&|<>"
@@ -102,7 +102,7 @@ def repetition_measures(docs: DataFrame, rules: RepetitionRules = RepetitionRule
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "line_dup_chars", *(f"dup_{n}gram_chars" for n in lengths)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in text_chunks(batches):
+        for part, texts in text_chunks(batches, limit=SLICE):
             found = measure(texts, lengths)
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), *(pa.array(found[n], pa.int64()) for n in names)], ["doc_id", *names])
 
@@ -122,7 +122,7 @@ def keep_good(docs: DataFrame, rules: RepetitionRules = RepetitionRules()) -> Da
     lengths = tuple(sorted(rules.ngram_chars))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in text_chunks(batches):
+        for part, texts in text_chunks(batches, limit=SLICE):
             m = measure(texts, lengths)
             bad = (m["n_words"] < rules.min_words) | (100 * m["n_repeat_words"] > rules.max_repeat_words_percent * m["n_words"])
             bad |= (m["n_dup_lines"] > rules.line_count * m["n_lines"]) | (m["line_dup_chars"] > rules.line_chars * m["word_chars"])

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hintforge.llm.common import maybe_broadcast, ragged_take, segment_ids, stored
+from hintforge.llm.common import give_back, maybe_broadcast, ragged_take, segment_ids, stored
 from hintforge.llm.links import connected_components
 
 #: Words of a bitmap at least, children of a tree's node, pairs of leaves that one step of a walk may open.
@@ -247,5 +247,7 @@ def _walk(rows: DataFrame, exact: bool, num: int, den: int) -> DataFrame:
         if held:
             found = walk_groups(pa.Table.from_batches(held).to_pandas(), exact, num, den)
             yield pa.RecordBatch.from_pandas(found, preserve_index=False)
+            del held, found
+            give_back()
 
     return rows.repartition(tasks, "at").mapInArrow(run, "a long, b long")

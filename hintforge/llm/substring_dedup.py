@@ -32,8 +32,8 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hintforge.llm.common import free_name, maybe_broadcast, mix64, passing, ragged_take, segment_ids, sorted_within, stored, text_chunks
-from hintforge.llm.jaccard_join import ODD, SLICE, set_names, with_roots
+from hintforge.llm.common import SLICE, free_name, maybe_broadcast, mix64, passing, ragged_take, segment_ids, sorted_within, stored, text_chunks
+from hintforge.llm.jaccard_join import ODD, set_names, with_roots
 from hintforge.llm.links import ARROW, PACKED, SHARD_TEXT, connected_components, key_groups, packed
 from hintforge.llm.signature_trees import span_groups
 
