@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hintforge.llm.common import SLICE, free_name, segment_ids, stored, text_chunks
+from hintforge.llm.common import SLICE, free_name, give_back, segment_ids, stored, text_chunks
 from hintforge.llm.tokenizing import WordTokenizer
 
 #: Pieces of a shard (on average), islands of each shard, population of an island, crossovers at least, generations at most (of few pieces
@@ -145,6 +145,8 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int =
                 cols.append(pa.ListArray.from_arrays(pa.array([*at, len(ids)], pa.int32()), pa.array(ids.astype(np.int32))))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(cols, names)
+        del words
+        give_back()
 
     schema = "doc_id long, copy long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * keep_ids
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, schema)
