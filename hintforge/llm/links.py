@@ -29,10 +29,9 @@ def packed(keys: np.ndarray, nodes: np.ndarray, frequent: np.ndarray, shards: in
     keys, nodes = keys[~frequent], nodes[~frequent]
     shard = ((keys >> np.uint64(32)) % np.uint64(shards)).astype(np.int64)
     order = np.argsort(shard, kind="stable")  # equal nodes stay side by side: the shuffle's compression takes them
-    cuts = np.searchsorted(shard[order], np.arange(shards + 1))
+    some, first = np.unique(shard[order], return_index=True)  # only shards that occur: their number follows the slice, not the corpus
     small = keys.astype(np.uint32)
-    for s in np.flatnonzero(np.diff(cuts)).tolist():
-        at = order[cuts[s] : cuts[s + 1]]
+    for s, at in zip(some.tolist(), np.split(order, first[1:])):
         out["shard"].append(s), out["frequent"].append(False), out["keys"].append(small[at].tobytes()), out["nodes"].append(nodes[at].tobytes())
     return pa.RecordBatch.from_pydict(out, schema=ARROW)
 
