@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hintforge.functions.attributes import gff_attribute, gtf_attribute, rendered
+from hintforge.sources.lines import placed_text
 
 COLUMNS = "seqid string, source string, type string, start string, end string, score string, strand string, phase string, attrs string"
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """ordinal (the place in the files) and line."""
-    return spark.read.text(path).select(F.monotonically_increasing_id().alias("ordinal"), F.col("value").alias("line"))
+    return placed_text(spark, path).withColumnRenamed("value", "line")
 
 
 def _rows(lines: DataFrame) -> DataFrame:

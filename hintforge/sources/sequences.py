@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hintforge.functions.sequence import clean_dna, clean_protein_line, is_dna, upper_ascii
+from hintforge.sources.lines import placed_text
 
 
 def read_fasta(spark: SparkSession, path: str, ids: DataFrame | None = None) -> DataFrame:
@@ -45,7 +46,7 @@ def clean_proteins(spark: SparkSession, path: str) -> DataFrame:
 
 def read_pairs(spark: SparkSession, path: str) -> DataFrame:
     """gene, prot and ordinal: the order of lines is the order of rank. A line of one word is an error when read."""
-    text = spark.read.text(path).select(F.monotonically_increasing_id().alias("ordinal"), F.trim("value").alias("line")).where("line <> '' AND line NOT LIKE '#%'")
+    text = placed_text(spark, path).select("ordinal", F.trim("value").alias("line")).where("line <> '' AND line NOT LIKE '#%'")
     words = F.split("line", r"\s+")
     prot = F.when(F.size(words) >= 2, F.get(words, F.lit(1))).otherwise(F.raise_error(F.concat(F.lit("not a pair: "), F.col("line"))).cast("string"))
     return text.select(F.get(words, F.lit(0)).alias("gene"), prot.alias("prot"), "ordinal")
@@ -53,7 +54,7 @@ def read_pairs(spark: SparkSession, path: str) -> DataFrame:
 
 def read_exons(spark: SparkSession, path: str) -> DataFrame:
     """Exons of alignments, in file order: prot, gene, prot_start, prot_end, start, end, exon_score, splice_sites."""
-    text = spark.read.text(path).select(F.monotonically_increasing_id().alias("ordinal"), "value").where("value <> '' AND NOT value RLIKE '^[#@]'")
+    text = placed_text(spark, path).where("value <> '' AND NOT value RLIKE '^[#@]'")
     cell = lambda i: F.get(F.split("value", "\t"), F.lit(i))
     return text.select("ordinal", cell(0).alias("prot"), cell(1).alias("gene"), cell(6).cast("long").alias("prot_start"), cell(7).cast("long").alias("prot_end"), cell(8).cast("long").alias("start"), cell(9).cast("long").alias("end"), cell(10).cast("double").alias("exon_score"), F.get(F.split(F.trim(cell(14)), r"\s+"), F.lit(5)).alias("splice_sites"))
 
