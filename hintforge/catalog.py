@@ -507,14 +507,10 @@ def terminal_codons(spark, sf_dir):
     return short(exons.terminal_codons(adapter.two_exons(some), some.select(F.concat(F.lit("d"), "id").alias("gene"), "seq"), some.select(F.concat(F.lit("p"), "id").alias("prot"), F.lit(18).alias("length"))))
 
 
-# distinct ordinals by falling score
-LISTED = "-(score * 500 + CAST(substring(gene, 2) AS bigint)) * 1000000 + CAST(substring(prot, 2) AS bigint)"
-
-
-@query(f"WITH {PAIRS}, o AS (SELECT gene, prot, CAST({LISTED.replace('score', 'sc')} AS bigint) AS ordinal FROM pairs), r AS (SELECT *, lag(gene) OVER (ORDER BY ordinal) AS before FROM o) SELECT gene, prot, ordinal FROM r WHERE before IS DISTINCT FROM gene")
+@query(f"WITH {PAIRS}, o AS (SELECT gene, prot, row_number() OVER (ORDER BY sc DESC, gene, prot) AS ordinal FROM pairs), r AS (SELECT *, lag(gene) OVER (ORDER BY ordinal) AS before FROM o) SELECT gene, prot, CAST(ordinal AS bigint) AS ordinal FROM r WHERE before IS DISTINCT FROM gene")
 def run_starts(spark, sf_dir):
     """The first pair of each run of one gene in a list whose genes don't lie together."""
-    return hints.run_starts(adapter.ranked_pairs(spark, sf_dir).withColumn("ordinal", F.expr(LISTED)).drop("score"))
+    return hints.run_starts(hints.listed(adapter.ranked_pairs(spark, sf_dir), F.desc("score"), "gene", "prot").drop("score"))
 
 
 @query(

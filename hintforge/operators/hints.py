@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from hintforge.config import QUALITY, Cutoffs
 from hintforge.functions.scoring import confident, coverage, priority_class, shrunk
+from hintforge.storage import stored
 
 KEY = ["seqid", "type", "start", "end", "strand"]
 
@@ -117,6 +118,20 @@ def first_pairs(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("gene").agg(F.min_by("prot", "ordinal").alias("prot"))
 
 
+def listed(pairs: DataFrame, *order) -> DataFrame:
+    """pairs with `ordinal`: their place, from 1, among all rows in the order of `order`.
+
+    Rows are sorted within ranges of that order, which are stored with each row's place in its range; a range begins after the rows of those before
+    it: a row a range.
+    """
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    ranged = pairs.repartitionByRange(*order).sortWithinPartitions(*order).withColumns({"_range": F.spark_partition_id(), "_row": row + 1})
+    kept = stored(ranged, "listed")
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    base = kept.groupBy("_range").agg(F.count("*").alias("n")).select("_range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_base"))
+    return kept.join(F.broadcast(base), "_range").select(*pairs.columns, (F.col("_base") + F.col("_row")).alias("ordinal"))
+
+
 def run_starts(pairs: DataFrame, parts: int | None = None) -> DataFrame:
     """The first pair of each run of one gene in file order: equal to first_pairs if each gene's pairs lie together.
 

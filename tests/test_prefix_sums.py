@@ -2,6 +2,9 @@
 
 import random
 
+from pyspark.sql import functions as F
+
+from hintforge import catalog
 from hintforge.operators import hints
 
 rng = random.Random(8)
@@ -41,3 +44,19 @@ def test_runs_across_ranges(spark):
         assert sorted(r.ordinal for r in got.collect()) == want
         assert min(parts, n) == 1 or "SinglePartition" not in got._jdf.queryExecution().executedPlan().toString()
     assert hints.run_starts(spark.createDataFrame([], "gene string, prot string, ordinal long")).count() == 0
+
+
+def test_places_in_a_list(spark):
+    rows = [(f"g{rng.randrange(9)}", f"p{i}", rng.choice([5, 7, 7, 9])) for i in range(500)]
+    rng.shuffle(rows)
+    got = hints.listed(spark.createDataFrame(rows, "gene string, prot string, score long").repartition(5), F.desc("score"), "gene", "prot")
+    want = sorted(rows, key=lambda r: (-r[2], r[0], r[1]))
+    assert [tuple(r) for r in got.orderBy("ordinal").collect()] == [(*r, i + 1) for i, r in enumerate(want)]
+    assert hints.listed(spark.createDataFrame([], "gene string, prot string, score long"), F.desc("score"), "gene").count() == 0
+
+
+def test_run_starts_query_ranks_all_pairs(spark):
+    """The places are those among all pairs, from 1 on without gaps, as the query's SQL had them at first."""
+    assert "row_number() OVER (ORDER BY sc DESC, gene, prot)" in catalog.oracle_sql()["run_starts"]
+    got = catalog.queries()["run_starts"](spark, "/root/testdata/sf0.001").agg(F.min("ordinal").alias("a"), F.max("ordinal").alias("b")).first()
+    assert got.a == 1 and got.b <= catalog.queries()["pair_counts"](spark, "/root/testdata/sf0.001").agg(F.sum("n_pairs").alias("n")).first().n
