@@ -20,8 +20,17 @@ def longest_isoforms(genes: DataFrame, order=("first", "tx")) -> DataFrame:
 
 
 def keep_longest(genes: DataFrame) -> DataFrame:
-    """All rows, of any type, of the longest transcripts."""
-    return genes.join(longest_isoforms(genes), ["gene", "tx"], "left_semi")
+    """All rows, of any type, of the longest transcripts.
+
+    Rows are moved once, by gene: the lengths of transcripts are sums over windows, so what follows by gene moves nothing.
+    """
+    coding = lambda c: F.when(F.col("type") == "CDS", c)
+    tx = Window.partitionBy("gene", "tx")
+    sums = genes.repartition("gene").withColumns({"_length": F.sum(coding(F.col("end") - F.col("start"))).over(tx), "_first": F.min(coding(F.col("ordinal"))).over(tx)})
+    order = F.struct((-F.col("_length")).alias("length"), F.col("_first").alias("first"), F.col("tx"))
+    best = F.min(F.when(F.col("_length") > 0, order)).over(Window.partitionBy("gene"))
+    kept = sums.where("gene IS NOT NULL AND tx IS NOT NULL").withColumn("_best", best["tx"])
+    return kept.where("tx = _best").select(*genes.columns)
 
 
 def extents(genes: DataFrame) -> DataFrame:
@@ -99,22 +108,35 @@ def signatures(genes: DataFrame) -> DataFrame:
     return genes.where("type = 'CDS'").groupBy("gene").agg(F.array_join(F.transform(F.array_sort(F.collect_list(segment)), named), "-").alias("signature"), F.min("ordinal").alias("first"))
 
 
+def _same(signatures: DataFrame) -> DataFrame:
+    """Signatures by a digest of 32 bytes: they grow with a gene's segments, and only their equality counts."""
+    return signatures.withColumn("_same", F.unhex(F.sha2("signature", 256)))
+
+
+def _last(old: DataFrame, key: str) -> DataFrame:
+    return old.groupBy(key).agg(F.max_by("gene", F.struct("first", "gene")).alias("old_gene"))
+
+
 def changed_genes(new: DataFrame, old: DataFrame) -> DataFrame:
     """gene and old_gene of the new genes; old_gene is null where no old gene has the signature, and the last such one (then the last name) where several have.
 
     old are rows of genes, or their signatures as they were kept (see sources.statistics).
     """
-    before = (old if "signature" in old.columns else signatures(old)).groupBy("signature").agg(F.max_by("gene", F.struct("first", "gene")).alias("old_gene"))
-    return signatures(new).join(before, "signature", "left").select("gene", "old_gene", "signature", "first")
+    if "signature" in old.columns:
+        return signatures(new).join(_last(old, "signature"), "signature", "left").select("gene", "old_gene", "signature", "first")
+    before = _last(_same(signatures(old)).select("gene", "first", "_same"), "_same")
+    return _same(signatures(new)).join(before, "_same", "left").select("gene", "old_gene", "signature", "first")
 
 
-def unique_seeds(new: DataFrame, old: DataFrame) -> DataFrame:
-    """The rows of new genes that no old gene equals."""
-    return new.join(changed_genes(new, old).where("old_gene IS NULL"), "gene", "left_semi")
+def unique_seeds(new: DataFrame, old: DataFrame, changed: DataFrame | None = None) -> DataFrame:
+    """The rows of new genes that no old gene equals. changed: changed_genes(new, old), if it is known."""
+    changed = changed_genes(new, old) if changed is None else changed
+    return new.join(changed.where("old_gene IS NULL"), "gene", "left_semi")
 
 
-def reused_hints(new: DataFrame, old: DataFrame, hints: DataFrame) -> DataFrame:
-    """Hints of old genes that a new gene equals, under the new name; of several new names the last stands."""
-    names = changed_genes(new, old).where("old_gene IS NOT NULL").groupBy("old_gene").agg(F.max_by("gene", F.struct("first", "gene")).alias("_gene"))
+def reused_hints(new: DataFrame, old: DataFrame, hints: DataFrame, changed: DataFrame | None = None) -> DataFrame:
+    """Hints of old genes that a new gene equals, under the new name; of several new names the last stands. changed: as of unique_seeds."""
+    changed = changed_genes(new, old) if changed is None else changed
+    names = changed.where("old_gene IS NOT NULL").groupBy("old_gene").agg(F.max_by("gene", F.struct("first", "gene")).alias("_gene"))
     joined = hints.join(names, hints["gene"] == names["old_gene"])
     return joined.select(*(F.col("_gene").alias("gene") if c == "gene" else hints[c] for c in hints.columns))

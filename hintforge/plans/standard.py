@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from hintforge.config import QUALITY, Cutoffs, EngineConfig
 from hintforge.operators import genes, hints, search
 from hintforge.sources import features, sequences
-from hintforge.storage import written
+from hintforge.storage import stored, written
 
 
 @dataclass(frozen=True)
@@ -147,8 +147,11 @@ def next_iteration(new_seeds: DataFrame, old_seeds: DataFrame, old_hints: DataFr
     has kept, and old_hints its table of hints: then neither is shuffled (see sources.statistics).
     """
     new, old = genes.keep_longest(new_seeds), old_seeds if "signature" in old_seeds.columns else genes.keep_longest(old_seeds)
-    unique = genes.unique_seeds(new, old)
-    return unique, fresh_hints(unique).unionByName(genes.reused_hints(new, old, old_hints), allowMissingColumns=True)
+    # stored: names alone, for two looks, so that signatures are made once; kept signatures cost no shuffle that this would save
+    changed = genes.changed_genes(new, old)
+    changed = changed if "signature" in old_seeds.columns else stored(changed.select("gene", "old_gene", "first"), "changed")
+    unique = genes.unique_seeds(new, old, changed)
+    return unique, fresh_hints(unique).unionByName(genes.reused_hints(new, old, old_hints, changed), allowMissingColumns=True)
 
 
 def check_inputs(pairs: DataFrame, raw: DataFrame) -> None:
