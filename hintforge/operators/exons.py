@@ -23,9 +23,12 @@ def terminal_codons(exons: DataFrame, regions: DataFrame, protein_lengths: DataF
     """
     key = Window.partitionBy("prot", "gene")
     whole = exons.where(F.col("end") >= F.col("start")).withColumns({"up": F.row_number().over(key.orderBy("ordinal")), "down": F.row_number().over(key.orderBy(F.desc("ordinal")))})
-    ends = whole.where((F.col("up") == 1) | (F.col("down") == 1)).where(F.col("exon_score") > threshold).join(regions.select("gene", "seq"), "gene").join(protein_lengths.select("prot", F.col("length").alias("_n")), "prot")
+    ends = whole.where((F.col("up") == 1) | (F.col("down") == 1)).where(F.col("exon_score") > threshold)
+    # sequences come last, so that they are moved once, and both codons are looked for in one pass
+    found = ends.join(protein_lengths.select("prot", F.col("length").alias("_n")), "prot").join(regions.select("gene", "seq"), "gene")
     codon = lambda at: F.substring(F.col("seq"), at.cast("int"), F.lit(3))
-    first = ends.where((F.col("up") == 1) & (F.col("prot_start") == 1) & (codon(F.col("start")) == "ATG")).select("prot", "gene", F.lit("start_codon").alias("type"), "start", (F.col("start") + 2).alias("end"))
+    at = lambda kind, start: F.struct(F.lit(kind).alias("type"), start.alias("start"), (start + 2).alias("end"))
+    first = F.when((F.col("up") == 1) & (F.col("prot_start") == 1) & (codon(F.col("start")) == "ATG"), at("start_codon", F.col("start")))
     behind = F.col("end") + 1
-    last = ends.where((F.col("down") == 1) & (F.col("_n") - F.col("prot_end") < 5) & codon(behind).isin("TAA", "TAG", "TGA")).select("prot", "gene", F.lit("stop_codon").alias("type"), behind.alias("start"), (behind + 2).alias("end"))
-    return first.unionByName(last)
+    last = F.when((F.col("down") == 1) & (F.col("_n") - F.col("prot_end") < 5) & codon(behind).isin("TAA", "TAG", "TGA"), at("stop_codon", behind))
+    return found.select("prot", "gene", F.explode(F.array_compact(F.array(first, last))).alias("codon")).select("prot", "gene", "codon.*")

@@ -30,3 +30,21 @@ def test_signatures_meet_by_digest(spark):
     got = genes.changed_genes(new, spark.createDataFrame(rows, SEEDS))
     assert {(r.gene, r.old_gene) for r in got.collect()} == {("x", "y"), ("y", "y"), ("z", None)}
     assert "_same" in plan(got)
+
+
+def test_sequences_are_looked_at_once_for_both_codons(spark):
+    e = spark.createDataFrame([("p", "g", 1, 9, 4, 12, 30.0, 0)], "prot string, gene string, prot_start long, prot_end long, start long, end long, exon_score double, ordinal long")
+    regions = spark.createDataFrame([("g", "CCCATGCCCCCCTGA")], "gene string, seq string")
+    got = exons.terminal_codons(e, regions, spark.createDataFrame([("p", 10)], "prot string, length long"))
+    assert {tuple(r) for r in got.collect()} == {("p", "g", "start_codon", 4, 6), ("p", "g", "stop_codon", 13, 15)}
+    assert plan(got).count("Join") == 2 and "Union" not in plan(got)
+
+
+def test_bases_of_texts(spark, tmp_path):
+    texts = ["", None, "Acgt BdN\n1éKİzZ\U0001f600yn", "NNN"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = adapter.dna(spark, str(tmp_path))
+    letters = str.maketrans("BDEFHIJKLMOPQRSUVWXYZ", "ACGTACGTACGTACGTACGTA")
+    want = {i: None if t is None else "".join(c for c in t if c.isascii() and c.isalpha()).upper().translate(letters) for i, t in enumerate(texts)}
+    assert {r.id: r.seq for r in found.collect()} == want
+    assert "regexp_replace" not in plan(found.where("length(seq) > 2").select("id"))
