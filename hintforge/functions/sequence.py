@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from itertools import product
 from string import ascii_lowercase, ascii_uppercase
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # The standard genetic code, codons in TCAG order; IUPAC letters that stand for several bases.
 BASES = "TCAG"
@@ -43,11 +45,36 @@ def codons(text: Column) -> Column:
     return F.when(F.length(text) >= 3, F.regexp_extract_all(text, F.lit("(?s)..."), F.lit(0))).otherwise(F.array().cast("array<string>"))
 
 
+def _place_of_base() -> np.ndarray:
+    """By byte: the base's place in BASES, 64 for all else, so that a codon with such a letter lies beyond the code."""
+    places = np.full(256, 64, np.int32)
+    places[list(BASES.encode())] = range(4)
+    return places
+
+
+def acids(text: bytes) -> bytes:
+    """Amino acids of ASCII text, see translate."""
+    place = _PLACES[np.frombuffer(text, np.uint8, len(text) - len(text) % 3)]
+    codon = np.minimum(place[0::3] * 16 + place[1::3] * 4 + place[2::3], 64)
+    found = _ACIDS[codon].tobytes()
+    return found[:-1] if found.endswith(b"*") else found
+
+
+_PLACES, _ACIDS = _place_of_base(), np.frombuffer((AMINO_ACIDS + "X").encode(), np.uint8)
+
+
+def _translated(texts: pa.Array) -> pa.Array:
+    # one letter, one byte: letters that aren't ASCII are in no codon of the code
+    return pa.array((None if t is None else acids(t.encode("ascii", "replace")) for t in (x.as_py() for x in texts)), pa.binary()).cast(pa.string())
+
+
+# not to be computed again by a condition on its result
+_translate = F.arrow_udf(_translated, StringType()).asNondeterministic()
+
+
 def translate(text: Column) -> Column:
     """Amino acids; X for a codon that isn't in the code; one trailing stop is dropped, inner ones stay `*`."""
-    code = F.create_map(*(F.lit(x) for c, a in zip(product(BASES, repeat=3), AMINO_ACIDS) for x in ("".join(c), a)))
-    acids = F.transform(codons(text), lambda c: F.coalesce(F.try_element_at(code, c), F.lit("X")))
-    return F.regexp_replace(F.array_join(acids, ""), r"\*$", "")
+    return _translate(text)
 
 
 def spliced(pieces: Column, strand: Column, first_phase: Column, last_phase: Column) -> Column:

@@ -48,3 +48,11 @@ def test_bases_of_texts(spark, tmp_path):
     want = {i: None if t is None else "".join(c for c in t if c.isascii() and c.isalpha()).upper().translate(letters) for i, t in enumerate(texts)}
     assert {r.id: r.seq for r in found.collect()} == want
     assert "regexp_replace" not in plan(found.where("length(seq) > 2").select("id"))
+
+
+def test_translation_is_not_done_again_for_a_condition(spark):
+    texts = ["ATGAAATGA", "ATGTAA", "TAATGA", "", "AT", "ATGN", "ATGNNAéTGATGatg", None]
+    want = ["MK", "M", "*", "", "", "M", "MXXMX", None]
+    got = spark.createDataFrame(list(enumerate(texts)), "id long, seq string").repartition(2).withColumn("protein", translate(F.col("seq")))
+    assert [r.protein for r in got.orderBy("id").collect()] == want
+    assert plan(got.where("length(protein) > 1")).count("ArrowEvalPython") == 1
