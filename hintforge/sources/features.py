@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hintforge.functions.attributes import gff_attribute, gtf_attribute, rendered
@@ -16,10 +16,16 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     return placed_text(spark, path).withColumnRenamed("value", "line")
 
 
+def _once(df: DataFrame, value: Column, name: str) -> DataFrame:
+    """df with value under name as a row of its own: conditions on it stay behind it, so it isn't worked out again for each of them."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def _rows(lines: DataFrame) -> DataFrame:
     """Tab-separated cells of lines(ordinal, line); blank lines and comments go."""
-    text = lines.select("ordinal", F.regexp_replace("line", r"\r$", "").alias("line"))
-    text = text.where(~F.col("line").rlike(r"^\s*(#|$)")).withColumn("cells", F.split("line", "\t"))
+    plain = F.when(F.col("_line").contains("\r"), F.regexp_replace("_line", r"\r$", "")).otherwise(F.col("_line"))
+    text = _once(lines.select("ordinal", "line"), F.col("line"), "_line").select("ordinal", plain.alias("line"))
+    text = _once(text.where(~F.col("line").rlike(r"^\s*(#|$)")), F.split("line", "\t"), "cells")
     names = [c.split()[0] for c in COLUMNS.split(", ")]
     return text.select("ordinal", "line", F.size("cells").alias("n_cells"), *(F.get("cells", F.lit(i)).alias(n) for i, n in enumerate(names)))
 

@@ -56,3 +56,11 @@ def test_translation_is_not_done_again_for_a_condition(spark):
     got = spark.createDataFrame(list(enumerate(texts)), "id long, seq string").repartition(2).withColumn("protein", translate(F.col("seq")))
     assert [r.protein for r in got.orderBy("id").collect()] == want
     assert plan(got.where("length(protein) > 1")).count("ArrowEvalPython") == 1
+
+
+def test_lines_are_worked_out_once(spark):
+    lines = ["c\tx\tCDS\t1\t9\t.\t+\t0\tprot=p; seed_gene_id=g;\r", " # no", "", "c\tx\tCDS\tone\t9\t.\t+\t0\ta", "c\tx"]
+    df = spark.createDataFrame(list(enumerate(lines)), "ordinal long, line string").withColumn("line", F.concat("line", F.lit("")))
+    assert [(r.ordinal, r.prot, r.gene) for r in features.parsed_hints(df).collect()] == [(0, "p", "g")]
+    assert [r.ordinal for r in features.malformed_lines(df).orderBy("ordinal").collect()] == [3, 4]
+    assert plan(features.parsed_hints(df)).count("split(") == 1
