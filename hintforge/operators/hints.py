@@ -150,11 +150,17 @@ def run_starts(pairs: DataFrame, parts: int | None = None) -> DataFrame:
     return rows.where(first).select(*pairs.columns)
 
 
+def known_top(hints: DataFrame, pairs: DataFrame) -> DataFrame:
+    """hints with top: whether their protein is the first of their gene, null for hints of unknown pairs. Hints are moved once."""
+    each = pairs.groupBy("gene", "prot").agg(F.min("ordinal").alias("_ordinal"))
+    first = F.min_by("prot", "_ordinal").over(Window.partitionBy("gene"))
+    known = each.select("gene", "prot", F.coalesce(F.col("prot") == first, F.lit(False)).alias("top"))
+    return hints.drop("top").join(known, ["gene", "prot"], "left")
+
+
 def flag_top(hints: DataFrame, pairs: DataFrame) -> DataFrame:
     """hints with top: whether their protein is the first of their gene. Hints of unknown pairs are left out: see unknown_pairs."""
-    known = hints.join(pairs.select("gene", "prot").distinct(), ["gene", "prot"], "left_semi")
-    best = first_pairs(pairs).withColumn("top", F.lit(True))
-    return known.drop("top").join(best, ["gene", "prot"], "left").withColumn("top", F.coalesce("top", F.lit(False)))
+    return known_top(hints, pairs).where("top IS NOT NULL")
 
 
 def unknown_pairs(hints: DataFrame, pairs: DataFrame) -> DataFrame:

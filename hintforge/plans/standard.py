@@ -70,12 +70,16 @@ def export_lines(export: DataFrame, priority: int = 4, source: str = "protein_hi
 
 
 def standard_run(raw: DataFrame, pairs: DataFrame, config: EngineConfig = EngineConfig()) -> Results:
-    """From lifted raw hints (gene, prot known) and ranked pairs to all results. raw feeds several results: persist it if it is dear.
+    """From lifted raw hints (gene, prot known) and ranked pairs to all results. raw is read once.
 
-    Inputs are checked first (see check_inputs).
+    Inputs are checked as hints meet their pairs; faults are those of check_inputs.
     """
-    check_inputs(pairs, raw)
-    flagged = hints.flag_top(raw, pairs)
+    # stored: hints meet their pairs once, for the checks and for all results
+    known = stored(hints.known_top(raw, pairs), "flagged")
+    facts = known.agg(F.count("*").alias("n"), F.count("top").alias("known"), F.count_if("top").alias("top")).first()
+    if facts["known"] < facts["n"] or not facts["top"]:
+        check_inputs(pairs, known.drop("top"))
+    flagged = known.where("top IS NOT NULL")
     combined = combined_hints(flagged, config.quality, config.strict_support)
     evidence = hints.filter_hints(combined, config.cutoffs)
     chained = hints.chains(flagged.where("top"), config.chain_cut, config.quality)

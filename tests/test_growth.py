@@ -64,3 +64,10 @@ def test_lines_are_worked_out_once(spark):
     assert [(r.ordinal, r.prot, r.gene) for r in features.parsed_hints(df).collect()] == [(0, "p", "g")]
     assert [r.ordinal for r in features.malformed_lines(df).orderBy("ordinal").collect()] == [3, 4]
     assert plan(features.parsed_hints(df)).count("split(") == 1
+
+
+def test_hints_meet_pairs_once(spark):
+    h = spark.createDataFrame([("c", "CDS", 1, 9, "+", 0.5, None, "p1", "g"), ("c", "CDS", 1, 9, "+", 0.5, None, "p2", "g")], "seqid string, type string, start long, end long, strand string, al_score double, splice_sites string, prot string, gene string")
+    pairs = spark.createDataFrame([("g", "p2", 2), ("g", "p1", 1), ("g", "p2", 0)], "gene string, prot string, ordinal long")
+    out = standard.standard_run(h, pairs)
+    assert [r.prot for r in out.chains.collect()] == ["p2"] and "Join" not in plan(out.chains)
