@@ -16,6 +16,7 @@ from typing import Protocol
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -151,7 +152,9 @@ class Scoring:
 
 
 #: Letters of diagonals that a task scores at one time.
-RUN_LETTERS = 1 << 21
+RUN_LETTERS = 1 << 19
+#: Bytes of sequences that a task holds as texts at one time, beside the batch they come in.
+PAIR_BYTES = 4 << 20
 HIT = "gene string, prot string, score long, diagonal int, seed_start int, seed_end int"
 
 
@@ -192,6 +195,15 @@ def best_runs(seeds: list[bytes], targets: list[bytes], diagonals: list[np.ndarr
     return np.stack([found[best, 0], diagonal[best], found[best, 1], found[best, 2]], axis=1)
 
 
+def slices(batch: pa.RecordBatch, texts: tuple[str, ...], size: int = PAIR_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in slices whose texts have about `size` bytes, one row at least."""
+    n = sum(pc.binary_length(batch.column(batch.schema.names.index(t))).to_numpy(zero_copy_only=False).astype(np.int64) for t in texts)
+    begin = (np.cumsum(n) - n) // size
+    cuts = [0, *(np.flatnonzero(np.diff(begin)) + 1).tolist(), batch.num_rows] if batch.num_rows else []
+    for a, b in zip(cuts, cuts[1:]):
+        yield batch.slice(a, b - a)
+
+
 def scored_pairs(seeds: DataFrame, proteins: DataFrame, k: int = 5, best: int = 25, e_value: float = 0.001, scoring: Scoring = Scoring()) -> DataFrame:
     """gene, prot, score, diagonal, seed_start, seed_end, e_value, ordinal: each seed's `best` proteins by their best ungapped run.
 
@@ -206,8 +218,8 @@ def scored_pairs(seeds: DataFrame, proteins: DataFrame, k: int = 5, best: int =
     rows = met.join(seeds.select(F.col("id").alias("gene"), F.col("seq").alias("seed")), "gene").join(proteins.select(F.col("id").alias("prot"), F.col("seq").alias("target")), "prot")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
+        for whole in batches:
+            for batch in slices(whole, ("seed", "target")):
                 col = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
                 texts = [[x.encode("latin-1", "replace") for x in col[n].to_pylist()] for n in ("seed", "target")]
                 got = best_runs(*texts, [np.sort(d.values.to_numpy()) for d in col["diagonals"]], scores)

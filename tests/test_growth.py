@@ -71,3 +71,12 @@ def test_hints_meet_pairs_once(spark):
     pairs = spark.createDataFrame([("g", "p2", 2), ("g", "p1", 1), ("g", "p2", 0)], "gene string, prot string, ordinal long")
     out = standard.standard_run(h, pairs)
     assert [r.prot for r in out.chains.collect()] == ["p2"] and "Join" not in plan(out.chains)
+
+
+def test_slices_are_bounded():
+    batch = pa.RecordBatch.from_arrays([pa.array(["s" * 10] * 50), pa.array(["t" * n for n in [5] * 49 + [900]])], ["seed", "target"])
+    parts = list(search.slices(batch, ("seed", "target"), 100))
+    assert pa.Table.from_batches(parts).equals(pa.Table.from_batches([batch])) and len(parts) > 5
+    sizes = [sum(len(x) for c in p.columns for x in c.to_pylist()) for p in parts]
+    assert max(sizes[:-1]) <= 120 and not list(search.slices(batch.slice(0, 0), ("seed", "target")))
+    assert np.sum(sizes) == 50 * 10 + 49 * 5 + 900
