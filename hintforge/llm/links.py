@@ -111,10 +111,11 @@ def connected_components(links: DataFrame, task_links: int = TASK_LINKS) -> Data
     """(node, component), written, for the nodes of links(a long, b long): component is the least node reachable.
 
     Beyond task_links links, large-star and small-star steps alternate until the links don't change; each round's links are written to the shared
-    folder. Nodes without links, a component's own node and a link from a node to itself give no row.
+    folder. Nodes without links, a component's own node and a link from a node to itself give no row. No Python runs over the links before they are
+    written: a task with two Python steps keeps two workers, and executors keep them all.
     """
     start = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    now, before = stored(start.mapInArrow(thinned, "a long, b long").distinct(), "links"), None
+    now, before = stored(start.distinct(), "links"), None
     if now.count() <= task_links:
         return stored(now.coalesce(1).mapInArrow(joined, "node long, component long"), "components")
     while True:

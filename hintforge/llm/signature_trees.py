@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hintforge.llm.common import give_back, maybe_broadcast, ragged_take, segment_ids, stored
-from hintforge.llm.links import connected_components
+from hintforge.llm.links import connected_components, thinned
 
 #: Words of a bitmap at least, children of a tree's node, pairs of leaves that one step of a walk may open.
 BITMAP_WORDS, FANOUT, STEP_PAIRS = 32, 8, 4 << 20
@@ -236,7 +236,7 @@ def span_groups(rows: DataFrame, exact: bool, num: int, den: int, block: int = B
 
 
 def _walk(rows: DataFrame, exact: bool, num: int, den: int) -> DataFrame:
-    """walk_groups on tasks that hold whole groups `at`, as many tasks as the rows' number, bytes and pairs ask for."""
+    """walk_groups, thinned, on tasks that hold whole groups `at`, as many tasks as the rows' number, bytes and pairs ask for."""
     rows = rows.select(*COLUMNS)
     each = rows.groupBy("at").agg(F.count("*").alias("n"), F.sum(F.octet_length("data")).alias("bytes"))
     sums = each.agg(F.sum("n"), F.sum("bytes"), F.sum(F.col("n") * F.col("n"))).first()
@@ -246,7 +246,7 @@ def _walk(rows: DataFrame, exact: bool, num: int, den: int) -> DataFrame:
         held = [b for b in batches if b.num_rows]
         if held:
             found = walk_groups(pa.Table.from_batches(held).to_pandas(), exact, num, den)
-            yield pa.RecordBatch.from_pandas(found, preserve_index=False)
+            yield from thinned(iter([pa.RecordBatch.from_pandas(found, preserve_index=False)]))
             del held, found
             give_back()
 

@@ -148,3 +148,18 @@ def test_unrelated_sets_do_not_chain(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     got = {r.doc_id: r.component_id for r in jj.jaccard_components(docs, 5, (8, 10)).collect()}
     assert all(got[i] == i for i in range(3000)) and all(got[5000 + i] == i for i in range(100))
+
+
+def test_tasks_have_one_python_step(spark, monkeypatch):
+    """A task with two Python steps in a row keeps two workers, and an executor keeps all that it ever had."""
+    steps, stored = [], links.stored
+
+    def seen(df, name):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        steps.append(max(part.count("InArrow") + part.count("InPandas") for part in plan.split("Exchange")))
+        return stored(df, name)
+
+    monkeypatch.setattr(links, "stored", seen)
+    docs = spark.createDataFrame([(i, f"a b c d e f {i // 2} h i j k") for i in range(40)], "doc_id long, text string")
+    assert len({r.component_id for r in jj.jaccard_components(docs, 1, (9, 10)).collect()}) == 20
+    assert max(steps) == 1
