@@ -97,6 +97,19 @@ class Segment:
             at, where = (ranks[word].astype(np.int64) + before)[more], where[more]
         return out
 
+    def every(self) -> np.ndarray:
+        """All ids in order, level by level: the ones of a bitmap are the places of the level above, so no rank is asked."""
+        out, at = np.zeros(self.n, np.uint32), None
+        for k, (low, bitmap, _) in enumerate(self.levels):
+            if at is None:
+                out |= low
+            else:
+                out[at] |= low.astype(np.uint32) << np.uint32(k * self.bits)
+            if bitmap is not None:
+                more = np.flatnonzero(np.unpackbits(bitmap.view(np.uint8), count=len(low), bitorder="little"))
+                at = more if at is None else at[more]
+        return out
+
     def document(self, i: int) -> np.ndarray:
         return self.tokens(np.arange(self.starts[i], self.starts[i] + self.counts[i]))
 
@@ -153,7 +166,7 @@ def document_digests(spark, path: str) -> DataFrame:
         for batch in batches:
             for start, data in zip(batch.column("start").to_pylist(), batch.column("segment").to_pylist()):
                 s = Segment(data)
-                raw = memoryview(s.tokens(np.arange(s.n)).astype("<u4").tobytes())
+                raw = memoryview(s.every().astype("<u4").tobytes())
                 crcs = [zlib.crc32(raw[4 * a : 4 * (a + n)]) for a, n in zip(s.starts.tolist(), s.counts.tolist())]
                 yield pa.RecordBatch.from_arrays([pa.array(s.doc_ids, pa.int64()), pa.array(s.starts + start, pa.int64()), pa.array(s.counts, pa.int64()), pa.array(crcs, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
@@ -167,7 +180,7 @@ def document_tokens(spark, path: str) -> DataFrame:
         for batch in batches:
             for data in batch.column("segment").to_pylist():
                 s = Segment(data)
-                ids = pa.array(s.tokens(np.arange(s.n)).astype(np.int32))
+                ids = pa.array(s.every().astype(np.int32))
                 yield pa.RecordBatch.from_arrays([pa.array(s.doc_ids, pa.int64()), pa.ListArray.from_arrays(pa.array([*s.starts, s.n], pa.int32()), ids)], ["doc_id", "ids"])
 
     return read_segments(spark, path).select("segment").mapInArrow(decode, "doc_id long, ids array<int>")

@@ -34,6 +34,17 @@ def test_word_tokenizer_equals_library():
             assert got.tolist() == words.library.encode(t, add_special_tokens=False).ids, t
 
 
+def test_word_tokenizer_keeps_the_most_used_words(monkeypatch):
+    words, learnt = WordTokenizer(WORD, cache_words=50), []
+    learn = words._learn
+    monkeypatch.setattr(words, "_learn", lambda new: (learnt.extend(new), learn(new))[1])
+    for k in range(20):
+        text = b" often" * 3 + b"".join(b" rare%d" % (40 * k + i) for i in range(40))
+        ids, counts = words.ids([text])
+        assert ids.tolist() == words.library.encode(text.decode(), add_special_tokens=False).ids and counts.tolist() == [len(ids)]
+    assert learnt.count(b"often") == 1
+
+
 def test_counts_equal_sentencepiece(spark):
     import sentencepiece
 
@@ -56,6 +67,15 @@ def test_segment_round_trip_and_random_access(bits):
     assert (s.tokens(at) == ids[at]).all() and (s.document(2) == ids[1:4001]).all()
 
 
+@pytest.mark.parametrize("bits", [8, 16])
+def test_segment_read_in_order(bits):
+    gen = np.random.default_rng(2)
+    for n, most in ((0, 5), (1, 2**32), (64, 200), (5000, 70_000), (5000, 2**32)):
+        ids = gen.integers(0, most, n).astype(np.uint32)
+        s = token_codes.Segment(token_codes.encode_segment([1], np.array([n]), ids, bits))
+        assert (s.every() == ids).all() and (s.every() == s.tokens(np.arange(n))).all()
+
+
 def test_codes_table(spark, monkeypatch):
     monkeypatch.setattr(token_codes, "SEGMENT_TOKENS", 500)
     docs = frame(spark, [*ODD, None]).repartition(5)
