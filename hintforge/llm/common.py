@@ -51,16 +51,22 @@ def shared_dir(spark: SparkSession, name: str) -> str:
 ARROW_ROWS = 2000
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """df written to the shared folder and read again: later plans start from files and survive lost executors."""
-    path, conf, key = shared_dir(df.sparkSession, name), df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = conf.get(key)
-    if not 0 < int(before) <= ARROW_ROWS:
-        conf.set(key, str(ARROW_ROWS))
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Spark's settings while the block runs."""
+    before = {n: spark.conf.get(n, None) for n in values}
+    for n, v in values.items():
+        spark.conf.set(n, v)
     try:
-        df.write.parquet(path)
+        yield
     finally:
-        conf.set(key, before)
+        for n, v in before.items():
+            spark.conf.unset(n) if v is None else spark.conf.set(n, v)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """df written to the shared folder and read again: later plans start from files and survive lost executors."""
+    path = written(df, name)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     scope = SCOPE.get()
     if scope is not None:
@@ -68,6 +74,29 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def stored_apart(df: DataFrame, name: str, column: str) -> tuple[DataFrame, DataFrame]:
+    """The rows of df where a boolean column is false, and those where it is true, written in one pass as two tables, of which each may go before the other."""
+    path = written(df, name, column)
+    rest, some = (df.sparkSession.read.schema(df.schema).parquet(path).where(F.col(column) == F.lit(v)).drop(column) for v in (False, True))
+    scope = SCOPE.get()
+    if scope is not None:
+        scope.made += [(f"{path}/{column}=true", some), (path, rest)]
+    return rest, some
+
+
+def written(df: DataFrame, name: str, column: str | None = None) -> str:
+    """The new folder that df is written to, in parts by column if there is one. Shuffle files of the plan go at once, not when the driver collects garbage."""
+    spark, path = df.sparkSession, shared_dir(df.sparkSession, name)
+    own = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+    if not 0 < int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= ARROW_ROWS:
+        own["spark.sql.execution.arrow.maxRecordsPerBatch"] = str(ARROW_ROWS)
+    if column:  # a task writes both parts side by side, without sorting its rows
+        own["spark.sql.maxConcurrentOutputFileWriters"] = "2"
+    with settings(spark, own):
+        (df.write.partitionBy(column) if column else df.write).parquet(path)
+    return path
+
+
 class Scope:
     """Tables written since the scope was opened, and those of them that stay."""
 
@@ -97,13 +126,24 @@ def passing() -> Iterator[Scope]:
         SCOPE.reset(token)
         for path, df in scope.made:
             if not any(df is k for k in scope.kept):
-                context = df.sparkSession.sparkContext
-                place = context._jvm.org.apache.hadoop.fs.Path(path)
-                place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+                delete(path, df.sparkSession)
             elif outer is not None:
                 outer.made.append((path, df))
 
 
+def delete(path: str, spark: SparkSession) -> None:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes a written table that nothing reads any more before its scope ends."""
+    scope = SCOPE.get()
+    for at in [x for x in scope.made if x[1] is df] if scope else []:
+        delete(at[0], df.sparkSession)
+        scope.made.remove(at)
+
+
 def maybe_broadcast(df: DataFrame, rows: int | None = None) -> DataFrame:
     """df, marked for broadcast if it has (or holds, if told) BROADCAST_ROWS rows at most. df is a written table, as it may be counted."""
     return F.broadcast(df) if (df.count() if rows is None else rows) <= BROADCAST_ROWS else df

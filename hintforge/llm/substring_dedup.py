@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hintforge.llm.common import SLICE, free_name, maybe_broadcast, mix64, passing, ragged_take, segment_ids, sorted_within, stored, text_chunks
+from hintforge.llm.common import SLICE, discard, free_name, maybe_broadcast, mix64, passing, ragged_take, segment_ids, sorted_within, stored, stored_apart, text_chunks
 from hintforge.llm.jaccard_join import ODD, set_names, with_roots
 from hintforge.llm.links import ARROW, PACKED, SHARD_TEXT, connected_components, key_groups, packed
 from hintforge.llm.signature_trees import span_groups
@@ -43,6 +43,8 @@ PASSAGE, REACH, ANCHOR, BLOCK_BANDS = 28, 23, 5, 2
 SPAN = 50
 #: Words between two spans of one keeper that may be one edited passage.
 GAP = 5
+#: Bytes of lists by document that may be broadcast, and what a document takes besides its list.
+LIST_BYTES, DOC_BYTES = 32 << 20, 64
 INVERSE = np.uint64(pow(int(ODD), -1, 2**64))
 
 
@@ -240,13 +242,13 @@ def with_keepers(found: DataFrame, group: str) -> DataFrame:
     return found.join(stored(repeated, "keepers").hint("merge"), group)
 
 
-#: What one pass over the texts finds: rows of paragraphs, and rows of packed band keys alone.
-FOUND = "doc_id long, copy int, first int, size int, node long, block boolean, soft boolean, " + PACKED
-FOUND_ARROW = pa.schema([("doc_id", pa.int64()), ("copy", pa.int32()), ("first", pa.int32()), ("size", pa.int32()), ("node", pa.int64()), ("block", pa.bool_()), ("soft", pa.bool_()), *ARROW])
+#: What one pass over the texts finds: rows of paragraphs, and rows of packed band keys alone (pack).
+FOUND = "doc_id long, copy int, first int, size int, node long, block boolean, soft boolean, " + PACKED + ", pack boolean"
+FOUND_ARROW = pa.schema([("doc_id", pa.int64()), ("copy", pa.int32()), ("first", pa.int32()), ("size", pa.int32()), ("node", pa.int64()), ("block", pa.bool_()), ("soft", pa.bool_()), *ARROW, ("pack", pa.bool_())])
 
 
-def paragraphs(docs: DataFrame) -> DataFrame:
-    """The rows of FOUND: every paragraph, part of a run of short lines and block, and the band keys of their nodes. Written."""
+def paragraphs(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """doc_id, copy, first, size, node, block, soft of every paragraph, part of a run of short lines and block; the packed band keys of their nodes. Both written."""
     texts = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), "text")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-size // SHARD_TEXT))
@@ -261,21 +263,25 @@ def paragraphs(docs: DataFrame) -> DataFrame:
             of, count = np.concatenate([doc, block_doc]), len(doc) + len(block_doc)
             cols = [part.column("doc_id").take(pa.array(of)), pa.array(names[of]), pa.array(np.concatenate([first, block_first]), pa.int32()), pa.array(np.concatenate([n, np.full(len(block_doc), PASSAGE)]), pa.int32())]
             cols += [pa.array(np.concatenate([nodes, block_nodes])), pa.array(np.arange(count) >= len(doc)), pa.array(np.append(soft, np.zeros(len(block_doc), bool)))]
-            yield pa.RecordBatch.from_arrays([*cols, *(pa.nulls(count, f.type) for f in ARROW)], schema=FOUND_ARROW)
+            yield pa.RecordBatch.from_arrays([*cols, *(pa.nulls(count, f.type) for f in ARROW), pa.repeat(False, count)], schema=FOUND_ARROW)
             lines = some_bands(flat, sizes, nodes, np.flatnonzero(~part_of_run), BANDS)
             parts = some_bands(flat, sizes, nodes, np.flatnonzero(part_of_run), PART_BANDS)
             block_once = np.unique(block_nodes, return_index=True)[1]
             keys = np.concatenate([lines[0], parts[0], block_keys(shingles[block_once]).ravel()])
             of_keys = np.concatenate([lines[1], parts[1], np.repeat(block_nodes[block_once], BLOCK_BANDS)])
             packs = packed(keys, of_keys, np.zeros(len(keys), bool), shards)
-            yield pa.RecordBatch.from_arrays([*(pa.nulls(packs.num_rows, f.type) for f in list(FOUND_ARROW)[:7]), *packs.columns], schema=FOUND_ARROW)
+            yield pa.RecordBatch.from_arrays([*(pa.nulls(packs.num_rows, f.type) for f in list(FOUND_ARROW)[:7]), *packs.columns, pa.repeat(True, packs.num_rows)], schema=FOUND_ARROW)
 
-    return stored(texts.mapInArrow(find, FOUND), "paragraphs")
+    rows, packs = stored_apart(texts.mapInArrow(find, FOUND), "paragraphs", "pack")
+    return rows.drop(*ARROW.names), packs
 
 
-def with_lists(texts: DataFrame, by_doc: DataFrame, rows: int) -> DataFrame:
-    """The texts that by_doc(doc_id, ...) has rows for, and its columns; rows: what its lists hold together."""
-    return texts.join(maybe_broadcast(by_doc, rows), "doc_id")
+def with_lists(texts: DataFrame, by_doc: DataFrame, size: int) -> DataFrame:
+    """The texts that by_doc(doc_id, ...), written, has rows for, and its columns; size: bytes of its lists together.
+
+    Beyond LIST_BYTES the texts are shuffled, a copy of them that lasts until the step is written.
+    """
+    return texts.join(F.broadcast(by_doc) if size + DOC_BYTES * by_doc.count() <= LIST_BYTES else by_doc, "doc_id")
 
 
 def paragraph_sets(texts: DataFrame, rows: DataFrame, near: DataFrame) -> DataFrame:
@@ -299,20 +305,20 @@ def paragraph_sets(texts: DataFrame, rows: DataFrame, near: DataFrame) -> DataFr
             low = np.array([h[0] for h in held], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(sizes[once]), pa.array(low), pa.array([h.tobytes() for h in held], pa.binary())], ["node", "size", "low", "data"])
 
-    return with_lists(texts, owned, near.count()).mapInArrow(sets, "node long, size long, low long, data binary").dropDuplicates(["node"])
+    return with_lists(texts, owned, 8 * near.count()).mapInArrow(sets, "node long, size long, low long, data binary").dropDuplicates(["node"])
 
 
 def paragraph_repeats(docs: DataFrame, threshold: tuple[int, int] = (8, 10)) -> DataFrame:
     """doc_id, copy, first, size, component, block, soft, keeper: paragraphs, parts and blocks of a component that lies in two documents or more; keeper is
     the smallest doc_id, soft tells what is made of short lines and linked to other texts than its own. Written."""
     with passing() as tables:
-        found = paragraphs(docs)
-        rows = found.where("node IS NOT NULL").select("doc_id", "copy", "first", "size", "node", "block", "soft")
+        rows, packs = paragraphs(docs)
+        groups = key_groups(packs.select(*ARROW.names))
+        discard(packs)  # most of what is written so far
         with passing() as inner:
-            groups = key_groups(found.where("node IS NULL").select("shard", "frequent", "keys", "nodes"))
             near = stored(groups.select("node").distinct(), "near")
             texts = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), "text")
-            sets = stored(paragraph_sets(texts, rows, near), "near-sets")
+            sets = paragraph_sets(texts, rows, near)  # meet their groups where they were shuffled to, unwritten
             links = inner.keep(stored(with_roots(connected_components(span_groups(groups.join(sets, "node"), True, *threshold))), "components"))
         # linked blocks have their anchor's words in common and may differ in as many last words as the threshold allows shingles
         num, den = threshold
@@ -357,7 +363,7 @@ def soft_repeats(docs: DataFrame, hits: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*cols, pa.array(at, pa.int32()), pa.array(tail), pa.array(key)], [*keys, "at", "tail", "key"])
 
     held = lists.agg(F.sum(F.size("units"))).first()[0] or 0
-    every = stored(with_lists(texts, lists, held).mapInArrow(ends, "doc_id long, copy int, first int, component long, at int, tail boolean, key long"), "ends")
+    every = stored(with_lists(texts, lists, 48 * held).mapInArrow(ends, "doc_id long, copy int, first int, component long, at int, tail boolean, key long"), "ends")
     shared = every.groupBy("component", "key").agg(F.min("doc_id").alias("one"), F.max("doc_id").alias("other")).where("one < other")
     met = every.join(stored(shared.select("component", "key"), "shared").hint("merge"), ["component", "key"])
     reach = met.groupBy(*keys).agg(F.min(F.when(~F.col("tail"), F.col("at"))).alias("begin"), F.max(F.when(F.col("tail"), F.col("at") + ANCHOR)).alias("end"))
@@ -378,7 +384,7 @@ def edge_repeats(docs: DataFrame, hits: DataFrame) -> DataFrame:
     ends = stored(found.select("component", sides).where("before IS NOT NULL").distinct(), "ends")
     held = stored(parts.join(maybe_broadcast(ends), "component").select("doc_id", "copy", "first", "before").distinct(), "edges")
     places = [F.collect_list(F.when(side, F.col("first"))).alias(name) for side, name in ((F.col("before"), "before"), (~F.col("before"), "behind"))]
-    by_doc = held.groupBy("doc_id", "copy").agg(*places).groupBy("doc_id").agg(F.collect_list(F.struct("copy", "before", "behind")).alias("copies"))
+    by_doc = stored(held.groupBy("doc_id", "copy").agg(*places).groupBy("doc_id").agg(F.collect_list(F.struct("copy", "before", "behind")).alias("copies")), "lists")
 
     def around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, some in text_chunks(batches, limit=SLICE):
@@ -389,7 +395,7 @@ def edge_repeats(docs: DataFrame, hits: DataFrame) -> DataFrame:
             doc, place, keys = windows(some, near)
             yield pa.RecordBatch.from_arrays([part.column("doc_id").take(pa.array(doc)), pa.array(names[doc]), pa.array(place, pa.int32()), pa.array(keys)], ["doc_id", "copy", "first", "key"])
 
-    every = stored(with_lists(texts, by_doc, held.count()).mapInArrow(around, "doc_id long, copy int, first int, key long"), "places")
+    every = stored(with_lists(texts, by_doc, 4 * held.count()).mapInArrow(around, "doc_id long, copy int, first int, key long"), "places")
     return with_keepers(every, "key").select("doc_id", "copy", "first", F.lit(PASSAGE).alias("size"), "keeper")
 
 

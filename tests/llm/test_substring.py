@@ -149,3 +149,45 @@ def test_bridges_need_jaccard():
     assert sd.bridged([(0, 40, 1), (41, 40, 1)]) == [(0, 81, 1)] and sd.bridged([]) == []
     for apart in ([(0, 40, 1), (41, 40, 2)], [(0, 40, 1), (46, 40, 1)], [(0, 28, 1), (33, 28, 1)]):
         assert sd.bridged(apart) == apart
+
+
+def test_what_is_read_no_more_goes_from_disk(spark, monkeypatch):
+    from pathlib import Path
+
+    from hintforge.llm import common
+
+    passage = say(60)
+    docs = spark.createDataFrame([(d, " ".join(say(40) + passage + say(40))) for d in range(6)], "doc_id long, text string").repartition(3)
+    base, seen, walk = Path(common.shared_dir(spark, "x")).parent, [], sd.span_groups
+    monkeypatch.setattr(sd, "span_groups", lambda *a: seen.append({p.name.split("-")[0] for p in base.iterdir()} | {p.name for p in base.glob("paragraphs-*/*=*")}) or walk(*a))
+    before = {p.name for p in base.iterdir()}
+    assert sd.repeated_spans(docs).count() == 6
+    (held,) = seen
+    assert "pack=false" in held and "pack=true" not in held and not any(n.startswith("near-sets") for n in {p.name for p in base.iterdir()} - before)
+
+
+def test_lists_too_long_to_broadcast(spark, monkeypatch):
+    passage, more = say(70), say(55)
+    docs = spark.createDataFrame([(d, " ".join(say(30) + passage + say(30)) + "\n" + "\n".join(more)) for d in range(5)], "doc_id long, text string").repartition(3)
+    rows = lambda: sorted((r.doc_id, r.copy, str(r.spans)) for r in sd.repeated_spans(docs).collect())
+    few = rows()
+    monkeypatch.setattr(sd, "LIST_BYTES", 0)
+    assert len(few) == 5 and rows() == few
+
+
+def test_shuffle_files_go_with_the_write(spark):
+    import time
+
+    from hintforge.llm.common import stored
+
+    def shuffled():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {n for n in (files.apply(k).getName() for k in range(files.size())) if n.startswith("shuffle_")}
+
+    before = shuffled()
+    df = stored(spark.range(5000).repartition(3, "id").groupBy("id").count(), "some")
+    for _ in range(20):
+        if not shuffled() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffled() - before and df.count() == 5000
