@@ -37,6 +37,8 @@ LOG_BASE, HASHES, ENTRY_BITS, MU = 1.5, 6, 9, 400.0
 SHARD_TEXT, BROADCAST_BYTES, CLASSES = 12 << 20, 160 << 20, 64
 END, BEGIN = xxhash.xxh3_64_intdigest(b" end"), xxhash.xxh3_64_intdigest(b" begin")
 CHUNK = 1 << 20
+#: Keys that are probed at a time, which bounds what a probe holds besides the filters.
+PROBED = 1 << 14
 
 
 def held_out(doc_id: int | None) -> bool:
@@ -75,20 +77,40 @@ class LogFrequencyFilter:
 
     def levels(self, keys: np.ndarray) -> np.ndarray:
         """The level of each key: 0 if it was never put in, too high at times, never too low."""
-        out, left, j = np.zeros(len(keys), np.int64), np.arange(len(keys)), 1
-        while len(left):
-            inside = left
-            rest = keys[left]
-            a = mix64(rest + np.uint64(j * 0x9E3779B97F4A7C15 % 2**64))
-            step = (a >> np.uint64(32)) | np.uint64(1)
-            for i in range(HASHES):
-                at = (a + np.uint64(i) * step) % self.m
-                hit = (self.bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
-                inside, a, step = inside[hit], a[hit], step[hit]
-                if not len(inside):
-                    break
-            out[inside] = j
-            left, j = inside, j + 1
+        return FilterBank({0: self.bits}).levels(keys, np.zeros(len(keys), np.int64))
+
+
+class FilterBank:
+    """Filters by number, their bits one after the other, so that keys of many filters are looked up at once."""
+
+    def __init__(self, filters: dict[int, np.ndarray]):
+        self.numbers = np.array([*filters], np.int64)
+        self.sizes = np.array([len(b) for b in filters.values()], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.bits = [*filters.values()][0] if len(filters) == 1 else np.concatenate([np.zeros(0, np.uint8), *filters.values()])
+
+    def levels(self, keys: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The level of each key in the filter at that place of `numbers`."""
+        out, modulus = np.zeros(len(keys), np.int64), (self.sizes * 8).astype(np.uint64)
+        # in order of filters, so that one after the other is in the processor's cache
+        order = np.argsort(at.astype(np.uint16) if len(self.numbers) < 1 << 16 else at, kind="stable")
+        for left in np.split(order, range(PROBED, len(order), PROBED)):
+            j = 1
+            while len(left):
+                a, own = mix64(keys[left] + np.uint64(j * 0x9E3779B97F4A7C15 % 2**64)), at[left]
+                step, m, start = (a >> np.uint64(32)) | np.uint64(1), modulus[own], self.starts[own]
+                inside = np.ones(len(left), bool)
+                for i in range(HASHES):
+                    place = (a + np.uint64(i) * step) % m
+                    inside &= (self.bits[start + (place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
+                    some = np.flatnonzero(inside)
+                    if 4 * len(some) < 3 * len(left):
+                        left, a, step, m, start, inside = left[some], a[some], step[some], m[some], start[some], inside[some]
+                    if not len(some):
+                        break
+                left = left[inside]
+                out[left] = j
+                j += 1
         return out
 
 
@@ -245,11 +267,11 @@ def score_documents(docs: DataFrame, shard_text: int = SHARD_TEXT, broadcast_byt
             held.append((np.frombuffer(r.a, np.uint64), np.frombuffer(r.b, np.uint8), np.frombuffer(r.c, np.int64)))
         return WordCounts(*(np.concatenate(x) for x in zip(*held)))
 
-    def filters(some: list[tuple[int, int]]) -> dict[int, np.ndarray]:
+    def filters(some: list[tuple[int, int]]) -> FilterBank:
         ids = [c * parts + p for c, p in some]
         number = F.col("class").cast("long") * parts + F.col("part")
         found = made.where((F.col("kind") == 2) & number.between(ids[0], ids[-1])) if ids else made.limit(0)
-        return {r.id: np.frombuffer(r.a, np.uint8) for r in found.select(number.alias("id"), "a").toLocalIterator()}
+        return FilterBank({r.id: np.frombuffer(r.a, np.uint8) for r in found.select(number.alias("id"), "a").toLocalIterator()})
 
     every = np.array([r["class"] * parts + r.part for r in sizes if r.kind == 2], np.int64)
     out, before = None, None
@@ -272,8 +294,10 @@ def _scorer(shared, run: tuple[int, int], counts_words: bool, every: np.ndarray,
     """A pass over all documents; `row` is a hash of doc_id and text that joins a row's parts, `every` the numbers of all filters."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, bits = shared.value
-        filters = {k: LogFrequencyFilter(b) for k, b in bits.items()}
+        known, filters = shared.value
+        slot, made = np.full(classes * parts, -1), np.zeros(classes * parts, bool)
+        slot[filters.numbers] = np.arange(len(filters.numbers))
+        made[every] = True
 
         for part, texts in text_chunks(batches, limit=CHUNK):
             names = part.column("doc_id").to_pylist()
@@ -286,13 +310,10 @@ def _scorer(shared, run: tuple[int, int], counts_words: bool, every: np.ndarray,
             tokens = keys[ids]
             pair = bigram(histories(tokens, counts), tokens)
             shard = of[ids] * parts + part_of(pair, parts)
-            levels, mine = np.zeros(len(ids), np.int64), np.zeros(len(ids), bool)
-            for k in np.unique(shard[here[ids]]).tolist():
-                if k in filters:
-                    at = np.flatnonzero(shard == k)
-                    levels[at], mine[at] = filters[k].levels(pair[at]), True
+            levels, mine = np.zeros(len(ids), np.int64), slot[shard] >= 0
+            levels[mine] = filters.levels(pair[mine], slot[shard[mine]])
             if counts_words:  # a bigram whose shard has no filter was never seen
-                mine |= here[ids] & ~np.isin(shard, every)
+                mine |= here[ids] & ~made[shard]
             total = np.where(mine, np.log10(LEAST[levels] + mu * p1[ids]), 0.0)
             base, held = np.zeros(len(ids)), np.zeros(len(ids), bool)
             if counts_words:

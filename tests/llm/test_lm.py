@@ -80,3 +80,18 @@ def test_every_class_and_filter_is_in_one_pass():
         for (a, b), some in plan:
             held = sum(words.get(c, 0) for c in range(a, b))
             assert held + sum(pairs[p] for p in some) <= max(bound, held + max((pairs[p] for p in some), default=0)) and (b - a == 1 or held <= bound // 2 or held <= max(words.values()))
+
+
+def test_filters_are_probed_together():
+    rng = np.random.default_rng(4)
+    keys, counts = rng.integers(0, 2**63, 9000).astype(np.uint64), rng.integers(1, 3000, 9000)
+    where = rng.integers(0, 3, 9000)
+    filters = {k: lm.LogFrequencyFilter.of(keys[where == n], counts[where == n]) for n, k in enumerate((7, 2, 11))}
+    bank = lm.FilterBank({k: f.bits for k, f in filters.items()})
+    assert bank.numbers.tolist() == [7, 2, 11]
+    asked, at = np.concatenate([keys, keys + np.uint64(1)]), np.concatenate([where, where])
+    got = bank.levels(asked, at)
+    for n, k in enumerate((7, 2, 11)):
+        assert (got[at == n] == filters[k].levels(asked[at == n])).all()
+    assert (got[:9000] >= lm.level(counts)).all() and (got[9000:] > 0).mean() < 0.05
+    assert len(lm.FilterBank({}).levels(keys[:0], where[:0])) == 0
