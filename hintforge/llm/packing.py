@@ -29,6 +29,12 @@ from hintforge.llm.tokenizing import WordTokenizer
 SHARD_PIECES, ISLANDS, POPULATION, CROSSOVERS, GENERATIONS, SMALL_WORK = 4000, 2, 4, 2, 6, 4000
 #: Shards whose worst bins meet in the next round, as one in so many of a shard's pieces moves on.
 MERGE = 16
+#: A bin's number within its shard takes the low bits of an integer.
+BIN_BITS = 32
+BIN_MASK = (1 << BIN_BITS) - 1
+#: A bin's number within its shard takes the low bits of an integer.
+BIN_BITS = 32
+BIN_MASK = (1 << BIN_BITS) - 1
 
 Packing = list[list[int]]
 
@@ -42,17 +48,18 @@ def placed(lengths: np.ndarray, items: list[int], bins: Packing, capacity: int)
     """Puts items, in their order, each into the fullest bin that has room."""
     bins = [list(b) for b in bins]
     size_of = lengths.tolist()
-    room = sorted((capacity - sum(size_of[i] for i in b), k) for k, b in enumerate(bins))
+    # a bin's room and number in one integer, in order of both
+    room = sorted((capacity - sum([size_of[i] for i in b]) << BIN_BITS) + k for k, b in enumerate(bins))
     for i in items:
-        size = size_of[i]
-        at = bisect_left(room, (size, -1))
+        size = size_of[i] << BIN_BITS
+        at = bisect_left(room, size)
         if at < len(room):
-            left, k = room.pop(at)
-            bins[k].append(i)
-            insort(room, (left - size, k))
+            left = room.pop(at)
+            bins[left & BIN_MASK].append(i)
+            insort(room, left - size)
         else:
             bins.append([i])
-            insort(room, (capacity - size, len(bins) - 1))
+            insort(room, (capacity << BIN_BITS) - size + len(bins) - 1)
     return bins
 
 

@@ -186,3 +186,16 @@ def test_cuts_keep_what_no_piece_crosses():
             cuts.add(at)
         crossed = {k for i in range(len(word)) for j in range(i + 2, len(word) + 1) if word[i:j] in table.letters for k in range(i + 1, j)}
         assert "".join(parts) == word and cuts == set(range(1, len(word) + 1)) - crossed
+
+
+def test_each_piece_goes_to_the_fullest_bin_with_room():
+    rng = np.random.default_rng(8)
+    lengths = rng.integers(1, 4096, 300)
+    begun = [[0, 1]] if lengths[0] + lengths[1] <= 4096 else [[0], [1]]
+    items = rng.permutation(np.arange(2, 300)).tolist()
+    want = [list(b) for b in begun]
+    for i in items:
+        rooms = [(4096 - sum(lengths[x] for x in b), k) for k, b in enumerate(want)]
+        fit = min((r for r in rooms if r[0] >= lengths[i]), default=None)
+        want[fit[1]].append(i) if fit else want.append([i])
+    assert packing.placed(lengths, items, begun, 4096) == want and packing.BIN_BITS >= 20
